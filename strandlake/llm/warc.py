@@ -146,7 +146,7 @@ SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(encode(coalesce(html, ''))) AS h FROM pages),
 q AS (SELECT page_id, octet_length(b) AS n, ('0x' || h) AS x, h, min(page_id) OVER (PARTITION BY h) AS first FROM p)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
-    list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
+    list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
     CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM q
