@@ -30,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest doc_id; of equal ids one row of them."""
+    """One document of each group of near duplicates, that of the smallest doc_id."""
     found = near_duplicates(docs)
     others = table(found.where("component_id <> doc_id").select("doc_id").distinct(), "pipeline-others")
     return docs.select(*COLUMNS).join(maybe_broadcast(others), "doc_id", "left_anti").select(*COLUMNS)
