@@ -1,9 +1,10 @@
-"""Makes this package importable on the executors of any session."""
+"""Session helpers: shipping the package to executors, and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -19,3 +20,17 @@ def ship(spark: SparkSession) -> None:
         archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='strandlake-')}/strandlake-{app}", "zip", top.parent, top.name)
         spark.sparkContext.addPyFile(archive)
         _shipped.add(app)
+
+
+def scratch(spark: SparkSession) -> str:
+    """The shared folder of the cluster (spark.checkpoint.dir); a folder of our own only where none is set."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="strandlake-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def fresh(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that nothing uses yet."""
+    return f"{scratch(spark)}/{label}-{uuid.uuid4().hex}"

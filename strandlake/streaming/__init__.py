@@ -1,0 +1,2 @@
+"""No streaming operators: every input of this engine's domain is a finished file. Operators without windows also run on
+streaming DataFrames as they are."""
