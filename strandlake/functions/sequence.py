@@ -99,7 +99,7 @@ def wrap_sequence(rows: DataFrame, width: int, key: str = "contig") -> DataFrame
 
 def find_by_header(rows: DataFrame, pattern: str) -> DataFrame:
     """The first row, by ord, of each contig whose header matches the pattern."""
-    return rows.where(F.col("header").rlike(pattern)).groupBy("contig").agg(F.min_by("header", "ord").alias("header"), F.min("ord").alias("ord"))
+    return rows.where(F.col("header").rlike(pattern)).groupBy("contig").agg(F.min_by("header", F.struct("ord", "header")).alias("header"), F.min("ord").alias("ord"))
 
 
 def select_by_id(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
