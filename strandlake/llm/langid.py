@@ -217,7 +217,7 @@ def identify(docs: DataFrame, field: Field | None, text: str = "text") -> DataFr
             got, score = _workers["labeller"].texts(part)
             langs += got
             scores.append(score)
-        return pd.DataFrame({"lang": langs, "score": np.concatenate(scores) if scores else np.zeros(0)})
+        return pd.DataFrame({"lang": pd.Series(langs, dtype=object), "score": np.concatenate(scores) if scores else np.zeros(0)})
 
     labelled = put(docs, _lang=label(F.col(text)))
     return put(labelled, lang_pred=F.col("_lang.lang"), lang_score=F.col("_lang.score")).drop("_lang")

@@ -84,7 +84,7 @@ def frequent_pieces(docs: DataFrame, text: str = "text", most: int = 32_768, per
                 if len(seen) > 32 * per_task:
                     seen = Counter(dict(seen.most_common(4 * per_task)))
         top = seen.most_common(per_task)
-        yield pd.DataFrame({"piece": [p for p, _ in top], "n": [n for _, n in top]})
+        yield pd.DataFrame({"piece": pd.Series([p for p, _ in top], dtype=object), "n": pd.Series([n for _, n in top], dtype="int64")})
 
     found = docs.select(F.col(text).alias("t")).mapInPandas(summary, "piece string, n long")
     return found.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(most)

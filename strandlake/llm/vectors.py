@@ -227,18 +227,20 @@ def audit(vectors: DataFrame, found: DataFrame, every: int = 100, vec_id: str =
     """Recall of `found` (near_vectors of `vectors`) over the rows whose id is divisible by `every`, by brute force."""
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("v")).where(F.col("v").isNotNull())
     asked = rows.where(F.col("vec_id") % every == 0).toPandas()
-    usable = lambda v: np.isfinite(np.asarray(v, float)).all() and np.any(v)
+    usable = lambda v: len(v) and np.isfinite(np.asarray(v, float)).all() and np.any(v)
     asked = asked[[usable(v) for v in asked["v"]]]
-    shared = vectors.sparkSession.sparkContext.broadcast((asked["vec_id"].to_numpy(), normal(asked["v"])))
+    by_length = {n: (part["vec_id"].to_numpy(), normal(part["v"])) for n, part in asked.groupby(asked["v"].map(len))}
+    shared = vectors.sparkSession.sparkContext.broadcast(by_length)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, x = shared.value
         for batch in batches:
             batch = batch[[usable(v) for v in batch["v"]]]
-            if len(batch):
-                near = normal(batch["v"]) @ x.T >= least
-                near &= batch["vec_id"].to_numpy()[:, None] != ids[None, :]
-                yield pd.DataFrame({"vec_id": ids, "n": near.sum(axis=0)})
+            for length, part in batch.groupby(batch["v"].map(len)):
+                if length in shared.value:
+                    ids, x = shared.value[length]
+                    near = normal(part["v"]) @ x.T >= least
+                    near &= part["vec_id"].to_numpy()[:, None] != ids[None, :]
+                    yield pd.DataFrame({"vec_id": ids, "n": near.sum(axis=0)})
 
     true = rows.mapInPandas(count, "vec_id long, n long").groupBy("vec_id").agg(F.sum("n").alias("n"))
     both = true.join(found, "vec_id").agg(F.sum(F.least("n", "n_links")).alias("got"), F.sum("n").alias("all")).first()
