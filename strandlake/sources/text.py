@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-FILE = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
