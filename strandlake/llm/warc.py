@@ -28,9 +28,8 @@ MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
 CRLF = "\r\n"
 
 
-def sha1_base32(payload: Column) -> Column:
-    """Upper-case base32 of a SHA-1: five hex digits make four base32 digits."""
-    hexed = F.sha1(payload.cast("binary"))
+def base32(hexed: Column) -> Column:
+    """Upper-case base32 of a SHA-1 in hex, a column of its own: five hex digits make four base32 digits."""
 
     def four(i: Column) -> Column:
         n = F.conv(F.substring(hexed, i * 5 + 1, F.lit(5)), 16, 10).cast("int")
@@ -42,11 +41,11 @@ def sha1_base32(payload: Column) -> Column:
 def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 0) -> DataFrame:
     """One column `value`: each page's WARC record without its final line feed."""
     payload = F.coalesce(F.col(html), F.lit(""))
-    ids = pages.select(F.col(page_id).alias("page_id"), sha1_base32(payload).alias("digest"), F.octet_length(payload).alias("size"))
+    ids = pages.select(F.col(page_id).alias("page_id"), F.sha1(payload.cast("binary")).alias("digest"), F.octet_length(payload).alias("size"))
     ids = table(ids, "warc-digests")
     firsts = ids.where(F.col("size") >= least).groupBy("digest", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = ids.join(maybe_broadcast(firsts), ["digest", "size"]).where("page_id > first").select(F.col("page_id").alias("later"), F.col("first").cast("long")).distinct()
-    rows = pages.select(F.col(page_id).alias("page_id"), F.regexp_replace(F.coalesce(F.col(url), F.lit("about:blank")), r"[\x00-\x20\x7F]", "_").alias("url"), payload.alias("payload"))
+    rows = pages.select(F.col(page_id).alias("page_id"), F.regexp_replace(F.coalesce(F.col(url), F.lit("about:blank")), r"[\x00-\x20\x7F]", "_").alias("url"), payload.alias("payload"), F.sha1(payload.cast("binary")).alias("hexed"))
     rows = rows.join(maybe_broadcast(table(later, "warc-revisits")), F.col("page_id") == F.col("later"), "left")
     size, revisit = F.octet_length("payload"), F.col("first").isNotNull()
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), size, F.lit(CRLF * 2))
@@ -55,7 +54,7 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     lines = [
         F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
         F.concat(F.lit("WARC-Record-ID: "), uri(F.col("page_id"))), F.lit(f"WARC-Date: {DATE}"), F.concat(F.lit("WARC-Target-URI: "), F.col("url")),
-        F.concat(F.lit("WARC-Payload-Digest: sha1:"), sha1_base32(F.col("payload"))),
+        F.concat(F.lit("WARC-Payload-Digest: sha1:"), base32(F.col("hexed"))),
         F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), uri(F.col("first")))),
         F.when(revisit, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
         F.lit("Content-Type: application/http; msgtype=response"), F.concat(F.lit("Content-Length: "), F.octet_length(block)),
@@ -110,7 +109,7 @@ def read_archives(spark, path: str) -> DataFrame:
         for batch in batches:
             for file, data in zip(batch["path"], batch["content"], strict=True):
                 rows = [(file, at, to, page, kind, refers, n, digest) for at, to, page, kind, refers, n, digest in _candidates(bytes(data))]
-                frame = pd.DataFrame(rows, columns=["file", "at", "next", "page_id", "record_type", "refers_to", "payload_bytes", "payload_digest"])
+                frame = pd.DataFrame(rows, columns=["file", "at", "next", "page_id", "record_type", "refers_to", "payload_bytes", "payload_digest"], dtype=object)
                 yield frame.astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "Int64"})
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
