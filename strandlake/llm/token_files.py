@@ -117,15 +117,26 @@ def chunks(data: bytes) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarr
 WHOLE = re.compile(r"[\x1c-\x1f]|<\|")
 
 
+#: ASCII signs: behind a letter they are pre-tokens of their own.
+MARKS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{}~"
+
+
+def latin(word: str) -> bool:
+    """Whether the word is of Latin-1, where Python's lower case is the tokenizer's."""
+    return word.isascii() or word.encode("latin-1", "replace").decode("latin-1") == word
+
+
 class WordIds(dict):
     """Word (between white space) -> its ids as bytes.
 
     The tokenizer's normalizer and pre-tokenizer never look beyond white space, so a text's ids are those of its words
     in a row. Lower-cased words of letters only are encoded many at a time: each ends at the one id that ends a word.
+    The cache has a young and an old half; what is found in the old one is young again.
     """
 
     def __init__(self, path: str, most: int):
         super().__init__()
+        self.old: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -143,28 +154,34 @@ class WordIds(dict):
         return np.array(self.model.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        if len(word) > 1 and word[-1] in ",." and word[-2].isalpha():
-            found = self[word[:-1]] + self[word[-1]]
-        elif not word.islower() and word.isascii():
-            found = self[word.lower()] if word.lower() != word else self.whole(word)
-        else:
-            found = self.whole(word)
+        found = self.old.get(word)
+        if found is None:
+            core = word.rstrip(MARKS)
+            low = word.lower()
+            if core and core != word and core[-1].isalpha():
+                found = self[core] + self[word[len(core):]]
+            elif low != word and latin(word):
+                found = self[low]
+            else:
+                found = self.whole(word)
         self[word] = found
         return found
 
     def learn(self, words: set[str]) -> None:
         """Encode at once what is new and plain in `words`."""
-        if len(self) > self.most:
+        if len(self) > self.most // 2:  # what isn't asked for again while the cache fills once more is forgotten
+            self.old = dict(self)
             self.clear()
-        plain = {w.rstrip(",.").lower() for w in words.difference(self)}
-        plain = [w for w in plain.difference(self) if w.isalpha() and (w.isascii() or w.encode("latin-1", "replace").decode("latin-1") == w)]
+        plain = {w.rstrip(MARKS).lower() for w in words.difference(self).difference(self.old)}
+        plain = [w for w in plain.difference(self).difference(self.old) if w.isalpha() and latin(w)]
         for i in range(0, len(plain), 2_000):
             part = plain[i : i + 2_000]
-            ids = np.array(self.model.encode(" ".join(part), add_special_tokens=False).ids, self.kind)
+            ids = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part):
                 raw, size = ids.tobytes(), self.kind.itemsize
-                for word, a, b in zip(part, np.concatenate([[0], cuts[:-1]]) * size, cuts * size, strict=True):
+                cuts = (cuts * size).tolist()
+                for word, a, b in zip(part, [0, *cuts[:-1]], cuts, strict=True):
                     self[word] = raw[a:b]
 
     def encode(self, texts: list[str]) -> list[bytes]:
