@@ -7,8 +7,10 @@ the rare tokens of its prefix for k = 2 and under each combination of two freque
 an index key, and no key stands for a frequent token alone.
 
 Equal sets are one class from the start. Classes that agree on one of their least tokens are first linked as stars
-around one of them, so that a large group of near copies is a single component before candidates are made; candidate
-pairs are only made between components. Every link is verified on the whole sets.
+around one of them, so that a large group of near copies is a single component before candidates are made. Under keys
+that many share, each text is compared with the hub, the text of the most common keys, and texts that don't join their
+hub's component are compared with all of that hub, in blocks by postings that write spanning links only. Candidate pairs
+are made for the rest, between components. Every link is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -24,8 +26,9 @@ from .common import maybe_broadcast, table
 from .graphs import components
 from .shingles import mix, portions, shingle_sets
 
-SKETCH = 4
-LOW40 = np.uint64((1 << 40) - 1)
+SKETCH, SKETCH_SHARED = 8, 3
+TAIL = np.uint64((1 << 32) - 1)
+SIGN = np.uint64(1 << 63)
 PAIR_A, PAIR_B = np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -57,62 +60,129 @@ def _alike(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int, per_group: int = 4_096) -> DataFrame:
-    """The pairs (a, b) of set names whose sets have 100 * shared >= percent * all.
+KEY = ("g", "i", "j", "role", "sid")
 
-    The sets around one b meet in groups of at most `per_group` members, each with its own copy of b's set; a task
-    streams through its groups in order and holds one set of a group's centre at a time.
-    """
-    pairs = table(pairs.select("a", "b").distinct(), "join-pairs")
-    sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / per_group).alias("salts"))
-    dealt = pairs.join(sizes, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("salts")).alias("salt"))
-    roles = dealt.select(F.col("a").alias("sid"), F.struct("b", "salt", F.lit(False).alias("centre")).alias("role")).unionByName(
-        dealt.select(F.col("b").alias("sid"), F.struct("b", "salt", F.lit(True).alias("centre")).alias("role")).distinct())
-    wanted = roles.groupBy("sid").agg(F.collect_list("role").alias("roles")).join(classes.select("sid", F.col("first").alias("doc_id")), "sid")
+
+def _deliver(docs: DataFrame, classes: DataFrame, roles: DataFrame, width: int) -> DataFrame:
+    """roles (sid, g, i, j, role) with each set's tokens, dealt by (g, i, j) and sorted by role within."""
+    wanted = roles.groupBy("sid").agg(F.collect_list(F.struct("g", "i", "j", "role")).alias("roles")).join(classes.select("sid", F.col("first").alias("doc_id")), "sid")
     wanted = maybe_broadcast(table(wanted, "join-wanted"), 500_000)
 
     def emit(rows, sets):
-        out = {"b": [], "salt": [], "centre": [], "sid": [], "tokens": []}
-        for i, (sid, own) in enumerate(zip(rows["sid"], rows["roles"], strict=True)):
-            if sets.sizes[i] and sets.keys[i] == sid:
-                blob = sets.of(i).tobytes()
+        out = {"g": [], "i": [], "j": [], "role": [], "sid": [], "tokens": []}
+        for k, (sid, own) in enumerate(zip(rows["sid"], rows["roles"], strict=True)):
+            if sets.sizes[k] and sets.keys[k] == sid:
+                blob = sets.of(k).tobytes()
                 for role in own:
-                    for name, value in (("b", role["b"]), ("salt", role["salt"]), ("centre", role["centre"]), ("sid", sid), ("tokens", blob)):
-                        out[name].append(value)
+                    for name in KEY[:4]:
+                        out[name].append(role[name])
+                    out["sid"].append(sid)
+                    out["tokens"].append(blob)
         return pd.DataFrame(out)
 
-    blobs = _scan(docs.join(wanted, "doc_id"), emit, "b long, salt long, centre boolean, sid long, tokens binary", width, ("sid", "roles"))
+    blobs = _scan(docs.join(wanted, "doc_id"), emit, "g long, i int, j int, role int, sid long, tokens binary", width, ("sid", "roles"))
+    return blobs.repartition("g", "i", "j").sortWithinPartitions(*KEY)
+
+
+def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int, per_group: int = 4_096) -> DataFrame:
+    """The pairs (a, b) of set names whose sets have 100 * shared >= percent * all.
+
+    The sets around one b meet in groups of about `per_group` members, each with its own copy of b's set; a task
+    streams through its groups in order and holds one set of a group's centre at a time.
+    """
+    pairs = table(pairs.select("a", "b").distinct(), "join-pairs")
+    sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / per_group).alias("salts"))
+    dealt = pairs.join(sizes, "b").select("a", F.col("b").alias("g"), F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("i"), F.lit(0).alias("j"))
+    roles = dealt.select(F.col("a").alias("sid"), "g", "i", "j", F.lit(1).alias("role")).unionByName(dealt.select(F.col("g").alias("sid"), "g", "i", "j", F.lit(0).alias("role")).distinct())
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, centre = None, None
         for batch in batches:
             good = []
-            for b, salt, is_centre, sid, blob in zip(batch["b"], batch["salt"], batch["centre"], batch["sid"], batch["tokens"], strict=True):
+            for g, i, role, sid, blob in zip(batch["g"], batch["i"], batch["role"], batch["sid"], batch["tokens"], strict=True):
                 tokens = np.frombuffer(blob, np.uint64)
-                if is_centre:
-                    at, centre = (b, salt), tokens
-                elif at == (b, salt):
+                if role == 0:
+                    at, centre = (g, i), tokens
+                elif at == (g, i):
                     x, y = (tokens, centre) if len(tokens) < len(centre) else (centre, tokens)
                     place = np.searchsorted(y, x)
                     shared = int((y[np.minimum(place, len(y) - 1)] == x).sum())
                     if 100 * shared >= percent * (len(x) + len(y) - shared):
-                        good.append((sid, b))
+                        good.append((sid, g))
+            yield pd.DataFrame(good, columns=["a", "b"], dtype="int64")
+
+    return table(_deliver(docs, classes, roles, width).mapInPandas(compare, "a long, b long").distinct(), "join-links")
+
+
+class _Block:
+    """Sets with postings of their tokens, and which of them are known to be joined."""
+
+    def __init__(self, sids: list[int], sets: list[np.ndarray]):
+        self.sids, self.sizes = np.array(sids), np.array([len(x) for x in sets])
+        tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(tokens, kind="stable")
+        self.owner = owner[order]
+        self.tokens, self.starts, self.counts = np.unique(tokens[order], return_index=True, return_counts=True)
+        self.label: dict[int, int] = {}
+
+    def root(self, sid: int) -> int:
+        while (up := self.label.get(sid, sid)) != sid:
+            sid = up
+        return sid
+
+    def links(self, sid: int, tokens: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+        """Links of the set to sets of the block that aren't joined with it yet."""
+        place = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+        place = place[self.tokens[place] == tokens]
+        size = self.counts[place]
+        posts = self.owner[np.repeat(self.starts[place] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        shared = np.bincount(posts, minlength=len(self.sizes))
+        for other in self.sids[100 * shared >= percent * (self.sizes + len(tokens) - shared)].tolist():
+            a, b = self.root(sid), self.root(other)
+            if a != b:
+                self.label[max(a, b)] = min(a, b)
+                yield sid, other
+
+
+def dense_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, width: int, percent: int, block: int = 1_024) -> DataFrame:
+    """Links (a, b) within each group of groups (hub, sid, asks): a spanning part of the links of the sets that ask.
+
+    Groups are cut into blocks of about `block` sets; each task compares one block of askers with one block of all, by
+    postings, and writes a link only if it joins what it has not joined yet, so no pairs are written.
+    """
+    sizes = groups.groupBy("hub").agg(F.ceil(F.count("*") / block).cast("int").alias("n_i"), F.ceil(F.count_if("asks") / block).cast("int").alias("n_j"), F.count_if("asks").alias("n")).where("n > 0").drop("n")
+    cut = groups.join(sizes, "hub").withColumn("h", F.xxhash64("sid"))
+    index = cut.select("sid", F.col("hub").alias("g"), F.pmod("h", F.col("n_i")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("n_j") - 1)).alias("j"), F.lit(0).alias("role"))
+    asks = cut.where("asks").select("sid", F.col("hub").alias("g"), F.explode(F.sequence(F.lit(0), F.col("n_i") - 1)).alias("i"), F.pmod("h", F.col("n_j")).cast("int").alias("j"), F.lit(1).alias("role"))
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, held, ready = None, ([], []), None
+        for batch in batches:
+            good: list[tuple[int, int]] = []
+            for g, i, j, role, sid, blob in zip(batch["g"], batch["i"], batch["j"], batch["role"], batch["sid"], batch["tokens"], strict=True):
+                if (g, i, j) != at:
+                    at, held, ready = (g, i, j), ([], []), None
+                if role == 0:
+                    held[0].append(sid)
+                    held[1].append(np.frombuffer(blob, np.uint64))
+                elif held[0]:
+                    ready = ready or _Block(*held)
+                    good += ready.links(sid, np.frombuffer(blob, np.uint64), percent)
             yield pd.DataFrame(good, columns=["a", "b"], dtype="int64")
 
-    grouped = blobs.repartition("b", "salt").sortWithinPartitions("b", "salt", F.desc("centre"))
-    return table(grouped.mapInPandas(compare, "a long, b long").distinct(), "join-links")
+    return table(_deliver(docs, classes, index.unionByName(asks), width).mapInPandas(compare, "a long, b long").distinct(), "join-links")
 
 
 def frequent_tokens(docs: DataFrame, width: int, above: int, most: int) -> tuple[np.ndarray, int]:
-    """The tokens in more than `above` of `docs`, the `most` most frequent of them; exact counts of 40-bit tails within
-    parts by leading bits. Tokens travel packed, five bytes each."""
+    """The tokens in more than `above` of `docs`, the `most` most frequent of them; exact counts of 32-bit tails within
+    parts by leading bits. Tokens travel packed, four bytes each."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def emit(rows, sets):
         tokens = np.sort(sets.tokens)
         part = ((tokens >> np.uint64(44)) * np.uint64(parts) >> np.uint64(20)).astype(np.int64)
         cuts = np.searchsorted(part, np.arange(parts + 1))
-        tails = np.ascontiguousarray(tokens).view(np.uint8).reshape(-1, 8)[:, :5]
+        tails = (tokens & TAIL).astype("<u4")
         some = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
         return pd.DataFrame({"part": pd.array(some, "int32"), "tails": [tails[cuts[p] : cuts[p + 1]].tobytes() for p in some]})
 
@@ -122,29 +192,27 @@ def frequent_tokens(docs: DataFrame, width: int, above: int, most: int) -> tuple
             for part, tails in zip(batch["part"], batch["tails"], strict=True):
                 held.setdefault(part, []).append(tails)
         for part, tails in held.items():
-            five = np.frombuffer(b"".join(tails), np.uint8).reshape(-1, 5)
-            wide = np.zeros((len(five), 8), np.uint8)
-            wide[:, :5] = five
-            values, n = np.unique(wide.view(np.uint64).ravel(), return_counts=True)
+            values, n = np.unique(np.frombuffer(b"".join(tails), "<u4"), return_counts=True)
             often = n > above
             yield pd.DataFrame({"part": np.int32(part), "tail": values[often].astype(np.int64), "df": n[often]})
 
     packed = _scan(docs, emit, "part int, tails binary", width)
     counted = packed.repartition(parts, "part").mapInPandas(count, "part int, tail long, df long")
     rows = counted.orderBy(F.desc("df"), "part", "tail").limit(most).select("part", "tail").toPandas()
-    return np.sort(rows["part"].to_numpy().astype(np.uint64) << np.uint64(40) | rows["tail"].to_numpy().astype(np.uint64)), parts
+    return np.sort(rows["part"].to_numpy().astype(np.uint64) << np.uint64(32) | rows["tail"].to_numpy().astype(np.uint64)), parts
 
 
 def index(docs: DataFrame, frequent, width: int, percent: int) -> DataFrame:
-    """(sig, sid, n): the keys under which each text of `docs` is indexed."""
+    """(sig, sid, n, last): the keys under which each text of `docs` is indexed; last is the greatest of them in the order
+    of tokens if they are all of its prefix for k = 1, else null."""
 
     def emit(rows, sets):
         often, parts = frequent.value
         tokens = sets.tokens
-        key = ((tokens >> np.uint64(44)) * np.uint64(parts) >> np.uint64(20)) << np.uint64(40) | tokens & LOW40
+        key = ((tokens >> np.uint64(44)) * np.uint64(parts) >> np.uint64(20)) << np.uint64(32) | tokens & TAIL
         place = np.searchsorted(often, key)
         is_often = often[np.minimum(place, max(len(often) - 1, 0))] == key if len(often) else np.zeros(len(key), bool)
-        sigs, owners = [], []
+        sigs, owners, lasts = [], [], []
         for i in np.flatnonzero(sets.sizes):
             a, n = sets.starts[i], int(sets.sizes[i])
             own, flags = tokens[a : a + n], is_often[a : a + n]
@@ -153,7 +221,9 @@ def index(docs: DataFrame, frequent, width: int, percent: int) -> DataFrame:
             rare = own[~flags] if flags.any() else own
             if len(rare) >= two:
                 keys = rare[:one]
+                lasts.append(keys[-1] ^ SIGN)
             else:
+                lasts.append(SIGN)  # no token has this image: stands for null
                 keys = rare
                 f = two - len(rare)
                 if f >= 2:
@@ -161,12 +231,26 @@ def index(docs: DataFrame, frequent, width: int, percent: int) -> DataFrame:
                     p, q = np.triu_indices(f, 1)
                     keys = np.concatenate([rare, mix(x[p] * PAIR_A + x[q] * PAIR_B)])
             sigs.append(keys)
-            owners.append(np.full(len(keys), i))
-        at = np.concatenate(owners) if owners else np.zeros(0, np.int64)
+            owners.append(i)
+        lengths = [len(k) for k in sigs]
+        at = np.repeat(np.array(owners, np.int64), lengths)
         sig = np.concatenate(sigs) if sigs else np.zeros(0, np.uint64)
-        return pd.DataFrame({"sig": sig.view(np.int64), "sid": sets.keys[at], "n": sets.sizes[at]})
+        last = pd.array(np.repeat(np.array(lasts, np.uint64), lengths).view(np.int64), "Int64")
+        last[last == SIGN.view(np.int64)] = pd.NA
+        return pd.DataFrame({"sig": sig.view(np.int64), "sid": sets.keys[at], "n": sets.sizes[at], "last": last})
 
-    return _scan(docs, emit, "sig long, sid long, n long", width)
+    return _scan(docs, emit, "sig long, sid long, n long, last long", width)
+
+
+def _enough(percent: int):
+    """Whether prefixes for k = 1 that share `shared` tokens allow the similarity.
+
+    All that a shares with b up to the end of the prefix that ends first lies in both prefixes; behind it the text of
+    that prefix has ceil(n * percent / 100) - 1 tokens.
+    """
+    needed = F.ceil((F.col("n") + F.col("bn")) * percent / (100 + percent))
+    first = F.when(F.col("last") <= F.col("blast"), F.col("n")).otherwise(F.col("bn"))
+    return F.col("last").isNull() | F.col("blast").isNull() | (F.col("shared") + F.ceil(first * percent / 100) - 1 >= needed)
 
 
 def _labelled(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -175,7 +259,7 @@ def _labelled(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(labels, "sid", "left").withColumn("cid", F.coalesce("known", "sid")).drop("known")
 
 
-def similar_sets(docs: DataFrame, width: int = 5, percent: int = 75, frequent_above: int = 32, most_frequent: int = 1_000_000, star_above: int = 16, star_rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+def similar_sets(docs: DataFrame, width: int = 5, percent: int = 75, frequent_above: int = 32, most_frequent: int = 1_000_000, star_above: int = 16) -> tuple[DataFrame, DataFrame]:
     """(sets, found): set_table of `docs` (doc_id, text), and the component of each set that is linked to another."""
     spark = docs.sparkSession
     sets = table(set_table(docs, width), "join-sets")
@@ -184,7 +268,8 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 75, frequent_ab
     # stars over the least tokens
     least = classes.select("sid", "n", F.explode("sketch").alias("sig"))
     centres = least.groupBy("sig").agg(F.min_by(F.struct("sid", "n"), "sid").alias("c"), F.count("*").alias("m")).where("m > 1").select("sig", F.col("c.sid").alias("b"), F.col("c.n").alias("bn"))
-    stars = least.join(maybe_broadcast(table(centres, "join-centres")), "sig").where((F.col("sid") != F.col("b")) & _alike("n", "bn", percent)).select(F.col("sid").alias("a"), "b").distinct()
+    stars = least.join(maybe_broadcast(table(centres, "join-centres")), "sig").where((F.col("sid") != F.col("b")) & _alike("n", "bn", percent))
+    stars = stars.groupBy(F.col("sid").alias("a"), "b").agg(F.count("*").alias("shared"), F.max("n").alias("n")).where(F.col("shared") >= F.least(F.lit(SKETCH_SHARED), "n"))
     links = verify(docs, classes, stars, width, percent)
     found = components(links)
     # document frequencies over one text of each component, then the index over one text of each class
@@ -196,20 +281,25 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 75, frequent_ab
     one_each = docs.where("doc_id IS NOT NULL").join(maybe_broadcast(copies), "doc_id", "left_anti")
     keys = index(one_each, frequent, width, percent)
     shared = _labelled(keys, found).groupBy("sig").agg(F.min("cid").alias("low"), F.max("cid").alias("high"), F.count("*").alias("m")).where("low < high").select("sig", "m")
-    rows = table(keys.join(maybe_broadcast(table(shared, "join-shared"), 1_000_000), "sig").select("sig", "sid", "n", "m").distinct(), "join-rows")
-    for _ in range(star_rounds):  # hot keys: each component's sets against one set of another
-        now = table(_labelled(rows.where(F.col("m") > star_above), found), "join-hot")
-        tops = now.groupBy("sig").agg(F.min_by(F.struct("sid", "n", "cid"), F.struct(F.xxhash64("cid"), F.xxhash64("sid"))).alias("c"), F.min("cid").alias("low"), F.max("cid").alias("high")).where("low < high")
-        tops = tops.select("sig", F.col("c.sid").alias("b"), F.col("c.n").alias("bn"), F.col("c.cid").alias("bc"))
-        pairs = now.join(tops, "sig").where((F.col("cid") != F.col("bc")) & _alike("n", "bn", percent)).select(F.col("sid").alias("a"), "b").distinct()
-        new = verify(docs, classes, pairs, width, percent)
-        if new.isEmpty():
-            break
-        links = table(links.unionByName(new), "join-links")
-        found = components(links)
-    now = table(_labelled(rows, found), "join-open")
-    other = now.select("sig", F.col("sid").alias("b"), F.col("n").alias("bn"), F.col("cid").alias("bc"))
-    pairs = now.join(other, "sig").where((F.col("sid") < F.col("b")) & (F.col("cid") != F.col("bc")) & _alike("n", "bn", percent)).select(F.col("sid").alias("a"), "b")
+    rows = table(keys.join(maybe_broadcast(table(shared, "join-shared"), 1_000_000), "sig").select("sig", "sid", "n", "last", "m"), "join-rows")
+    # hot keys: each set goes to the hub with which it shares most of them; hubs are the sets of the most common keys
+    hot = table(rows.where(F.col("m") > star_above).select("sig", "sid", "n", "m"), "join-hot")
+    score = hot.groupBy("sid").agg((F.sum("m") / F.max("n")).alias("score"))
+    tops = hot.join(score, "sid").groupBy("sig").agg(F.max_by("sid", F.struct("score", "sid")).alias("hub"))
+    hubs = hot.join(tops, "sig").groupBy("sid", "hub").agg(F.count("*").alias("shared")).groupBy("sid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
+    hubs = table(hubs, "join-hubs")
+    links = table(links.unionByName(verify(docs, classes, hubs.where("sid <> hub").select(F.col("sid").alias("a"), F.col("hub").alias("b")), width, percent)), "join-links")
+    found = components(links)
+    known_hubs = _labelled(hubs.select(F.col("hub").alias("sid")).distinct(), found).select(F.col("sid").alias("hub"), F.col("cid").alias("hub_cid"))
+    groups = table(_labelled(hubs, found).join(known_hubs, "hub").select("hub", "sid", (F.col("cid") != F.col("hub_cid")).alias("asks")), "join-groups")
+    links = table(links.unionByName(dense_links(docs, classes, groups, width, percent)), "join-links")
+    found = components(links)
+    rows = rows.join(maybe_broadcast(hubs), "sid", "left")
+    now = table(_labelled(rows, found).drop("m"), "join-open")
+    other = now.select("sig", F.col("sid").alias("b"), F.col("n").alias("bn"), F.col("last").alias("blast"), F.col("cid").alias("bc"), F.col("hub").alias("bhub"))
+    apart = F.col("hub").isNull() | F.col("bhub").isNull() | (F.col("hub") != F.col("bhub"))  # sets of one hub have been compared
+    met = now.join(other, "sig").where((F.col("sid") < F.col("b")) & (F.col("cid") != F.col("bc")) & apart & _alike("n", "bn", percent))
+    pairs = met.groupBy(F.col("sid").alias("a"), "b", "n", "bn", "last", "blast").agg(F.count("*").alias("shared")).where(_enough(percent)).select("a", "b")
     links = table(links.unionByName(verify(docs, classes, pairs, width, percent)), "join-links")
     return sets, components(links)
 

@@ -52,7 +52,7 @@ def test_ngram_join_equals_brute_force(spark, above):
                 words[rng.randrange(len(words))] = rng.choice(WORDS)
     texts += [passage + " " + " ".join(rng.choices(WORDS, k=4)) for _ in range(25)]
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, n string").repartition(5)
-    got = {r.doc_id: r for r in ngram_join.near_duplicates(docs, frequent_above=above, star_above=2).collect()}
+    got = {r.doc_id: r for r in ngram_join.near_duplicates(docs, frequent_above=above, star_above=3).collect()}
     sets = {i: shingles(t) for i, t in enumerate(texts)}
     assert {i: r.n_shingles for i, r in got.items()} == {i: len(s) for i, s in sets.items()}
     assert {i: r.component_id for i, r in got.items()} == brute_components(sets)
