@@ -23,22 +23,39 @@ def genome_pairs(genomes: DataFrame) -> DataFrame:
     return a.join(b, F.col("a.ord") < F.col("b.ord")).select(F.col("a.genome").alias("genome1"), F.col("b.genome").alias("genome2"))
 
 
+def _dealt_pairs(rows: DataFrame, key: str, member: str, most: int) -> DataFrame:
+    """Rows `a` and `b` of one key and different members; keys of more than `most` members are paired in blocks."""
+    often = rows.groupBy(key).agg(F.ceil(F.countDistinct(member) / most).alias("blocks"), F.countDistinct(member).alias("n")).where("n > 1").drop("n")
+    kept = rows.join(often, key)
+    a = kept.withColumn("block", F.pmod(F.xxhash64(member), F.col("blocks"))).alias("a")
+    b = kept.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).alias("b")
+    return a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.block") == F.col("b.block"))).where(F.col(f"a.{member}") != F.col(f"b.{member}"))
+
+
 def kmer_hits(sequences: DataFrame, k: int = 16, most: int = 50, least_shared: int = 10) -> DataFrame:
     """Hits by shared k-mers: the diagonal on which a query and a subject share the most k-mers.
 
-    sequences (contig, seq). K-mers of more than `most` sequences are masked. Not equivalent to an alignment search.
+    sequences (contig, seq). No k-mer is left out: those of more than `most` different sequences are paired in blocks of
+    about `most`, and equal sequences are compared once for all their contigs. Not equivalent to an alignment search.
     Returns (q, s, diagonal, n_shared, q_start, q_end), positions from 1.
     """
+    texts = sequences.where(F.length("seq") >= k).groupBy("contig").agg(F.sort_array(F.collect_list("seq")).alias("seqs"))
+    alone = F.size("seqs") == 1  # a contig of several rows stands for itself
+    units = texts.withColumn("unit", F.when(alone, F.sha2(F.col("seqs")[0], 256)).otherwise(F.concat(F.lit("contig "), "contig")))
+    members = units.select("unit", "contig", F.when(alone, F.length(F.col("seqs")[0])).alias("size"))
+    pieces = units.groupBy("unit").agg(F.first("seqs").alias("seqs")).select("unit", F.explode("seqs").alias("seq"))
     places = F.sequence(F.lit(1), F.length("seq") - (k - 1))
-    kmers = sequences.where(F.length("seq") >= k).select("contig", F.posexplode(F.transform(places, lambda i: F.substring("seq", i, F.lit(k)))).alias("at", "kmer"))
-    rare = kmers.groupBy("kmer").agg(F.countDistinct("contig").alias("n")).where((F.col("n") > 1) & (F.col("n") <= most)).select("kmer")
-    kept = kmers.join(rare, "kmer")
-    a, b = kept.alias("a"), kept.alias("b")
-    shared = a.join(b, F.col("a.kmer") == F.col("b.kmer")).where("a.contig <> b.contig").groupBy(
-        F.col("a.contig").alias("q"), F.col("b.contig").alias("s"), (F.col("a.at") - F.col("b.at")).alias("diagonal")).agg(
+    kmers = pieces.select("unit", F.posexplode(F.transform(places, lambda i: F.substring("seq", i, F.lit(k)))).alias("at", "kmer"))
+    shared = _dealt_pairs(kmers, "kmer", "unit", most).groupBy(
+        F.col("a.unit").alias("u"), F.col("b.unit").alias("v"), (F.col("a.at") - F.col("b.at")).alias("diagonal")).agg(
         F.count("*").alias("n_shared"), (F.min("a.at") + 1).alias("q_start"), (F.max("a.at") + k).alias("q_end"))
     best = F.max_by(F.struct("diagonal", "n_shared", "q_start", "q_end"), F.struct("n_shared", -F.col("diagonal")))
-    return shared.where(F.col("n_shared") >= least_shared).groupBy("q", "s").agg(best.alias("b")).select("q", "s", "b.*")
+    hits = shared.where(F.col("n_shared") >= least_shared).groupBy("u", "v").agg(best.alias("b")).select("u", "v", "b.*")
+    q, s = members.select(F.col("unit").alias("u"), F.col("contig").alias("q")), members.select(F.col("unit").alias("v"), F.col("contig").alias("s"))
+    others = hits.join(q, "u").join(s, "v").select("q", "s", "diagonal", "n_shared", "q_start", "q_end")
+    copies = _dealt_pairs(members.where(F.col("size") >= k - 1 + least_shared), "unit", "contig", most).select(
+        F.col("a.contig").alias("q"), F.col("b.contig").alias("s"), F.lit(0).alias("diagonal"), (F.col("a.size") - (k - 1)).cast("long").alias("n_shared"), F.lit(1).alias("q_start"), F.col("a.size").alias("q_end"))
+    return others.unionByName(copies)
 
 
 def filter_hits(hits: DataFrame, identity: float = 60) -> DataFrame:

@@ -1,5 +1,7 @@
 """Golden cases and properties of the reference operators."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +125,30 @@ def test_fasta_and_gff_files(spark, tmp_path):
 def test_glimmer_versions(spark, tmp_path):
     path = write(tmp_path, "a.txt", ">k1\norf00001 1 90 +1 5.0\norf00002 300 200 -2 5.0\n>k2\norf00001 7 96 +1 5.0\n")
     assert {(r.contig, r.strand, r.left_end, r.right_end) for r in RC.glimmer(spark, path).collect()} == {("k1", "+", 1, 90), ("k1", "-", 200, 300), ("k2", "+", 7, 96)}
+
+
+def test_kmer_hits_of_more_sequences_than_a_block(spark):
+    """57 copies, 4 near copies and a passage in 60 others: no k-mer is too frequent to count."""
+    rng = random.Random(5)
+    draw = lambda n: "".join(rng.choices("acgt", k=n))
+    one, passage = draw(60), draw(30)
+    seqs = [one] * 57 + [one[:30] + c + one[31:] for c in "acgt" if c != one[30]] + [one[5:]] + [draw(20) + passage + draw(7) for _ in range(60)] + ["ac" * 20, "ac" * 15, "acg", ""]
+    rows = {f"c{i}": s for i, s in enumerate(seqs)}
+    want = {}
+    places = {c: [(s[i : i + 16], i) for i in range(len(s) - 15)] for c, s in rows.items()}
+    by_kmer = {}
+    for c, found in places.items():
+        for w, i in found:
+            by_kmer.setdefault(w, []).append((c, i))
+    count = {}
+    for found in by_kmer.values():
+        for c, i in found:
+            for d, j in found:
+                if c != d:
+                    count.setdefault((c, d), {}).setdefault(i - j, []).append(i)
+    for pair, diagonals in count.items():
+        n, d = max((len(at), -d) for d, at in diagonals.items())
+        if n >= 10:
+            want[pair] = (-d, n, min(diagonals[-d]) + 1, max(diagonals[-d]) + 16)
+    got = H.kmer_hits(spark.createDataFrame(list(rows.items()), "contig string, seq string").repartition(3)).collect()
+    assert {(r.q, r.s): (r.diagonal, r.n_shared, r.q_start, r.q_end) for r in got} == want and len(got) == len(want) > 57 * 56 + 60 * 59
