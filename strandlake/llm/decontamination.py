@@ -2,8 +2,8 @@
 
 Texts become token hashes. A mask is laid over every stretch of tokens; the hash of the positions that it keeps is a
 seed. Test and training seeds are joined, so a copy is found although some tokens at ignored positions were replaced.
-Around each hit the aligned tokens are compared one by one; what agrees well enough over a long enough stretch is an
-overlap.
+Through each hit the two texts are aligned whole and compared token by token; the longest stretch that agrees well enough
+is an overlap if it is long enough.
 """
 
 from __future__ import annotations
@@ -37,12 +37,39 @@ def _seeds(rows: DataFrame, masks: tuple[str, ...], keep: list[str]) -> DataFram
     return hashed.select(*keep, "at", F.explode("seeds").alias("seed"))
 
 
+def _longest(equal: Column, share: float) -> Column:
+    """(start, size) of the longest stretch of the flags `equal` with at least `share` of them true; the first of several.
+
+    With prefix sums that rise by 1 - share or fall by share, a stretch is good if its end isn't below its start. Two
+    pointers walk over the least sum up to a start and the greatest from an end on. In millionths, as whole numbers.
+    """
+    whole, cost = F.lit(10**6).cast("long"), F.lit(round(share * 10**6)).cast("long")
+
+    def scan(steps: Column, combine) -> Column:
+        first = F.array(F.element_at(steps, 1))
+        return F.aggregate(F.slice(steps, 2, F.size(steps) - 1), first, lambda done, x: F.concat(done, F.array(combine(F.element_at(done, -1), x))))
+
+    sums = scan(F.concat(F.array(F.lit(0).cast("long")), F.transform(equal, lambda e: F.when(e, whole).otherwise(F.lit(0).cast("long")) - cost)), lambda a, b: a + b)
+    low, high = scan(sums, F.least), F.reverse(scan(F.reverse(sums), F.greatest))
+    state = F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("start"), F.lit(0).alias("size"))
+
+    def step(low: Column, high: Column, at: Column) -> Column:
+        ends = (at["i"] >= F.size(low)) | (at["j"] >= F.size(low))
+        good = ~ends & (F.get(low, at["i"]) <= F.get(high, at["j"]))
+        more = good & (at["j"] - at["i"] > at["size"])
+        return F.struct(F.when(ends | good, at["i"]).otherwise(at["i"] + 1).alias("i"), F.when(good, at["j"] + 1).otherwise(at["j"]).alias("j"),
+                        F.when(more, at["i"]).otherwise(at["start"]).alias("start"), F.when(more, at["j"] - at["i"]).otherwise(at["size"]).alias("size"))
+
+    bounds = F.transform(F.array(F.struct(low.alias("low"), high.alias("high"))), lambda b: F.aggregate(F.sequence(F.lit(1), 2 * F.size(b["low"])), state, lambda at, _: step(b["low"], b["high"], at)))
+    return F.struct(bounds[0]["start"].alias("start"), bounds[0]["size"].alias("size"))
+
+
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", least_tokens: int = 13, least_equal: float = 0.8, margin: int = 8) -> DataFrame:
+                  item_text: str = "text", least_tokens: int = 13, least_equal: float = 0.8) -> DataFrame:
     """(doc_id, item_id, doc_token, item_token, n_aligned, n_equal): the best overlap of each document and item.
 
-    A hit is widened by `margin` tokens to both sides, as far as both texts go; it is an overlap if the stretch has
-    `least_tokens` tokens (or the whole item, if that is shorter) and the share `least_equal` of them agree. Items
+    Each hit aligns a document and an item as far as both go; the longest stretch of the alignment of which the share
+    `least_equal` agrees is an overlap if it has `least_tokens` tokens (or the whole item, if that is shorter). Items
     shorter than the masks are sought as a whole, without substitution. Null and empty texts overlap with nothing; rows
     that repeat a doc_id are taken for one document's parts; equally good overlaps: the first in the document, then in
     the item. Empty tables give an empty table; other columns don't matter.
@@ -56,17 +83,21 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...]
     for group, of in [(masks, items), *[((("1" * n),), items.where(F.size("h") == n)) for n in sorted(short)]]:
         wanted = _seeds(of, group, ["key"]).select("seed", "key", F.col("at").alias("item_at")).distinct()
         hits = _seeds(rows, group, ["doc_id"]).join(maybe_broadcast(table(wanted, "decon-seeds")), "seed")
-        hits = hits.select("doc_id", "key", "at", "item_at")
+        hits = hits.select("doc_id", "key", (F.col("at") - F.col("item_at")).alias("shift"))
         found = hits if found is None else found.unionByName(hits)
     hits = table(found.distinct(), "decon-hits")
     with_hits = rows.join(maybe_broadcast(hits.select("doc_id").distinct()), "doc_id", "left_semi")
     sides = hits.join(with_hits, "doc_id").join(maybe_broadcast(items.select("key", "items", F.col("h").alias("item_h"))), "key")
-    before = F.least(F.lit(margin), F.col("at"), F.col("item_at"))
-    after = F.least(F.lit(span + margin), F.size("h") - F.col("at"), F.size("item_h") - F.col("item_at"))
-    placed = sides.select("doc_id", "items", (F.col("at") - before).alias("doc_token"), (F.col("item_at") - before).alias("item_token"), (before + after).alias("n_aligned"),
-                          F.size("item_h").alias("n_item"), F.slice("h", F.col("at") - before + 1, before + after).alias("x"), F.slice("item_h", F.col("item_at") - before + 1, before + after).alias("y"))
-    equal = F.size(F.filter(F.zip_with("x", "y", lambda a, b: a == b), lambda same: same)).cast("int")
-    good = placed.withColumn("n_equal", equal).where((F.col("n_aligned") >= F.least(F.lit(least_tokens), F.col("n_item"))) & (F.col("n_equal") >= least_equal * F.col("n_aligned")))
+    sides = sides.withColumn("doc_from", F.greatest(F.col("shift"), F.lit(0))).withColumn("item_from", F.greatest(-F.col("shift"), F.lit(0)))
+    both = F.least(F.size("h") - F.col("doc_from"), F.size("item_h") - F.col("item_from"))
+    equal = F.zip_with(F.slice("h", F.col("doc_from") + 1, both), F.slice("item_h", F.col("item_from") + 1, both), lambda a, b: a == b)
+    needed = F.least(F.lit(least_tokens), F.size("item_h"))
+    # A repeated doc_id can make a shift that another part of the document doesn't reach.
+    aligned = sides.where(both >= needed).select("doc_id", "items", "doc_from", "item_from", needed.alias("needed"), equal.alias("equal"))
+    likely = table(aligned.where(F.size(F.filter("equal", lambda e: e)) >= least_equal * F.col("needed")), "decon-likely")
+    placed = likely.withColumn("best", _longest(F.col("equal"), least_equal)).where(F.col("best.size") >= F.col("needed"))
+    good = placed.select("items", "doc_id", (F.col("doc_from") + F.col("best.start")).alias("doc_token"), (F.col("item_from") + F.col("best.start")).alias("item_token"), F.col("best.size").alias("n_aligned"),
+                         F.size(F.filter(F.slice("equal", F.col("best.start") + 1, F.col("best.size")), lambda e: e)).alias("n_equal"))
     order = F.struct("n_equal", -F.col("doc_token"), -F.col("item_token"))
     best = good.withColumn("item_id", F.explode("items")).groupBy("doc_id", "item_id").agg(F.max_by(F.struct("doc_token", "item_token", "n_aligned", "n_equal"), order).alias("best"))
     return best.select("doc_id", "item_id", "best.*")

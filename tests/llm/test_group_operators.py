@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strandlake.llm import decontamination, mixing, ngram_join, vectors, warc
@@ -166,6 +167,41 @@ def test_decontamination_tolerates_substitutions(spark):
     assert decontamination.decontaminate(docs, items.limit(0)).count() == len(texts) + 1
 
 
+def test_decontamination_finds_passages_of_items(spark):
+    """Verbatim passages of 13 to 22 tokens from the start, the inside and the end of an item, in other text."""
+    rng = random.Random(6)
+    item = [f"i{k}" for k in range(60)]
+    other = lambda n: [f"o{rng.randrange(10**6)}" for _ in range(n)]
+    texts, want = [], {}
+    for n in range(13, 23):
+        for start in (0, 19, 60 - n):
+            before = rng.randint(0, 40)
+            want[len(texts)] = (before, start, n)
+            texts.append(" ".join(other(before) + item[start : start + n] + other(30)))
+    texts.append(" ".join(other(20) + item[20:30] + other(20)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in decontamination.find_overlaps(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()}
+    assert set(got) == set(want)
+    for i, (at, start, n) in want.items():
+        r = got[i]
+        assert r.n_equal == n and r.doc_token - r.item_token == at - start and r.n_equal >= 0.8 * r.n_aligned
+        assert r.doc_token <= at and at + n <= r.doc_token + r.n_aligned
+
+
+@pytest.mark.parametrize("share", [0.8, 0.6])
+def test_longest_stretch_equals_brute_force(spark, share):
+    rng = random.Random(7)
+    flags = [[rng.random() < p for _ in range(rng.randint(1, 40))] for p in (0.2, 0.7, 0.85, 1) for _ in range(25)]
+
+    def brute(e):
+        n = len(e)
+        size, start = max(((j - i, -i) for i in range(n) for j in range(i, n + 1) if 10 * sum(e[i:j]) >= round(10 * share) * (j - i)))
+        return (-start, size) if size else (0, 0)
+
+    rows = spark.createDataFrame([(i, e) for i, e in enumerate(flags)], "i int, e array<boolean>").select("i", decontamination._longest(F.col("e"), share).alias("b")).collect()
+    assert {r.i: tuple(r.b) for r in rows} == {i: brute(e) for i, e in enumerate(flags)}
+
+
 def test_pipeline_stage_by_stage(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
