@@ -202,6 +202,38 @@ def test_longest_stretch_equals_brute_force(spark, share):
     assert {r.i: tuple(r.b) for r in rows} == {i: brute(e) for i, e in enumerate(flags)}
 
 
+def test_masks_hit_every_stretch():
+    """The fewest replaced tokens that hide a stretch from all masks are more than a fifth of it."""
+    masks = [(len(m), int(m, 2)) for m in decontamination.MASKS]
+    keep = (1 << max(n for n, _ in masks)) - 1
+    fewest = {0: 0}  # by the last tokens, 1 for an equal one
+    for n in range(1, 161):
+        longer = {}
+        for last, replaced in fewest.items():
+            for same in (0, 1):
+                now = (last << 1 | same) & keep
+                if not any(n >= size and now & mask == mask for size, mask in masks):
+                    longer[now] = min(longer.get(now, n), replaced + 1 - same)
+        fewest = longer
+        assert n < 12 or 5 * min(fewest.values()) > n, n
+
+
+def test_decontamination_finds_substituted_passages(spark):
+    rng = random.Random(8)
+    items = {i: [f"i{i}k{k}" for k in range(rng.choice([13, 16, 20, 30, 60]))] for i in range(120)}
+    texts = {}
+    for i, words in items.items():
+        changed = list(words)
+        at = range(i % 6, len(words), 6) if i < 40 else rng.sample(range(len(words)), len(words) // 5)
+        for k in at:
+            changed[k] = f"x{rng.randrange(10**6)}"
+        texts[i] = " ".join([f"o{rng.randrange(10**6)}" for _ in range(30)] + changed + [f"o{rng.randrange(10**6)}" for _ in range(30)])
+    docs, bench = (spark.createDataFrame([(i, t) for i, t in rows.items()], f"{key} long, text string") for key, rows in (("doc_id", texts), ("item_id", {i: " ".join(w) for i, w in items.items()})))
+    got = {(r.doc_id, r.item_id) for r in decontamination.find_overlaps(docs, bench).collect()}
+    share = {i: sum(w in texts[i].split() for w in words) / len(words) for i, words in items.items()}
+    assert all(d == i for d, i in got) and {i for i in items if share[i] >= 0.8} <= {i for i, _ in got}
+
+
 def test_pipeline_stage_by_stage(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
