@@ -2,7 +2,8 @@
 
 A byte-pair vocabulary spends few tokens on language and many on random strings. A run of key characters whose
 characters-per-token ratio under a public vocabulary is low is a secret, unless it is a known kind of digest or
-identifier.
+identifier. The ratio is taken of the whole run and of its pieces between = and /, so that a name or path beside a key
+doesn't hide it.
 """
 
 from __future__ import annotations
@@ -26,11 +27,12 @@ KEYWORDS = ("password", "passwd", "secret", "token", "api")
 
 #: Runs that may be random keys: letters of both cases, digits and the base64 signs.
 RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
-#: Digests and identifiers that are no secrets: MD5, SHA-1, SHA-2 in hex; UUIDs; numbers; words joined by dashes.
+PIECE = re.compile(r"[^=/]{20,}")
+#: Digests and identifiers that are no secrets: MD5, SHA-1, SHA-2 in hex; UUIDs; numbers. Letters are left to the ratio.
 KNOWN = re.compile(
     r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}"
     r"|[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
-    r"|[0-9+/_=-]+|[A-Za-z]?[a-z]*(?:[-_/=+]+[A-Za-z]?[a-z]*)*|[A-Z]+(?:[-_/=+]+[A-Z]*)*)")
+    r"|[0-9+/_=-]+)")
 
 _vocabularies: dict = {}
 
@@ -63,6 +65,10 @@ def spans(text: str, encode, most_chars_per_token: float) -> list[tuple[int, int
             continue
         if len(run) <= most_chars_per_token * len(encode(run)):
             found.append((start, end, 3))
+            continue
+        for p in PIECE.finditer(run):
+            if p[0] != run and not KNOWN.fullmatch(p[0]) and len(p[0]) <= most_chars_per_token * len(encode(p[0])):
+                found.append((start + p.start(), start + p.end(), 3))
     return sorted(found, key=lambda x: (x[0], x[2]))
 
 

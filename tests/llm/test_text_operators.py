@@ -87,6 +87,20 @@ def test_secrets(spark):
     assert secrets.find_secrets(docs.limit(0)).count() == 0
 
 
+def test_random_keys_behind_names_and_of_letters():
+    import random
+    import string
+
+    rng, encode = random.Random(3), secrets.vocabulary(tokenizer_file("byte_bpe_50k.tiktoken")).encode_ordinary
+    for alphabet, n in ((string.ascii_lowercase + string.digits, 20), (string.ascii_lowercase + string.digits, 24), (string.ascii_uppercase + "234567", 20), (string.ascii_letters + string.digits, 20), (string.ascii_lowercase, 32)):
+        for before in ("", "authorization=", "com/services/webhook/"):
+            keys = ["".join(rng.choices(alphabet, k=n)) for _ in range(200)]
+            found = sum(any(a <= len(before) and b == len(before) + n for a, b, _ in secrets.spans(before + k, encode, 2.0)) for k in keys)
+            assert found >= 190, (alphabet, n, before, found)
+    for plain in ("internationalization-of-everything", "src/main/resources/configuration/application", "HTTP_CONNECTION_TIMEOUT_SECONDS", "getElementsByClassNameAndAttribute"):
+        assert secrets.spans(plain, encode, 2.0) == [], plain
+
+
 def test_base_spans_equal_a_plain_scan(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     patterns = [re.compile(r"""(?a:(?i:(password|passwd|secret|token|api_?key)))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]+")]
