@@ -2,31 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: A word is a maximal run of anything but the space and the ASCII controls TAB to CR.
-WORD = r"[^\x20\x09-\x0D]+"
-
-#: The most rows a broadcast side may hold; larger sides are joined by shuffle.
-BROADCAST_ROWS = 2_000_000
+from strandlake.session import drop, fresh, scratch
 
+__all__ = ["BROADCAST_BYTES", "WORD", "drop", "fresh", "maybe_broadcast", "put", "scratch", "spare", "table", "tokenizer_file"]
 
-def scratch(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); a folder of our own only where none is set."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="strandlake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
+#: A word is a maximal run of anything but the space and the ASCII controls TAB to CR.
+WORD = r"[^\x20\x09-\x0D]+"
 
-def fresh(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing uses yet."""
-    return f"{scratch(spark)}/{label}-{uuid.uuid4().hex}"
+#: The most bytes a broadcast side may hold; larger sides are joined by shuffle.
+BROADCAST_BYTES = 64_000_000
 
 
 def table(df: DataFrame, label: str) -> DataFrame:
@@ -37,9 +27,28 @@ def table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def maybe_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` marked for broadcast if a count proves that it has at most `most` rows, else as it is."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def _bytes(c: Column, kind: T.DataType) -> Column:
+    """About how many bytes the value takes."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, T.StringType | T.BinaryType):
+            return F.coalesce(F.aggregate(c, F.lit(0), lambda n, x: n + F.coalesce(F.octet_length(x), F.lit(0)) + 16), F.lit(0)) + 16
+        width = 8 * (1 + len(kind.elementType.fields)) if isinstance(kind.elementType, T.StructType) else 8
+        return F.greatest(F.size(c), F.lit(0)) * width + 16
+    if isinstance(kind, T.StructType):
+        return sum((_bytes(c[f.name], f.dataType) for f in kind.fields), F.lit(16))
+    return F.lit(8)
+
+
+def maybe_broadcast(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """`df` marked for broadcast if its rows are measured to take at most `most` bytes, else as it is.
+
+    Measuring reads `df` once more: give it a written table unless that is cheap.
+    """
+    width = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16)).cast("long")
+    size = df.select(width.alias("width")).agg(F.coalesce(F.sum("width"), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= most else df
 
 
 def put(df: DataFrame, **columns: Column) -> DataFrame:
@@ -49,6 +58,14 @@ def put(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, *[c.alias(name) for name, c in columns.items()])
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """`name`, or a longer one if `df` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def tokenizer_file(name: str) -> str:
     """Where the public tokenizer `name` lies on this machine."""
     import public_tokenizers
