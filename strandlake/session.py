@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -23,10 +23,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); a folder of our own only where none is set."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder of the cluster, spark.checkpoint.dir. Where none is set, a folder of our own if all runs on this
+    machine; on a cluster an error, since executors don't see each other's disks."""
+    conf = spark.sparkContext.getConf()
+    folder = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="strandlake-")
+        master = conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
@@ -34,3 +39,14 @@ def scratch(spark: SparkSession) -> str:
 def fresh(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing uses yet."""
     return f"{scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop(*frames: DataFrame) -> None:
+    """Delete the tables in the shared folder that the frames read."""
+    for frame in frames:
+        spark = frame.sparkSession
+        base, jvm = scratch(spark).split(":")[-1].lstrip("/"), spark._jvm
+        for path in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            if path.split(":")[-1].lstrip("/").startswith(base):
+                where = jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
