@@ -44,22 +44,24 @@ def pack_blocks(ids: np.ndarray, percentile: float = 0.9) -> list[bytes]:
     grid = grid.reshape(n, BLOCK)
     least = grid.min(axis=1)
     over = grid - least[:, None]
-    lengths = np.frexp(over.astype(np.float64))[1]
-    widths = np.sort(lengths, axis=1)[:, min(BLOCK - 1, int(percentile * BLOCK))]
+    lengths = np.frexp(over.astype(np.float64))[1].astype(np.uint8)
+    place = min(BLOCK - 1, int(percentile * BLOCK))
+    widths = np.partition(lengths, place, axis=1)[:, place]
     outliers = lengths > widths[:, None]
     packed: list[bytes] = [b""] * n
     for width in np.unique(widths):
         rows = np.flatnonzero(widths == width)
         if width:
-            bits = (over[rows, :, None] >> np.arange(width) & 1).astype(np.uint8).reshape(len(rows), -1)
+            whole = np.ascontiguousarray(over[rows].astype("<u4")).view(np.uint8).reshape(len(rows), BLOCK, 4)
+            bits = np.unpackbits(whole, axis=2, count=int(width), bitorder="little").reshape(len(rows), -1)
             for row, line in zip(rows, np.packbits(bits, axis=1, bitorder="little"), strict=True):
                 packed[row] = line.tobytes()
-    out = []
-    for i in range(n):
-        at = np.flatnonzero(outliers[i])
-        high = (over[i, at] >> int(widths[i])).astype("<u4")
-        out.append(BLOCK_HEAD.pack(int(least[i]), int(widths[i]), len(at)) + packed[i] + at.astype(np.uint8).tobytes() + high.tobytes())
-    return out
+    row, at = np.nonzero(outliers)
+    high = (over[row, at] >> widths[row]).astype("<u4")
+    cuts = np.searchsorted(row, np.arange(n + 1)).tolist()
+    at = at.astype(np.uint8)
+    return [BLOCK_HEAD.pack(m, w, b - a) + line + at[a:b].tobytes() + high[a:b].tobytes()
+            for m, w, line, a, b in zip(least.tolist(), widths.tolist(), packed, cuts[:-1], cuts[1:], strict=True)]
 
 
 def unpack_blocks(data: memoryview, starts: np.ndarray, n_ids: int) -> np.ndarray:
@@ -73,11 +75,9 @@ def unpack_blocks(data: memoryview, starts: np.ndarray, n_ids: int) -> np.ndarra
         rows = np.flatnonzero(widths == width)
         if width:
             where = starts[rows][:, None] + BLOCK_HEAD.size + np.arange(BLOCK * width // 8)
-            bits = np.unpackbits(raw[where], axis=1, bitorder="little").reshape(len(rows), BLOCK, width)
-            value = np.zeros((len(rows), BLOCK), dtype=np.int64)
-            for b in range(width):
-                value |= bits[:, :, b].astype(np.int64) << b
-            out[rows] = value
+            bits = np.zeros((len(rows), BLOCK, 32), dtype=np.uint8)
+            bits[:, :, :width] = np.unpackbits(raw[where], axis=1, bitorder="little").reshape(len(rows), BLOCK, width)
+            out[rows] = np.packbits(bits, axis=2, bitorder="little").view("<u4")[:, :, 0]
     for i, (least, width, odd) in enumerate(heads):
         if odd:
             at = int(starts[i]) + BLOCK_HEAD.size + BLOCK * width // 8
@@ -138,7 +138,7 @@ class WordIds(dict):
         super().__init__()
         self.old: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.most, self.model = most, Tokenizer.from_file(path)
         self.model.no_truncation()
@@ -149,6 +149,12 @@ class WordIds(dict):
         self.ends[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
         text = self.model.to_str()
         self.by_word = '"</w>"' in text and '"Lowercase"' in text
+        # for words of lower-case Latin-1 letters only, which its normalizer and its pattern leave as they are
+        self.plain = Tokenizer.from_file(path)
+        self.plain.no_truncation()
+        self.plain.no_padding()
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
 
     def whole(self, text: str) -> bytes:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -176,7 +182,7 @@ class WordIds(dict):
         plain = [w for w in plain.difference(self).difference(self.old) if w.isalpha() and latin(w)]
         for i in range(0, len(plain), 2_000):
             part = plain[i : i + 2_000]
-            ids = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            ids = np.array(self.plain.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part):
                 raw, size = ids.tobytes(), self.kind.itemsize
