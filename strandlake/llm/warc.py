@@ -17,6 +17,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,13 +42,11 @@ def base32(hexed: Column) -> Column:
 def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 0) -> DataFrame:
     """One column `value`: each page's WARC record without its final line feed."""
     payload = F.coalesce(F.col(html), F.lit(""))
-    ids = pages.select(F.col(page_id).alias("page_id"), F.sha1(payload.cast("binary")).alias("digest"), F.octet_length(payload).alias("size"))
-    ids = table(ids, "warc-digests")
-    firsts = ids.where(F.col("size") >= least).groupBy("digest", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = ids.join(maybe_broadcast(firsts), ["digest", "size"]).where("page_id > first").select(F.col("page_id").alias("later"), F.col("first").cast("long")).distinct()
     rows = pages.select(F.col(page_id).alias("page_id"), F.regexp_replace(F.coalesce(F.col(url), F.lit("about:blank")), r"[\x00-\x20\x7F]", "_").alias("url"), payload.alias("payload"), F.sha1(payload.cast("binary")).alias("hexed"))
-    rows = rows.join(maybe_broadcast(table(later, "warc-revisits")), F.col("page_id") == F.col("later"), "left")
-    size, revisit = F.octet_length("payload"), F.col("first").isNotNull()
+    ids = rows.select("page_id", F.unhex("hexed").alias("digest"), F.octet_length("payload").alias("bytes"))
+    firsts = ids.where(F.col("bytes") >= least).groupBy("digest", "bytes").agg(F.min("page_id").cast("long").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    rows = rows.withColumn("digest", F.unhex("hexed")).withColumn("bytes", F.octet_length("payload")).join(maybe_broadcast(table(firsts, "warc-firsts")), ["digest", "bytes"], "left")
+    size, revisit = F.octet_length("payload"), F.coalesce(F.col("page_id") > F.col("first"), F.lit(False))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), size, F.lit(CRLF * 2))
     block = F.concat(http, F.when(revisit, F.lit("")).otherwise(F.col("payload")))
     uri = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
@@ -62,13 +61,29 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     return rows.select(F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF * 2), block, F.lit("\r\n\r")).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 0, per_file: int = 4_000) -> str:
-    """Write `pages` as WARC files of at most `per_file` records to the folder `path`; returns it.
+def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 0, file_bytes: int = 1 << 25) -> str:
+    """Write `pages` as WARC files of about `file_bytes` bytes, or a larger record, to the folder `path`; returns it.
 
     Null html is an empty payload, null url `about:blank`; control characters of a url become `_`; payloads of fewer
-    than `least` bytes never become revisits. Repeated rows make repeated records. Other columns aren't archived.
+    than `least` bytes never become revisits. Repeated rows make repeated records; rows of one id and unlike html are
+    records of their own. Other columns aren't archived.
     """
-    records(pages, page_id, url, html, least).write.option("lineSep", "\n").option("maxRecordsPerFile", per_file).text(path)
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        size = 0
+        for batch in batches:
+            for value in batch.column("value"):
+                held.append(value.as_buffer())
+                size += len(held[-1])
+                if size >= file_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"\n".join(held)], pa.binary())], ["value"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([b"\n".join(held)], pa.binary())], ["value"])
+
+    made = records(pages, page_id, url, html, least).mapInArrow(files, "value binary").select(F.col("value").cast("string").alias("value"))
+    made.write.option("lineSep", "\n").option("maxRecordsPerFile", 1).text(path)
     return path
 
 
@@ -100,8 +115,8 @@ def read_archives(spark, path: str) -> DataFrame:
     """The records of all WARC files in `path`: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
     Candidates are joined to their successors; each round doubles how far a pointer jumps, so a file of n records takes
-    log2(n) rounds of a join on (file, offset). A file that is cut off keeps the records before the cut; empty files
-    and folders without files have none.
+    log2(n) rounds of a join on (file, offset). A file that is cut off, or holds a record without a sound header and
+    length, keeps the records before that place; empty files and folders without files have none.
     """
     schema = "file string, at long, next long, page_id long, record_type string, refers_to long, payload_bytes long, payload_digest string"
 
