@@ -1,22 +1,23 @@
 """Quality classifier by co-training of two views.
 
 One view reads the text's content, the other the page's metadata. Each is a logistic regression on a bounded sample of
-labelled documents. In each round each view labels those documents of a bounded unlabelled sample of which it is
-sure, and the other view learns from them. At the end each view is calibrated on held-out labels, the calibrated
+labelled documents. In each round each view scores all unlabelled documents in tasks, the surest of all of them get its
+label, and the other view learns from them. At the end each view is calibrated on held-out labels, the calibrated
 scores are combined, and the combination scores every document.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import put, table
+from .common import drop, maybe_broadcast, put, spare, table
 from .shingles import portions, words_of
 
 _CLASSES = (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" ", b"\n", b".", b",", b"!", b"?", b"|", b"#", b"$", b"%", b"&", b"*", b"@", b"'\"", b"()[]{}", b"<>/\\", b":;", b"-_=+~^`", bytes(range(128, 256)))
@@ -97,10 +98,14 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
+#: Models of the views -> for each view the documents of which it is surest, in both views, and the labels it gives them.
+Surest = Callable[[list[Logistic]], list[tuple[list[np.ndarray], np.ndarray]]]
+
+
 class CoTrained:
     """Two views, calibrated and combined; `cut` keeps nearly all held-out good documents."""
 
-    def __init__(self, views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int, sure: float, add: int, keep_good: float):
+    def __init__(self, views: list[np.ndarray], y: np.ndarray, surest: Surest, rounds: int, keep_good: float):
         held = np.arange(len(y)) % 4 == 3
         held_y = y[held]
         if len(set(held_y)) < 2 or len(set(y[~held])) < 2:
@@ -109,18 +114,13 @@ class CoTrained:
         else:
             learn = ~held
         own = [(v[learn], y[learn], np.ones(learn.sum())) for v in views]
-        for _ in range(rounds + 1):
+        for left in range(rounds, -1, -1):
             self.models = [Logistic(*data) for data in own]
-            told = []
-            for model, x in zip(self.models, pool, strict=True):
-                p = sigmoid(model.logit(x)) if len(x) else np.zeros(0)
-                good, bad = np.flatnonzero(p >= sure), np.flatnonzero(p <= 1 - sure)
-                good, bad = good[np.argsort(-p[good], kind="stable")][:add], bad[np.argsort(p[bad], kind="stable")][:add]
-                told.append((np.concatenate([good, bad]), np.concatenate([np.ones(len(good)), np.zeros(len(bad))])))
+            told = surest(self.models) if left else []
             own = []
-            for i, v in enumerate(views):
-                at, label = told[1 - i]
-                own.append((np.vstack([v[learn], pool[i][at]]), np.concatenate([y[learn], label]), np.concatenate([np.ones(learn.sum()), np.full(len(at), 0.5)])))
+            for i, v in enumerate(views if told else ()):
+                more, label = told[1 - i]
+                own.append((np.vstack([v[learn], more[i]]), np.concatenate([y[learn], label]), np.concatenate([np.ones(learn.sum()), np.full(len(label), 0.5)])))
         self.calibrations = [Logistic(m.logit(v[held])[:, None], held_y, ridge=1e-2) for m, v in zip(self.models, views, strict=True)]
         self.blend = Logistic(self._calibrated([v[held] for v in views]), held_y, ridge=1.0)
         good = np.sort(self.score([v[held] for v in views])[held_y == 1])
@@ -153,8 +153,9 @@ def _views(frame: pd.DataFrame) -> Iterator[tuple[slice, list[np.ndarray]]]:
         yield where, [text_features(texts), page_features(part["source"], part["lang"], part["n_chars"])]
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_labelled: int = 4_000, most_unlabelled: int = 4_000, rounds: int = 3, sure: float = 0.95, add: int = 200, keep_good: float = 0.995) -> CoTrained | None:
-    """Fit on at most `most_labelled` labelled and `most_unlabelled` other documents, those of the least id hashes.
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_labelled: int = 4_000, rounds: int = 3, sure: float = 0.95, add: int = 200, keep_good: float = 0.995) -> CoTrained | None:
+    """Fit on at most `most_labelled` labelled documents, those of the least id hashes, and on all unlabelled ones: each
+    round takes the `add` surest of all of them for each view and class.
 
     A document labelled more than once counts with its lowest label; null labels count as none. None if either class
     is missing.
@@ -163,8 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_labelle
     order = F.xxhash64("doc_id")
     ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
     some = known.join(ids, "doc_id", "left_semi").orderBy(order, "doc_id").limit(most_labelled)
-    rest = ids.join(known, "doc_id", "left_anti").orderBy(order, "doc_id").limit(most_unlabelled).select("doc_id", F.lit(None).cast("double").alias("y"))
-    chosen = F.broadcast(table(some.unionByName(rest), "quality-sample"))  # at most most_labelled + most_unlabelled rows
+    chosen = F.broadcast(table(some, "quality-sample"))  # at most most_labelled rows
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -173,12 +173,54 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_labelle
 
     sample = _rows(docs.join(chosen, "doc_id"), "doc_id", "y").mapInPandas(emit, "doc_id long, y double, a array<double>, b array<double>").toPandas()
     sample = sample.sort_values("doc_id", key=lambda s: [zlib.crc32(str(i).encode()) for i in s], kind="stable").drop_duplicates("doc_id")
-    marked = sample["y"].notna().to_numpy()
-    y = (sample["y"].to_numpy()[marked] > 0.5).astype(float)
+    y = (sample["y"].to_numpy() > 0.5).astype(float)
     if len(set(y)) < 2:
         return None
     views = [np.stack(sample[v].to_list()) for v in ("a", "b")]
-    return CoTrained([v[marked] for v in views], y, [v[~marked] for v in views], rounds, sure, add, keep_good)
+    pool, surest = _pool(docs, known, sure, add)
+    model = CoTrained(views, y, surest, rounds, keep_good)
+    drop(pool)
+    return model
+
+
+def _pool(docs: DataFrame, known: DataFrame, sure: float, add: int) -> tuple[DataFrame, Surest]:
+    """A table of the text features of all unlabelled documents, four bytes each, and the search of the surest in it."""
+    spark = docs.sparkSession
+
+    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at, texts in portions(batch["text"]):
+                rows = batch.iloc[at : at + len(texts)].drop(columns="text")
+                yield rows.assign(a=[x.tobytes() for x in text_features(texts).astype("<f4")])
+
+    open_ = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").join(maybe_broadcast(known.select("doc_id")), "doc_id", "left_anti")
+    pool = table(_rows(open_, "doc_id").mapInPandas(features, "doc_id long, source string, lang string, n_chars double, a binary"), "quality-pool")
+    schema = "view int, label int, p double, doc_id long, source string, lang string, n_chars double, a binary"
+    first = F.row_number().over(W.partitionBy("view", "label").orderBy(F.desc("p"), "doc_id", "a"))
+
+    def views_of(rows: pd.DataFrame) -> list[np.ndarray]:
+        text = np.frombuffer(b"".join(rows["a"]), "<f4").astype(float).reshape(len(rows), -1)
+        return [text, page_features(rows["source"], rows["lang"], rows["n_chars"])]
+
+    def surest(models: list[Logistic]) -> list[tuple[list[np.ndarray], np.ndarray]]:
+        shared = spark.sparkContext.broadcast(models)
+
+        def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for i, (model, x) in enumerate(zip(shared.value, views_of(batch), strict=True) if len(batch) else ()):
+                    good = sigmoid(model.logit(x))
+                    for label, p in ((1, good), (0, 1 - good)):
+                        at = np.lexsort((batch["doc_id"].to_numpy(), -p))[:add]
+                        at = at[p[at] >= sure]
+                        yield batch.iloc[at].assign(view=i, label=label, p=p[at])[["view", "label", "p", "doc_id", "source", "lang", "n_chars", "a"]]
+
+        found = pool.mapInPandas(search, schema).withColumn("at", first).where(F.col("at") <= add).toPandas()  # 4 * add rows at most
+        shared.unpersist()
+        found = found.sort_values(["view", "label", "at"])
+        parts = [found[found["view"] == i] for i in range(len(models))]
+        return [(views_of(p) if len(p) else [np.zeros((0, len(m.mean))) for m in models], p["label"].to_numpy(dtype=float)) for p in parts]
+
+    return pool, surest
 
 
 def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -204,9 +246,10 @@ def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     has = {c.lower() for c in docs.columns}
     kinds = {"text": "string", "source": "string", "lang": "string", "n_chars": "double"}
     one = judge(*[(F.col(c) if c in has else F.lit(None)).cast(kinds[c]) for c in COLUMNS])
-    judged = put(docs, _quality=one)
-    q = F.col("_quality")
-    return put(judged, quality_score=q["score"], text_score=q["text_score"], page_score=q["page_score"], quality_keep=q["keep"]).drop("_quality")
+    own = spare(docs, "_quality")
+    judged = put(docs, **{own: one})
+    q = F.col(own)
+    return put(judged, quality_score=q["score"], text_score=q["text_score"], page_score=q["page_score"], quality_keep=q["keep"]).drop(own)
 
 
 def op7_quality(spark, sf_dir: str) -> DataFrame:
