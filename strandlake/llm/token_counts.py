@@ -1,12 +1,13 @@
 """Token counts by a map-side two-tier lookup.
 
 Tier one is a table of the lengths, in tokens, of the most frequent text pieces, broadcast to all workers. Tier two
-is a cache in each Python worker, filled by encoding what tier one misses. No piece of text is ever shuffled; only
-each task's bounded summary of frequent pieces is merged to make tier one, which steers speed and never results.
+is a cache in each Python worker, filled by encoding what tier one misses. No piece of text is ever shuffled: tier one
+is counted over a bounded sample of texts, each task of which gives one packed summary. It steers speed, never counts.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections import Counter
@@ -23,7 +24,8 @@ CUT = re.compile(" (?=[!-~¡-ᙿ])")
 
 
 def load(path: str):
-    """The tokenizer file's encode function, text -> number of tokens, and the special strings it knows."""
+    """The tokenizer file's encode function, text -> number of tokens, and the special strings it knows; None for these if
+    its texts can't be counted piece by piece, as only those of plain byte-level files can."""
     if path.endswith(".model"):
         import sentencepiece
 
@@ -35,8 +37,10 @@ def load(path: str):
     model = Tokenizer.from_file(path)
     model.no_truncation()
     model.no_padding()
+    form = json.loads(model.to_str())
+    by_piece = (form["pre_tokenizer"] or {}).get("type") == "ByteLevel" and form["pre_tokenizer"]["use_regex"] and not form["normalizer"]
     specials = [t.content for t in model.get_added_tokens_decoder().values()]
-    return (lambda text: len(model.encode(text, add_special_tokens=False))), specials
+    return (lambda text: len(model.encode(text, add_special_tokens=False))), specials if by_piece else None
 
 
 class Lengths(dict):
@@ -72,22 +76,28 @@ def _one(text: str, lengths: Lengths, encode, specials) -> int:
     return (encode(first) if first else 0) + sum(map(lengths.__getitem__, rest))
 
 
-def frequent_pieces(docs: DataFrame, text: str = "text", most: int = 32_768, per_task: int = 8_192) -> DataFrame:
-    """(piece, n): the most frequent pieces over all texts, from a bounded heavy-hitter summary of each task."""
+def frequent_pieces(docs: DataFrame, text: str = "text", most: int = 32_768, sample: int = 4_000, most_chars: int = 50_000) -> list[str]:
+    """The most frequent pieces of about `sample` texts of at most `most_chars` characters, those of the least text hashes.
+
+    Both bounds together bound what comes to the driver, however many texts there are.
+    """
+    rows = docs.select(F.col(text).alias("t")).where(F.length("t") <= most_chars)
+    n = docs.count()
+    share = min(1.0, sample / max(1, n))
+    picked = rows.where(F.pmod(F.xxhash64("t"), F.lit(1 << 40)) < int(share * (1 << 40)))
 
     def summary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
         for batch in batches:
             for one in batch["t"]:
-                if one:
-                    seen.update(CUT.split(one)[1:])
-                if len(seen) > 32 * per_task:
-                    seen = Counter(dict(seen.most_common(4 * per_task)))
-        top = seen.most_common(per_task)
-        yield pd.DataFrame({"piece": pd.Series([p for p, _ in top], dtype=object), "n": pd.Series([n for _, n in top], dtype="int64")})
+                seen.update(CUT.split(one)[1:])
+        if seen:
+            yield pd.DataFrame({"pieces": [list(seen)], "n": [list(seen.values())]})
 
-    found = docs.select(F.col(text).alias("t")).mapInPandas(summary, "piece string, n long")
-    return found.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(most)
+    total: Counter = Counter()
+    for r in picked.mapInPandas(summary, "pieces array<string>, n array<long>").toLocalIterator():
+        total.update(dict(zip(r.pieces, r.n, strict=True)))
+    return [p for p, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:most]]
 
 
 def count_tokens(docs: DataFrame, text: str = "text", tokenizer: str | None = None, limit: int = 512,
@@ -96,13 +106,14 @@ def count_tokens(docs: DataFrame, text: str = "text", tokenizer: str | None = No
 
     Counts equal those of the tokenizer's library on the whole text: no begin, end or added special tokens, no
     truncation. A null text counts as empty: 0 bytes, 0 tokens, not over. Columns of the three names are replaced;
-    every other column, repeated rows and ties stay as they are; an empty table gives an empty table.
+    every other column, repeated rows and ties stay as they are; an empty table gives an empty table. Texts of files that
+    aren't plain byte-level ones are encoded whole.
     """
     path = tokenizer or tokenizer_file("byte_bpe_50k.json")
     spark = docs.sparkSession
     encode, specials = load(path)
-    pieces = frequent_pieces(docs, text, most_frequent).collect() if specials is not None else []
-    tier_one = {r.piece: encode(" " + r.piece) for r in pieces}
+    pieces = frequent_pieces(docs, text, most_frequent) if specials is not None else []
+    tier_one = {p: encode(" " + p) for p in pieces}
     shared = spark.sparkContext.broadcast(tier_one)
 
     @F.pandas_udf("long")
