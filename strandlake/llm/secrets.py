@@ -3,7 +3,7 @@
 A byte-pair vocabulary spends few tokens on language and many on random strings. A run of key characters whose
 characters-per-token ratio under a public vocabulary is low is a secret, unless it is a known kind of digest or
 identifier. The ratio is taken of the whole run and of its pieces between = and /, so that a name or path beside a key
-doesn't hide it.
+doesn't hide it; inside an address only the pieces count.
 """
 
 from __future__ import annotations
@@ -28,11 +28,16 @@ KEYWORDS = ("password", "passwd", "secret", "token", "api")
 #: Runs that may be random keys: letters of both cases, digits and the base64 signs.
 RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 PIECE = re.compile(r"[^=/]{20,}")
-#: Digests and identifiers that are no secrets: MD5, SHA-1, SHA-2 in hex; UUIDs; numbers. Letters are left to the ratio.
+#: Digests and identifiers that are no secrets: MD5, SHA-1, SHA-2 in hex; SHA-2 of subresource integrity in base64; content
+#: ids; UUIDs; ULIDs; numbers. Letters are left to the ratio.
 KNOWN = re.compile(
     r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}"
     r"|[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
+    r"|sha(?:256-[A-Za-z0-9+/]{43}=|384-[A-Za-z0-9+/]{64}|512-[A-Za-z0-9+/]{86}==)"
+    r"|Qm[1-9A-HJ-NP-Za-km-z]{44}|baf[ky][a-z2-7]{55}|[0-7][0-9A-HJKMNP-TV-Z]{25}"
     r"|[0-9+/_=-]+)")
+#: What stands before a run inside an address: only the run's pieces can be keys there, not its path as a whole.
+ADDRESS = re.compile(r"://\S*$|:$")
 
 _vocabularies: dict = {}
 
@@ -63,7 +68,8 @@ def spans(text: str, encode, most_chars_per_token: float) -> list[tuple[int, int
         run, (start, end) = m[0], m.span()
         if KNOWN.fullmatch(run) or any(a < end and start < b for a, b, _ in base):
             continue
-        if len(run) <= most_chars_per_token * len(encode(run)):
+        address = (run.startswith("//") or "/" in run) and ADDRESS.search(text, max(0, start - 2_000), start)
+        if not address and len(run) <= most_chars_per_token * len(encode(run)):
             found.append((start, end, 3))
             continue
         for p in PIECE.finditer(run):

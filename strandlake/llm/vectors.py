@@ -227,14 +227,14 @@ def audit(vectors: DataFrame, found: DataFrame, every: int = 100, vec_id: str =
     """Recall of `found` (near_vectors of `vectors`) over the rows whose id is divisible by `every`, by brute force."""
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("v")).where(F.col("v").isNotNull())
     asked = rows.where(F.col("vec_id") % every == 0).toPandas()
-    usable = lambda v: len(v) and np.isfinite(np.asarray(v, float)).all() and np.any(v)
-    asked = asked[[usable(v) for v in asked["v"]]]
+    usable = lambda batch: np.array([len(v) > 0 and np.isfinite(np.asarray(v, float)).all() and np.any(v) for v in batch["v"]], bool)
+    asked = asked[usable(asked)]
     by_length = {n: (part["vec_id"].to_numpy(), normal(part["v"])) for n, part in asked.groupby(asked["v"].map(len))}
     shared = vectors.sparkSession.sparkContext.broadcast(by_length)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch = batch[[usable(v) for v in batch["v"]]]
+            batch = batch[usable(batch)]
             for length, part in batch.groupby(batch["v"].map(len)):
                 if length in shared.value:
                     ids, x = shared.value[length]

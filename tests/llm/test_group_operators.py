@@ -90,6 +90,10 @@ def test_vectors_equal_brute_force(spark):
     assert sum(got[i].n_links for i in range(n)) >= 0.97 * links and all(got[i].n_links < len(sets[i]) for i in range(n))
     assert all(got[n + i].n_links == 0 and got[n + i].kept and got[n + i].component_id == n + i for i in range(len(odd)))
     assert vectors.audit(table, found, every=10) >= 0.9
+    clash = table.withColumn("k1", F.lit("x")).union(table.limit(3).withColumn("k1", F.lit("y"))).union(spark.createDataFrame([(None, data[0][1], 0, "z")], "vec_id long, embedding array<float>, rep int, k1 string"))
+    more = vectors.near_vectors(clash, shard_size=40).collect()
+    assert len(more) == len(data) + 4 and [(r.n_links, r.component_id) for r in more if r.vec_id is None] == [(0, None)]
+    assert all(r.component_id == got[r.vec_id].component_id for r in more if r.vec_id is not None)
     assert vectors.near_vectors(table.limit(0)).count() == 0
 
 
@@ -126,6 +130,31 @@ def test_targets_and_mix(spark):
     assert mixing.mix_sources(docs.limit(0)).count() == 0
 
 
+def test_mix_splits_equal_rows(spark):
+    """A source of equal rows comes within a row of its target; helper names may be taken."""
+    rows = [(1, "w w w", "a")] * 50 + [(i, "w " * (1 + i % 5), "b") for i in range(2, 80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6).withColumn("_cut", F.lit("x")).withColumn("_cut_more", F.lit(1))
+    mixed = mixing.mix_sources(docs).toPandas()
+    assert len(mixed) == len(rows) and set(mixed["_cut"]) == {"x"} and (mixed.taken <= 3 * mixed["size"]).all()
+    a = mixed[mixed.source == "a"]
+    assert abs(a.taken.sum() - a.target.iloc[0]) <= 1.5 + 1e-6 and a.target.iloc[0] % 150 > 3
+    long = mixing.mix_sources(spark.createDataFrame([(1, "long " * 400_000, "c")], docs.schema.simpleString()[7:-1].split(",_cut")[0].replace(":", " ")))
+    assert [(r["size"], r.taken) for r in long.collect()] == [(400_000, 400_000)]
+
+
+def test_warc_of_repeated_ids(spark):
+    pages = spark.createDataFrame([(1, "A"), (2, "A"), (2, "BB"), (3, "BB"), (3, "BB"), (None, "A")], "page_id long, html string").withColumn("url", F.lit("http://a"))
+    got = sorted((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to) for r in warc.read_archives(spark, warc.write_archives(pages, fresh(spark, "w"))).collect())
+    assert got == [(0, 1, "response", None), (1, 1, "response", None), (2, 1, "revisit", 1), (2, 2, "response", None), (3, 2, "revisit", 2), (3, 2, "revisit", 2)]
+
+
+def test_warc_stops_at_an_unsound_header(spark):
+    page = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %s\r\n\r\n%s\r\n\r\n"
+    path = fresh(spark, "w")
+    spark.createDataFrame([(bytearray(page % (1, b"1", b"a") + page % (2, b"x", b"b") + page % (3, b"1", b"c")),)], "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\n").text(path)
+    assert [r.page_id for r in warc.read_archives(spark, path).collect()] == [1]
+
+
 def test_smaller_budgets_nest(spark):
     docs = spark.createDataFrame([(i, "w " * (i % 9 + 1), "ab"[i % 2]) for i in range(300)], "doc_id long, text string, source string")
     taken = [{r.doc_id for r in mixing.mix_sources(docs, weights=w).where("source = 'a' AND taken > 0").collect()} for w in ((1, 9), (2, 5), (1, 1))]
@@ -136,7 +165,7 @@ def test_warc_round_trip(spark):
     tricky = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.1\r\n"
     htmls = ["<p>é</p>", "", None, "<p>é</p>", tricky, tricky, "x" * 300_000, "line\n\n\r\nend\r"]
     pages = spark.createDataFrame([(10 - i, None if i == 2 else f"http://a/{i}\r\nX: y", h, "z") for i, h in enumerate(htmls)], "page_id long, url string, html string, later string")
-    got = {r.page_id: r for r in warc.read_archives(spark, warc.write_archives(pages, fresh(spark, "w"), per_file=3)).collect()}
+    got = {r.page_id: r for r in warc.read_archives(spark, warc.write_archives(pages, fresh(spark, "w"), file_bytes=1_000)).collect()}
     assert len(got) == len(htmls)
     groups = {}
     for i, h in enumerate(htmls):

@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from strandlake.llm import langid, quality, secrets, token_counts, token_files
 from strandlake.llm.common import fresh, tokenizer_file
@@ -36,8 +37,7 @@ def test_token_counts_equal_the_library(spark, name):
 
         model = Tokenizer.from_file(tokenizer_file(name))
         count = lambda t: len(model.encode(t, add_special_tokens=False))
-    if name != "word_bpe_49k.json":  # whose pieces aren't byte-level ones
-        assert {i: r.n_tokens for i, r in got.items()} == {i: count(t or "") for i, t in enumerate(TEXTS)}
+    assert {i: r.n_tokens for i, r in got.items()} == {i: count(t or "") for i, t in enumerate(TEXTS)}
     assert got[0].n_tokens == 0 and got[0].n_bytes == 0 and not got[0].over_limit and got[8].over_limit
     assert got[8].n_bytes == 150_000 and got[8].lang == "en"
 
@@ -101,6 +101,20 @@ def test_random_keys_behind_names_and_of_letters():
         assert secrets.spans(plain, encode, 2.0) == [], plain
 
 
+def test_known_digests_and_identifiers_are_no_secrets():
+    encode = secrets.vocabulary(tokenizer_file("byte_bpe_50k.tiktoken")).encode_ordinary
+    digest = hashlib.sha256(b"x").digest()
+    for plain in ("integrity: sha256-" + base64.b64encode(digest).decode(), "QmYwAPJzv5CZsnA625s3Xf2nemtYgPpHdWEz79ojWKPbdG", "id 01ARZ3NDEKTSV4RRFFQ69G5FAV", "https://example.org/AbCdEfGh/some-page_2024-11", "urn 123E4567-E89B-12D3-A456-426614174000"):
+        assert secrets.spans(plain, encode, 2.0) == [], plain
+    assert secrets.spans("https://example.org/hook/aZ3kQ9xLm2Vt7Rb1Yp8Wc5", encode, 2.0) == [(25, 47, 3)]
+
+
+def test_secrets_of_long_texts_and_over_an_own_column(spark):
+    docs = frame(spark, ["x " * 400_000 + "AKIA" + "A1B2" * 4, "a" * 1_000_000]).withColumn("secrets", F.lit(1))
+    got = [[(s.kind, s.start) for s in r.secrets] for r in secrets.find_secrets(docs).orderBy("doc_id").collect()]
+    assert got[0] == [("access", 800_000)] and got[1][0] == ("hex", 0)
+
+
 def test_base_spans_equal_a_plain_scan(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     patterns = [re.compile(r"""(?a:(?i:(password|passwd|secret|token|api_?key)))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]+")]
@@ -116,8 +130,9 @@ def test_language_held_out_and_edges(spark):
     field = langid.fit(docs, per_language=40)
     got = langid.identify(docs, field).where(langid.held_out(docs.doc_id)).toPandas()
     assert (got.lang == got.lang_pred).mean() > 0.95 and got.lang_score.between(0, 1).all()
-    edge = langid.identify(frame(spark, [None, "", "123 ...", "the of and", "the of and"]), field).orderBy("doc_id").collect()
-    assert [r.lang_pred for r in edge[:3]] == ["und"] * 3 and edge[3].lang_pred == edge[4].lang_pred == "en" and edge[3].lang_score == edge[4].lang_score
+    edge = langid.identify(frame(spark, [None, "", "123 ...", "the of and", "the of and", "½ ² ①", "Ⅷ _ \u0301", "the of and " * 300_000]).withColumn("_lang", F.lit("own")), field).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in (*edge[:3], *edge[5:7])] == ["und"] * 5 and edge[3].lang_pred == edge[4].lang_pred == edge[7].lang_pred == "en" and edge[3].lang_score == edge[4].lang_score
+    assert {r._lang for r in edge} == {"own"} and langid.pieces("हिन्दी. x²y")[:2] == ["हिन्दी", "."]
     assert langid.identify(docs.limit(0), field).count() == 0 and langid.fit(docs.limit(0)) is None
     assert {r.lang_pred for r in langid.identify(docs.limit(3), None).collect()} == {"und"}
     switched = langid.Labeller(field).words("the is that of to. une les que dans le la du des")
@@ -141,13 +156,42 @@ def test_marginals_equal_enumeration():
     assert np.allclose(post, total / total.sum(axis=1, keepdims=True))
 
 
+def test_language_equals_plain_forward_backward(spark):
+    """Each text's language and score against a word-by-word recursion over its sentences."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    field = langid.fit(docs, per_language=20, most_chars=5_000)
+    k, got = len(field.labels), langid.identify(docs, field).collect()
+    move = np.exp(field.moves)
+    for r in got:
+        sums = np.zeros(k)
+        for sentence in re.split(r"[.!?\n]", (r.text or "").lower()):
+            words = re.findall(r"[^\W\d_]+", sentence)
+            if not words:
+                continue
+            e = np.exp(langid._emissions(words, field.weights, field.lexicon))
+            f, b = [e[0] / e[0].sum()], [np.ones(k)]
+            for x in e[1:]:
+                f.append(x * (f[-1] @ move))
+                f[-1] /= f[-1].sum()
+            for x in e[:0:-1]:
+                b.append(move @ (x * b[-1]))
+                b[-1] /= b[-1].sum()
+            for u, v in zip(f, b[::-1], strict=True):
+                sums += u * v / (u * v).sum()
+        if sums.sum() == 0:
+            assert (r.lang_pred, r.lang_score) == ("und", 0)
+        else:
+            assert r.lang_pred == field.labels[sums.argmax()] and abs(r.lang_score - sums.max() / sums.sum()) < 1e-4
+
+
 def test_quality_held_out_and_edges(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     known = labels.where("doc_id % 3 <> 0")
-    got = quality.classify(docs, known, most_labelled=300, most_unlabelled=300).join(labels.where("doc_id % 3 = 0"), "doc_id").toPandas()
+    got = quality.classify(docs, known, most_labelled=300).join(labels.where("doc_id % 3 = 0"), "doc_id").toPandas()
     assert got[got.quality == 1].quality_keep.mean() > 0.97 and got[got.quality == 0].quality_keep.mean() < 0.2
     edge = quality.classify(frame(spark, [None, "", " \n", "the of and", "the of and", "word " * 30_000]), labels.limit(0)).orderBy("doc_id").collect()
     assert [r.quality_keep for r in edge] == [False] * 3 + [True] * 3 and edge[3].quality_score == 1
     assert quality.classify(docs.limit(0), labels).count() == 0
+    assert set(quality.classify(docs.limit(20).withColumn("_quality", F.lit("own")), labels).toPandas()["_quality"]) == {"own"}
     some = quality.classify(docs.select("doc_id", "text").union(docs.select("doc_id", "text").limit(5)), labels.union(labels.select(labels.doc_id, labels.quality * 0, labels.toxic).limit(3)))
     assert some.count() == 1005 and some.where("quality_score IS NULL").count() == 0
