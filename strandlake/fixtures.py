@@ -16,29 +16,29 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def gene_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(contig, strand, left_end, right_end, length, caller), distinct."""
-    at = F.expr("l_partkey % 150 * 60")
+    at = F.expr("l_partkey % 50 * 60")
     caller = F.element_at(F.array(*[F.lit(c) for c in ("glimmer", "phanotate", "prodigal", "genemark")]), F.expr("l_linenumber % 4 + 1"))
     calls = read(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("contig_"), F.lpad(F.expr("l_suppkey % 20").cast("string"), 3, "0")).alias("contig"),
+        F.expr("concat('contig_', l_partkey div 50)").alias("contig"),
         F.when(F.col("l_linestatus") == "O", "+").otherwise("-").alias("strand"),
         (at + 1).alias("left_end"), (at + (F.expr("cast(l_quantity as bigint) % 3") + 1) * 90).alias("right_end"), caller.alias("caller")).distinct()
     return calls.withColumn("length", F.col("right_end") - F.col("left_end") + 1)
 
 
 GENE_CALLS = """gene_calls AS (SELECT *, right_end - left_end + 1 AS length FROM (SELECT DISTINCT
-  'contig_' || lpad(CAST(l_suppkey % 20 AS VARCHAR), 3, '0') AS contig, CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand,
-  l_partkey % 150 * 60 + 1 AS left_end, l_partkey % 150 * 60 + (CAST(floor(l_quantity) AS BIGINT) % 3 + 1) * 90 AS right_end,
+  'contig_' || (l_partkey // 50) AS contig, CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand,
+  l_partkey % 50 * 60 + 1 AS left_end, l_partkey % 50 * 60 + (CAST(floor(l_quantity) AS BIGINT) % 3 + 1) * 90 AS right_end,
   CASE l_linenumber % 4 WHEN 0 THEN 'glimmer' WHEN 1 THEN 'phanotate' WHEN 2 THEN 'prodigal' ELSE 'genemark' END AS caller FROM lineitem))"""
 
 
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search hits between genes of lines of the same order; symmetric in identity and bit score."""
-    one = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr("l_suppkey % 4").alias("g"), F.expr("l_partkey % 400").alias("gene"),
+    one = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr("l_suppkey % 4").alias("g"), F.col("l_partkey").alias("gene"),
                                                  F.expr("cast(round(100 * l_discount) as bigint)").alias("d"), F.col("l_extendedprice").alias("p"))
     a, b = one.alias("a"), one.alias("b")
     joined = a.join(b, F.expr("a.l_orderkey = b.l_orderkey AND a.l_linenumber <> b.l_linenumber AND (a.g <> b.g OR a.gene <> b.gene)"))
     found = joined.groupBy(F.expr("concat('genome', a.g)").alias("q_genome"), F.expr("concat('genome', b.g)").alias("s_genome"), F.col("a.gene").alias("q_gene"), F.col("b.gene").alias("s_gene")).agg(
-        F.max(F.expr("100 - 5 * abs(a.d - b.d)")).alias("identity"), F.max(F.expr("cast(floor(a.p + b.p) as bigint)")).alias("bitscore"))
+        F.max(F.expr("greatest(100 - 15 * abs(a.d - b.d), 0)")).alias("identity"), F.max(F.expr("cast(floor(a.p + b.p) as bigint)")).alias("bitscore"))
     return with_alignment(found)
 
 
@@ -50,29 +50,29 @@ def with_alignment(found: DataFrame) -> DataFrame:
         "CASE WHEN bitscore % 7 = 0 THEN bitscore % 15 + 1 ELSE bitscore % 15 + bitscore % 60 + 30 END AS s_end")
 
 
-HITS = """line AS (SELECT l_orderkey o, l_linenumber n, l_suppkey % 4 AS g, l_partkey % 400 AS gene, CAST(round(100 * l_discount) AS BIGINT) AS d, l_extendedprice AS p FROM lineitem),
+HITS = """line AS (SELECT l_orderkey o, l_linenumber n, l_suppkey % 4 AS g, l_partkey AS gene, CAST(round(100 * l_discount) AS BIGINT) AS d, l_extendedprice AS p FROM lineitem),
 hits AS (SELECT *, bitscore % 60 + 30 AS aln_len, bitscore % 4 AS gap_opens, bitscore % 20 + 1 AS q_start, bitscore % 20 + bitscore % 60 + 30 AS q_end,
   CASE WHEN bitscore % 7 = 0 THEN bitscore % 15 + bitscore % 60 + 30 ELSE bitscore % 15 + 1 END AS s_start,
   CASE WHEN bitscore % 7 = 0 THEN bitscore % 15 + 1 ELSE bitscore % 15 + bitscore % 60 + 30 END AS s_end FROM (
-  SELECT 'genome' || a.g AS q_genome, 'genome' || b.g AS s_genome, a.gene AS q_gene, b.gene AS s_gene, max(100 - 5 * abs(a.d - b.d)) AS identity, max(CAST(floor(a.p + b.p) AS BIGINT)) AS bitscore
+  SELECT 'genome' || a.g AS q_genome, 'genome' || b.g AS s_genome, a.gene AS q_gene, b.gene AS s_gene, max(greatest(100 - 15 * abs(a.d - b.d), 0)) AS identity, max(CAST(floor(a.p + b.p) AS BIGINT)) AS bitscore
   FROM line a JOIN line b ON a.o = b.o AND a.n <> b.n AND (a.g <> b.g OR a.gene <> b.gene) GROUP BY ALL))"""
 
-#: The hits that compete for best hit in the fixture: some genes are left without a partner.
-CANDIDATES = "candidates AS (SELECT * FROM hits WHERE q_genome <> s_genome AND identity >= 60 AND (q_gene + s_gene) % 10 = 0)"
+#: The hits that compete for best hit: those between genomes of enough identity.
+CANDIDATES = "candidates AS (SELECT * FROM hits WHERE q_genome <> s_genome AND identity >= 60)"
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hits(spark, sf_dir).where("q_genome <> s_genome AND identity >= 60 AND (q_gene + s_gene) % 10 = 0")
+    return hits(spark, sf_dir).where("q_genome <> s_genome AND identity >= 60")
 
 
 def genome_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(genome, gene, contig, start, end, strand): every gene that occurs; two contigs a genome."""
-    line = read(spark, sf_dir, "lineitem").selectExpr("concat('genome', l_suppkey % 4) AS genome", "l_partkey % 400 AS gene").distinct()
-    return line.selectExpr("genome", "gene", "concat('contig', gene % 2) AS contig", "gene * 90 + 1 AS start", "gene * 90 + 90 AS `end`", "CASE WHEN gene % 3 = 0 THEN '-' ELSE '+' END AS strand")
+    """(genome, gene, contig, start, end, strand): every gene that occurs; a contig has 500 places."""
+    line = read(spark, sf_dir, "lineitem").selectExpr("concat('genome', l_suppkey % 4) AS genome", "l_partkey AS gene").distinct()
+    return line.selectExpr("genome", "gene", "concat('contig', gene div 500) AS contig", "gene * 90 + 1 AS start", "gene * 90 + 90 AS `end`", "CASE WHEN gene % 3 = 0 THEN '-' ELSE '+' END AS strand")
 
 
-GENOME_GENES = """genome_genes AS (SELECT genome, gene, 'contig' || (gene % 2) AS contig, gene * 90 + 1 AS start, gene * 90 + 90 AS "end", CASE WHEN gene % 3 = 0 THEN '-' ELSE '+' END AS strand
-  FROM (SELECT DISTINCT 'genome' || (l_suppkey % 4) AS genome, l_partkey % 400 AS gene FROM lineitem))"""
+GENOME_GENES = """genome_genes AS (SELECT genome, gene, 'contig' || (gene // 500) AS contig, gene * 90 + 1 AS start, gene * 90 + 90 AS "end", CASE WHEN gene % 3 = 0 THEN '-' ELSE '+' END AS strand
+  FROM (SELECT DISTINCT 'genome' || (l_suppkey % 4) AS genome, l_partkey AS gene FROM lineitem))"""
 
 
 def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,30 +96,31 @@ GENES = CONTIGS + """, genes AS (SELECT contig, i AS ord, i * 90 + 1 AS left_end
 
 def family_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(family_id, accession), distinct."""
-    return read(spark, sf_dir, "part").selectExpr("concat('VOG', lpad(p_partkey % 300, 5, '0')) AS family_id", "concat('ACC', p_partkey % 700) AS accession").distinct()
+    return read(spark, sf_dir, "part").selectExpr("concat('VOG', lpad(p_partkey div 3, 9, '0')) AS family_id", "concat('ACC', p_partkey div 2) AS accession").distinct()
 
 
 def families(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(family_id, category, description), one row each."""
-    return read(spark, sf_dir, "part").where("p_partkey < 300").selectExpr(
-        "concat('VOG', lpad(p_partkey % 300, 5, '0')) AS family_id", "element_at(array('Xr', 'Xs', 'Xh', 'Xp', 'Xu'), p_size % 5 + 1) AS category", "concat_ws(' ', p_type, p_brand) AS description")
+    rows = read(spark, sf_dir, "part").selectExpr(
+        "concat('VOG', lpad(p_partkey div 3, 9, '0')) AS family_id", "element_at(array('Xr', 'Xs', 'Xh', 'Xp', 'Xu'), p_size % 5 + 1) AS category", "concat_ws(' ', p_type, p_brand) AS description")
+    return rows.groupBy("family_id").agg(F.min("category").alias("category"), F.max("description").alias("description"))
 
 
-FAMILIES = """family_members AS (SELECT DISTINCT 'VOG' || lpad(CAST(p_partkey % 300 AS VARCHAR), 5, '0') AS family_id, 'ACC' || (p_partkey % 700) AS accession FROM part),
-families AS (SELECT 'VOG' || lpad(CAST(p_partkey % 300 AS VARCHAR), 5, '0') AS family_id, ['Xr', 'Xs', 'Xh', 'Xp', 'Xu'][p_size % 5 + 1] AS category, p_type || ' ' || p_brand AS description FROM part WHERE p_partkey < 300)"""
+FAMILIES = """family_members AS (SELECT DISTINCT 'VOG' || lpad(CAST(p_partkey // 3 AS VARCHAR), 9, '0') AS family_id, 'ACC' || (p_partkey // 2) AS accession FROM part),
+families AS (SELECT 'VOG' || lpad(CAST(p_partkey // 3 AS VARCHAR), 9, '0') AS family_id, min(['Xr', 'Xs', 'Xh', 'Xp', 'Xu'][p_size % 5 + 1]) AS category, max(p_type || ' ' || p_brand) AS description FROM part GROUP BY 1)"""
 
 
 def annotation_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(gene, accession, header, identity, aln_len, start, end): hits whose header begins with family ids."""
+    """(gene, accession, header, identity, aln_len, evalue, start, end): hits whose header begins with family ids."""
     line = read(spark, sf_dir, "lineitem").selectExpr("l_suppkey AS gene", "l_partkey AS k", "100 - 5 * cast(round(100 * l_discount) as bigint) AS identity", "cast(l_quantity as bigint) AS aln_len").groupBy("gene", "k").agg(F.max("identity").alias("identity"), F.max("aln_len").alias("aln_len"))
-    return line.selectExpr("gene", "concat('ACC', k % 700) AS accession",
-                           "concat('VOG', lpad(k % 300, 5, '0'), '|VOG', lpad(k % 7, 5, '0'), '|VOG', lpad(k % 300, 5, '0'), '|ACC', k % 700, ' protein ', k) AS header",
-                           "identity", "aln_len", "k % 50 + 1 AS start", "k % 50 + aln_len AS `end`")
+    return line.selectExpr("gene", "concat('ACC', k div 2) AS accession",
+                           "concat('VOG', lpad(k div 3, 9, '0'), '|VOG', lpad(k % 7, 9, '0'), '|VOG', lpad(k div 3, 9, '0'), '|ACC', k div 2, ' protein ', k) AS header",
+                           "identity", "aln_len", "concat('1e-', aln_len) AS evalue", "k % 50 + 1 AS start", "k % 50 + aln_len AS `end`")
 
 
-ANNOTATION_HITS = """annotation_hits AS (SELECT gene, 'ACC' || (k % 700) AS accession,
-  'VOG' || lpad(CAST(k % 300 AS VARCHAR), 5, '0') || '|VOG' || lpad(CAST(k % 7 AS VARCHAR), 5, '0') || '|VOG' || lpad(CAST(k % 300 AS VARCHAR), 5, '0') || '|ACC' || (k % 700) || ' protein ' || k AS header,
-  identity, aln_len, k % 50 + 1 AS start, k % 50 + aln_len AS "end" FROM (
+ANNOTATION_HITS = """annotation_hits AS (SELECT gene, 'ACC' || (k // 2) AS accession,
+  'VOG' || lpad(CAST(k // 3 AS VARCHAR), 9, '0') || '|VOG' || lpad(CAST(k % 7 AS VARCHAR), 9, '0') || '|VOG' || lpad(CAST(k // 3 AS VARCHAR), 9, '0') || '|ACC' || (k // 2) || ' protein ' || k AS header,
+  identity, aln_len, '1e-' || aln_len AS evalue, k % 50 + 1 AS start, k % 50 + aln_len AS "end" FROM (
   SELECT l_suppkey AS gene, l_partkey AS k, max(100 - 5 * CAST(round(100 * l_discount) AS BIGINT)) AS identity, max(CAST(floor(l_quantity) AS BIGINT)) AS aln_len FROM lineitem GROUP BY ALL))"""
 
 

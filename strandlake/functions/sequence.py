@@ -17,17 +17,16 @@ def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, IUPAC, COMPLEMENT))
 
 
-def codon_map(table: str = TABLE_11) -> dict[str, str]:
-    codons = [a + b + c for a in CODON_BASES for b in CODON_BASES for c in CODON_BASES]
-    return dict(zip(codons, table, strict=True))
-
-
 def translate_sequence(seq: Column, table: str = TABLE_11) -> Column:
     """Frame 1, unknown codons X, one terminal stop dropped; an incomplete last codon is ignored."""
-    codons = F.create_map(*[F.lit(x) for pair in codon_map(table).items() for x in pair])
     n = F.floor(F.length(seq) / 3).cast("int")
     low = F.lower(seq)
-    amino = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.coalesce(F.try_element_at(codons, F.substring(low, i * 3 + 1, F.lit(3))), F.lit("X")))
+
+    def amino_acid(i: Column) -> Column:
+        a, b, c = (F.instr(F.lit(CODON_BASES), F.substring(low, i * 3 + k, F.lit(1))) for k in (1, 2, 3))
+        return F.when(F.least(a, b, c) > 0, F.substring(F.lit(table), 16 * a + 4 * b + c - 20, F.lit(1))).otherwise("X")
+
+    amino = F.transform(F.sequence(F.lit(0), n - 1), amino_acid)
     return F.when(n < 1, F.lit("")).otherwise(F.regexp_replace(F.array_join(amino, ""), r"\*$", ""))
 
 
@@ -73,22 +72,43 @@ def start_codon_sites(seq: Column) -> dict[str, Column]:
     return {"n_sites": F.regexp_count(seq, F.lit("atg")), "sites": F.transform(sites, lambda i: i - 1), "highlighted": F.regexp_replace(seq, "atg", "ATG")}
 
 
-def extract_genes(calls: DataFrame, contigs: DataFrame) -> DataFrame:
+def _stretches(calls: DataFrame, contigs: DataFrame, left: Column, right: Column, name: str, window: int) -> DataFrame:
+    """calls with `name`, the contig's letters from left to right, both within the contig or cut at its end.
+
+    Contigs (ASCII) are cut into windows that reach half a window into the next one, so that a call meets one window and
+    not its whole contig; calls longer than that are put together from several windows.
+    """
+    more = window // 2
+    starts = F.sequence(F.lit(0), F.greatest((F.length("seq") - 1) / window, F.lit(0)).cast("int"))
+    data = F.col("seq").cast("binary")  # bytes are found by place, letters by walking from the start
+    cut = contigs.where("seq <> ''").select("contig", F.posexplode(F.transform(starts, lambda i: F.substring(data, i * window + 1, F.lit(window + more)))).alias("_window", "_piece"))
+    placed = calls.withColumn("_from", left).withColumn("_to", F.greatest(right, left - 1)).withColumn("_window", F.floor((F.col("_from") - 1) / window).cast("int"))
+    inside = F.col("_to") - F.col("_window") * window <= window + more
+    part = lambda a, b: F.substring(F.col("_piece"), a.cast("int"), (b - a + 1).cast("int")).cast("string")
+    at = F.col("_from") - F.col("_window") * window
+    short = placed.where(inside).join(cut, ["contig", "_window"]).withColumn(name, part(at, at + F.col("_to") - F.col("_from"))).drop("_piece", "_window", "_from", "_to")
+    long = placed.where(~inside).withColumn("_id", F.monotonically_increasing_id()).withColumn("_window", F.explode(F.sequence("_window", F.floor((F.col("_to") - 1) / window).cast("int")))).join(cut, ["contig", "_window"])
+    a, b = F.greatest(at, F.lit(1)), F.least(F.col("_to") - F.col("_window") * window, F.lit(window))
+    pieces = long.groupBy("_id", *calls.columns).agg(F.array_sort(F.collect_list(F.struct("_window", part(a, b).alias("p")))).alias("ps"))
+    return short.unionByName(pieces.withColumn(name, F.array_join(F.transform("ps", lambda x: x["p"]), "")).drop("_id", "ps"))
+
+
+def _turned(found: DataFrame, name: str) -> DataFrame:
+    return found.withColumn(name, F.when(F.col("strand") == "-", reverse_complement(F.col(name))).otherwise(F.col(name)))
+
+
+def extract_genes(calls: DataFrame, contigs: DataFrame, window: int = 8_192) -> DataFrame:
     """calls (contig, strand, left_end, right_end, ...) with `gene`, the called stretch, reversed on `-`; start 0 is 1."""
-    left = F.greatest(F.col("left_end"), F.lit(1))
-    part = F.expr("substring(contig_seq, cast(greatest(left_end, 1) as int), cast(right_end - greatest(left_end, 1) + 1 as int))")
-    joined = calls.join(contigs.select("contig", F.col("seq").alias("contig_seq")), "contig")
-    return joined.withColumn("left_end", left).withColumn("gene", F.when(F.col("strand") == "-", reverse_complement(part)).otherwise(part)).drop("contig_seq")
+    clamped = calls.withColumn("left_end", F.greatest(F.col("left_end"), F.lit(1)))
+    return _turned(_stretches(clamped, contigs, F.col("left_end"), F.col("right_end"), "gene", window), "gene")
 
 
-def extract_flanks(calls: DataFrame, contigs: DataFrame, flank: int) -> DataFrame:
+def extract_flanks(calls: DataFrame, contigs: DataFrame, flank: int, window: int = 8_192) -> DataFrame:
     """As extract_genes, widened by `flank` to both sides and clamped at the contig's start; a call without contig takes
     the first contig by name."""
     first = contigs.select(F.min("contig").alias("first_contig"))
     named = calls.join(F.broadcast(first)).withColumn("contig", F.coalesce("contig", "first_contig")).drop("first_contig")
-    part = F.expr(f"substring(contig_seq, cast(greatest(left_end - {flank}, 1) as int), cast(right_end + {flank} - greatest(left_end - {flank}, 1) + 1 as int))")
-    joined = named.join(contigs.select("contig", F.col("seq").alias("contig_seq")), "contig")
-    return joined.withColumn("stretch", F.when(F.col("strand") == "-", reverse_complement(part)).otherwise(part)).drop("contig_seq")
+    return _turned(_stretches(named, contigs, F.greatest(F.col("left_end") - flank, F.lit(1)), F.col("right_end") + flank, "stretch", window), "stretch")
 
 
 def wrap_sequence(rows: DataFrame, width: int, key: str = "contig") -> DataFrame:

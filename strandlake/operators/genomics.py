@@ -114,10 +114,21 @@ def group_annotations(groups: DataFrame, annotations: DataFrame) -> DataFrame:
 
 
 def genome_data_checks(genes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(check, subject, n): duplicate gene ids, mutual lists longer than the other genomes, self hits."""
+    """(check, subject, n): duplicate gene ids, genomes and headers, mutual lists longer than the other genomes, self hits.
+
+    genes (gene, genome, ...); `header` is checked within a genome and `n_listed`, how often a genome was given, over
+    genomes if the columns exist.
+    """
     others = genes.agg((F.countDistinct("genome") - 1).alias("n_others"))
     twice = genes.groupBy("gene").agg(F.count("*").alias("n")).where("n > 1").select(F.lit("duplicate id").alias("check"), F.col("gene").alias("subject"), "n")
     long = edges.where("kind = 'mutual'").groupBy("gene").agg(F.countDistinct("partner").alias("n")).join(F.broadcast(others), F.col("n") > F.col("n_others")).select(F.lit("long mutual list").alias("check"), F.col("gene").alias("subject"), "n")
     itself = edges.where("gene = partner").groupBy("gene").agg(F.count("*").alias("n")).select(F.lit("self hit").alias("check"), F.col("gene").alias("subject"), "n")
     count = genes.agg(F.countDistinct("genome").alias("n")).select(F.lit("genomes").alias("check"), F.lit("all").alias("subject"), "n")
-    return twice.unionByName(long).unionByName(itself).unionByName(count)
+    found = twice.unionByName(long).unionByName(itself).unionByName(count)
+    if "header" in genes.columns:
+        again = genes.groupBy(F.concat_ws(":", "genome", "header").alias("subject")).agg(F.count("*").alias("n")).where("n > 1")
+        found = found.unionByName(again.select(F.lit("duplicate header").alias("check"), "subject", "n"))
+    if "n_listed" in genes.columns:
+        again = genes.groupBy(F.col("genome").alias("subject")).agg(F.max("n_listed").cast("long").alias("n")).where("n > 1")
+        found = found.unionByName(again.select(F.lit("duplicate genome").alias("check"), "subject", "n"))
+    return found

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandlake.session import fresh
+
 BEST = (F.desc, "bitscore"), (F.asc, "s_gene")
 
 
@@ -37,7 +39,8 @@ def kmer_hits(sequences: DataFrame, k: int = 16, most: int = 50, least_shared: i
 
     sequences (contig, seq). No k-mer is left out: those of more than `most` different sequences are paired in blocks of
     about `most`, and equal sequences are compared once for all their contigs. Not equivalent to an alignment search.
-    Returns (q, s, diagonal, n_shared, q_start, q_end), positions from 1.
+    Returns (q, s, diagonal, n_shared, q_start, q_end, s_start, s_end, aln_len, matched, identity), positions from 1:
+    matched counts the places that shared k-mers cover, identity is their percentage of the stretch.
     """
     texts = sequences.where(F.length("seq") >= k).groupBy("contig").agg(F.sort_array(F.collect_list("seq")).alias("seqs"))
     alone = F.size("seqs") == 1  # a contig of several rows stands for itself
@@ -48,14 +51,18 @@ def kmer_hits(sequences: DataFrame, k: int = 16, most: int = 50, least_shared: i
     kmers = pieces.select("unit", F.posexplode(F.transform(places, lambda i: F.substring("seq", i, F.lit(k)))).alias("at", "kmer"))
     shared = _dealt_pairs(kmers, "kmer", "unit", most).groupBy(
         F.col("a.unit").alias("u"), F.col("b.unit").alias("v"), (F.col("a.at") - F.col("b.at")).alias("diagonal")).agg(
-        F.count("*").alias("n_shared"), (F.min("a.at") + 1).alias("q_start"), (F.max("a.at") + k).alias("q_end"))
-    best = F.max_by(F.struct("diagonal", "n_shared", "q_start", "q_end"), F.struct("n_shared", -F.col("diagonal")))
-    hits = shared.where(F.col("n_shared") >= least_shared).groupBy("u", "v").agg(best.alias("b")).select("u", "v", "b.*")
+        F.count("*").alias("n_shared"), F.array_sort(F.collect_set("a.at")).alias("at")).where(F.col("n_shared") >= least_shared)
+    steps = F.zip_with(F.slice("at", 2, F.size("at")), "at", lambda b, a: F.when(b.isNull(), k).otherwise(F.least(b - a, F.lit(k))))
+    matched = F.aggregate(steps, F.lit(0), lambda n, x: n + x)
+    placed = shared.select("u", "v", "diagonal", "n_shared", (F.element_at("at", 1) + 1).alias("q_start"), (F.element_at("at", -1) + k).alias("q_end"), matched.alias("matched"))
+    best = F.max_by(F.struct("diagonal", "n_shared", "q_start", "q_end", "matched"), F.struct("n_shared", -F.col("diagonal")))
+    hits = placed.groupBy("u", "v").agg(best.alias("b")).select("u", "v", "b.*")
     q, s = members.select(F.col("unit").alias("u"), F.col("contig").alias("q")), members.select(F.col("unit").alias("v"), F.col("contig").alias("s"))
-    others = hits.join(q, "u").join(s, "v").select("q", "s", "diagonal", "n_shared", "q_start", "q_end")
+    others = hits.join(q, "u").join(s, "v").select("q", "s", "diagonal", "n_shared", "q_start", "q_end", "matched")
     copies = _dealt_pairs(members.where(F.col("size") >= k - 1 + least_shared), "unit", "contig", most).select(
-        F.col("a.contig").alias("q"), F.col("b.contig").alias("s"), F.lit(0).alias("diagonal"), (F.col("a.size") - (k - 1)).cast("long").alias("n_shared"), F.lit(1).alias("q_start"), F.col("a.size").alias("q_end"))
-    return others.unionByName(copies)
+        F.col("a.contig").alias("q"), F.col("b.contig").alias("s"), F.lit(0).alias("diagonal"), (F.col("a.size") - (k - 1)).cast("long").alias("n_shared"), F.lit(1).alias("q_start"), F.col("a.size").alias("q_end"), F.col("a.size").alias("matched"))
+    found = others.unionByName(copies).withColumn("s_start", F.col("q_start") - F.col("diagonal")).withColumn("s_end", F.col("q_end") - F.col("diagonal")).withColumn("aln_len", F.col("q_end") - F.col("q_start") + 1)
+    return found.withColumn("identity", F.round(100 * F.col("matched") / F.col("aln_len"), 4))
 
 
 def filter_hits(hits: DataFrame, identity: float = 60) -> DataFrame:
@@ -90,6 +97,19 @@ def _pairs(best: DataFrame) -> DataFrame:
     return best.join(back, ["q_genome", "s_genome", "s_gene"], "left")
 
 
+def classify_hits(best: DataFrame, strict: bool = True) -> DataFrame:
+    """The best hits with `kind`: mutual, singular, or null for one-way hits that are neither."""
+    one_way = F.when(F.col("back_gene").isNotNull(), "singular") if strict else F.lit("singular")
+    return _pairs(best).withColumn("kind", F.when(F.col("back_gene") == F.col("q_gene"), "mutual").otherwise(one_way)).drop("back_gene")
+
+
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    """`df`, written to the shared folder once, for use in several places."""
+    path = fresh(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def mutual_best_hits(best: DataFrame) -> DataFrame:
     return _pairs(best).where("back_gene = q_gene").drop("back_gene")
 
@@ -103,9 +123,14 @@ def singular_best_hits(best: DataFrame, strict: bool = True) -> DataFrame:
 
 def loners(genes: DataFrame, best: DataFrame) -> DataFrame:
     """(genome, gene, other): genes without a mutual or singular hit in another genome."""
+    return _alone(genes, classify_hits(best))
+
+
+def _alone(genes: DataFrame, tagged: DataFrame) -> DataFrame:
+    """loners of hits that classify_hits has tagged. A gene has as many slots as there are other genomes, which are a row each."""
     others = genes.select(F.col("genome").alias("other")).distinct()
     slots = genes.select("genome", "gene").distinct().join(F.broadcast(others), F.col("genome") != F.col("other"))
-    used = mutual_best_hits(best).unionByName(singular_best_hits(best)).select(F.col("q_genome").alias("genome"), F.col("q_gene").alias("gene"), F.col("s_genome").alias("other"))
+    used = tagged.where("kind IS NOT NULL").select(F.col("q_genome").alias("genome"), F.col("q_gene").alias("gene"), F.col("s_genome").alias("other"))
     return slots.join(used, ["genome", "gene", "other"], "left_anti")
 
 
@@ -121,12 +146,14 @@ def paralogs(hits: DataFrame, genes: DataFrame, identity: float = 60, most: int
 
 def homology_stats(genes: DataFrame, best: DataFrame) -> DataFrame:
     """(genome1, genome2, mutual, singular1, singular2, loner1, loner2) of each ordered pair genome1 < genome2."""
-    one = mutual_best_hits(best).select("q_genome", "s_genome", F.lit("mutual").alias("kind")).unionByName(singular_best_hits(best).select("q_genome", "s_genome", F.lit("singular").alias("kind"))).unionByName(
-        loners(genes, best).select(F.col("genome").alias("q_genome"), F.col("other").alias("s_genome"), F.lit("loner").alias("kind")))
+    tallied = classify_hits(best).groupBy("q_genome", "s_genome").agg(F.count_if(F.col("kind") == "mutual").alias("mutual"), F.count_if(F.col("kind") == "singular").alias("singular"), F.count("kind").alias("used"))
+    sizes = genes.groupBy("genome").agg(F.countDistinct("gene").alias("n_genes"))  # a row a genome, as below a row a pair
+    pairs = sizes.select(F.col("genome").alias("q_genome"), "n_genes").join(F.broadcast(sizes.select(F.col("genome").alias("s_genome"))), F.col("q_genome") != F.col("s_genome"))
+    whole = pairs.join(tallied, ["q_genome", "s_genome"], "left").fillna(0, ["mutual", "singular", "used"]).withColumn("loner", F.col("n_genes") - F.col("used"))
     first = F.col("q_genome") < F.col("s_genome")
-    n = lambda kind, cond: F.count_if((F.col("kind") == kind) & cond)
-    return one.groupBy(F.least("q_genome", "s_genome").alias("genome1"), F.greatest("q_genome", "s_genome").alias("genome2")).agg(
-        n("mutual", first).alias("mutual"), n("singular", first).alias("singular1"), n("singular", ~first).alias("singular2"), n("loner", first).alias("loner1"), n("loner", ~first).alias("loner2"))
+    side = lambda c, cond: F.sum(F.when(cond, F.col(c)))
+    return whole.groupBy(F.least("q_genome", "s_genome").alias("genome1"), F.greatest("q_genome", "s_genome").alias("genome2")).agg(
+        side("mutual", first).alias("mutual"), side("singular", first).alias("singular1"), side("singular", ~first).alias("singular2"), side("loner", first).alias("loner1"), side("loner", ~first).alias("loner2"))
 
 
 def set_stats(genes: DataFrame, annotations: DataFrame, paralog: DataFrame) -> DataFrame:
@@ -143,17 +170,16 @@ def merge_profile(best: DataFrame, genes: DataFrame, annotations: DataFrame, gen
     Rows of genome 1 (mutual, singular, loner) and singular rows of genome 2, by genome 1's contig and position; loners
     of genome 2 come last. annotations (genome, gene, annotation).
     """
-    covered = hit_coverage(best, gene_length)
+    tagged = _kept(classify_hits(hit_coverage(best, gene_length)), "profile-hits")
     hit = ["identity", "bitscore", "aln_len", "gap_opens", "q_start", "q_end", "s_start", "s_end", "q_coverage", "s_coverage"]
     forward = F.col("q_genome") < F.col("s_genome")
-    both = mutual_best_hits(covered).where(forward).withColumn("row_type", F.lit("genome1_mutual")).unionByName(
-        singular_best_hits(covered).withColumn("row_type", F.when(forward, "genome1_singular").otherwise("genome2_singular")))
+    both = tagged.where((F.col("kind") == "singular") | (F.col("kind") == "mutual") & forward).withColumn("row_type", F.concat(F.when(forward, "genome1_").otherwise("genome2_"), "kind"))
     first = F.col("row_type") != "genome2_singular"
     pick = lambda a, b: F.when(first, F.col(a)).otherwise(F.col(b))
     rows = both.select(
         pick("q_genome", "s_genome").alias("genome1"), pick("s_genome", "q_genome").alias("genome2"), "row_type", pick("q_gene", "s_gene").alias("gene1"), pick("s_gene", "q_gene").alias("gene2"),
         *hit[:8], pick("q_coverage", "s_coverage").alias("g1_coverage"), pick("s_coverage", "q_coverage").alias("g2_coverage"))
-    alone = loners(genes, best)
+    alone = _alone(genes, tagged)
     rows = rows.unionByName(alone.where("genome < other").select(F.col("genome").alias("genome1"), F.col("other").alias("genome2"), F.lit("genome1_loner").alias("row_type"), F.col("gene").alias("gene1")), allowMissingColumns=True)
     rows = rows.unionByName(alone.where("genome > other").select(F.col("other").alias("genome1"), F.col("genome").alias("genome2"), F.lit("genome2_loner").alias("row_type"), F.col("gene").alias("gene2")), allowMissingColumns=True)
     located = genes.join(annotations, ["genome", "gene"], "left")

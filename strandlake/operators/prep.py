@@ -23,6 +23,13 @@ def missing_accessions(members: DataFrame, sequences: DataFrame) -> DataFrame:
     return members.select("accession").distinct().join(sequences.select(accession_of(F.col("header")).alias("accession")), "accession", "left_anti")
 
 
+def tag_families_from_tables(sequences: DataFrame, members: DataFrame) -> DataFrame:
+    """(kind, header, seq): the `tagged` sequences, and for each member without a sequence a `missing` row, whose header is
+    the accession."""
+    tagged = tag_families(sequences, members).select(F.lit("tagged").alias("kind"), "header", "seq")
+    return tagged.unionByName(missing_accessions(members, sequences).select(F.lit("missing").alias("kind"), F.col("accession").alias("header"), F.lit(None).cast("string").alias("seq")))
+
+
 def distinct_accessions(members: DataFrame) -> DataFrame:
     """(accession, first_family): each accession once."""
     return members.groupBy("accession").agg(F.min("family_id").alias("first_family"))

@@ -14,12 +14,13 @@ def _hits(s, d):
 
 
 def _targets(s, d):
-    """HMM hits: the first family of each hit's header; their domains are the hits themselves."""
-    return _hits(s, d).selectExpr("gene", "substring_index(header, '|', 1) AS target").distinct()
+    """HMM hits: the first family of each hit's header; their domains are the hits themselves. A third has no description."""
+    return _hits(s, d).selectExpr("gene", "substring_index(header, '|', 1) AS target").distinct().withColumn("description", F.expr("CASE WHEN gene % 3 = 0 THEN '' ELSE concat('domain of ', gene) END"))
 
 
 def _domains(s, d):
-    return _hits(s, d).selectExpr("gene", "substring_index(header, '|', 1) AS target", "identity AS score", "start AS `from`", "`end` AS `to`", "aln_len AS number")
+    return _hits(s, d).selectExpr("gene", "substring_index(header, '|', 1) AS target", "identity AS score", "concat('1e-', start) AS c_evalue", "concat('1e-', `end`) AS i_evalue", "start AS hmm_from", "`end` AS hmm_to",
+                                  "start + 1 AS ali_from", "`end` + 1 AS ali_to", "start AS env_from", "`end` + 2 AS env_to", "'0.9' AS acc", "aln_len AS number")
 
 
 def _lookups(s, d):
@@ -42,6 +43,11 @@ ROWS = """r AS (SELECT p_partkey AS id, ['gene', 'functional', 'homology', 'hmm
  p_type || '; ' || p_name AS description, p_partkey * 90 + 1 AS start, p_partkey * 90 + 90 AS "end", CASE WHEN p_size % 2 = 0 THEN '+' ELSE '-' END AS strand FROM part)"""
 
 
+def _suppliers(s, d):
+    """The genes of the hits, with sequences."""
+    return X.read(s, d, "supplier").selectExpr("s_suppkey AS gene", "s_suppkey AS gene_no", "concat('>', s_name) AS header", "lower(s_name) AS seq")
+
+
 def _described(s, d):
     families = A.family_description(_hits(s, d), X.families(s, d)).select("gene", F.lit(1).alias("rank"), F.col("description").alias("text"))
     refs = _hits(s, d).join(A.dbxref_lookup(_hits(s, d), _lookups(s, d)), "accession").select("gene", F.lit(2).alias("rank"), F.col("refs").alias("text"))
@@ -49,15 +55,15 @@ def _described(s, d):
 
 
 def _raw(s, d):
-    return X.read(s, d, "part").selectExpr("concat('>ACC', p_partkey % 900, ' ', p_name) AS header", "p_type AS seq")
+    return X.read(s, d, "part").selectExpr("concat('>ACC', p_partkey, ' ', p_name) AS header", "p_type AS seq")
 
 
-RAW = "raw AS (SELECT '>ACC' || (p_partkey % 900) || ' ' || p_name AS header, p_type AS seq FROM part)"
+RAW = "raw AS (SELECT '>ACC' || p_partkey || ' ' || p_name AS header, p_type AS seq FROM part)"
 PATTERNS = {"digits": r"ACC\d+ ", "ring": "ring", "small": "small"}
 
 
 def _reported(s, d):
-    return X.read(s, d, "part").where("p_partkey < 320").selectExpr("concat('VOG', lpad(p_partkey, 5, '0')) AS family_id", "cast(p_size as bigint) AS n_reported")
+    return X.read(s, d, "part").selectExpr("concat('VOG', lpad(p_partkey, 9, '0')) AS family_id", "cast(p_size as bigint) AS n_reported")
 
 
 def _counted(s, d):
@@ -71,11 +77,12 @@ QUERIES = {
     "attach_domains": lambda s, d: A.attach_domains(_targets(s, d), _domains(s, d)).select("gene", "target", F.size("domains").alias("n_domains"), F.expr("aggregate(domains, 0L, (a, x) -> a + x.score)").alias("total_score"), F.expr("domains[0].number").alias("first_number")),
     "annotate_profile": lambda s, d: A.annotate_profile(_targets(s, d), _domains(s, d), X.families(s, d)),
     "extract_family_ids": lambda s, d: A.extract_family_ids(_hits(s, d)),
-    "family_groups": lambda s, d: A.family_groups(_hits(s, d), X.family_members(s, d)),
+    "family_groups": lambda s, d: A.family_groups(_hits(s, d), X.family_members(s, d), _suppliers(s, d), _raw(s, d).select(R.accession_of(F.col("header")).alias("accession"), "header", "seq")),
     "dbxref_lookup": lambda s, d: A.dbxref_lookup(_hits(s, d), _lookups(s, d)),
     "taxonomy_lookup": lambda s, d: A.taxonomy_lookup(_hits(s, d), X.read(s, d, "supplier").selectExpr("concat('ACC', s_suppkey) AS accession", "s_nationkey AS taxid")),
     "header_info_lookup": lambda s, d: A.header_info_lookup(_hits(s, d), _headers(s, d)),
     "family_description": lambda s, d: A.family_description(_hits(s, d), X.families(s, d)),
+    "family_description_header": lambda s, d: A.header_description(_hits(s, d)),
     "family_category": lambda s, d: A.family_category(X.families(s, d).withColumn("line", F.concat_ws(" ", F.when(F.col("category") != "Xu", F.col("category")), "description"))),
     "enzyme_codes": lambda s, d: A.enzyme_codes(_hits(s, d).select("header").distinct(), X.families(s, d).select(F.col("family_id").alias("code"), F.col("description").alias("activity"))),
     "describe_annotations": _described,
@@ -84,7 +91,7 @@ QUERIES = {
     "parse_gff_annotation": lambda s, d: A.parse_gff_annotation(_rows(s, d).selectExpr("id", "concat('ID=', id, '; name=', translate(name, ';', ','), ';type=', type, '=x; flag;') AS attributes")),
     "count_annotations": _counted,
     "tag_families": lambda s, d: R.tag_families(_raw(s, d), X.family_members(s, d)),
-    "tag_families_from_tables": lambda s, d: R.missing_accessions(X.family_members(s, d), _raw(s, d).where("seq <> 'ECONOMY'")),
+    "tag_families_from_tables": lambda s, d: R.tag_families_from_tables(_raw(s, d).where("seq <> 'ECONOMY'"), X.family_members(s, d)),
     "distinct_accessions": lambda s, d: R.distinct_accessions(X.family_members(s, d)),
     "family_counts": lambda s, d: R.family_counts(X.family_members(s, d), _reported(s, d)),
     "check_tagging": lambda s, d: R.check_tagging(_raw(s, d), R.tag_families(_raw(s, d), X.family_members(s, d))),
@@ -94,22 +101,25 @@ QUERIES = {
 _LOOKUPS = """lookups AS (SELECT 'enzyme' AS kind, 'ACC' || s_suppkey AS key, s_name AS value FROM supplier UNION ALL SELECT 'pfam', 'ACC' || n_nationkey, n_name FROM nation UNION ALL SELECT 'tax', 'ACC' || (s_suppkey % 50), s_name FROM supplier),
 refs AS (SELECT key AS accession, count(*) AS n_refs, string_agg(DISTINCT kind || '=' || value, ' | ' ORDER BY kind || '=' || value) AS refs FROM lookups WHERE key IN (SELECT accession FROM annotation_hits) GROUP BY key)"""
 _IDS = "ids AS (SELECT DISTINCT gene, unnest(regexp_extract_all(header, 'VOG[0-9]+')) AS family_id FROM annotation_hits)"
-_DOMAINS = "dom AS (SELECT gene, split_part(header, '|', 1) AS target, identity AS score, start AS f, \"end\" AS t, aln_len AS number FROM annotation_hits)"
-_HMM = "SELECT gene, target AS name, CAST(count(*) AS INTEGER) AS n_domains, string_agg('domain=' || number || ' score=' || score || ' from=' || f || ' to=' || t, '; ' ORDER BY number, score, f, t) AS evidence FROM dom GROUP BY gene, target"
+_DOMAINS = "dom AS (SELECT gene, split_part(header, '|', 1) AS target, identity AS score, start AS f, \"end\" AS t, aln_len AS number, CASE WHEN gene % 3 = 0 THEN '' ELSE 'domain of ' || gene END AS descr FROM annotation_hits)"
+_HMM = """SELECT gene, 'hmmscan' AS method, '{}' AS type, '{}' AS category, target AS name, {} AS description, '1' AS start, 'N' AS "end", target AS vog_ids, CAST(count(*) AS INTEGER) AS n_domains, string_agg('domainNo:' || number || '|score:' || score || '|c-E:1e-' || f || '|i-E:1e-' || t
+ || '|hmmFrom:' || f || '|hmmTo:' || t || '|alignFrom:' || (f + 1) || '|alignTo:' || (t + 1) || '|envFrom:' || f || '|envTo:' || (t + 2) || '|acc:0.9|', '; ' ORDER BY number, score, '1e-' || f, '1e-' || t, f, t) AS evidence FROM dom {} GROUP BY gene, target"""
 _TAGGED = "tagged AS (SELECT '>' || tag || '|' || ltrim(header, '>') AS header, seq FROM raw JOIN (SELECT accession, string_agg(DISTINCT family_id, '|' ORDER BY family_id) AS tag FROM family_members GROUP BY accession) ON accession = regexp_extract(header, '^>*([^ ]+)', 1))"
 _DEDUPE = "list_filter(s, lambda x, i: list_position(s, x) = i)"
 SQL = {
-    "annotate_blast": X.sql(X.ANNOTATION_HITS, select="SELECT gene, 'blast' AS source, 'blast' AS method, header AS name, start, \"end\", printf('identity=%.2f; alignlen=%d', CAST(identity AS DOUBLE), aln_len) AS evidence, array_to_string(" + _DEDUPE + ", ',') AS vog_ids FROM (SELECT *, regexp_extract_all(header, 'VOG[0-9]+') AS s FROM annotation_hits WHERE identity >= 80)"),
-    "annotate_hmm": X.sql(X.ANNOTATION_HITS, _DOMAINS, select=_HMM),
+    "annotate_blast": X.sql(X.ANNOTATION_HITS, select="SELECT gene, 'blast' AS source, 'blast' AS method, header AS name, start, \"end\", printf('identity=%.2f; alignlen=%d; evalue=%s', CAST(identity AS DOUBLE), aln_len, evalue) AS evidence, array_to_string(" + _DEDUPE + ", ',') AS vog_ids FROM (SELECT *, regexp_extract_all(header, 'VOG[0-9]+') AS s FROM annotation_hits WHERE identity >= 80)"),
+    "annotate_hmm": X.sql(X.ANNOTATION_HITS, _DOMAINS, select=_HMM.format("hmm search", "sequence", "min(descr)", "")),
     "attach_domains": X.sql(X.ANNOTATION_HITS, _DOMAINS, select="SELECT gene, target, CAST(count(*) AS INTEGER) AS n_domains, CAST(sum(score) AS BIGINT) AS total_score, min(number) AS first_number FROM dom GROUP BY gene, target"),
-    "annotate_profile": X.sql(X.ANNOTATION_HITS, X.FAMILIES, _DOMAINS, select=f"SELECT h.*, description FROM ({_HMM}) h LEFT JOIN families ON family_id = name"),
+    "annotate_profile": X.sql(X.ANNOTATION_HITS, X.FAMILIES, _DOMAINS, select=_HMM.format("profile search", "hmm", "coalesce(nullif(min(descr), ''), min(families.description))", "LEFT JOIN families ON family_id = target")),
     "extract_family_ids": X.sql(X.ANNOTATION_HITS, _IDS, select="SELECT * FROM ids"),
-    "family_groups": X.sql(X.ANNOTATION_HITS, X.FAMILIES, _IDS, select="SELECT gene, family_id, CAST(group_no AS INTEGER) AS group_no, accession FROM (SELECT *, dense_rank() OVER (PARTITION BY gene ORDER BY family_id) AS group_no FROM ids) JOIN family_members USING (family_id)"),
+    "family_groups": X.sql(X.ANNOTATION_HITS, X.FAMILIES, RAW, _IDS, "gr AS (SELECT gene, s_suppkey AS gene_no, family_id, CAST(dense_rank() OVER (PARTITION BY gene ORDER BY family_id) AS INTEGER) AS group_no, s_name FROM ids JOIN supplier ON s_suppkey = gene)",
+        select="SELECT gene, gene_no, family_id, group_no, 0 AS place, '>' || s_name AS header, lower(s_name) AS seq FROM gr UNION ALL SELECT gene, gene_no, family_id, group_no, 1, header, seq FROM gr JOIN family_members USING (family_id) JOIN raw ON accession = regexp_extract(header, '^>*([^ ]+)', 1)"),
     "dbxref_lookup": X.sql(X.ANNOTATION_HITS, _LOOKUPS, select="SELECT * FROM refs"),
-    "taxonomy_lookup": X.sql(X.ANNOTATION_HITS, select="SELECT DISTINCT header, 'NCBItaxID=' || s_nationkey AS taxonomy FROM annotation_hits JOIN supplier ON 'ACC' || s_suppkey = split_part(split_part(header, '|', 4), ' ', 1)"),
+    "taxonomy_lookup": X.sql(X.ANNOTATION_HITS, select="SELECT DISTINCT header, 'NCBItaxID=' || s_nationkey AS taxonomy, 'https://www.ncbi.nlm.nih.gov/Taxonomy/Browser/wwwtax.cgi?id=' || s_nationkey AS link FROM annotation_hits JOIN supplier ON 'ACC' || s_suppkey = split_part(split_part(header, '|', 4), ' ', 1)"),
     "header_info_lookup": X.sql(X.ANNOTATION_HITS, select="SELECT DISTINCT accession, p_brand || ' | ' || p_type AS info FROM annotation_hits JOIN part ON accession = 'ACC' || p_partkey"),
     "family_description": X.sql(X.ANNOTATION_HITS, X.FAMILIES, _IDS, select="SELECT gene, family_id, description FROM ids JOIN families USING (family_id)"),
-    "family_category": X.sql(X.FAMILIES, select="SELECT family_id, CASE category WHEN 'Xr' THEN 'replication' WHEN 'Xs' THEN 'structure' WHEN 'Xh' THEN 'host benefit' WHEN 'Xp' THEN 'phage benefit' ELSE 'unknown' END AS label FROM families"),
+    "family_description_header": X.sql(X.ANNOTATION_HITS, _IDS, select="SELECT DISTINCT gene, unnest(regexp_extract_all(header, 'VOG[0-9]+')) AS family_id, 'protein ' || split_part(header, ' protein ', 2) AS description FROM annotation_hits"),
+    "family_category": X.sql(X.FAMILIES, select="SELECT family_id, CASE category WHEN 'Xr' THEN 'Virus replication:' WHEN 'Xs' THEN 'Virus structure:' WHEN 'Xh' THEN 'Virus protein w/benefit for host:' WHEN 'Xp' THEN 'Virus protein w/benefit for virus:' ELSE '' END || description AS label FROM families"),
     "enzyme_codes": X.sql(X.ANNOTATION_HITS, X.FAMILIES, select="SELECT header, CAST(i - 1 AS INTEGER) AS position, s[i] AS code, description AS activity FROM (SELECT header, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT DISTINCT header, string_split(header, '|') AS s FROM annotation_hits)) JOIN families ON family_id = s[i]"),
     "describe_annotations": X.sql(X.ANNOTATION_HITS, X.FAMILIES, _IDS, _LOOKUPS, select="SELECT gene, string_agg(t, ' | ' ORDER BY rank, t) AS description FROM (SELECT gene, 1 AS rank, description AS t FROM ids JOIN families USING (family_id) UNION SELECT gene, 2, refs FROM annotation_hits JOIN refs USING (accession)) GROUP BY gene"),
     "dedupe_list": X.sql(X.ANNOTATION_HITS, select=f"SELECT gene, accession, header, array_to_string({_DEDUPE}, ',') AS ids FROM (SELECT *, string_split(split_part(header, ' ', 1), '|') AS s FROM annotation_hits)"),
@@ -120,9 +130,9 @@ SQL = {
     "parse_gff_annotation": X.sql(ROWS, select="""SELECT id, 0 AS position, 'ID' AS key, CAST(id AS VARCHAR) AS value FROM r UNION ALL SELECT id, 1, 'name', replace(name, ';', ',') FROM r UNION ALL SELECT id, 2, 'type', type || '=x' FROM r UNION ALL SELECT id, 3, 'flag', '' FROM r"""),
     "count_annotations": "SELECT genome, mol_type, count(*) AS n FROM (SELECT 'genome' || (l_suppkey % 4) AS genome, ['gene', 'protein', 'trna'][l_partkey % 3 + 1] AS mol_type FROM lineitem) GROUP BY ROLLUP (genome, mol_type)",
     "tag_families": X.sql(X.FAMILIES, RAW, _TAGGED, select="SELECT * FROM tagged"),
-    "tag_families_from_tables": X.sql(X.FAMILIES, RAW, select="SELECT DISTINCT accession FROM family_members WHERE accession NOT IN (SELECT regexp_extract(header, '^>*([^ ]+)', 1) FROM raw WHERE seq <> 'ECONOMY')"),
+    "tag_families_from_tables": X.sql(X.FAMILIES, RAW, _TAGGED, select="SELECT 'tagged' AS kind, header, seq FROM tagged WHERE seq <> 'ECONOMY' UNION ALL SELECT DISTINCT 'missing', accession, NULL FROM family_members WHERE accession NOT IN (SELECT regexp_extract(header, '^>*([^ ]+)', 1) FROM raw WHERE seq <> 'ECONOMY')"),
     "distinct_accessions": X.sql(X.FAMILIES, select="SELECT accession, min(family_id) AS first_family FROM family_members GROUP BY accession"),
-    "family_counts": X.sql(X.FAMILIES, select="SELECT family_id, coalesce(n_found, 0) AS n_found, coalesce(n_reported, 0) AS n_reported, coalesce(n_found, 0) <> coalesce(n_reported, 0) AS mismatch FROM (SELECT family_id, count(*) AS n_found FROM family_members GROUP BY family_id) FULL JOIN (SELECT 'VOG' || lpad(CAST(p_partkey AS VARCHAR), 5, '0') AS family_id, CAST(p_size AS BIGINT) AS n_reported FROM part WHERE p_partkey < 320) USING (family_id)"),
+    "family_counts": X.sql(X.FAMILIES, select="SELECT family_id, coalesce(n_found, 0) AS n_found, coalesce(n_reported, 0) AS n_reported, coalesce(n_found, 0) <> coalesce(n_reported, 0) AS mismatch FROM (SELECT family_id, count(*) AS n_found FROM family_members GROUP BY family_id) FULL JOIN (SELECT 'VOG' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS family_id, CAST(p_size AS BIGINT) AS n_reported FROM part) USING (family_id)"),
     "check_tagging": X.sql(X.FAMILIES, RAW, _TAGGED, "h AS (SELECT header, count(*) AS n FROM raw GROUP BY header)", "g AS (SELECT header, count(*) AS n FROM tagged GROUP BY header)", "st AS (SELECT '>' || regexp_replace(header, '^>(VOG[0-9]+[|])+', '') AS header FROM tagged)",
         select="SELECT 'raw unique' AS \"check\", count_if(n = 1) AS n FROM h UNION ALL SELECT 'raw repeated', count_if(n > 1) FROM h UNION ALL SELECT 'tagged unique', count_if(n = 1) FROM g UNION ALL SELECT 'tagged repeated', count_if(n > 1) FROM g UNION ALL SELECT 'matched', count(*) FROM h WHERE header IN (FROM st) UNION ALL SELECT 'missing', count(*) FROM h WHERE header NOT IN (FROM st)"),
     "header_pattern_profile": X.sql(RAW, "f AS (SELECT CAST(regexp_matches(header, 'ACC[0-9]+ ') AS INTEGER) AS a, CAST(contains(header, 'ring') AS INTEGER) AS b, CAST(contains(header, 'small') AS INTEGER) AS c FROM raw)",

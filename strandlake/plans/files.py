@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake import fixtures as X
+from strandlake.functions import sequence as Q
 from strandlake.operators import calls as C
 from strandlake.operators import genomics as G
 from strandlake.operators import hits as H
@@ -95,29 +96,29 @@ def _cgc(s, d):
     return RC.cgc(s, _put(s, text.select("value"), "cgc")).select("caller", *OUT)
 
 
-BLAST = "q_genome || ':' || q_gene AS query, s_genome || ':' || s_gene AS subject, identity - 0.5 AS identity, aln_len, 0 AS mismatches, gap_opens, q_start, q_end, s_start, s_end, 0.001 AS evalue, CAST(bitscore AS DOUBLE) AS bitscore"
+BLAST = "q_genome || ':' || q_gene AS query, s_genome || ':' || s_gene AS subject, greatest(identity - 0.5, 0) AS identity, aln_len, 0 AS mismatches, gap_opens, q_start, q_end, s_start, s_end, 0.001 AS evalue, CAST(bitscore AS DOUBLE) AS bitscore"
 
 
 def _blast_text(s, d):
-    rows = X.hits(s, d).selectExpr("concat_ws('\t', concat(q_genome, ':', q_gene), concat(s_genome, ':', s_gene), identity - 0.5, aln_len, 0, gap_opens, q_start, q_end, s_start, s_end, '1e-3', bitscore) AS value")
+    rows = X.hits(s, d).selectExpr("concat_ws('\t', concat(q_genome, ':', q_gene), concat(s_genome, ':', s_gene), greatest(identity - 0.5, 0), aln_len, 0, gap_opens, q_start, q_end, s_start, s_end, '1e-3', bitscore) AS value")
     return _put(s, rows.unionByName(s.range(1).selectExpr("'# BLASTP 2.9.0+' AS value")), "blast")
 
 
 def _blast_xml(s, d):
     hit = F.expr("concat('<Hit><Hit_num>', s_gene, '</Hit_num><Hit_def>protein ', s_gene, ' [', s_genome, ']</Hit_def><Hit_accession>A', s_gene, '</Hit_accession><Hit_len>90</Hit_len><Hit_hsps><Hsp><Hsp_num>1</Hsp_num><Hsp_bit-score>', bitscore, '</Hsp_bit-score><Hsp_evalue>0.1</Hsp_evalue><Hsp_query-from>', q_start, '</Hsp_query-from><Hsp_query-to>', q_end, '</Hsp_query-to><Hsp_hit-from>', s_start, '</Hsp_hit-from><Hsp_hit-to>', s_end, '</Hsp_hit-to><Hsp_identity>', identity, '</Hsp_identity><Hsp_align-len>', aln_len + 100, '</Hsp_align-len></Hsp></Hit_hsps></Hit>')")
-    text = X.candidates(s, d).groupBy("q_genome", "q_gene").agg(F.array_join(F.collect_list(hit), "").alias("h")).selectExpr("q_genome", "concat('<Iteration><Iteration_query-def>', q_genome, ':', q_gene, '</Iteration_query-def><Iteration_hits>', h, '</Iteration_hits></Iteration>') AS i")
-    whole = text.groupBy("q_genome").agg(F.concat(F.lit("<BlastOutput><BlastOutput_iterations>\n"), F.array_join(F.collect_list("i"), "\n"), F.lit("\n</BlastOutput_iterations></BlastOutput>")).alias("value"))
-    return RS.blast_xml(s, _put(s, whole, "xml", "q_genome") + "/*").drop("hsps", "q_genome")
+    text = X.candidates(s, d).groupBy("q_genome", "q_gene").agg(F.array_join(F.collect_list(hit), "").alias("h")).selectExpr("q_genome", "q_gene div 100 AS block", "concat('<Iteration><Iteration_query-def>', q_genome, ':', q_gene, '</Iteration_query-def><Iteration_hits>', h, '</Iteration_hits></Iteration>') AS i")
+    whole = text.groupBy("q_genome", "block").agg(F.concat(F.lit("<BlastOutput><BlastOutput_iterations>\n"), F.array_join(F.collect_list("i"), "\n"), F.lit("\n</BlastOutput_iterations></BlastOutput>")).alias("value"))
+    return RS.blast_xml(s, W.write_lines(whole.select("value"), fresh(s, "xml"), per_file=1)).drop("hsps")
 
 
 def _hmm_tbl(s, d):
     rows = X.candidates(s, d).selectExpr("concat_ws('  ', concat('VOG', s_gene), '-', concat(q_genome, ':', q_gene), '-', '1e-5', bitscore, '0.1', '1e-4', identity, '0.2', '1.0', 1, 0, 0, 1, gap_opens, 1, 1, concat('tail fiber ', s_genome)) AS value")
-    return RS.hmm_tbl(s, _put(s, rows, "tbl")).select("target", "query", "score", "best_score", "n_domains", "description")
+    return RS.hmm_tbl(s, _put(s, rows, "tbl"))
 
 
 def _hmm_domtbl(s, d):
     rows = X.candidates(s, d).selectExpr("concat_ws(' ', concat('VOG', s_gene), '-', 90, concat(q_genome, ':', q_gene), '-', 90, '1e-5', bitscore, '0.1', 1, 2, '1e-3', '1e-4', identity, '0.2', s_start, s_end, q_start, q_end, q_start, q_end, '0.9', concat('fiber ', s_genome)) AS value")
-    return RS.hmm_domtbl(s, _put(s, rows, "domtbl")).select("target", "query", "score", "number", "domain_score", "hmm_from", "hmm_to", "ali_from", "ali_to", "acc", "description")
+    return RS.hmm_domtbl(s, _put(s, rows, "domtbl"))
 
 
 def _trna(s, d):
@@ -145,18 +146,63 @@ def _lookup(s, d):
     return RT.lookup(s, _put(s, X.read(s, d, "supplier").selectExpr("concat('ACC', s_suppkey, '\t', s_name, ' of ', s_nationkey) AS value"), "lookup"), "enzyme")
 
 
+def _accession_taxa(s, d):
+    head = s.range(1).selectExpr("concat_ws('\t', 'accession', 'accession.version', 'taxid', 'gi') AS value")
+    rows = X.read(s, d, "supplier").selectExpr("concat_ws('\t', concat('ACC', s_suppkey), concat('ACC', s_suppkey, '.1'), s_nationkey, s_suppkey + 7) AS value")
+    return RT.accession_taxa(s, _put(s, head.unionByName(rows), "taxa"))
+
+
+# of each source: the reader, the line that names what the lines below belong to, a sound line and one that doesn't fit
+BAD = "concat('line ', p_partkey, ' fits not')"
+REJECTING = {
+    "fasta": (RT.fasta, None, "concat('>a ', p_partkey, '\nacgt')", "concat('>no sequence ', p_partkey)"),
+    "gff3": (RC.gff3, None, "concat_ws('\t', 'c', 't', 'CDS', 1, 90, '.', '+', '0', '.')", "concat_ws('\t', 'c', 't', 'CDS', 1, concat('x', p_partkey), '.', '+', '0', '.')"),
+    "genemark_lst": (RC.genemark_lst, "FASTA definition line: c length=900", "'   1  +  <1  90  90  1'", BAD),
+    "glimmer": (RC.glimmer, ">c", "'orf1 1 90 +1 7.5'", BAD),
+    "prodigal": (RC.prodigal, "# Sequence Data: seqnum=1;seqlen=900;seqhdr=\"c\"", "'>1_1_90_+'", BAD),
+    "phanotate": (RC.phanotate, None, "concat_ws('\t', '<1', '>90', '+', 'c')", "concat(p_partkey, ' 90 + c')"),
+    "rast": (RC.rast, None, "concat_ws('\t', 'c', 't', 'CDS', 1, 90, '.', '+', '0', '.')", BAD),
+    "genbank_headers": (RC.genbank_headers, None, "concat('>lcl|NC_000001.1_', p_partkey, ' [location=1..90]')", "concat('>lcl|NC_000001.1_', p_partkey, ' [location=unknown]')"),
+    "ncbi_gene_headers": (RC.ncbi_gene_headers, None, "'>a # 1 # 90 # 1 # ID=1'", "concat('>a # 1 # 90 # ', p_partkey + 7, ' # ID=1')"),
+    "cgc": (RC.cgc, "# glimmer gene calls", "concat_ws('\t', 1, '+', 1, 90, 90, 'c')", BAD),
+    "blast_tab": (RS.blast_tab, None, "concat_ws('\t', 'q', 's', 99.5, 90, 0, 0, 1, 90, 1, 90, '1e-3', 50)", BAD),
+    "hmm_tbl": (RS.hmm_tbl, None, "'t - q - 1e-5 5 0.1 1e-4 4 0.2 1.0 1 0 0 1 1 1 1 tail fiber'", BAD),
+    "hmm_domtbl": (RS.hmm_domtbl, None, "'t - 90 q - 90 1e-5 5 0.1 1 2 1e-3 1e-4 4 0.2 1 9 1 9 1 9 0.9 fiber'", BAD),
+    "trna": (RT.trna, None, "concat_ws('\t', 'c', 1, 1, 90, 'Met', 'CAT', 0, 0, 7.5, '')", BAD),
+    "family_members": (RT.family_members, None, "concat_ws('\t', 'VOG1', 1, 1, 'x', 'A,B')", BAD),
+    "family_annotations": (RT.family_annotations, None, "concat_ws('\t', 'VOG1', 3, 2, 'Xr', 'text')", BAD),
+    "family_tables": (RT.family_tables, "#VOG1: has 1 proteins from 1 genomes", "concat_ws('\t', 'VOG1', 'species', 'NC_1', 'ACC', '1..9', 1)", BAD),
+    "lookup_kv": (lambda s, path, rejects: RT.lookup(s, path, "enzyme", rejects=rejects), None, "concat_ws('\t', 'ACC1', 'value')", BAD),
+    "accession_taxa": (RT.accession_taxa, None, "concat_ws('\t', 'ACC1', 'ACC1.1', 5, 7)", BAD),
+    "profile_report": (RT.profile_report, "#GENE HITS", "concat('1', repeat('\t', 29))", "concat(p_partkey, ' is no row')"),
+    "paralog_report": (RT.paralog_report, "PARALOGS for genome /data/g.fasta\nGene Paralogs", "concat('query:1\tsubject:2\tgene_paralog\t99\ncoverage:80')", "concat('query:', p_partkey, '\tsubject:2\tgene_paralog\tnone')"),
+    "pair_log": (RT.pair_log, None, "'genome file #1: /data/in/a.fasta'", "concat('genome file #1: ', p_partkey)"),
+}
+
+
+def _rejects(s, d):
+    """(source, line): every third part makes a line that doesn't fit; sources are read one by one."""
+    parts, out = X.read(s, d, "part"), None
+    for name, (reader, head, good, bad) in REJECTING.items():
+        line = F.expr(f"CASE WHEN p_partkey % 3 = 0 THEN {bad} ELSE {good} END")
+        path = _put(s, parts.select((F.concat(F.lit(head + "\n"), line) if head else line).alias("value")), f"rejects-{name}")
+        found = reader(s, path, rejects=True).select(F.lit(name).alias("source"), "line")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def _profile_text(s, d):
     return W.profile_lines(hits._profile(s, d), "protein")
 
 
 def _profile_report(s, d):
-    found = RT.profile_report(s, _put(s, _profile_text(s, d), "profile", "pair"))
+    found = RT.profile_report(s, _put(s, _profile_text(s, d), "profile", "pair") + "/*")
     return found.select("mol_type", F.col("sort_pos").alias("ord"), "row_type", "g1_header", "g1_contig", "g1_annotation", "g2_header", "g2_start", "g2_end", "g1_coverage", "g2_coverage", "aln_len", "role1")
 
 
 def _paralog_report(s, d):
     text = W.paralog_lines(H.paralogs(X.hits(s, d), X.genome_genes(s, d)))
-    return RT.paralog_report(s, _put(s, text, "paralogs"))
+    return RT.paralog_report(s, _put(s, text, "paralogs", "genome") + "/*")
 
 
 def _pair_log(s, d):
@@ -176,9 +222,30 @@ def _texts(s, d):
     return genes, notes
 
 
+def _trnas(s, d):
+    return X.read(s, d, "part").where("p_size % 5 = 0").selectExpr("concat('contig', p_partkey % 20) AS contig", "concat('tRNA-Met(CAT)-', p_partkey) AS label", "p_partkey * 90 + 5 AS start", "p_partkey * 90 + 80 AS `end`", "'+' AS strand", "p_size AS score")
+
+
+def _genome_headers(s, d):
+    genes, notes = _texts(s, d)
+    placed = genes.selectExpr("concat('genome', cast(gene as bigint) % 4) AS genome", "contig", "gene")
+    genomes = s.range(5).selectExpr("concat('genome', id) AS genome", "concat('name ', id) AS name", "'phage' AS kind")
+    return lines(s, _put(s, W.genome_header_lines(genomes, placed, notes), "genome-headers")).select("line")
+
+
+FORMS = ("full", "short", "trunc", "compound", "cgp")
+
+
 def _emit_fasta(s, d):
+    """Every form of header, a folder each."""
     rows = sequences._headers(s, d).withColumn("seq", F.concat(F.lit("acgt"), F.lower("parent")))
-    return RT.fasta(s, _put(s, W.fasta_lines(rows, F.regexp_replace("header", "^>", ""), upper=True), "fasta")).select("header", "seq")
+    forms = Q.header_variants(F.col("header"), F.col("parent"), F.lit("gene"), F.col("ord")) | {"cgp": Q.cgp_header(F.col("ord"), F.lit("+"), F.lit(1), F.lit(90))}
+    texts = [W.fasta_lines(rows, forms[form], upper=True).withColumn("form", F.lit(form)) for form in FORMS]
+    whole = texts[0]
+    for more in texts[1:]:
+        whole = whole.unionByName(more)
+    found = RT.fasta(s, _put(s, whole, "fasta", "form") + "/*")
+    return found.select(F.regexp_extract("file", "form=([^/]+)", 1).alias("form"), "header", "seq")
 
 
 def _emit_group_fasta(s, d):
@@ -192,7 +259,7 @@ def _emit_reports(s, d):
     edges, genes, paralogs = genomics._edges(s, d), genomics._genes(s, d), genomics._paralogs(s, d)
     where = W.write_reports(fresh(s, "reports"), mutual=G.hit_lists(edges, "mutual"), singular=G.hit_lists(edges, "singular"), loners=G.genomic_loners(genes, edges), core=G.core_genome(edges, genes, "genome0"),
                             paralogs=G.genomic_paralogs(paralogs), correspondences=G.correspondences(edges, "genome0"), groups=G.homology_groups(genes.where("genome = 'genome0'"), edges, paralogs))
-    found = [s.read.parquet(path).agg(F.lit(name).alias("report"), F.count("*").alias("n")) for name, path in where.items()]
+    found = [(df := s.read.parquet(path)).select(F.lit(name).alias("report"), W.tabbed(*df.columns).alias("line")) for name, path in where.items()]
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -237,11 +304,16 @@ QUERIES = {
     "emit_cgc_common_core": lambda s, d: _emitted(s, d, "common_core"),
     "emit_calls_gff": lambda s, d: _written(s, W.calls_gff_lines(C.consensus_calls(X.gene_calls(s, d))), "calls-gff"),
     "emit_flat_calls": lambda s, d: _written(s, W.flat_calls_lines(X.gene_calls(s, d)), "flat"),
-    "emit_annotation_gff": lambda s, d: _written(s, W.annotation_gff_lines(*_texts(s, d)), "annotation-gff"),
+    "emit_annotation_gff": lambda s, d: _written(s, W.annotation_gff_lines(*_texts(s, d), _trnas(s, d)), "annotation-gff"),
     "emit_annotation_tsv": lambda s, d: _written(s, W.annotation_tsv_lines(*_texts(s, d)), "annotation-tsv"),
     "emit_fasta": _emit_fasta,
-    "emit_profile_report": lambda s, d: lines(s, _put(s, _profile_text(s, d), "report", "pair") + "/*").groupBy(F.regexp_extract("file", "pair=([^/]+)", 1).alias("pair")).agg(F.count("*").alias("n_lines")),
-    "emit_paralogs": lambda s, d: _written(s, W.paralog_lines(H.paralogs(X.hits(s, d), X.genome_genes(s, d))), "emit-paralogs").groupBy(F.regexp_extract("line", "^(query|coverage|PARALOGS|Gene)", 1).alias("kind")).agg(F.count("*").alias("n")),
+    "emit_profile_report": lambda s, d: lines(s, _put(s, _profile_text(s, d), "report", "pair") + "/*").select(F.regexp_extract("file", "pair=([^/]+)", 1).alias("pair"), "line"),
+    "emit_paralogs": lambda s, d: lines(s, _put(s, W.paralog_lines(H.paralogs(X.hits(s, d), X.genome_genes(s, d))), "emit-paralogs", "genome") + "/*").select(F.regexp_extract("file", "genome=([^/]+)", 1).alias("genome"), "line"),
+    "emit_flat_calls_counts": lambda s, d: _written(s, W.caller_count_lines(X.gene_calls(s, d)), "flat-counts"),
+    "emit_annotation_tsv_header": _genome_headers,
+    "emit_group_annotations": lambda s, d: lines(s, _put(s, W.group_annotation_lines(genomics.QUERIES["group_annotations"](s, d)), "group-annotations", "group_no") + "/*").select(F.regexp_extract("file", r"group_no=(\d+)", 1).cast("int").alias("group_no"), "line"),
+    "ingest_rejects": _rejects,
+    "ingest_accession_taxa": _accession_taxa,
     "emit_group_fasta": _emit_group_fasta,
     "emit_genomics_reports": _emit_reports,
     "headers_only": lambda s, d: _written(s, W.fasta_lines(sequences._headers(s, d).withColumn("seq", F.lit("acgt")), F.regexp_replace("header", "^>", "")), "headers").where("startswith(line, '>')").withColumnRenamed("line", "header"),
@@ -258,11 +330,11 @@ SQL = {name: _GLIMMER for name in QUERIES if name.startswith("ingest_calls_")} |
     "ingest_genbank_headers": X.sql(X.GENE_CALLS, select="SELECT 'NC_000' || lpad(CAST(left_end % 1000 AS VARCHAR), 3, '0') || '.1' AS contig, left_end, right_end, CASE left_end % 3 WHEN 1 THEN '-' ELSE '+' END AS strand, contig AS locus_tag, 'tail fiber ' || left_end || CASE left_end % 3 WHEN 2 THEN ' JOINED' ELSE '' END AS protein FROM gene_calls WHERE caller = 'glimmer'"),
     "ingest_ncbi_gene_headers": X.sql(X.GENE_CALLS, select="SELECT contig || '_' || left_end AS name, left_end, right_end, strand FROM gene_calls WHERE caller = 'glimmer'"),
     "ingest_cgc": X.sql(X.GENE_CALLS, select="SELECT caller, contig, strand, left_end, right_end, length, row_number() OVER (PARTITION BY contig, caller ORDER BY left_end, right_end, strand) AS gene_no FROM gene_calls WHERE caller <> 'genemark'"),
-    "ingest_blast_tab": X.sql(X.HITS, select=f"SELECT {BLAST} FROM hits WHERE floor(identity - 0.5) >= 80"),
+    "ingest_blast_tab": X.sql(X.HITS, select=f"SELECT {BLAST} FROM hits WHERE floor(greatest(identity - 0.5, 0)) >= 80"),
     "ingest_blast_list": X.sql(X.HITS, select=f"SELECT {BLAST} FROM hits WHERE q_genome = 'genome1' AND q_gene = 7"),
     "ingest_blast_xml": X.sql(*_Q, select="SELECT q_genome || ':' || q_gene AS query, CAST(s_gene AS INTEGER) AS hit_no, 'protein ' || s_gene || ' [' || s_genome || ']' AS name, s_genome AS organism, 'A' || s_gene AS accession, 1 AS n_hsps, round(100.0 * identity / (aln_len + 100), 4) AS identity FROM candidates"),
-    "ingest_hmm_tbl": X.sql(*_Q, select="SELECT 'VOG' || s_gene AS target, q_genome || ':' || q_gene AS query, CAST(bitscore AS DOUBLE) AS score, CAST(identity AS DOUBLE) AS best_score, CAST(gap_opens AS INTEGER) AS n_domains, 'tail fiber ' || s_genome AS description FROM candidates"),
-    "ingest_hmm_domtbl": X.sql(*_Q, select="SELECT 'VOG' || s_gene AS target, q_genome || ':' || q_gene AS query, CAST(bitscore AS DOUBLE) AS score, 1 AS number, CAST(identity AS DOUBLE) AS domain_score, s_start AS hmm_from, s_end AS hmm_to, q_start AS ali_from, q_end AS ali_to, 0.9 AS acc, 'fiber ' || s_genome AS description FROM candidates"),
+    "ingest_hmm_tbl": X.sql(*_Q, select="SELECT 'VOG' || s_gene AS target, '-' AS target_accession, q_genome || ':' || q_gene AS query, '-' AS query_accession, 1e-5::DOUBLE AS evalue, CAST(bitscore AS DOUBLE) AS score, 0.1::DOUBLE AS bias, 1e-4::DOUBLE AS best_evalue, CAST(identity AS DOUBLE) AS best_score, 0.2::DOUBLE AS best_bias, 1::DOUBLE AS expected, 1 AS regions, 0 AS clusters, 0 AS overlaps, 1 AS envelopes, CAST(gap_opens AS INTEGER) AS n_domains, 1 AS reported, 1 AS included, 'tail fiber ' || s_genome AS description FROM candidates"),
+    "ingest_hmm_domtbl": X.sql(*_Q, select="SELECT 'VOG' || s_gene AS target, '-' AS target_accession, 90 AS target_len, q_genome || ':' || q_gene AS query, '-' AS query_accession, 90 AS query_len, 1e-5::DOUBLE AS evalue, CAST(bitscore AS DOUBLE) AS score, 0.1::DOUBLE AS bias, 1 AS number, 2 AS of, 1e-3::DOUBLE AS c_evalue, 1e-4::DOUBLE AS i_evalue, CAST(identity AS DOUBLE) AS domain_score, 0.2::DOUBLE AS domain_bias, s_start AS hmm_from, s_end AS hmm_to, q_start AS ali_from, q_end AS ali_to, q_start AS env_from, q_end AS env_to, 0.9::DOUBLE AS acc, 'fiber ' || s_genome AS description FROM candidates"),
     "ingest_trna": X.sql(X.GENE_CALLS, select="SELECT contig, CAST(left_end AS INTEGER) AS trna_no, left_end AS start, right_end AS \"end\", strand, 'tRNA-Met(CAT)' || CASE WHEN left_end % 2 = 0 THEN '' ELSE '-pseudo' END AS label, CAST(length AS DOUBLE) AS score FROM gene_calls WHERE caller = 'glimmer'"),
     "ingest_family_members": X.sql(X.FAMILIES, select="SELECT * FROM family_members"),
     "ingest_family_annotations": X.sql(X.FAMILIES, select="SELECT family_id, 3 AS n_proteins, 2 AS n_species, category, description FROM families"),
@@ -274,14 +346,23 @@ SQL = {name: _GLIMMER for name in QUERIES if name.startswith("ingest_calls_")} |
     "emit_cgc": X.sql(X.GENE_CALLS, select="SELECT concat_ws(chr(9), row_number() OVER (PARTITION BY contig ORDER BY left_end, right_end, strand), strand, left_end, right_end, right_end - left_end + 1, contig, callers) AS line FROM (SELECT contig, strand, left_end, right_end, string_agg(DISTINCT caller, '_' ORDER BY caller) AS callers FROM gene_calls GROUP BY ALL)"),
     "emit_cgc_common_core": X.sql(X.GENE_CALLS, select="SELECT concat_ws(chr(9), row_number() OVER (PARTITION BY contig ORDER BY left_end, right_end, strand), strand, left_end, right_end, right_end - left_end + 1, contig, callers) AS line FROM (SELECT contig, strand, left_end, right_end, string_agg(DISTINCT caller, '_' ORDER BY caller) AS callers FROM gene_calls GROUP BY ALL HAVING count(DISTINCT caller) = 4)"),
     "emit_flat_calls": X.sql(X.GENE_CALLS, select="SELECT concat_ws(chr(9), row_number() OVER (PARTITION BY contig, caller ORDER BY left_end, right_end, strand), left_end, right_end, strand, '.', caller, contig) AS line FROM gene_calls"),
-    "emit_annotation_gff": X.sql(_TEXTS, select="SELECT concat_ws(chr(9), contig, 'strandlake', f, start, \"end\", '.', strand, '.', 'ID=' || gene || '_' || lower(f) || CASE WHEN f = 'CDS' AND gene % 3 <> 0 THEN '; annot1=' || p_name || '; annot2=' || p_type ELSE '' END) AS line FROM pt, (VALUES ('gene'), ('CDS')) v(f)"),
+    "emit_annotation_gff": X.sql(_TEXTS, select="SELECT concat_ws(chr(9), 'contig' || (p_partkey % 20), 'strandlake', 'trna', p_partkey * 90 + 5, p_partkey * 90 + 80, p_size, '+', '.', 'ID=tRNA-Met(CAT)-' || p_partkey) AS line FROM part WHERE p_size % 5 = 0 UNION ALL SELECT concat_ws(chr(9), contig, 'strandlake', f, start, \"end\", '.', strand, '.', 'ID=' || gene || '_' || lower(f) || CASE WHEN f = 'CDS' AND gene % 3 <> 0 THEN '; annot1=' || p_name || '; annot2=' || p_type ELSE '' END) AS line FROM pt, (VALUES ('gene'), ('CDS')) v(f)"),
     "emit_annotation_tsv": X.sql(_TEXTS, select="SELECT concat_ws(chr(9), contig, gene, start, \"end\", strand, CASE WHEN gene % 3 <> 0 THEN 2 ELSE 0 END, CASE WHEN gene % 3 <> 0 THEN p_name || ' | ' || p_type ELSE '' END) AS line FROM pt"),
-    "emit_fasta": X.sql(sequences.HEADERS, select=r"SELECT ltrim(header, '>') AS header, regexp_replace('acgt' || lower(parent), '[\s0-9*]', '', 'g') AS seq FROM heads"),
-    "emit_profile_report": X.sql(*hits.ALL, hits.PROFILE, select="SELECT genome1 || '-' || genome2 AS pair, count(*) + 1 AS n_lines FROM profile GROUP BY 1"),
-    "emit_paralogs": X.sql(X.HITS, X.GENOME_GENES, hits.PARALOGS, select="SELECT 'query' AS kind, count(*) AS n FROM paralog UNION ALL SELECT 'coverage', count(*) FROM paralog UNION ALL SELECT 'PARALOGS', count(DISTINCT genome) FROM paralog UNION ALL SELECT 'Gene', count(DISTINCT genome) FROM paralog"),
+    "emit_fasta": X.sql(sequences.HEADERS, "h AS (SELECT *, ltrim(header, '>') AS h FROM heads)", select=r"SELECT form, CASE form WHEN 'full' THEN h WHEN 'short' THEN split_part(h, ' ', 1) WHEN 'trunc' THEN left(h, 15) WHEN 'compound' THEN h || '_' || parent ELSE 'cds' || ord || '/+/1/90/' END AS header, regexp_replace('acgt' || lower(parent), '[\s0-9*]', '', 'g') AS seq FROM h, (VALUES ('full'), ('short'), ('trunc'), ('compound'), ('cgp')) v(form)"),
+    "emit_flat_calls_counts": X.sql(X.GENE_CALLS, select="SELECT caller || chr(9) || count(*) AS line FROM gene_calls GROUP BY caller"),
+    "emit_annotation_tsv_header": X.sql("g AS (SELECT i AS genome, (SELECT count(DISTINCT p_partkey % 20) FROM part WHERE p_partkey % 4 = i) AS c, (SELECT count(*) FROM part WHERE p_partkey % 4 = i) AS n, (SELECT 2 * count(*) FROM part WHERE p_partkey % 4 = i AND p_partkey % 3 <> 0) AS a FROM (SELECT unnest(range(5)) AS i))",
+        select="SELECT 'Genome:genome' || genome || chr(9) || 'Name:name ' || genome || chr(9) || 'Type:phage' AS line FROM g UNION ALL SELECT 'Contigs:' || c || chr(9) || 'Genes:' || n || chr(9) || 'Proteins:' || n || chr(9) || 'Annotations:' || a FROM g"),
+    "emit_group_annotations": genomics._walk("SELECT CAST(group_no AS INTEGER) AS group_no, member || chr(9) || CASE WHEN ord % 4 = 0 THEN 'protein ' || ord ELSE 'no annotation found' END AS line FROM grouped JOIN named ON named.gene = member"),
+    "ingest_rejects": " UNION ALL ".join(f"SELECT '{name}' AS source, {bad} AS line FROM part WHERE p_partkey % 3 = 0" for name, (_, _, _, bad) in REJECTING.items()).replace("'\\t'", "chr(9)").replace("\\t", "' || chr(9) || '"),
+    "ingest_accession_taxa": "SELECT 'ACC' || s_suppkey AS accession, 'ACC' || s_suppkey || '.1' AS version, CAST(s_nationkey AS BIGINT) AS taxid, CAST(s_suppkey + 7 AS VARCHAR) AS gi FROM supplier",
+    "emit_profile_report": X.sql(*hits.ALL, hits.PROFILE, select="SELECT genome1 || '-' || genome2 AS pair, '#PROTEIN HITS' AS line FROM profile GROUP BY ALL UNION ALL SELECT genome1 || '-' || genome2, concat_ws(chr(9), " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in (
+        "ord", "row_type", "q_start", "q_end", "s_start", "s_end", "identity", "NULL", "CASE WHEN gene1 IS NULL THEN NULL WHEN row_type LIKE 'genome1%' THEN 'query' ELSE 'subject' END", *[f"g1_{c}" for c in ("header", "contig", "annotation", "start", "\"end\"", "strand")],
+        "CASE WHEN gene2 IS NULL THEN NULL WHEN row_type LIKE 'genome2%' THEN 'query' ELSE 'subject' END", *[f"g2_{c}" for c in ("header", "contig", "annotation", "start", "\"end\"", "strand")], "g1_coverage", "g2_coverage", "aln_len", "gap_opens", "g1_span", "g1_length", "g2_span", "g2_length")).replace('_"end"', "_end") + ") FROM profile"),
+    "emit_paralogs": X.sql(X.HITS, X.GENOME_GENES, hits.PARALOGS, select="SELECT genome, concat_ws(chr(9), 'query:' || gene, 'subject:' || paralog, 'gene_paralog', identity) AS line FROM paralog UNION ALL SELECT genome, 'coverage:' || coverage FROM paralog UNION ALL SELECT DISTINCT genome, 'PARALOGS for genome /data/' || genome || '.fasta' FROM paralog UNION ALL SELECT DISTINCT genome, 'Gene Paralogs' FROM paralog"),
     "emit_group_fasta": genomics._walk("SELECT CAST(group_no AS INTEGER) AS group_no, member, ['atg', 'gtg', 'att', 'ccc'][ord % 4 + 1] || 'acgtac' AS seq FROM grouped JOIN named ON named.gene = member"),
-    "emit_genomics_reports": genomics._walk("""SELECT 'mutual' AS report, count(DISTINCT gene) AS n FROM edges WHERE kind = 'mutual' UNION ALL SELECT 'singular', count(DISTINCT gene) FROM edges WHERE kind = 'singular' UNION ALL SELECT 'loners', count(*) FROM named WHERE gene NOT IN (SELECT gene FROM edges)
-        UNION ALL SELECT 'core', count(*) FROM (SELECT gene FROM edges WHERE genome = 'genome0' AND kind = 'mutual' GROUP BY gene HAVING count(DISTINCT partner_genome) = 3) UNION ALL SELECT 'paralogs', count(DISTINCT gene) FROM pe UNION ALL SELECT 'correspondences', count(DISTINCT gene) FROM edges WHERE genome = 'genome0' UNION ALL SELECT 'groups', count(*) FROM grouped"""),
+    "emit_genomics_reports": " UNION ALL ".join(f"SELECT '{report}' AS report, concat_ws(chr(9), {columns}) AS line FROM ({genomics.SQL[query]})" for report, query, columns in (
+        ("mutual", "mutual_best_hit_lists", "gene, genome, n_partners, partners"), ("singular", "singular_best_hit_lists", "gene, genome, n_partners, partners"), ("loners", "genomic_loners", "gene, genome"), ("core", "core_genome", "gene, n_partners"),
+        ("paralogs", "genomic_paralogs", "gene, n_paralogs, paralogs"), ("correspondences", "correspondences", "gene, partners"), ("groups", "homology_groups", "group_no, seed, member"))),
     "headers_only": X.sql(sequences.HEADERS, select="SELECT header FROM heads"),
     "concat_profiles": X.sql(X.FAMILIES, select="SELECT 'HMM ' || accession AS line, count(*) AS n FROM family_members GROUP BY 1"),
 }

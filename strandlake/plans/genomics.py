@@ -23,10 +23,16 @@ def _edges(s, d):
 
 def _paralogs(s, d):
     names = X.genome_genes(s, d).selectExpr("genome", "gene", f"{NAME} AS id")
-    found = H.paralogs(X.hits(s, d), X.genome_genes(s, d)).where("genome = 'genome0'")
+    found = H.paralogs(X.hits(s, d), X.genome_genes(s, d))
     return found.join(names, ["genome", "gene"]).join(names.select("genome", F.col("gene").alias("paralog"), F.col("id").alias("other")), ["genome", "paralog"]).select(F.col("id").alias("gene"), F.col("other").alias("paralog"))
 
 
+def _checked(s, d):
+    """The genes with headers of which some occur twice in a genome, and a genome that is listed twice."""
+    header = "concat('cds', CASE WHEN ord < 1000 THEN ord ELSE ord - 1000 END)"
+    return _genes(s, d).selectExpr("*", f"{header} AS header", "CASE WHEN genome = 'genome3' THEN array(1, 2) ELSE array(1) END AS listings").withColumn("n_listed", F.size("listings")).drop("listings")
+
+
 def _groups(s, d):
     return G.homology_groups(_genes(s, d).where("genome = 'genome0'"), _edges(s, d), _paralogs(s, d))
 
@@ -43,13 +49,13 @@ QUERIES = {
     "homology_groups": _groups,
     "group_sequences": lambda s, d: G.group_sequences(_groups(s, d), X.genome_genes(s, d).selectExpr(f"{NAME} AS gene", f"{_seq('cast(gene as int)')} AS seq")),
     "group_annotations": lambda s, d: G.group_annotations(_groups(s, d), _genes(s, d).where("ord % 4 = 0").selectExpr("gene", "concat('protein ', ord) AS annotation")),
-    "genome_data_checks": lambda s, d: G.genome_data_checks(_genes(s, d), _edges(s, d)),
+    "genome_data_checks": lambda s, d: G.genome_data_checks(_checked(s, d), _edges(s, d)),
 }
 
 EDGES = """named AS (SELECT genome, gene AS ord, genome || ':' || contig || ':cds' || gene || '/' || strand || '/' || start || '/' || "end" || '/' AS gene FROM genome_genes),
 half AS (SELECT genome1 || ':' || g1_contig || ':' || g1_header AS id1, genome1, gene1, genome2 || ':' || g2_contig || ':' || g2_header AS id2, genome2, gene2, split_part(row_type, '_', 2) AS kind FROM profile WHERE row_type NOT LIKE '%loner'),
 edges AS (SELECT id1 AS gene, genome1 AS genome, CAST(gene1 AS INTEGER) AS gene_no, id2 AS partner, genome2 AS partner_genome, kind FROM half UNION SELECT id2, genome2, CAST(gene2 AS INTEGER), id1, genome1, kind FROM half)"""
-PARALOG_EDGES = "pe AS (SELECT a.gene AS gene, b.gene AS paralog FROM paralog p JOIN named a ON a.genome = p.genome AND a.ord = p.gene JOIN named b ON b.genome = p.genome AND b.ord = p.paralog WHERE p.genome = 'genome0')"
+PARALOG_EDGES = "pe AS (SELECT a.gene AS gene, b.gene AS paralog FROM paralog p JOIN named a ON a.genome = p.genome AND a.ord = p.gene JOIN named b ON b.genome = p.genome AND b.ord = p.paralog)"
 _E = (*ALL, PROFILE, EDGES)
 _EP = (*_E, PARALOGS, PARALOG_EDGES)
 # seeds in gene order: a list of the seeds so far is carried from gene to gene
@@ -78,5 +84,7 @@ SQL = {
     "group_annotations": _walk("SELECT group_no, seed, member, CASE WHEN ord % 4 = 0 THEN 'protein ' || ord ELSE 'no annotation found' END AS annotation FROM grouped JOIN named ON named.gene = member"),
     "genome_data_checks": X.sql(*_E, select="""SELECT 'duplicate id' AS "check", gene AS subject, count(*) AS n FROM named GROUP BY gene HAVING count(*) > 1
         UNION ALL SELECT 'long mutual list', gene, count(DISTINCT partner) FROM edges WHERE kind = 'mutual' GROUP BY gene HAVING count(DISTINCT partner) > (SELECT count(DISTINCT genome) - 1 FROM named)
-        UNION ALL SELECT 'self hit', gene, count(*) FROM edges WHERE gene = partner GROUP BY gene UNION ALL SELECT 'genomes', 'all', count(DISTINCT genome) FROM named"""),
+        UNION ALL SELECT 'self hit', gene, count(*) FROM edges WHERE gene = partner GROUP BY gene UNION ALL SELECT 'genomes', 'all', count(DISTINCT genome) FROM named
+        UNION ALL SELECT 'duplicate header', genome || ':cds' || gene, count(*) FROM (SELECT genome, gene FROM genome_genes WHERE gene < 1000 UNION ALL SELECT genome, gene - 1000 FROM genome_genes WHERE gene >= 1000) GROUP BY ALL HAVING count(*) > 1
+        UNION ALL SELECT 'duplicate genome', 'genome3', 2"""),
 }

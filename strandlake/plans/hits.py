@@ -49,7 +49,7 @@ QUERIES = {
     "profile_alerts": lambda s, d: _alerted(s, d).select(*COLUMNS, "alerts"),
     "query_profiles": lambda s, d: P.query_profiles(_alerted(s, d), "1", ("mutual", "singular"), ("a", "b", "i")).select(*COLUMNS, "alerts"),
     "count_differences": lambda s, d: P.count_differences(P.query_profiles(_alerted(s, d), codes=("c", "d", "i", "j"))),
-    "homolog_table": lambda s, d: P.homolog_table(_profile(s, d), "genome0"),
+    "homolog_table": lambda s, d: P.homolog_table(_alerted(s, d), "genome0"),
     "loner_matrix": lambda s, d: P.loner_matrix(_profile(s, d), "genome0", ["genome1", "genome2", "genome3"]),
 }
 
@@ -98,9 +98,10 @@ _HIT = "q_genome, q_gene, s_genome, s_gene"
 SQL = {
     "genome_pairs": X.sql(X.GENOME_GENES, select="SELECT a.genome AS genome1, b.genome AS genome2 FROM (SELECT DISTINCT genome FROM genome_genes) a JOIN (SELECT DISTINCT genome FROM genome_genes) b ON a.genome < b.genome"),
     "kmer_hits": X.sql(X.CONTIGS, """k AS (SELECT contig, i AS at, substr(seq, i + 1, 16) AS kmer FROM (SELECT contig, seq, unnest(range(length(seq) - 15)) AS i FROM contigs WHERE length(seq) >= 16))""",
-        "rare AS (SELECT kmer FROM k GROUP BY kmer HAVING count(DISTINCT contig) BETWEEN 2 AND 50)", "kept AS (SELECT k.* FROM k SEMI JOIN rare USING (kmer))",
-        "d AS (SELECT a.contig AS q, b.contig AS s, a.at - b.at AS diagonal, count(*) AS n_shared, min(a.at) + 1 AS q_start, max(a.at) + 16 AS q_end FROM kept a JOIN kept b USING (kmer) WHERE a.contig <> b.contig GROUP BY ALL HAVING count(*) >= 10)",
-        select="SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY q, s ORDER BY n_shared DESC, diagonal) = 1"),
+        "often AS (SELECT kmer FROM k GROUP BY kmer HAVING count(DISTINCT contig) > 1)", "kept AS (SELECT k.* FROM k SEMI JOIN often USING (kmer))",
+        "d AS (SELECT a.contig AS q, b.contig AS s, a.at - b.at AS diagonal, count(*) AS n_shared, list_sort(list(a.at)) AS p FROM kept a JOIN kept b USING (kmer) WHERE a.contig <> b.contig GROUP BY ALL HAVING count(*) >= 10)",
+        "best AS (SELECT q, s, diagonal, n_shared, p[1] + 1 AS q_start, p[-1] + 16 AS q_end, 16 + coalesce(list_sum(list_transform(p[2:], lambda x, i: least(x - p[i], 16))), 0) AS matched FROM d QUALIFY row_number() OVER (PARTITION BY q, s ORDER BY n_shared DESC, diagonal) = 1)",
+        select="SELECT *, q_start - diagonal AS s_start, q_end - diagonal AS s_end, q_end - q_start + 1 AS aln_len, round(100.0 * matched / (q_end - q_start + 1), 4) AS identity FROM best"),
     "filter_hits": X.sql(X.HITS, select="SELECT * FROM hits WHERE floor(identity) >= 80"),
     "top_hits": X.sql(X.HITS, X.CANDIDATES, select=f"SELECT {_HIT}, row_number() OVER (PARTITION BY q_genome, q_gene, s_genome ORDER BY bitscore DESC, s_gene) AS rank, bitscore FROM candidates QUALIFY rank <= 5"),
     "best_hits": X.sql(*ALL, select="SELECT * FROM best"),
@@ -117,7 +118,7 @@ SQL = {
     "profile_alerts": X.sql(*_WITH_ALERTS, select=f"SELECT {_C}, alerts FROM alerted"),
     "query_profiles": X.sql(*_WITH_ALERTS, select=f"SELECT {_C}, alerts FROM alerted WHERE row_type IN ('genome1_mutual', 'genome1_singular') AND regexp_matches(alerts, '(^|; )[abi][)]')"),
     "count_differences": X.sql(*_WITH_ALERTS, select="SELECT genome1, genome2, count(*) AS n_rows FROM alerted WHERE regexp_matches(alerts, '(^|; )[cdij][)]') GROUP BY ALL"),
-    "homolog_table": X.sql(*ALL, PROFILE, select="""SELECT g.gene1 AS gene, o.genome2 AS genome, coalesce(h.g2_header, 'no record') AS header, h.g2_annotation AS annotation, h.g2_length AS length, h.row_type FROM (SELECT DISTINCT gene1 FROM profile WHERE genome1 = 'genome0' AND gene1 IS NOT NULL) g,
-        (SELECT DISTINCT genome2 FROM profile WHERE genome1 = 'genome0' AND gene1 IS NOT NULL) o LEFT JOIN (SELECT * FROM profile WHERE genome1 = 'genome0' AND gene1 IS NOT NULL AND gene2 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY gene1, genome2 ORDER BY ord DESC) = 1) h ON h.gene1 = g.gene1 AND h.genome2 = o.genome2"""),
+    "homolog_table": X.sql(*_WITH_ALERTS, select="""SELECT g.gene1 AS gene, o.genome2 AS genome, coalesce(h.g2_header, 'no record') AS header, h.g2_annotation AS annotation, h.g2_length AS length, h.alerts AS interpretation, h.row_type FROM (SELECT DISTINCT gene1 FROM profile WHERE genome1 = 'genome0' AND gene1 IS NOT NULL) g,
+        (SELECT DISTINCT genome2 FROM profile WHERE genome1 = 'genome0' AND gene1 IS NOT NULL) o LEFT JOIN (SELECT * FROM alerted WHERE genome1 = 'genome0' AND gene1 IS NOT NULL AND gene2 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY gene1, genome2 ORDER BY ord DESC) = 1) h ON h.gene1 = g.gene1 AND h.genome2 = o.genome2"""),
     "loner_matrix": X.sql(*ALL, PROFILE, select="SELECT g1_header AS header, g1_start AS start, g1_contig AS contig, " + ", ".join(f"max(CASE WHEN genome2 = 'genome{i}' THEN 'X' END) AS genome{i}" for i in (1, 2, 3)) + " FROM profile WHERE genome1 = 'genome0' AND row_type = 'genome1_loner' GROUP BY ALL"),
 }

@@ -51,7 +51,7 @@ QUERIES = {
 }
 
 _RC = f"reverse(translate({{}}, '{Q.IUPAC}', '{Q.COMPLEMENT}'))"
-_CODONS = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in Q.codon_map().items()) + "}"
+_CODONS = "MAP {" + ", ".join(f"'{a}{b}{c}': '{Q.TABLE_11[16 * i + 4 * j + k]}'" for i, a in enumerate("tcag") for j, b in enumerate("tcag") for k, c in enumerate("tcag")) + "}"
 _C = "SELECT contig, ord, left_end, right_end, strand"
 SQL = {
     "header_variants": X.sql(HEADERS, select="SELECT header, h AS h_full, split_part(h, ' ', 1) AS h_blast, split_part(h, ' ', 1) AS h_short, regexp_replace(replace(h, ' ', '_'), '[();:?.]', '', 'g') AS h_clean, left(h, 15) AS h_trunc, h || '_' || parent AS h_compound, 'gene-' || ord AS h_sequential FROM (SELECT *, ltrim(header, '>') AS h FROM heads)"),

@@ -7,9 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def write_lines(rows: DataFrame, path: str, *partition_by: str, line_sep: str = "\n") -> str:
-    """Write the one string column of `rows`, in folders by the partition columns; returns the path."""
-    writer = rows.write.option("lineSep", line_sep)
+def write_lines(rows: DataFrame, path: str, *partition_by: str, line_sep: str = "\n", per_file: int = 0) -> str:
+    """Write the one string column of `rows`, in folders by the partition columns, at most `per_file` rows a file unless
+    that is 0; returns the path."""
+    writer = rows.write.option("lineSep", line_sep).option("maxRecordsPerFile", per_file)
     (writer.partitionBy(*partition_by) if partition_by else writer).text(path)
     return path
 
@@ -38,15 +39,37 @@ def flat_calls_lines(calls: DataFrame) -> DataFrame:
     return calls.withColumn("no", no).select(tabbed("no", "left_end", "right_end", "strand", F.lit("."), "caller", "contig").alias("value"))
 
 
-def annotation_gff_lines(genes: DataFrame, annotations: DataFrame) -> DataFrame:
-    """A gene row and a CDS row for each gene of (contig, gene, start, end, strand); annotations (gene, rank, text) become
-    annot1, annot2, … of the CDS; sorted within partitions by contig, gene and feature."""
+def caller_count_lines(calls: DataFrame) -> DataFrame:
+    """A line a caller: its name and its number of calls."""
+    return calls.groupBy("caller").agg(F.count("*").alias("n")).select(tabbed("caller", "n").alias("value"))
+
+
+def annotation_gff_lines(genes: DataFrame, annotations: DataFrame, trnas: DataFrame) -> DataFrame:
+    """A gene row and a CDS row for each gene of (contig, gene, start, end, strand), then a row for each of trnas (contig,
+    label, start, end, strand, score); annotations (gene, rank, text) become annot1, annot2, … of the CDS; a contig's rows
+    stand together, its genes by place."""
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("rank", "text"))), lambda x, i: F.concat(F.lit("annot"), (i + 1).cast("string"), F.lit("="), x["text"]))
     notes = annotations.groupBy("gene").agg(F.array_join(ordered, "; ").alias("notes"))
     both = genes.join(notes, "gene", "left").withColumn("feature", F.explode(F.array(F.lit("gene"), F.lit("CDS"))))
     attr = F.concat_ws("; ", F.concat(F.lit("ID="), "gene", F.lit("_"), F.lower("feature")), F.when(F.col("feature") == "CDS", F.col("notes")))
-    lines = both.repartition("contig").sortWithinPartitions("contig", "start", "gene", F.desc("feature"))
-    return lines.select(tabbed("contig", F.lit("strandlake"), "feature", "start", "end", F.lit("."), "strand", F.lit("."), attr).alias("value"))
+    rows = both.select("contig", F.lit(0).alias("late"), "start", "gene", "feature", "end", F.lit(".").alias("score"), "strand", attr.alias("attr"))
+    rows = rows.unionByName(trnas.select("contig", F.lit(1).alias("late"), "start", F.col("label").alias("gene"), F.lit("trna").alias("feature"), "end", F.col("score").cast("string").alias("score"), "strand", F.concat(F.lit("ID="), "label").alias("attr")))
+    lines = rows.repartition("contig").sortWithinPartitions("contig", "late", "start", "gene", F.desc("feature"))
+    return lines.select(tabbed("contig", F.lit("strandlake"), "feature", "start", "end", "score", "strand", F.lit("."), "attr").alias("value"))
+
+
+def genome_header_lines(genomes: DataFrame, genes: DataFrame, annotations: DataFrame) -> DataFrame:
+    """Two lines a genome of (genome, name, kind): what it is, and its numbers of contigs, genes, proteins and annotations.
+
+    genes (genome, contig, gene), each with a protein; annotations (gene, ...).
+    """
+    noted = genes.join(annotations.select("gene"), "gene").groupBy("genome").agg(F.count("*").alias("n_annotations"))
+    counts = genes.groupBy("genome").agg(F.countDistinct("contig").alias("n_contigs"), F.count("*").alias("n_genes")).join(noted, "genome", "left")
+    rows = genomes.join(counts, "genome", "left")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("string")
+    first = F.concat(F.lit("Genome:"), "genome", F.lit("\tName:"), "name", F.lit("\tType:"), "kind")
+    second = F.concat(F.lit("Contigs:"), n("n_contigs"), F.lit("\tGenes:"), n("n_genes"), F.lit("\tProteins:"), n("n_genes"), F.lit("\tAnnotations:"), n("n_annotations"))
+    return rows.select(F.concat(first, F.lit("\n"), second).alias("value"))
 
 
 def annotation_tsv_lines(genes: DataFrame, annotations: DataFrame) -> DataFrame:
@@ -61,20 +84,34 @@ def fasta_lines(rows: DataFrame, header: Column, upper: bool = False) -> DataFra
     return rows.select(header.alias("h"), seq.alias("s")).where("h <> '' AND s <> ''").select(F.concat(F.lit(">"), "h", F.lit("\n"), "s").alias("value"))
 
 
-def profile_lines(profile: DataFrame, mol_type: str) -> DataFrame:
-    """The report of profiles, a text a pair: (pair, value)."""
+def _sorted_files(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """(key, value) of rows (key, value, *order), each key's rows in order in one task: the lines of its file."""
+    return rows.repartition(key).sortWithinPartitions(key, *order).select(key, "value")
+
+
+def profile_lines(profile: DataFrame, *mol_types: str) -> DataFrame:
+    """(pair, value): the lines of the report of profiles, to be written by pair. With several molecule types, `profile`
+    has them in mol_type; their sections stand in the order given."""
     role = lambda i: F.when(F.col(f"gene{i}").isNull(), F.lit(None)).when(F.col("row_type").startswith(f"genome{i}"), "query").otherwise("subject")
     g = lambda i: [f"g{i}_{c}" for c in ("header", "contig", "annotation", "start", "end", "strand")]
     line = tabbed("ord", "row_type", "q_start", "q_end", "s_start", "s_end", "identity", F.lit(None), role(1), *g(1), role(2), *g(2), "g1_coverage", "g2_coverage", "aln_len", "gap_opens", "g1_span", "g1_length", "g2_span", "g2_length")
-    texts = profile.select(F.concat_ws("-", "genome1", "genome2").alias("pair"), F.struct("ord", line.alias("line")).alias("x")).groupBy("pair").agg(F.sort_array(F.collect_list("x")).alias("xs"))
-    return texts.select("pair", F.concat(F.lit(f"#{mol_type.upper()} HITS\n"), F.array_join(F.transform("xs", lambda x: x["line"]), "\n")).alias("value"))
+    typed = profile if len(mol_types) > 1 else profile.withColumn("mol_type", F.lit(mol_types[0]))
+    rows = typed.select(F.concat_ws("-", "genome1", "genome2").alias("pair"), F.array_position(F.array(*map(F.lit, mol_types)), F.col("mol_type")).alias("section"), F.col("ord").cast("long").alias("ord"), "mol_type", line.alias("value"))
+    heads = rows.select("pair", "section", F.lit(-1).cast("long").alias("ord"), F.concat(F.lit("#"), F.upper("mol_type"), F.lit(" HITS")).alias("value")).distinct()
+    return _sorted_files(rows.drop("mol_type").unionByName(heads), "pair", "section", "ord")
 
 
 def paralog_lines(paralogs: DataFrame, mol_type: str = "Gene") -> DataFrame:
-    """The paralog listing, a text a genome; paralogs (genome, gene, paralog, identity, coverage)."""
+    """(genome, value): the lines of the paralog listing, to be written by genome; paralogs (genome, gene, paralog, identity,
+    coverage)."""
     stanza = F.concat(F.concat_ws("\t", F.concat(F.lit("query:"), "gene"), F.concat(F.lit("subject:"), "paralog"), F.lit(f"{mol_type.lower()}_paralog"), F.col("identity").cast("string")), F.lit("\ncoverage:"), F.col("coverage").cast("string"))
-    texts = paralogs.groupBy("genome").agg(F.array_join(F.sort_array(F.collect_list(stanza)), "\n").alias("t"))
-    return texts.select(F.concat(F.lit("PARALOGS for genome /data/"), "genome", F.lit(f".fasta\n{mol_type} Paralogs\n"), "t").alias("value"))
+    heads = paralogs.select("genome").distinct().select("genome", F.lit(0).alias("place"), F.concat(F.lit("PARALOGS for genome /data/"), "genome", F.lit(f".fasta\n{mol_type} Paralogs")).alias("value"))
+    return _sorted_files(paralogs.select("genome", F.lit(1).alias("place"), stanza.alias("value")).unionByName(heads), "genome", "place", "value")
+
+
+def group_annotation_lines(groups: DataFrame) -> DataFrame:
+    """(group_no, value): a line for each member (member, annotation) of each group."""
+    return groups.select("group_no", tabbed("member", "annotation").alias("value"))
 
 
 def group_fasta_lines(groups: DataFrame) -> DataFrame:

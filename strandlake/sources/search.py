@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import lines
+from .text import lines, rejected, sound, split_tabs
 
-BLAST = "query string, subject string, identity double, aln_len int, mismatches int, gap_opens int, q_start long, q_end long, s_start long, s_end long, evalue double, bitscore double"
+BLAST = {"query": "string", "subject": "string", "identity": "double", "aln_len": "int", "mismatches": "int", "gap_opens": "int", "q_start": "long", "q_end": "long", "s_start": "long", "s_end": "long", "evalue": "double", "bitscore": "double"}
 XML = ("`Iteration_query-def` string, Iteration_hits struct<Hit: array<struct<Hit_num: int, Hit_def: string, Hit_accession: string, Hit_len: int, "
-       "Hit_hsps: struct<Hsp: array<struct<Hsp_num: int, `Hsp_bit-score`: double, Hsp_evalue: double, `Hsp_query-from`: long, `Hsp_query-to`: long, `Hsp_hit-from`: long, `Hsp_hit-to`: long, Hsp_identity: long, `Hsp_align-len`: long>>>>>>")
+       "Hit_hsps: struct<Hsp: array<struct<Hsp_num: int, `Hsp_bit-score`: double, Hsp_evalue: double, `Hsp_query-from`: long, `Hsp_query-to`: long, `Hsp_hit-from`: long, `Hsp_hit-to`: long, Hsp_identity: long, `Hsp_align-len`: long>>>>>>, _corrupt_record string")
 
 
-def blast_tab(spark: SparkSession, path: str, identity: float = 0) -> DataFrame:
+def blast_tab(spark: SparkSession, path: str, identity: float = 0, rejects: bool = False) -> DataFrame:
     """Tabular hits whose identity, rounded down, is at least the cutoff."""
-    return spark.read.schema(BLAST).csv(path, sep="\t", comment="#").where(F.floor("identity") >= identity)
+    rows = lines(spark, path).where("line <> '' AND NOT startswith(line, '#')")
+    rows = rows.select("file", "line", *[c.alias(n) for n, c in zip(BLAST, split_tabs(F.col("line"), *BLAST.values()), strict=True)])
+    return rejected(rows, *BLAST) if rejects else sound(rows, *BLAST).drop("file", "line").where(F.floor("identity") >= identity)
 
 
 def blast_list(spark: SparkSession, path: str, query: str) -> DataFrame:
@@ -22,9 +24,13 @@ def blast_list(spark: SparkSession, path: str, query: str) -> DataFrame:
     return blast_tab(spark, path).where(F.col("query") == query)
 
 
-def blast_xml(spark: SparkSession, path: str) -> DataFrame:
-    """(query, hit_no, name, organism, accession, n_hsps, identity, hsps): hits with nested pairs; identity of the first."""
-    hits = spark.read.format("xml").option("rowTag", "Iteration").schema(XML).load(path).select(F.col("Iteration_query-def").alias("query"), F.explode("Iteration_hits.Hit").alias("h"))
+def blast_xml(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
+    """(query, hit_no, name, organism, accession, n_hsps, identity, hsps): hits with nested pairs; identity of the first.
+    Rejects are the iterations that don't fit the schema."""
+    read = spark.read.format("xml").option("rowTag", "Iteration").schema(XML).load(path)
+    if rejects:
+        return read.select(F.input_file_name().alias("file"), F.col("_corrupt_record").alias("line")).where("line IS NOT NULL")
+    hits = read.where("_corrupt_record IS NULL").select(F.col("Iteration_query-def").alias("query"), F.explode("Iteration_hits.Hit").alias("h"))
     hsps = F.transform("h.Hit_hsps.Hsp", lambda x: F.struct(x["Hsp_num"].alias("number"), x["Hsp_bit-score"].alias("bitscore"), x["Hsp_evalue"].alias("evalue"), x["Hsp_query-from"].alias("q_start"), x["Hsp_query-to"].alias("q_end"),
                                                           x["Hsp_hit-from"].alias("s_start"), x["Hsp_hit-to"].alias("s_end"), x["Hsp_identity"].alias("identity"), x["Hsp_align-len"].alias("aln_len")))
     first = F.col("hsps")[0]
@@ -32,20 +38,25 @@ def blast_xml(spark: SparkSession, path: str) -> DataFrame:
                                                 F.size("hsps").alias("n_hsps"), F.round(100 * first["identity"] / first["aln_len"], 4).alias("identity"), "hsps")
 
 
-def _columns(spark: SparkSession, path: str, n: int, names: dict[str, tuple[int, str]]) -> DataFrame:
-    """White-space separated columns, the last of n being the rest of the line."""
+def _columns(spark: SparkSession, path: str, names: dict[str, str], rejects: bool) -> DataFrame:
+    """White-space separated columns, the last one being the rest of the line."""
+    n = len(names)
     part = F.split(F.trim("line"), r"\s+", n)
-    rows = lines(spark, path).where("line <> '' AND NOT startswith(line, '#')").where(F.size(part) >= n - 1)
-    return rows.select(*[F.get(part, F.lit(i)).try_cast(kind).alias(name) for name, (i, kind) in names.items()])
+    rows = lines(spark, path).where("line <> '' AND NOT startswith(line, '#')")
+    rows = rows.select("file", "line", *[F.get(part, F.lit(i)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(names.items())])
+    needed = list(names)[:-1]
+    return rejected(rows, *needed) if rejects else sound(rows, *needed).drop("file", "line")
 
 
-def hmm_tbl(spark: SparkSession, path: str) -> DataFrame:
+def hmm_tbl(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """HMMER --tblout: 18 columns and a description."""
-    return _columns(spark, path, 19, {"target": (0, "string"), "target_accession": (1, "string"), "query": (2, "string"), "query_accession": (3, "string"), "evalue": (4, "double"), "score": (5, "double"), "bias": (6, "double"),
-                                      "best_evalue": (7, "double"), "best_score": (8, "double"), "best_bias": (9, "double"), "n_domains": (15, "int"), "description": (18, "string")})
+    return _columns(spark, path, {
+        "target": "string", "target_accession": "string", "query": "string", "query_accession": "string", "evalue": "double", "score": "double", "bias": "double", "best_evalue": "double", "best_score": "double", "best_bias": "double",
+        "expected": "double", "regions": "int", "clusters": "int", "overlaps": "int", "envelopes": "int", "n_domains": "int", "reported": "int", "included": "int", "description": "string"}, rejects)
 
 
-def hmm_domtbl(spark: SparkSession, path: str) -> DataFrame:
+def hmm_domtbl(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """HMMER --domtblout: 22 columns and a description."""
-    return _columns(spark, path, 23, {"target": (0, "string"), "target_len": (2, "int"), "query": (3, "string"), "query_len": (5, "int"), "evalue": (6, "double"), "score": (7, "double"), "number": (9, "int"), "of": (10, "int"),
-                                      "c_evalue": (11, "double"), "i_evalue": (12, "double"), "domain_score": (13, "double"), "hmm_from": (15, "int"), "hmm_to": (16, "int"), "ali_from": (17, "int"), "ali_to": (18, "int"), "env_from": (19, "int"), "env_to": (20, "int"), "acc": (21, "double"), "description": (22, "string")})
+    return _columns(spark, path, {
+        "target": "string", "target_accession": "string", "target_len": "int", "query": "string", "query_accession": "string", "query_len": "int", "evalue": "double", "score": "double", "bias": "double", "number": "int", "of": "int",
+        "c_evalue": "double", "i_evalue": "double", "domain_score": "double", "domain_bias": "double", "hmm_from": "int", "hmm_to": "int", "ali_from": "int", "ali_to": "int", "env_from": "int", "env_to": "int", "acc": "double", "description": "string"}, rejects)

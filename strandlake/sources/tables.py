@@ -7,48 +7,69 @@ from pyspark.sql import functions as F
 
 from strandlake.functions.sequence import clean_sequence
 
-from .text import blocks, lines, split_tabs
+from .text import blocks, lines, rejected, sound, split_tabs
 
 
-def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(file, header, seq): a row a record; lower case, without white space, digits and asterisks."""
-    return blocks(spark, path, ">").where("size(body) > 0").select("file", "head", F.array_join("body", "").alias("text")).select("file", F.col("head").alias("header"), clean_sequence(F.col("text")).alias("seq"))
+def fasta(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
+    """(file, header, seq): a row a record; lower case, without white space, digits and asterisks. Rejects are headers
+    without a sequence."""
+    rows = blocks(spark, path, ">")
+    if rejects:
+        return rows.where("size(body) = 0 AND head <> ''").select("file", F.concat(F.lit(">"), "head").alias("line"))
+    return rows.where("size(body) > 0").select("file", "head", F.array_join("body", "").alias("text")).select("file", F.col("head").alias("header"), clean_sequence(F.col("text")).alias("seq"))
 
 
-def trna(spark: SparkSession, path: str) -> DataFrame:
+def trna(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """(contig, trna_no, start, end, strand, label, score): begin after end is `-` and swapped, equal ends are `x`."""
     contig, no, begin, end, kind, codon, _, _, score, note = split_tabs(F.col("line"), "string", "int", "long", "long", "string", "string", "long", "long", "double", "string")
-    rows = lines(spark, path).select(F.rtrim(contig).alias("contig"), no.alias("trna_no"), begin.alias("b"), end.alias("e"), kind.alias("kind"), codon.alias("codon"), score.alias("score"), note.alias("note")).where("trna_no IS NOT NULL AND b IS NOT NULL AND e IS NOT NULL")
+    rows = lines(spark, path).where(r"line <> '' AND NOT line RLIKE '^(Sequence|Name|-+)\\s'").select("file", "line", F.rtrim(contig).alias("contig"), no.alias("trna_no"), begin.alias("b"), end.alias("e"), kind.alias("kind"), codon.alias("codon"), score.alias("score"), note.alias("note"))
+    if rejects:
+        return rejected(rows, "trna_no", "b", "e")
+    rows = sound(rows, "trna_no", "b", "e")
     label = F.concat(F.lit("tRNA-"), "kind", F.lit("("), "codon", F.lit(")"), F.when(F.col("note").rlike(r"\w"), F.concat(F.lit("-"), "note")).otherwise(""))
     strand = F.when(F.col("b") < F.col("e"), "+").when(F.col("b") > F.col("e"), "-").otherwise("x")
     return rows.select("contig", "trna_no", F.least("b", "e").alias("start"), F.greatest("b", "e").alias("end"), strand.alias("strand"), label.alias("label"), "score")
 
 
-def family_members(spark: SparkSession, path: str) -> DataFrame:
+def family_members(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """(family_id, accession): the fifth column holds the accessions, joined by commas."""
     rows = lines(spark, path).where("line <> '' AND NOT startswith(line, '#')")
     family, *_, members = split_tabs(F.col("line"), *["string"] * 5)
-    return rows.select(family.alias("family_id"), F.explode(F.split(members, ",")).alias("accession"))
+    rows = rows.select("file", "line", family.alias("family_id"), members.alias("members"))
+    return rejected(rows, "members") if rejects else sound(rows, "members").select("family_id", F.explode(F.split("members", ",")).alias("accession"))
 
 
-def family_annotations(spark: SparkSession, path: str) -> DataFrame:
+def family_annotations(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """(family_id, n_proteins, n_species, category, description)."""
     rows = lines(spark, path).where("line <> '' AND NOT startswith(line, '#')")
     names = ("family_id", "n_proteins", "n_species", "category", "description")
-    return rows.select(*[c.alias(n) for n, c in zip(names, split_tabs(F.col("line"), "string", "int", "int", "string", "string"), strict=True)])
+    rows = rows.select("file", "line", *[c.alias(n) for n, c in zip(names, split_tabs(F.col("line"), "string", "int", "int", "string", "string"), strict=True)])
+    return rejected(rows, *names) if rejects else sound(rows, *names).drop("file", "line")
 
 
-def family_tables(spark: SparkSession, path: str) -> DataFrame:
-    """(family_id, n_reported, n_found, mismatch, accessions): tables that begin with `#family: has n proteins …`."""
+def family_tables(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
+    """(family_id, n_reported, n_found, mismatch, accessions): tables that begin with `#family: has n proteins …`. Rejects
+    are rows of fewer than four columns."""
+    if rejects:
+        return blocks(spark, path, "#").select("file", F.explode("body").alias("line")).where(F.size(F.split("line", "\t")) < 4)
     rows = blocks(spark, path, "#").select(F.regexp_extract("head", r"^(\w+):", 1).alias("family_id"), F.regexp_extract("head", r"has (\d+)", 1).try_cast("long").alias("n_reported"), "body").where("family_id <> ''")
     peptides = F.transform("body", lambda x: F.get(F.split(x, "\t"), F.lit(3)))
     found = rows.select("family_id", "n_reported", F.array_sort(F.array_compact(peptides)).alias("a"))
     return found.select("family_id", "n_reported", F.size("a").cast("long").alias("n_found"), (F.size("a") != F.col("n_reported")).alias("mismatch"), F.array_join("a", ",").alias("accessions"))
 
 
-def lookup(spark: SparkSession, path: str, kind: str, sep: str = "\t") -> DataFrame:
+def accession_taxa(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
+    """(accession, version, taxid, gi): the four columns of an accession2taxid table, whose first line names them."""
+    accession, version, taxid, gi = split_tabs(F.col("line"), "string", "string", "long", "string")
+    rows = lines(spark, path).where("line <> '' AND NOT startswith(line, 'accession\t')").select("file", "line", accession.alias("accession"), version.alias("version"), taxid.alias("taxid"), gi.alias("gi"))
+    return rejected(rows, "taxid", "gi") if rejects else sound(rows, "taxid", "gi").drop("file", "line")
+
+
+def lookup(spark: SparkSession, path: str, kind: str, sep: str = "\t", rejects: bool = False) -> DataFrame:
     """(kind, key, value): the key up to the first separator, the value behind it."""
     part = F.split("line", sep, 2)
+    if rejects:
+        return lines(spark, path).where((F.size(part) < 2) & (F.col("line") != ""))
     return lines(spark, path).where(F.size(part) == 2).select(F.lit(kind).alias("kind"), part[0].alias("key"), F.trim(part[1]).alias("value"))
 
 
@@ -57,22 +78,29 @@ PROFILE = {"sort_pos": "long", "row_type": "string", "q_start": "long", "q_end":
            "g2_coverage": "long", "aln_len": "long", "gap_opens": "long", "g1_span": "long", "g1_length": "long", "g2_span": "long", "g2_length": "long"}
 
 
-def profile_report(spark: SparkSession, path: str) -> DataFrame:
+def profile_report(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """The 30 columns of pair reports with the molecule type, which a line `#GENE HITS` or `#PROTEIN HITS` sets."""
     rows = blocks(spark, path, "#").select("file", F.when(F.startswith("head", F.lit("PROTEIN HITS")), "protein").when(F.startswith("head", F.lit("GENE HITS")), "gene").alias("mol_type"), F.explode("body").alias("line")).where(r"mol_type IS NOT NULL AND line RLIKE '^[0-9]'")
-    return rows.select("mol_type", *[F.nullif(c, F.lit("")).alias(n) if kind == "string" else c.alias(n) for (n, kind), c in zip(PROFILE.items(), split_tabs(F.col("line"), *PROFILE.values()), strict=True)])
+    if rejects:
+        return rows.where(F.size(F.split("line", "\t")) < len(PROFILE)).select("file", "line")
+    return rows.where(F.size(F.split("line", "\t")) >= len(PROFILE)).select("mol_type", *[F.nullif(c, F.lit("")).alias(n) if kind == "string" else c.alias(n) for (n, kind), c in zip(PROFILE.items(), split_tabs(F.col("line"), *PROFILE.values()), strict=True)])
 
 
-def paralog_report(spark: SparkSession, path: str) -> DataFrame:
-    """(genome, mol_type, gene, paralog, identity, coverage): stanzas `query:…` and `coverage:…` below section lines."""
-    rows = blocks(spark, path, "PARALOGS for genome ").select(F.regexp_extract("head", r"([^/]+?)(?:\.\w+)?$", 1).alias("genome"), F.array_join("body", "\n").alias("text")).where("genome <> ''")
-    sections = rows.select("genome", F.explode(F.split("text", r"(?m)^(?=(?:Gene|Protein) Paralogs)")).alias("s")).select("genome", F.lower(F.regexp_extract("s", r"^(Gene|Protein) Paralogs", 1)).alias("mol_type"), "s")
-    stanzas = sections.select("genome", "mol_type", F.explode(F.split("s", r"(?m)^(?=query:)")).alias("x")).where("startswith(x, 'query:')")
+def paralog_report(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
+    """(genome, mol_type, gene, paralog, identity, coverage): stanzas `query:…` and `coverage:…` below section lines. Rejects
+    are the query lines of stanzas without identity or coverage."""
+    rows = blocks(spark, path, "PARALOGS for genome ").select("file", F.regexp_extract("head", r"([^/]+?)(?:\.\w+)?$", 1).alias("genome"), F.array_join("body", "\n").alias("text")).where("genome <> ''")
+    sections = rows.select("file", "genome", F.explode(F.split("text", r"(?m)^(?=(?:Gene|Protein) Paralogs)")).alias("s")).select("file", "genome", F.lower(F.regexp_extract("s", r"^(Gene|Protein) Paralogs", 1)).alias("mol_type"), "s")
+    stanzas = sections.select("file", "genome", "mol_type", F.explode(F.split("s", r"(?m)^(?=query:)")).alias("x")).where("startswith(x, 'query:')")
     pick = lambda p: F.regexp_extract("x", p, 1)
-    return stanzas.select("genome", "mol_type", pick(r"^query:([^\t]*)").alias("gene"), pick(r"\tsubject:([^\t\n]*)").alias("paralog"), pick(r"^[^\t]*\t[^\t]*\t[^\t]*\t([\d.]+)").try_cast("double").alias("identity"), pick(r"(?m)^coverage:(-?[\d.]+)").try_cast("double").alias("coverage"))
+    found = stanzas.select("file", F.substring_index("x", "\n", 1).alias("line"), "genome", "mol_type", pick(r"^query:([^\t]*)").alias("gene"), pick(r"\tsubject:([^\t\n]*)").alias("paralog"), pick(r"^[^\t]*\t[^\t]*\t[^\t]*\t([\d.]+)").try_cast("double").alias("identity"), pick(r"(?m)^coverage:(-?[\d.]+)").try_cast("double").alias("coverage"))
+    return rejected(found, "identity", "coverage") if rejects else sound(found, "identity", "coverage").drop("file", "line")
 
 
-def pair_log(spark: SparkSession, path: str) -> DataFrame:
-    """(file, genome1, genome2): the genome files that a pair's log names, without folder and ending."""
+def pair_log(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
+    """(file, genome1, genome2): the genome files that a pair's log names, without folder and ending. Rejects are the lines
+    that name a genome file of no known form."""
+    if rejects:
+        return lines(spark, path).where(r"line RLIKE 'genome file #[12]' AND NOT line RLIKE 'genome file #[12]: .*[^/]+\\.\\w+$'")
     name = lambda i: F.max(F.nullif(F.regexp_extract("line", rf"genome file #{i}: .*?([^/]+?)\.\w+$", 1), F.lit(""))).alias(f"genome{i}")
     return lines(spark, path).groupBy("file").agg(name(1), name(2))
