@@ -52,7 +52,7 @@ def pack_blocks(ids: np.ndarray, percentile: float = 0.9) -> list[bytes]:
     for width in np.unique(widths):
         rows = np.flatnonzero(widths == width)
         if width:
-            whole = np.ascontiguousarray(over[rows].astype("<u4")).view(np.uint8).reshape(len(rows), BLOCK, 4)
+            whole = over[rows].astype("<u2" if width <= 16 else "<u4").view(np.uint8).reshape(len(rows), BLOCK, -1)
             bits = np.unpackbits(whole, axis=2, count=int(width), bitorder="little").reshape(len(rows), -1)
             for row, line in zip(rows, np.packbits(bits, axis=1, bitorder="little"), strict=True):
                 packed[row] = line.tobytes()
@@ -75,9 +75,9 @@ def unpack_blocks(data: memoryview, starts: np.ndarray, n_ids: int) -> np.ndarra
         rows = np.flatnonzero(widths == width)
         if width:
             where = starts[rows][:, None] + BLOCK_HEAD.size + np.arange(BLOCK * width // 8)
-            bits = np.zeros((len(rows), BLOCK, 32), dtype=np.uint8)
+            bits = np.zeros((len(rows), BLOCK, 16 if width <= 16 else 32), dtype=np.uint8)
             bits[:, :, :width] = np.unpackbits(raw[where], axis=1, bitorder="little").reshape(len(rows), BLOCK, width)
-            out[rows] = np.packbits(bits, axis=2, bitorder="little").view("<u4")[:, :, 0]
+            out[rows] = np.packbits(bits, axis=2, bitorder="little").view("<u2" if width <= 16 else "<u4")[:, :, 0]
     for i, (least, width, odd) in enumerate(heads):
         if odd:
             at = int(starts[i]) + BLOCK_HEAD.size + BLOCK * width // 8
@@ -113,24 +113,26 @@ def chunks(data: bytes) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarr
         at += size
 
 
-#: Characters that Python's split() takes for white space and the tokenizer does not, and special strings.
-WHOLE = re.compile(r"[\x1c-\x1f]|<\|")
+#: Characters that Python's split() takes for white space and the tokenizer does not, and how special strings begin.
+WHOLE = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
+#: A single mark between a letter and white space is a pre-token of its own.
+ENDING = re.compile(r"[.,;:!?](?<=[a-zß-öø-ÿ][.,;:!?])(?=\s|\Z)")
 
 
 #: ASCII signs: behind a letter they are pre-tokens of their own.
 MARKS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{}~"
 
 
-def latin(word: str) -> bool:
-    """Whether the word is of Latin-1, where Python's lower case is the tokenizer's."""
-    return word.isascii() or word.encode("latin-1", "replace").decode("latin-1") == word
+def latin(text: str) -> bool:
+    """Whether the text is of Latin-1, where Python's lower case is the tokenizer's."""
+    return text.isascii() or text.encode("latin-1", "replace").decode("latin-1") == text
 
 
 class WordIds(dict):
     """Word (between white space) -> its ids as bytes.
 
     The tokenizer's normalizer and pre-tokenizer never look beyond white space, so a text's ids are those of its words
-    in a row. Lower-cased words of letters only are encoded many at a time: each ends at the one id that ends a word.
+    in a row. Words of lower-case letters only are encoded many at a time: each ends at the one id that ends a word.
     The cache has a young and an old half; what is found in the old one is young again.
     """
 
@@ -178,8 +180,7 @@ class WordIds(dict):
         if len(self) > self.most // 2:  # what isn't asked for again while the cache fills once more is forgotten
             self.old = dict(self)
             self.clear()
-        plain = {w.rstrip(MARKS).lower() for w in words.difference(self).difference(self.old)}
-        plain = [w for w in plain.difference(self).difference(self.old) if w.isalpha() and latin(w)]
+        plain = [w for w in words.difference(self).difference(self.old) if w.isalpha() and w.islower() and latin(w)]
         for i in range(0, len(plain), 2_000):
             part = plain[i : i + 2_000]
             ids = np.array(self.plain.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
@@ -193,7 +194,7 @@ class WordIds(dict):
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [self.whole(t) for t in texts]
-        split = [None if WHOLE.search(t) else t.split() for t in texts]
+        split = [None if any(s in t for s in WHOLE) else (ENDING.sub(r" \g<0>", t.lower()) if latin(t) else t).split() for t in texts]
         self.learn(set().union(*(s for s in split if s)))
         return [self.whole(t) if s is None else b"".join(map(self.__getitem__, s)) for t, s in zip(texts, split, strict=True)]
 
