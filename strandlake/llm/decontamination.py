@@ -115,3 +115,23 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     return find_overlaps(docs.select("doc_id", "text"), items.select("item_id", "text"))
+
+
+_TOKENS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+# All alignments that share enough neighbouring tokens, without seeds: what the masks find must be what there is.
+SQL = f"""
+WITH d AS (SELECT doc_id, {_TOKENS} AS h FROM documents), b AS (SELECT item_id, {_TOKENS} AS h FROM benchmark),
+dg AS (SELECT doc_id, i, h[i] || ' ' || h[i + 1] AS g FROM (SELECT doc_id, h, unnest(range(1, len(h))) AS i FROM d)),
+bg AS (SELECT item_id, i, n, h[i] || ' ' || h[i + 1] AS g FROM (SELECT item_id, h, len(h) AS n, unnest(range(1, len(h))) AS i FROM b)),
+shifts AS (SELECT doc_id, item_id, dg.i - bg.i AS shift FROM dg JOIN bg USING (g) GROUP BY ALL HAVING count(*) >= least(3, min(n) - 1)),
+a AS (SELECT doc_id, item_id, greatest(shift, 0) AS df, greatest(-shift, 0) AS bf, least(len(d.h) - greatest(shift, 0), len(b.h) - greatest(-shift, 0)) AS n, least(13, len(b.h)) AS needed, len(b.h) AS whole, d.h AS dh, b.h AS bh
+    FROM shifts JOIN d USING (doc_id) JOIN b USING (item_id)),
+e AS (SELECT doc_id, item_id, df, bf, n, needed, whole, list_transform(range(1, n + 1), lambda k: CASE WHEN dh[df + k] = bh[bf + k] THEN 1 ELSE 0 END) AS eq FROM a WHERE n >= needed),
+s AS (SELECT *, list_transform(range(0, n + 1), lambda k: CAST(coalesce(5 * list_sum(eq[1:k]), 0) - 4 * k AS BIGINT)) AS up FROM e WHERE whole >= {max(map(len, MASKS))} OR list_sum(eq) = whole),
+j AS (SELECT *, unnest(range(needed, n + 1)) AS stop FROM s),
+i AS (SELECT *, unnest(range(0, stop - needed + 1)) AS start FROM j),
+best AS (SELECT doc_id, item_id, df + start AS doc_token, bf + start AS item_token, stop - start AS n_aligned, list_sum(eq[start + 1:stop]) AS n_equal FROM i WHERE up[stop + 1] >= up[start + 1]
+    QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, df, bf ORDER BY stop - start DESC, start) = 1)
+SELECT doc_id, item_id, CAST(doc_token AS INTEGER) AS doc_token, CAST(item_token AS INTEGER) AS item_token, CAST(n_aligned AS INTEGER) AS n_aligned, CAST(n_equal AS INTEGER) AS n_equal
+FROM best QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, doc_token, item_token) = 1
+"""

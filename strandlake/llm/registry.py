@@ -17,4 +17,4 @@ QUERIES = {
     "op10_decontamination": decontamination.op10_decontamination,
 }
 
-SQL = {"op6_mix": mixing.SQL, "op9_warc": warc.SQL}
+SQL = {"op6_mix": mixing.SQL, "op9_warc": warc.SQL, "op10_decontamination": decontamination.SQL}
