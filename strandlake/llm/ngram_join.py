@@ -102,7 +102,7 @@ def _deliver(docs: DataFrame, classes: DataFrame, roles: DataFrame, width: int)
     return blobs.repartition("g", "i", "j").sortWithinPartitions(*KEY)
 
 
-def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int, per_group: int = 4_096) -> DataFrame:
+def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int, per_group: int = 256) -> DataFrame:
     """The pairs (a, b) of set names whose sets have 100 * shared >= percent * all.
 
     The sets around one b meet in groups of about `per_group` members, each with its own copy of b's set; a task

@@ -3,8 +3,10 @@
 import base64
 import hashlib
 import random
+import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -263,21 +265,82 @@ def test_decontamination_finds_substituted_passages(spark):
     assert all(d == i for d, i in got) and {i for i in items if share[i] >= 0.8} <= {i for i, _ in got}
 
 
-def test_pipeline_stage_by_stage(spark):
+def plain_stages(docs, labels, items, model):
+    """The rows that each stage keeps, from pandas and SQL: quality text by text, copies by all pairs, the rest in DuckDB."""
+    from collections import Counter
+
+    import duckdb
+
+    from strandlake.llm import quality
+    from strandlake.llm.token_files import WordIds
+
+    kept = []
+    for r in docs.itertuples():
+        one = [quality.text_features([(r.text or "").encode()]), quality.page_features(*[pd.Series([v]) for v in (r.source, r.lang, r.n_chars)])]
+        kept.append(bool(r.text and r.text.strip()) and model.score(one)[0] >= model.cut)
+    docs = docs[kept]
+    yield docs
+    comp = brute_components({r.doc_id: shingles(r.text) for r in docs.itertuples()})
+    docs = docs[[comp[i] == i for i in docs.doc_id]]
+    yield docs
+    db = duckdb.connect()
+    db.register("documents", docs)
+    db.register("benchmark", items)
+    docs = docs[~docs.doc_id.isin(db.execute(decontamination.SQL).fetchdf().doc_id)]
+    yield docs
+    db.register("documents", docs)
+    mixed = db.execute(mixing.SQL).fetchdf().set_index("doc_id")
+    copies = (mixed.taken // mixed["size"].clip(lower=1)).reindex(docs.doc_id).to_numpy()
+    docs = docs.loc[np.repeat(docs.index, copies)]
+    yield docs
+    from strandlake.llm.common import tokenizer_file
+
+    words = WordIds(tokenizer_file("word_bpe_49k.json"), 100)
+    ids = {r.doc_id: [*words.model.encode(r.text, add_special_tokens=False).ids, 1] for r in docs.itertuples()}
+    yield Counter((i, len(ids[i]), zlib.crc32(np.array(ids[i], "<u4").tobytes())) for i in docs.doc_id)
+
+
+def test_pipeline_stages_equal_plain_versions(spark):
+    from collections import Counter
+
+    from strandlake.llm import quality
+
     sf_dir = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, labels, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels", "benchmark"))
+    plain = plain_stages(docs.toPandas().sort_values("doc_id"), labels.toPandas(), items.toPandas(), quality.fit(docs, labels))
     n = []
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = corpus_pipeline.table(stage(spark, docs, sf_dir), name)
         assert out.columns == docs.columns, name
-        if name == "near_duplicate":
-            kept, comp = {r.doc_id for r in out.collect()}, brute_components({r.doc_id: shingles(r.text) for r in docs.collect()})
-            assert kept == set(comp.values())
+        assert Counter(r.doc_id for r in out.select("doc_id").collect()) == Counter(next(plain).doc_id), name
         docs = out
         n.append(docs.count())
     assert n[0] > n[1] >= n[2] > 0
-    last = corpus_pipeline.run(spark, sf_dir).toPandas()
-    assert len(last) == n[-1] and last.n_tokens.sum() == (last.start + last.n_tokens).max()
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).toPandas().sort_values("start")
+    assert Counter(zip(last.doc_id, last.n_tokens, last.ids_crc32)) == next(plain)
+    assert last.start.tolist() == np.cumsum([0, *last.n_tokens])[:-1].tolist() and last.doc_id.is_monotonic_increasing
+
+
+def test_pipeline_of_nulls_repeats_and_clashing_columns(spark, tmp_path):
+    """Blank texts go in the first stage; rows without id stay; rows that repeat an id stay together; extra columns go."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    good = docs.where("doc_id IN (10, 11, 12, 13, 14, 15, 16, 17)").orderBy("doc_id")
+    text = good.first().text
+    odd = spark.createDataFrame([(9_001, None, None, None, None), (9_002, "", "en", "a", 0), (9_003, " \n ", None, None, -1), (None, text + " and more of it", "en", None, None), (None, text + " and more of it", "en", None, None)], docs.schema)
+    rows = good.union(good.limit(2)).union(odd).select("*", *[F.lit(i).alias(c) for i, c in enumerate(("_cut", "_quality", "sid", "taken", "size", "keep", "target", "component_id", "ids"))])
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = corpus_pipeline.table(stage(spark, now, str(tmp_path)), name)
+        assert now.columns == list(corpus_pipeline.COLUMNS)
+        kept.append([r.doc_id for r in now.collect()])
+    assert not {9_001, 9_002, 9_003} & set(kept[0]) and kept[0].count(None) == kept[1].count(None) == kept[2].count(None)
+    assert all(kept[0].count(i) == kept[1].count(i) for i in set(kept[1]))
+    assert corpus_pipeline.run(spark, str(tmp_path)).where("n_tokens IS NULL").count() == 0
 
 
 def test_pipeline_of_nothing(spark, tmp_path):
