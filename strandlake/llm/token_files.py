@@ -209,10 +209,11 @@ def _words(path: str, most: int) -> WordIds:
 
 
 def write_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, end_id: int = 1,
-                 percentile: float = 0.9, docs_per_file: int = 8_192, ids_per_chunk: int = 1 << 18, cache_words: int = 600_000) -> str:
+                 percentile: float = 0.9, docs_per_file: int = 8_192, ids_per_chunk: int = 1 << 18, chunks_per_file: int = 64, cache_words: int = 600_000) -> str:
     """Encode whole texts, append `end_id` to each document and write the ids in ascending doc_id order; returns `path`.
 
-    Files hold ranges of doc_id: bounds are quantiles of the id column alone, the ids are then shuffled once. Null and
+    Files hold ranges of doc_id: bounds are quantiles of the id column alone, the ids are then shuffled once. A range of
+    more than `chunks_per_file` chunks is cut into several files, so that files have a bounded size. Null and
     empty texts are the end id alone. Null ids come first; equal ids are ordered by their texts' hash. Other columns
     aren't written. An empty table writes no chunk.
     """
@@ -249,7 +250,7 @@ def write_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     encoded = rows.mapInPandas(encode, "part int, doc_id long, tie long, size int, ids binary")
     dealt = encoded.repartitionById(n_files, F.col("part")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
-    dealt.mapInArrow(chunk, "value binary").select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
+    dealt.mapInArrow(chunk, "value binary").select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", chunks_per_file).text(path)
     return path
 
 

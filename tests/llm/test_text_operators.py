@@ -59,7 +59,7 @@ def test_token_files_equal_the_library(spark):
 
     model = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
     docs = frame(spark).repartition(3)
-    path = token_files.write_tokens(docs, fresh(spark, "t"), docs_per_file=3, ids_per_chunk=50)
+    path = token_files.write_tokens(docs, fresh(spark, "t"), docs_per_file=3, ids_per_chunk=50, chunks_per_file=2)
     got = token_files.read_tokens(spark, path, with_ids=True).orderBy("start").collect()
     want = [[*model.encode(t or "", add_special_tokens=False).ids, 1] for t in TEXTS]
     assert [list(r.ids) for r in got] == want
