@@ -6,13 +6,11 @@ singular. Paralog edges have (gene, paralog).
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strandlake.session import scratch
+from strandlake.session import drop, fresh
 
 
 def load_genome_hits(profile: DataFrame) -> DataFrame:
@@ -65,29 +63,35 @@ def paralog_set_size(paralogs: DataFrame) -> DataFrame:
 def homology_seeds(genes: DataFrame, paralogs: DataFrame) -> DataFrame:
     """The genes (gene, ord) that start a group: in order, those that no earlier seed lists as a paralog.
 
-    A gene is decided once all genes that list it and come earlier are: it is a seed if none of them is one. Every round
-    decides at least the first open gene; state is written to the shared folder each round, and rounds are as many as
-    the longest chain of listings.
+    A gene that no open gene lists is a seed, unless a seed lists it. Every round decides at least the first open gene,
+    and carries open genes and the listings among them only, as tables in the shared folder; rounds are as many as the
+    longest chain of listings.
     """
     spark = genes.sparkSession
-    folder = f"{scratch(spark)}/seeds-{uuid.uuid4().hex}"
-    place = genes.select("gene", "ord")
-    listed = paralogs.select("gene", "paralog").distinct().join(place, "gene").join(place.select(F.col("gene").alias("paralog"), F.col("ord").alias("paralog_ord")), "paralog").where("ord < paralog_ord").select("gene", "paralog")
+    seeds_at = fresh(spark, "seeds")
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
+    def keep(df: DataFrame, path: str | None = None) -> DataFrame:
+        path = path or fresh(spark, "seeds-open")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
-    listed = keep(listed, "listed")
-    state = keep(place.withColumn("seed", F.lit(None).cast("boolean")), "state0")
+    place = genes.select("gene", "ord")
+    listed = paralogs.select("gene", "paralog").distinct().join(place, "gene").join(place.select(F.col("gene").alias("paralog"), F.col("ord").alias("paralog_ord")), "paralog").where("ord < paralog_ord").select("gene", "paralog")
+    listed = keep(listed)
+    of = lambda df: df.select(F.col("paralog").alias("gene")).distinct()
+    seeds = keep(place.join(of(listed), "gene", "left_anti"), f"{seeds_at}/round=0")
+    open_ = keep(place.join(of(listed), "gene", "left_semi"))
     n = 0
-    while not state.where("seed IS NULL").isEmpty():
+    while not open_.isEmpty():
         n += 1
-        listers = listed.join(state.select("gene", F.col("seed").alias("lister_seed")), "gene").groupBy(F.col("paralog").alias("gene")).agg(
-            F.max(F.coalesce("lister_seed", F.lit(False))).alias("any_seed"), F.max(F.col("lister_seed").isNull()).alias("any_open"))
-        decided = F.when(F.col("seed").isNotNull(), F.col("seed")).when(F.coalesce("any_seed", F.lit(False)), False).when(~F.coalesce("any_open", F.lit(False)), True)
-        state = keep(state.join(listers, "gene", "left").select("gene", "ord", decided.alias("seed")), f"state{n}")
-    return state.where("seed").select("gene", "ord")
+        lost = keep(of(listed.join(seeds, "gene", "left_semi")))
+        left = keep(listed.join(seeds, "gene", "left_anti").join(lost, "gene", "left_anti").join(lost.withColumnRenamed("gene", "paralog"), "paralog", "left_anti").select("gene", "paralog"))
+        rest = open_.join(lost, "gene", "left_anti")
+        seeds = keep(rest.join(of(left), "gene", "left_anti"), f"{seeds_at}/round={n}")
+        still = keep(rest.join(of(left), "gene", "left_semi"))
+        drop(listed, open_, lost)
+        listed, open_ = left, still
+    return spark.read.parquet(seeds_at).select("gene", "ord")
 
 
 def homology_groups(genes: DataFrame, edges: DataFrame, paralogs: DataFrame) -> DataFrame:

@@ -59,7 +59,7 @@ PARALOG_EDGES = "pe AS (SELECT a.gene AS gene, b.gene AS paralog FROM paralog p
 _E = (*ALL, PROFILE, EDGES)
 _EP = (*_E, PARALOGS, PARALOG_EDGES)
 # seeds in gene order: a list of the seeds so far is carried from gene to gene
-SEEDS = """z AS (SELECT ord, gene, row_number() OVER (ORDER BY ord) AS i FROM named WHERE genome = 'genome0'), listers AS (SELECT z.i, list(l.i) AS before FROM pe JOIN z ON z.gene = pe.paralog JOIN z l ON l.gene = pe.gene AND l.i < z.i GROUP BY z.i),
+SEEDS = """z AS MATERIALIZED (SELECT ord, gene, row_number() OVER (ORDER BY ord) AS i FROM named WHERE genome = 'genome0'), listers AS MATERIALIZED (SELECT z.i, list(l.i) AS before FROM pe JOIN z ON z.gene = pe.paralog JOIN z l ON l.gene = pe.gene AND l.i < z.i GROUP BY z.i),
 walk(i, seeds) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL SELECT walk.i + 1, CASE WHEN list_has_any(seeds, coalesce(l.before, [])) THEN seeds ELSE list_append(seeds, walk.i + 1) END FROM walk LEFT JOIN listers l ON l.i = walk.i + 1 WHERE walk.i < (SELECT max(i) FROM z)),
 seed AS (SELECT row_number() OVER (ORDER BY s) AS group_no, z.gene AS seed FROM (SELECT unnest(seeds) AS s FROM walk WHERE i = (SELECT max(i) FROM z)) JOIN z ON z.i = s),
 ps AS (SELECT group_no, seed, paralog AS member FROM seed JOIN pe ON pe.gene = seed), grouped AS (SELECT group_no, seed, seed AS member FROM seed UNION SELECT group_no, seed, partner FROM seed JOIN edges ON edges.gene = seed UNION SELECT * FROM ps UNION SELECT group_no, seed, partner FROM ps JOIN edges ON edges.gene = member)"""

@@ -16,7 +16,7 @@ def spark():
 
     folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     session = (SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC")
-               .config("spark.local.dir", folder).config("spark.sql.warehouse.dir", f"{folder}/warehouse").config("spark.ui.showConsoleProgress", "false").getOrCreate())
+               .config("spark.local.dir", folder).config("spark.sql.warehouse.dir", f"{folder}/warehouse").config("spark.checkpoint.dir", f"{folder}/shared").config("spark.ui.showConsoleProgress", "false").getOrCreate())
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
