@@ -60,6 +60,13 @@ def paralog_set_size(paralogs: DataFrame) -> DataFrame:
     return paralogs.groupBy("gene").agg(F.countDistinct("paralog").alias("n_paralogs")).groupBy("n_paralogs").agg(F.count("*").alias("n_genes"))
 
 
+def _kept(df: DataFrame, path: str | None = None) -> DataFrame:
+    """`df`, written to the shared folder once."""
+    path = path or fresh(df.sparkSession, "seeds-open")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def homology_seeds(genes: DataFrame, paralogs: DataFrame) -> DataFrame:
     """The genes (gene, ord) that start a group: in order, those that no earlier seed lists as a paralog.
 
@@ -68,13 +75,7 @@ def homology_seeds(genes: DataFrame, paralogs: DataFrame) -> DataFrame:
     longest chain of listings.
     """
     spark = genes.sparkSession
-    seeds_at = fresh(spark, "seeds")
-
-    def keep(df: DataFrame, path: str | None = None) -> DataFrame:
-        path = path or fresh(spark, "seeds-open")
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
+    seeds_at, keep = fresh(spark, "seeds"), _kept
     place = genes.select("gene", "ord")
     listed = paralogs.select("gene", "paralog").distinct().join(place, "gene").join(place.select(F.col("gene").alias("paralog"), F.col("ord").alias("paralog_ord")), "paralog").where("ord < paralog_ord").select("gene", "paralog")
     listed = keep(listed)
@@ -96,10 +97,10 @@ def homology_seeds(genes: DataFrame, paralogs: DataFrame) -> DataFrame:
 
 def homology_groups(genes: DataFrame, edges: DataFrame, paralogs: DataFrame) -> DataFrame:
     """(group_no, seed, member): each seed of the reference genes with itself, its partners, its paralogs and their partners."""
-    seeds = homology_seeds(genes, paralogs)
+    own = _kept(paralogs.select("gene", "paralog").distinct())
+    seeds = homology_seeds(genes, own)
     numbered = seeds.withColumn("group_no", F.row_number().over(W.orderBy("ord"))).select("group_no", F.col("gene").alias("seed"))  # one genome's seeds
-    partners = edges.select("gene", "partner").distinct()
-    own = paralogs.select("gene", "paralog").distinct()
+    partners = _kept(edges.select("gene", "partner").distinct())
     of_seed = numbered.join(own, F.col("seed") == F.col("gene")).select("group_no", "seed", F.col("paralog").alias("member"))
     members = numbered.select("group_no", "seed", F.col("seed").alias("member")).unionByName(numbered.join(partners, F.col("seed") == F.col("gene")).select("group_no", "seed", F.col("partner").alias("member"))).unionByName(
         of_seed).unionByName(of_seed.join(partners, F.col("member") == F.col("gene")).select("group_no", "seed", F.col("partner").alias("member")))

@@ -152,3 +152,57 @@ def test_kmer_hits_of_more_sequences_than_a_block(spark):
             want[pair] = (-d, n, min(diagonals[-d]) + 1, max(diagonals[-d]) + 16)
     got = H.kmer_hits(spark.createDataFrame(list(rows.items()), "contig string, seq string").repartition(3)).collect()
     assert {(r.q, r.s): (r.diagonal, r.n_shared, r.q_start, r.q_end) for r in got} == want and len(got) == len(want) > 57 * 56 + 60 * 59
+
+
+def test_genes_are_cut_from_windows(spark):
+    """Calls inside a window, over its edge, over several windows, at the contig's ends and beyond them."""
+    rng = random.Random(2)
+    contigs = {c: "".join(rng.choices("acgt", k=n)) for c, n in (("a", 1_000), ("b", 64), ("c", 0), ("d", 129))}
+    rows = [(c, rng.choice("+-"), rng.randint(0, 900), 0) for c in contigs for _ in range(40)]
+    rows = [(c, s, left, left + rng.choice([0, 2, 30, 95, 96, 97, 400])) for c, s, left, _ in rows] + [("a", "+", 0, 1_000), ("a", "-", 1, 1_000), ("a", "+", 64, 65)]
+    calls = spark.createDataFrame(rows, "contig string, strand string, left_end long, right_end long")
+    table = spark.createDataFrame(list(contigs.items()), "contig string, seq string")
+
+    def plain(c, strand, left, right):
+        part = contigs[c][max(left, 1) - 1 : right]
+        return part if strand == "+" else part[::-1].translate(str.maketrans("acgt", "tgca"))
+
+    got = sorted((r.contig, r.strand, r.left_end, r.right_end, r.gene) for r in Q.extract_genes(calls, table, window=64).where("gene <> ''").collect())
+    assert got == sorted((c, s, max(a, 1), b, plain(c, s, a, b)) for c, s, a, b in rows if plain(c, s, a, b))
+    flanks = sorted((r.left_end, r.right_end, r.stretch) for r in Q.extract_flanks(calls.where("contig = 'a'"), table, 7, window=64).where("stretch <> ''").collect())
+    assert flanks == sorted((a, b, plain("a", s, max(a - 7, 1), b + 7)) for c, s, a, b in rows if c == "a" and plain("a", s, max(a - 7, 1), b + 7))
+
+
+def test_translation_equals_the_table(spark):
+    bases = "tcag"
+    table = {a + b + c: Q.TABLE_11[16 * i + 4 * j + k] for i, a in enumerate(bases) for j, b in enumerate(bases) for k, c in enumerate(bases)}
+    rng = random.Random(4)
+    seqs = ["".join(rng.choices("acgtnACGT", k=rng.randint(0, 40))) for _ in range(200)] + ["", "at", "atgtaa", "taataa"]
+    got = {r.s: r.p for r in spark.createDataFrame([(s,) for s in seqs], "s string").select("s", Q.translate_sequence(F.col("s")).alias("p")).collect()}
+    for s in seqs:
+        whole = "".join(table.get(s.lower()[i : i + 3], "X") for i in range(0, len(s) - 2, 3))
+        assert got[s] == (whole[:-1] if whole.endswith("*") else whole)
+
+
+def test_a_whole_file_of_custom_calls(spark, tmp_path):
+    """A file as tools write it: two comment lines, then calls, of which one is broken."""
+    name = "Sample_NC_000001_1_Some_phage__complete_genome"
+    rows = [f"{name}\tMyCaller\tCDS\t{left}\t{left + 140}\t4.4\t{'-' if i % 5 == 4 else '+'}\t0\tID=1_{i}" for i, left in enumerate(range(1, 4_300, 100), 1)]
+    (tmp_path / "calls.gff").write_text("\n".join(["##gff-version  3", f'# Sequence Data: seqhdr="{name}"', *rows, f"{name}\tMyCaller\tCDS\t1"]) + "\n")
+    found = RC.custom(spark, str(tmp_path)).orderBy("gene_no").collect()
+    assert len(found) == len(rows) and [r.gene_no for r in found] == list(range(1, len(rows) + 1)) and {r.length for r in found} == {141}
+    assert sum(r.strand == "-" for r in found) == sum("\t-\t" in r for r in rows)
+    assert [r.line for r in RC.custom(spark, str(tmp_path), rejects=True).collect()] == [f"{name}\tMyCaller\tCDS\t1"]
+
+
+def test_seeds_equal_a_walk_in_order(spark):
+    rng = random.Random(9)
+    genes = [(f"g{i}", i) for i in range(60)]
+    pairs = {(f"g{rng.randrange(60)}", f"g{rng.randrange(60)}") for _ in range(70)} | {(f"g{i}", f"g{i + 1}") for i in range(20, 30)}
+    listed = [(a, b) for a, b in pairs if a != b]
+    seeds = []
+    for g, _ in genes:
+        if not any(a in seeds and b == g for a, b in listed):
+            seeds.append(g)
+    got = G.homology_seeds(spark.createDataFrame(genes, "gene string, ord int"), spark.createDataFrame(listed, "gene string, paralog string")).orderBy("ord").collect()
+    assert [r.gene for r in got] == seeds
