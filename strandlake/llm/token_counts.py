@@ -1,8 +1,8 @@
 """Token counts by a map-side two-tier lookup.
 
 Tier one is a table of the lengths, in tokens, of the most frequent text pieces, broadcast to all workers. Tier two
-is a cache in each Python worker, filled by encoding what tier one misses. No piece of text is ever shuffled: tier one
-is counted over a bounded sample of texts, each task of which gives one packed summary. It steers speed, never counts.
+is a cache in each Python worker, filled by encoding what tier one misses. No piece of text is ever shuffled: each
+task gives one packed, bounded summary of its frequent pieces, and summaries are merged level by level to make tier one.
 """
 
 from __future__ import annotations
@@ -14,10 +14,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import put, tokenizer_file
+from .common import put, table, tokenizer_file
 
 #: A byte-level pre-token never crosses a space that a printable, non-white character follows.
 CUT = re.compile(" (?=[!-~¡-ᙿ])")
@@ -76,28 +77,39 @@ def _one(text: str, lengths: Lengths, encode, specials) -> int:
     return (encode(first) if first else 0) + sum(map(lengths.__getitem__, rest))
 
 
-def frequent_pieces(docs: DataFrame, text: str = "text", most: int = 32_768, sample: int = 4_000, most_chars: int = 50_000) -> list[str]:
-    """The most frequent pieces of about `sample` texts of at most `most_chars` characters, those of the least text hashes.
+def frequent_pieces(docs: DataFrame, text: str = "text", most: int = 32_768, per_task: int = 8_192, fan_in: int = 32) -> list[str]:
+    """The most frequent pieces over all texts, from a bounded heavy-hitter summary of each task.
 
-    Both bounds together bound what comes to the driver, however many texts there are.
+    A task gives one row, its packed summary; `fan_in` summaries at a time are merged to one of at most `most` pieces,
+    level by level, so that no task and not the driver holds more than that.
     """
-    rows = docs.select(F.col(text).alias("t")).where(F.length("t") <= most_chars)
-    n = docs.count()
-    share = min(1.0, sample / max(1, n))
-    picked = rows.where(F.pmod(F.xxhash64("t"), F.lit(1 << 40)) < int(share * (1 << 40)))
+
+    def row(slot: int, seen: Counter, keep: int) -> pd.DataFrame:
+        top = sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:keep]
+        return pd.DataFrame({"slot": [slot], "pieces": [[p for p, _ in top]], "n": [[n for _, n in top]]})
 
     def summary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
         for batch in batches:
             for one in batch["t"]:
-                seen.update(CUT.split(one)[1:])
-        if seen:
-            yield pd.DataFrame({"pieces": [list(seen)], "n": [list(seen.values())]})
-
-    total: Counter = Counter()
-    for r in picked.mapInPandas(summary, "pieces array<string>, n array<long>").toLocalIterator():
-        total.update(dict(zip(r.pieces, r.n, strict=True)))
-    return [p for p, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:most]]
+                if one:
+                    seen.update(CUT.split(one)[1:])
+                if len(seen) > 32 * per_task:
+                    seen = Counter(dict(seen.most_common(4 * per_task)))
+        yield row(TaskContext.get().partitionId(), seen, per_task)
+
+    def merge(part: pd.DataFrame) -> pd.DataFrame:
+        seen: Counter = Counter()
+        for pieces, n in zip(part["pieces"], part["n"], strict=True):
+            seen.update(dict(zip(pieces, n, strict=True)))
+        return row(int(part["slot"].iloc[0]), seen, most)
+
+    schema = "slot long, pieces array<string>, n array<long>"
+    found = table(docs.select(F.col(text).alias("t")).mapInPandas(summary, schema), "token-pieces")
+    while found.count() > 1:
+        found = table(found.withColumn("slot", F.floor(F.col("slot") / fan_in)).groupBy("slot").applyInPandas(merge, schema), "token-pieces")
+    rows = found.collect()
+    return list(rows[0].pieces) if rows else []
 
 
 def count_tokens(docs: DataFrame, text: str = "text", tokenizer: str | None = None, limit: int = 512,

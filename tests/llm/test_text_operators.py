@@ -101,6 +101,28 @@ def test_random_keys_behind_names_and_of_letters():
         assert secrets.spans(plain, encode, 2.0) == [], plain
 
 
+def test_planted_keys_in_prose(spark):
+    """Precision and recall of added spans: keys of several kinds in real texts, and all that is found beside them."""
+    import random
+    import string
+
+    rng = random.Random(11)
+    kinds = [(string.ascii_letters + string.digits, 40, "ghp_"), (string.ascii_letters + string.digits + "+/", 40, ""), (string.ascii_uppercase + "234567", 32, ""), (string.ascii_letters + string.digits, 24, "sk_live_"), (string.ascii_lowercase + string.digits, 32, "")]
+    texts, planted = [], []
+    for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text IS NOT NULL").collect():
+        words = r.text.split(" ")
+        alphabet, n, before = kinds[len(texts) % len(kinds)]
+        key, at = before + "".join(rng.choices(alphabet, k=n)), rng.randrange(len(words) + 1)
+        start = len(" ".join(words[:at])) + (at > 0)
+        texts.append(" ".join([*words[:at], key, *words[at:]]))
+        planted.append((start, start + len(key)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [(s.start, s.end) for s in r.secrets if s.kind == "random"] for r in secrets.find_secrets(docs).collect()}
+    hit = [any(a < end and start < b for a, b in found[i]) for i, (start, end) in enumerate(planted)]
+    other = sum(not (a < planted[i][1] and planted[i][0] < b) for i, spans in found.items() for a, b in spans)
+    assert sum(hit) >= 0.97 * len(hit) and other <= 0.02 * len(hit), (sum(hit), len(hit), other)
+
+
 def test_known_digests_and_identifiers_are_no_secrets():
     encode = secrets.vocabulary(tokenizer_file("byte_bpe_50k.tiktoken")).encode_ordinary
     digest = hashlib.sha256(b"x").digest()
