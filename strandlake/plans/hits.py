@@ -30,11 +30,19 @@ def _alerted(s, d):
     return P.profile_alerts(_profile(s, d).withColumn("g1_seq", F.expr(_seq("cast(gene1 as int)"))).withColumn("g2_seq", F.expr(_seq("cast(gene2 as int)"))))
 
 
+def _sequence_best_hits(s, d):
+    """From sequences to best hits: matched bases stand for the bit score."""
+    genome = "concat('genome', cast(substring({}, 5) as bigint) % 4)"
+    found = H.kmer_hits(X.contigs(s, d)).selectExpr(f"{genome.format('q')} AS q_genome", f"{genome.format('s')} AS s_genome", "q AS q_gene", "s AS s_gene", "identity", "matched AS bitscore", "q_start", "q_end", "s_start", "s_end", "aln_len")
+    return H.hit_coverage(H.best_hits(H.filter_hits(found).where("q_genome <> s_genome")), "aln_len")
+
+
 COLUMNS = ["genome1", "genome2", "ord", "row_type", "gene1", "gene2"]
 
 QUERIES = {
     "genome_pairs": lambda s, d: H.genome_pairs(X.genome_genes(s, d).groupBy("genome").agg(F.min("gene").alias("g")).select("genome", F.expr("cast(substring(genome, 7) as int)").alias("ord"))),
     "kmer_hits": lambda s, d: H.kmer_hits(X.contigs(s, d)),
+    "sequence_best_hits": _sequence_best_hits,
     "filter_hits": lambda s, d: H.filter_hits(X.hits(s, d), 80),
     "top_hits": lambda s, d: H.top_hits(X.candidates(s, d)).select("q_genome", "q_gene", "s_genome", "s_gene", "rank", "bitscore"),
     "best_hits": _best,
@@ -122,3 +130,8 @@ SQL = {
         (SELECT DISTINCT genome2 FROM profile WHERE genome1 = 'genome0' AND gene1 IS NOT NULL) o LEFT JOIN (SELECT * FROM alerted WHERE genome1 = 'genome0' AND gene1 IS NOT NULL AND gene2 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY gene1, genome2 ORDER BY ord DESC) = 1) h ON h.gene1 = g.gene1 AND h.genome2 = o.genome2"""),
     "loner_matrix": X.sql(*ALL, PROFILE, select="SELECT g1_header AS header, g1_start AS start, g1_contig AS contig, " + ", ".join(f"max(CASE WHEN genome2 = 'genome{i}' THEN 'X' END) AS genome{i}" for i in (1, 2, 3)) + " FROM profile WHERE genome1 = 'genome0' AND row_type = 'genome1_loner' GROUP BY ALL"),
 }
+
+_SPAN = "CAST(round_even(100.0 * (CASE WHEN {1} >= {0} THEN {1} - {0} + 1 ELSE {1} - {0} - 1 END) / aln_len, 0) AS BIGINT)"
+SQL["sequence_best_hits"] = f"""SELECT *, {_SPAN.format('q_start', 'q_end')} AS q_coverage, {_SPAN.format('s_start', 's_end')} AS s_coverage FROM (
+  SELECT 'genome' || (CAST(substr(q, 5) AS BIGINT) % 4) AS q_genome, 'genome' || (CAST(substr(s, 5) AS BIGINT) % 4) AS s_genome, q AS q_gene, s AS s_gene, identity, matched AS bitscore, q_start, q_end, s_start, s_end, aln_len FROM ({SQL['kmer_hits']}) WHERE identity >= 60)
+  WHERE q_genome <> s_genome QUALIFY row_number() OVER (PARTITION BY q_genome, q_gene, s_genome ORDER BY bitscore DESC, s_gene) = 1"""
