@@ -192,7 +192,8 @@ def _rejects(s, d):
 
 
 def _profile_text(s, d):
-    return W.profile_lines(hits._profile(s, d), "protein")
+    """Both molecule types of every pair, here with equal rows."""
+    return W.profile_lines(hits._profile(s, d).withColumn("mol_type", F.explode(F.array(F.lit("gene"), F.lit("protein")))), "gene", "protein")
 
 
 def _profile_report(s, d):
@@ -340,7 +341,7 @@ SQL = {name: _GLIMMER for name in QUERIES if name.startswith("ingest_calls_")} |
     "ingest_family_annotations": X.sql(X.FAMILIES, select="SELECT family_id, 3 AS n_proteins, 2 AS n_species, category, description FROM families"),
     "ingest_family_tables": X.sql(X.FAMILIES, select="SELECT family_id, count(*) + count(*) % 2 AS n_reported, count(*) AS n_found, count(*) % 2 = 1 AS mismatch, string_agg(accession, ',' ORDER BY accession) AS accessions FROM family_members GROUP BY family_id"),
     "ingest_lookup_kv": "SELECT 'enzyme' AS kind, 'ACC' || s_suppkey AS key, s_name || ' of ' || s_nationkey AS value FROM supplier",
-    "ingest_profile_report": X.sql(*hits.ALL, hits.PROFILE, select="SELECT 'protein' AS mol_type, ord, row_type, g1_header, g1_contig, g1_annotation, g2_header, g2_start, g2_end, g1_coverage, g2_coverage, aln_len, CASE WHEN gene1 IS NULL THEN NULL WHEN row_type LIKE 'genome1%' THEN 'query' ELSE 'subject' END AS role1 FROM profile"),
+    "ingest_profile_report": X.sql(*hits.ALL, hits.PROFILE, select="SELECT mol_type, ord, row_type, g1_header, g1_contig, g1_annotation, g2_header, g2_start, g2_end, g1_coverage, g2_coverage, aln_len, CASE WHEN gene1 IS NULL THEN NULL WHEN row_type LIKE 'genome1%' THEN 'query' ELSE 'subject' END AS role1 FROM profile, (VALUES ('gene'), ('protein')) t(mol_type)"),
     "ingest_paralog_report": X.sql(X.HITS, X.GENOME_GENES, hits.PARALOGS, select="SELECT genome, 'gene' AS mol_type, CAST(gene AS VARCHAR) AS gene, CAST(paralog AS VARCHAR) AS paralog, CAST(identity AS DOUBLE) AS identity, CAST(coverage AS DOUBLE) AS coverage FROM paralog"),
     "ingest_pair_log": hits.SQL["genome_pairs"],
     "emit_cgc": X.sql(X.GENE_CALLS, select="SELECT concat_ws(chr(9), row_number() OVER (PARTITION BY contig ORDER BY left_end, right_end, strand), strand, left_end, right_end, right_end - left_end + 1, contig, callers) AS line FROM (SELECT contig, strand, left_end, right_end, string_agg(DISTINCT caller, '_' ORDER BY caller) AS callers FROM gene_calls GROUP BY ALL)"),
@@ -355,9 +356,9 @@ SQL = {name: _GLIMMER for name in QUERIES if name.startswith("ingest_calls_")} |
     "emit_group_annotations": genomics._walk("SELECT CAST(group_no AS INTEGER) AS group_no, member || chr(9) || CASE WHEN ord % 4 = 0 THEN 'protein ' || ord ELSE 'no annotation found' END AS line FROM grouped JOIN named ON named.gene = member"),
     "ingest_rejects": " UNION ALL ".join(f"SELECT '{name}' AS source, {bad} AS line FROM part WHERE p_partkey % 3 = 0" for name, (_, _, _, bad) in REJECTING.items()).replace("'\\t'", "chr(9)").replace("\\t", "' || chr(9) || '"),
     "ingest_accession_taxa": "SELECT 'ACC' || s_suppkey AS accession, 'ACC' || s_suppkey || '.1' AS version, CAST(s_nationkey AS BIGINT) AS taxid, CAST(s_suppkey + 7 AS VARCHAR) AS gi FROM supplier",
-    "emit_profile_report": X.sql(*hits.ALL, hits.PROFILE, select="SELECT genome1 || '-' || genome2 AS pair, '#PROTEIN HITS' AS line FROM profile GROUP BY ALL UNION ALL SELECT genome1 || '-' || genome2, concat_ws(chr(9), " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in (
+    "emit_profile_report": X.sql(*hits.ALL, hits.PROFILE, select="SELECT genome1 || '-' || genome2 AS pair, '#' || upper(mol_type) || ' HITS' AS line FROM profile, (VALUES ('gene'), ('protein')) t(mol_type) GROUP BY ALL UNION ALL SELECT genome1 || '-' || genome2, concat_ws(chr(9), " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in (
         "ord", "row_type", "q_start", "q_end", "s_start", "s_end", "identity", "NULL", "CASE WHEN gene1 IS NULL THEN NULL WHEN row_type LIKE 'genome1%' THEN 'query' ELSE 'subject' END", *[f"g1_{c}" for c in ("header", "contig", "annotation", "start", "\"end\"", "strand")],
-        "CASE WHEN gene2 IS NULL THEN NULL WHEN row_type LIKE 'genome2%' THEN 'query' ELSE 'subject' END", *[f"g2_{c}" for c in ("header", "contig", "annotation", "start", "\"end\"", "strand")], "g1_coverage", "g2_coverage", "aln_len", "gap_opens", "g1_span", "g1_length", "g2_span", "g2_length")).replace('_"end"', "_end") + ") FROM profile"),
+        "CASE WHEN gene2 IS NULL THEN NULL WHEN row_type LIKE 'genome2%' THEN 'query' ELSE 'subject' END", *[f"g2_{c}" for c in ("header", "contig", "annotation", "start", "\"end\"", "strand")], "g1_coverage", "g2_coverage", "aln_len", "gap_opens", "g1_span", "g1_length", "g2_span", "g2_length")).replace('_"end"', "_end") + ") FROM profile, (VALUES ('gene'), ('protein')) t(mol_type)"),
     "emit_paralogs": X.sql(X.HITS, X.GENOME_GENES, hits.PARALOGS, select="SELECT genome, concat_ws(chr(9), 'query:' || gene, 'subject:' || paralog, 'gene_paralog', identity) AS line FROM paralog UNION ALL SELECT genome, 'coverage:' || coverage FROM paralog UNION ALL SELECT DISTINCT genome, 'PARALOGS for genome /data/' || genome || '.fasta' FROM paralog UNION ALL SELECT DISTINCT genome, 'Gene Paralogs' FROM paralog"),
     "emit_group_fasta": genomics._walk("SELECT CAST(group_no AS INTEGER) AS group_no, member, ['atg', 'gtg', 'att', 'ccc'][ord % 4 + 1] || 'acgtac' AS seq FROM grouped JOIN named ON named.gene = member"),
     "emit_genomics_reports": " UNION ALL ".join(f"SELECT '{report}' AS report, concat_ws(chr(9), {columns}) AS line FROM ({genomics.SQL[query]})" for report, query, columns in (
