@@ -111,7 +111,7 @@ def shingle_sets(texts: list[bytes], width: int = 5) -> Sets:
     return Sets(starts, sizes, hashes, name(0xD6E8FEB86659FD93), name(0xA0761D6478BD642F))
 
 
-def portions(texts, most_bytes: int = 1_000_000) -> Iterator[tuple[int, list[bytes]]]:
+def portions(texts, most_bytes: int = 500_000) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of whole texts of about `most_bytes`, as (place of the first, UTF-8 texts); null counts as empty."""
     run: list[bytes] = []
     at = size = 0

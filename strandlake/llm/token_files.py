@@ -15,6 +15,7 @@ writer writes the chunks; its line separator is the chunk's final byte.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -140,7 +141,7 @@ class WordIds(dict):
         super().__init__()
         self.old: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.most, self.model = most, Tokenizer.from_file(path)
         self.model.no_truncation()
@@ -149,13 +150,11 @@ class WordIds(dict):
         self.kind = np.dtype("<u2" if max(vocab.values()) < 1 << 16 else "<u4")
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
-        text = self.model.to_str()
-        self.by_word = '"</w>"' in text and '"Lowercase"' in text
+        form = json.loads(self.model.to_str())
+        self.by_word = form["model"].get("end_of_word_suffix") == "</w>" and "Lowercase" in str(form["normalizer"])
+        del form
         # for words of lower-case Latin-1 letters only, which its normalizer and its pattern leave as they are
-        self.plain = Tokenizer.from_file(path)
-        self.plain.no_truncation()
-        self.plain.no_padding()
-        self.plain.normalizer = normalizers.Sequence([])
+        self.plain = Tokenizer(self.model.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
 
     def whole(self, text: str) -> bytes:
@@ -209,7 +208,7 @@ def _words(path: str, most: int) -> WordIds:
 
 
 def write_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, end_id: int = 1,
-                 percentile: float = 0.9, docs_per_file: int = 8_192, ids_per_chunk: int = 1 << 18, chunks_per_file: int = 64, cache_words: int = 600_000) -> str:
+                 percentile: float = 0.9, docs_per_file: int = 8_192, ids_per_chunk: int = 1 << 18, chunks_per_file: int = 64, cache_words: int = 300_000) -> str:
     """Encode whole texts, append `end_id` to each document and write the ids in ascending doc_id order; returns `path`.
 
     Files hold ranges of doc_id: bounds are quantiles of the id column alone, the ids are then shuffled once. A range of
