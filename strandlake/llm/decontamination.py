@@ -25,16 +25,14 @@ def token_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seed(hashes: Column, at: Column, number: int, mask: str) -> Column:
-    return F.xxhash64(F.lit(number), *[F.get(hashes, at + i) for i, kept in enumerate(mask) if kept == "1"])
-
-
 def _seeds(rows: DataFrame, masks: tuple[str, ...], keep: list[str]) -> DataFrame:
     """keep, at, seed: one row for each mask at each position of `h` where it fits."""
-    shortest = min(map(len, masks))
-    fits = rows.where(F.size("h") >= shortest)
-    placed = fits.select(*keep, "h", F.explode(F.sequence(F.lit(0), F.size("h") - shortest)).alias("at"))
-    seeds = [F.when(F.col("at") + len(m) <= F.size("h"), _seed(F.col("h"), F.col("at"), i, m)) for i, m in enumerate(masks)]
+    fits = rows.where(F.size("h") >= min(map(len, masks)))
+    # the tokens behind each position stand beside it, null behind the end, so that the array isn't copied to each
+    ahead = F.arrays_zip(*[F.slice("h", k + 1, F.greatest(F.size("h") - k, F.lit(0))).alias(f"t{k}") for k in range(max(map(len, masks)))])
+    placed = fits.select(*keep, F.posexplode(ahead).alias("at", "t"))
+    token = lambda k: F.col(f"t.t{k}")
+    seeds = [F.when(token(len(m) - 1).isNotNull(), F.xxhash64(F.lit(i), *[token(k) for k, kept in enumerate(m) if kept == "1"])) for i, m in enumerate(masks)]
     return placed.select(*keep, "at", F.explode(F.array(*seeds)).alias("seed")).where("seed IS NOT NULL")
 
 
