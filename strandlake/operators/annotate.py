@@ -149,6 +149,7 @@ def describe_annotations(*texts: DataFrame) -> DataFrame:
 
 def annotation_gff_attr(rows: DataFrame) -> DataFrame:
     """(…, attr): the text of an annotation (type, method, name, description, start, end, strand) in a GFF attribute."""
+    # The texts of the attribute by type.
     described, named = F.translate("description", ";", "|"), F.translate("name", ";", "")
     kind = F.lower("type")
     head = lambda word: F.concat(F.lit(f"({word} - "), "method", F.lit(") "))
