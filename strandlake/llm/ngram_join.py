@@ -210,16 +210,20 @@ class Known(NamedTuple):
     bitmap: np.ndarray
     bits: int
 
-    def look(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each token is frequent; whether it may be shared."""
-        part, tail = _place(tokens, self.parts)
-        at = part * self.bits + (tail * np.uint64(self.bits) >> np.uint64(32)).astype(np.int64)
-        shared = self.bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0
+    def often(self, tokens: np.ndarray) -> np.ndarray:
+        """Whether each token is frequent."""
         if not len(self.frequent):
-            return np.zeros(len(tokens), bool), shared
+            return np.zeros(len(tokens), bool)
+        part, tail = _place(tokens, self.parts)
         key = part.astype(np.uint64) << np.uint64(32) | tail
         place = np.minimum(np.searchsorted(self.frequent, key), len(self.frequent) - 1)
-        return self.frequent[place] == key, shared
+        return self.frequent[place] == key
+
+    def shared(self, tokens: np.ndarray) -> np.ndarray:
+        """Whether each token may be in two heads."""
+        part, tail = _place(tokens, self.parts)
+        at = part * self.bits + (tail * np.uint64(self.bits) >> np.uint64(32)).astype(np.int64)
+        return self.bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0
 
 
 def _packed(tokens: np.ndarray, parts: int) -> pd.DataFrame:
@@ -242,7 +246,7 @@ def count_heads(heads: DataFrame, n_tokens: int, above: int, most: int) -> Known
     frequent of them. Tokens travel packed; a part is counted at a time and holds PART_TOKENS tokens on average at most.
     """
     parts = min(1 << 20, max(int(heads.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_tokens // PART_TOKENS)))
-    bits = max(8, min(BITMAP_BITS // parts, 16 * n_tokens // parts) // 8 * 8)
+    bits = max(8, min(BITMAP_BITS // parts, 4 * n_tokens // parts) // 8 * 8)
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -304,13 +308,13 @@ def whole_sets(heads: DataFrame, docs: DataFrame, classes: DataFrame, known: Kno
     """The sets whose heads have too few rare tokens for a prefix (sid, k1, doc_id), and `known` with all their tokens
     taken for shared ones: their prefixes go beyond what was counted."""
     spark, parts, bits = docs.sparkSession, known.parts, known.bits
-    shared = spark.sparkContext.broadcast(known)
+    shared = spark.sparkContext.broadcast(known._replace(bitmap=known.bitmap[:0]))
 
     def lacking(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             tokens, lengths = _heads(batch["head"])
             n = batch["n"].to_numpy()
-            rare = np.add.reduceat(~shared.value.look(tokens)[0], np.cumsum(lengths) - lengths) if len(batch) else lengths
+            rare = np.add.reduceat(~shared.value.often(tokens), np.cumsum(lengths) - lengths) if len(batch) else lengths
             yield batch.loc[(rare < np.minimum(n, _prefix(n, percent) + 1)) & (lengths < n), ["sid"]]
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -328,11 +332,12 @@ def whole_sets(heads: DataFrame, docs: DataFrame, classes: DataFrame, known: Kno
     if not len(known.frequent):
         return classes.select("sid", "k1", F.col("first").alias("doc_id")).limit(0), known
     short = table(heads.select("sid", "n", "head").mapInPandas(lacking, "sid long").distinct().join(classes.select("sid", "k1", F.col("first").alias("doc_id")), "sid"), "join-short")
+    shared.destroy()
     packed = _scan(docs.join(maybe_broadcast(short), "doc_id"), lambda rows, sets: _packed(sets.tokens, parts), "part int, tails binary", width)
-    bitmap = known.bitmap.copy()
+    bitmap = known.bitmap  # ours alone: marked in place
     for r in packed.repartition(parts, "part").sortWithinPartitions("part").mapInPandas(mark, "part int, bits binary").collect():  # BITMAP_BITS in all at most
         bitmap[r.part * bits // 8 : (r.part + 1) * bits // 8] |= np.frombuffer(r.bits, np.uint8)
-    return short, known._replace(bitmap=bitmap)
+    return short, known
 
 
 KEYS = "sig long, sid long, n long, last long"
@@ -340,7 +345,7 @@ KEYS = "sig long, sid long, n long, last long"
 
 def _keys(sids, sizes, tokens: np.ndarray, lengths: np.ndarray, known: Known, percent: int, most: int = 500_000) -> Iterator[pd.DataFrame]:
     """Frames of KEYS, of about `most` rows each."""
-    often, shared = known.look(tokens)
+    often, shared = known.often(tokens), known.shared(tokens)
     starts = np.cumsum(lengths) - lengths
     sigs, owners, lasts, held = [], [], [], 0
 
@@ -428,7 +433,10 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 75, frequent_ab
     n_tokens = int(classes.agg(F.coalesce(F.sum(F.floor(F.col("n") * (100 - percent) / 100 + F.col("n") / HEAD_SHARE) + HEAD_MORE + 1), F.lit(0))).first()[0])
     count = count_heads(heads.join(behind, "sid", "left").withColumn("lead", F.coalesce("lead", F.lit(True))), n_tokens, frequent_above, most_frequent)
     short, count = whole_sets(heads, docs, classes, count, width, percent)
-    keys = index(heads, docs, short, spark.sparkContext.broadcast(count), width, percent)
+    told = spark.sparkContext.broadcast(count)
+    keys = index(heads, docs, short, told, width, percent)
+    told.destroy()  # workers would keep it
+    del count
     shared = _labelled(keys.select("sig", "sid"), found).groupBy("sig").agg(F.min("cid").alias("low"), F.max("cid").alias("high"), F.count("*").alias("m")).where("low < high").select("sig", "m")
     rows = table(keys.join(maybe_broadcast(table(shared, "join-shared")), "sig").select("sig", "sid", "n", "last", "m"), "join-rows")
     named = sets.select("doc_id", "n", "k1", "k2").join(classes.select("k1", "k2", "sid"), ["k1", "k2"], "left").select("doc_id", "n", "sid")
