@@ -32,7 +32,7 @@ def gff3(spark: SparkSession, path: str, caller: str = "gff3", feature: str | No
     contig, kind, left, right, strand = (split_tabs(F.col("line"), *["string"] * 2, "string", "long", "long", "string", "string")[i] for i in (0, 2, 3, 4, 6))
     rows = _data(spark, path).select("file", "line", (F.substring_index(contig, " ", 1) if contig_word else contig).alias("contig"), kind.alias("kind"), left.alias("left_end"), right.alias("right_end"), _strand(strand).alias("strand"))
     if feature:
-        rows = rows.where(F.lower("kind") == feature)
+        rows = rows.where(F.col("kind").isNull() | (F.lower("kind") == feature))
     return _calls(rows, caller, rejects)
 
 
