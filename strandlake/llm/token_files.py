@@ -21,6 +21,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -75,9 +76,9 @@ def unpack_blocks(data: memoryview, starts: np.ndarray, n_ids: int) -> np.ndarra
     for width in np.unique(widths):
         rows = np.flatnonzero(widths == width)
         if width:
-            where = starts[rows][:, None] + BLOCK_HEAD.size + np.arange(BLOCK * width // 8)
+            runs = np.lib.stride_tricks.sliding_window_view(raw, BLOCK * width // 8)[starts[rows] + BLOCK_HEAD.size]
             bits = np.zeros((len(rows), BLOCK, 16 if width <= 16 else 32), dtype=np.uint8)
-            bits[:, :, :width] = np.unpackbits(raw[where], axis=1, bitorder="little").reshape(len(rows), BLOCK, width)
+            bits[:, :, :width] = np.unpackbits(runs, axis=1, bitorder="little").reshape(len(rows), BLOCK, width)
             out[rows] = np.packbits(bits, axis=2, bitorder="little").view("<u2" if width <= 16 else "<u4")[:, :, 0]
     for i, (least, width, odd) in enumerate(heads):
         if odd:
@@ -175,11 +176,8 @@ class WordIds(dict):
         return found
 
     def learn(self, words: set[str]) -> None:
-        """Encode at once what is new and plain in `words`."""
-        if len(self) > self.most // 2:  # what isn't asked for again while the cache fills once more is forgotten
-            self.old = dict(self)
-            self.clear()
-        plain = [w for w in words.difference(self).difference(self.old) if w.isalpha() and w.islower() and latin(w)]
+        """Encode at once what is plain in `words` and not in the old half."""
+        plain = [w for w in words if w.isalpha() and w.islower() and w not in self.old and latin(w)]
         for i in range(0, len(plain), 2_000):
             part = plain[i : i + 2_000]
             ids = np.array(self.plain.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
@@ -193,9 +191,18 @@ class WordIds(dict):
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [self.whole(t) for t in texts]
+        if len(self) > self.most // 2:  # what isn't asked for again while the cache fills once more is forgotten
+            self.old = dict(self)
+            self.clear()
         split = [None if any(s in t for s in WHOLE) else (ENDING.sub(r" \g<0>", t.lower()) if latin(t) else t).split() for t in texts]
-        self.learn(set().union(*(s for s in split if s)))
-        return [self.whole(t) if s is None else b"".join(map(self.__getitem__, s)) for t, s in zip(texts, split, strict=True)]
+        words = list(chain.from_iterable(s for s in split if s))
+        ids = list(map(self.get, words))
+        gaps = [i for i, found in enumerate(ids) if found is None]
+        self.learn(set(map(words.__getitem__, gaps)))
+        for i in gaps:
+            ids[i] = self[words[i]]
+        ends = accumulate(len(s or ()) for s in split)
+        return [self.whole(t) if s is None else b"".join(ids[end - len(s) : end]) for t, s, end in zip(texts, split, ends, strict=True)]
 
 
 _workers: dict = {}
