@@ -34,6 +34,7 @@ from .common import fresh, table, tokenizer_file
 
 MAGIC, BLOCK = b"PFOR", 256
 HEAD, BLOCK_HEAD = struct.Struct("<4sIIII"), struct.Struct("<IBH")
+HEAD_TYPE = np.dtype([("least", "<u4"), ("width", "u1"), ("odd", "<u2")])
 
 
 def pack_blocks(ids: np.ndarray, percentile: float = 0.9) -> list[bytes]:
@@ -69,22 +70,25 @@ def pack_blocks(ids: np.ndarray, percentile: float = 0.9) -> list[bytes]:
 def unpack_blocks(data: memoryview, starts: np.ndarray, n_ids: int) -> np.ndarray:
     """The ids of a chunk's blocks; each block is found by its start alone."""
     n = len(starts)
-    heads = [BLOCK_HEAD.unpack_from(data, int(s)) for s in starts]
-    out = np.zeros((n, BLOCK), dtype=np.int64)
-    widths = np.array([h[1] for h in heads], dtype=np.int64)
+    if not n:
+        return np.zeros(0, dtype=np.int64)
     raw = np.frombuffer(data, dtype=np.uint8)
+    runs = lambda at, size: np.lib.stride_tricks.sliding_window_view(raw, size)[at]
+    heads = runs(starts, BLOCK_HEAD.size).view(HEAD_TYPE)[:, 0]
+    widths, odd = heads["width"].astype(np.int64), heads["odd"].astype(np.int64)
+    out = np.zeros((n, BLOCK), dtype=np.int64)
     for width in np.unique(widths):
         rows = np.flatnonzero(widths == width)
         if width:
-            runs = np.lib.stride_tricks.sliding_window_view(raw, BLOCK * width // 8)[starts[rows] + BLOCK_HEAD.size]
             bits = np.zeros((len(rows), BLOCK, 16 if width <= 16 else 32), dtype=np.uint8)
-            bits[:, :, :width] = np.unpackbits(runs, axis=1, bitorder="little").reshape(len(rows), BLOCK, width)
+            bits[:, :, :width] = np.unpackbits(runs(starts[rows] + BLOCK_HEAD.size, BLOCK * width // 8), axis=1, bitorder="little").reshape(len(rows), BLOCK, width)
             out[rows] = np.packbits(bits, axis=2, bitorder="little").view("<u2" if width <= 16 else "<u4")[:, :, 0]
-    for i, (least, width, odd) in enumerate(heads):
-        if odd:
-            at = int(starts[i]) + BLOCK_HEAD.size + BLOCK * width // 8
-            out[i, raw[at : at + odd]] |= np.frombuffer(data, "<u4", odd, at + odd).astype(np.int64) << width
-        out[i] += least
+    if odd.any():
+        at, block = starts + BLOCK_HEAD.size + BLOCK * widths // 8, np.repeat(np.arange(n), odd)
+        k = np.arange(len(block)) - np.repeat(np.cumsum(odd) - odd, odd)
+        high = runs(at[block] + odd[block] + 4 * k, 4).view("<u4")[:, 0].astype(np.int64)
+        out[block, raw[at[block] + k]] |= high << widths[block]
+    out += heads["least"].astype(np.int64)[:, None]
     return out.reshape(-1)[:n_ids]
 
 
