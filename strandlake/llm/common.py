@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from strandlake.session import drop, fresh, scratch
 
-__all__ = ["BROADCAST_BYTES", "WORD", "drop", "fresh", "maybe_broadcast", "put", "scratch", "spare", "table", "tokenizer_file"]
+__all__ = ["BROADCAST_BYTES", "WORD", "drop", "fresh", "maybe_broadcast", "put", "scratch", "short_batches", "spare", "table", "tokenizer_file"]
 
 #: A word is a maximal run of anything but the space and the ASCII controls TAB to CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -58,6 +58,15 @@ def put(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, *[c.alias(name) for name, c in columns.items()])
 
 
+def short_batches(df: DataFrame, most: int = 1_000) -> DataFrame:
+    """`df`, whose session hands rows to Python in batches of `most` rows from now on, or of fewer if it is set so: a batch
+    of whole texts is held in memory several times."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= most:
+        conf.set(key, most)
+    return df
+
+
 def spare(df: DataFrame, name: str) -> str:
     """`name`, or a longer one if `df` has a column of that name."""
     taken = {c.lower() for c in df.columns}

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import put, spare, table
+from .common import put, short_batches, spare, table
 from .shingles import mix
 
 BUCKETS = 1 << 16
@@ -238,7 +238,7 @@ def identify(docs: DataFrame, field: Field | None, text: str = "text") -> DataFr
     Null texts and texts without a letter are `und` with score 0, as all are if there was nothing to learn from. Equal
     texts get equal results. Columns of the two names are replaced, others stay; an empty table gives an empty table.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(field)
+    shared = short_batches(docs).sparkSession.sparkContext.broadcast(field)
     key = zlib.crc32(field.weights.tobytes()) if field else 0
 
     @F.pandas_udf("struct<lang: string, score: double>")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import drop, maybe_broadcast, table
+from .common import drop, maybe_broadcast, short_batches, table
 from .graphs import components
 from .shingles import mix, portions, shingle_sets
 
@@ -410,7 +410,7 @@ def _labelled(rows: DataFrame, found: DataFrame) -> DataFrame:
 def similar_sets(docs: DataFrame, width: int = 5, percent: int = 75, frequent_above: int = 32, most_frequent: int = 1_000_000, star_above: int = 16) -> tuple[DataFrame, DataFrame]:
     """(sets, found): (doc_id, n, sid) of `docs` (doc_id, text), sid naming equal sets (null if empty), and the component of
     each sid that is linked to another."""
-    spark = docs.sparkSession
+    spark = short_batches(docs).sparkSession
     sets = table(set_table(docs, width, percent), "join-sets")
     known = sets.where("k1 IS NOT NULL AND doc_id IS NOT NULL")
     classes = known.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import drop, maybe_broadcast, put, spare, table
+from .common import drop, maybe_broadcast, put, short_batches, spare, table
 from .shingles import portions, words_of
 
 _CLASSES = (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" ", b"\n", b".", b",", b"!", b"?", b"|", b"#", b"$", b"%", b"&", b"*", b"@", b"'\"", b"()[]{}", b"<>/\\", b":;", b"-_=+~^`", bytes(range(128, 256)))
@@ -230,7 +230,7 @@ def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     and are kept. Equal rows get equal scores. Columns of the four names are replaced, others stay; an empty table gives
     an empty table.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, **options))
+    model = short_batches(docs).sparkSession.sparkContext.broadcast(fit(docs, labels, **options))
 
     @F.pandas_udf("struct<score: double, text_score: double, page_score: double, keep: boolean>")
     def judge(text: pd.Series, source: pd.Series, lang: pd.Series, n_chars: pd.Series) -> pd.DataFrame:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import put, tokenizer_file
+from .common import put, short_batches, tokenizer_file
 
 # The base patterns, the shortest lengths, and the kinds in their order.
 KINDS = ("assign", "access", "hex", "random")
@@ -96,7 +96,7 @@ def find_secrets(docs: DataFrame, text: str = "text", ranks: str | None = None,
         p = F.split(one, ":")
         return F.struct(p[0].alias("kind"), p[1].cast("int").alias("start"), p[2].cast("int").alias("end"))
 
-    return put(docs, secrets=F.transform(scan(F.coalesce(F.col(text), F.lit(""))), parts))
+    return put(short_batches(docs), secrets=F.transform(scan(F.coalesce(F.col(text), F.lit(""))), parts))
 
 
 def _joined(secrets):

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import put, table, tokenizer_file
+from .common import put, short_batches, table, tokenizer_file
 
 #: A byte-level pre-token never crosses a space that a printable, non-white character follows.
 CUT = re.compile(" (?=[!-~¡-ᙿ])")
@@ -122,7 +122,7 @@ def count_tokens(docs: DataFrame, text: str = "text", tokenizer: str | None = No
     aren't plain byte-level ones are encoded whole.
     """
     path = tokenizer or tokenizer_file("byte_bpe_50k.json")
-    spark = docs.sparkSession
+    spark = short_batches(docs).sparkSession
     encode, specials = load(path)
     pieces = frequent_pieces(docs, text, most_frequent) if specials is not None else []
     tier_one = {p: encode(" " + p) for p in pieces}

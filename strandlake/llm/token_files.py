@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import fresh, table, tokenizer_file
+from .common import fresh, short_batches, table, tokenizer_file
 
 MAGIC, BLOCK = b"PFOR", 256
 HEAD, BLOCK_HEAD = struct.Struct("<4sIIII"), struct.Struct("<IBH")
@@ -228,7 +228,7 @@ def write_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     aren't written. An empty table writes no chunk.
     """
     file = tokenizer or tokenizer_file("word_bpe_49k.json")
-    ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"))
+    ids = short_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"))
     n_files = max(1, -(-ids.count() // docs_per_file))
     bounds = ids.where("doc_id IS NOT NULL").approxQuantile("doc_id", [i / n_files for i in range(1, n_files)], 0.1 / n_files) if n_files > 1 else []
     edges = np.array(sorted(set(bounds)), dtype=np.float64)
