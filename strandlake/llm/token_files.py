@@ -19,6 +19,7 @@ import json
 import os
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from itertools import accumulate, chain
@@ -134,6 +135,12 @@ def latin(text: str) -> bool:
     return text.isascii() or text.encode("latin-1", "replace").decode("latin-1") == text
 
 
+def ends_in_letter(core: str) -> bool:
+    """Whether the tokenizer sees a letter at the end: some letters become a letter and a combining mark when they are
+    normalized or lower-cased, and such a mark forms one pre-token with the signs behind it."""
+    return core[-1].isalpha() and (core.isascii() or unicodedata.normalize("NFC", core).lower()[-1].isalpha())
+
+
 class WordIds(dict):
     """Word (between white space) -> its ids as bytes.
 
@@ -170,7 +177,7 @@ class WordIds(dict):
         if found is None:
             core = word.rstrip(MARKS)
             low = word.lower()
-            if core and core != word and core[-1].isalpha():
+            if core and core != word and ends_in_letter(core):
                 found = self[core] + self[word[len(core):]]
             elif low != word and latin(word):
                 found = self[low]

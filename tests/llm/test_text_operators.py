@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -67,6 +68,16 @@ def test_token_files_equal_the_library(spark):
     assert [r.ids_crc32 for r in got] == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in want]
 
 
+def test_word_ids_equal_the_library_on_letters_that_decompose():
+    words = token_files.WordIds(tokenizer_file("word_bpe_49k.json"), 10_000)
+    nfc = lambda s: unicodedata.normalize("NFC", s)
+    odd = [c for c in map(chr, [*range(0xD800), *range(0xE000, 0x30000)]) if c.isalpha() and (nfc(c) != c or len(c.lower()) > 1 or nfc(c.lower()) != c.lower())]
+    assert len(odd) > 500
+    for c in odd:
+        text = " ".join(f"ab{c}{m}" for m in token_files.MARKS) + f" {c}x, A{c}: {c}{c}. TÜRKİYE CUMHURİYETİ, 2024"
+        assert words.encode([text]) == [words.whole(text)], hex(ord(c))
+
+
 def test_token_files_with_null_and_repeated_ids_and_nothing(spark):
     docs = spark.createDataFrame([(None, "a"), (3, "b c"), (3, "b c"), (1, None)], "doc_id long, text string")
     got = token_files.read_tokens(spark, token_files.write_tokens(docs, fresh(spark, "t"))).orderBy("start").collect()
