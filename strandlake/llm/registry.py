@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, langid, mixing, ngram_join, quality, secrets, spelling, token_counts, token_files, toxicity, vectors, warc
+from . import decontamination, langid, mixing, ngram_join, prefix_trie, quality, secrets, spelling, token_counts, token_files, toxicity, vectors, warc
 
 QUERIES = {
     "op1_vectors": vectors.op1_vectors,
@@ -16,7 +16,8 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_decontamination": decontamination.op10_decontamination,
     "op11_toxicity": toxicity.op11_toxicity,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
     "op13_spelling": spelling.op13_spelling,
 }
 
-SQL = {"op6_mix": mixing.SQL, "op9_warc": warc.SQL, "op10_decontamination": decontamination.SQL, "op13_spelling": spelling.SQL}
+SQL = {"op6_mix": mixing.SQL, "op9_warc": warc.SQL, "op10_decontamination": decontamination.SQL, "op12_prefix_trie": prefix_trie.SQL, "op13_spelling": spelling.SQL}
