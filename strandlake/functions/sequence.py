@@ -19,15 +19,10 @@ def reverse_complement(seq: Column) -> Column:
 
 def translate_sequence(seq: Column, table: str = TABLE_11) -> Column:
     """Frame 1, unknown codons X, one terminal stop dropped; an incomplete last codon is ignored."""
-    n = F.floor(F.length(seq) / 3).cast("int")
-    low = F.lower(seq)
-
-    def amino_acid(i: Column) -> Column:
-        a, b, c = (F.instr(F.lit(CODON_BASES), F.substring(low, i * 3 + k, F.lit(1))) for k in (1, 2, 3))
-        return F.when(F.least(a, b, c) > 0, F.substring(F.lit(table), 16 * a + 4 * b + c - 20, F.lit(1))).otherwise("X")
-
-    amino = F.transform(F.sequence(F.lit(0), n - 1), amino_acid)
-    return F.when(n < 1, F.lit("")).otherwise(F.regexp_replace(F.array_join(amino, ""), r"\*$", ""))
+    digits = F.translate(F.lower(seq), CODON_BASES + "0123", "0123XXXX")
+    codons = F.regexp_extract_all(digits, F.lit(r"[\s\S]{3}"), F.lit(0))
+    amino = F.transform(codons, lambda c: F.when(c.rlike("^[0-3]{3}$"), F.substring(F.lit(table), F.conv(c, 4, 10).cast("int") + 1, F.lit(1))).otherwise("X"))
+    return F.regexp_replace(F.array_join(amino, ""), r"\*$", "")
 
 
 def clean_sequence(text: Column) -> Column:

@@ -7,11 +7,12 @@ singular. Paralog edges have (gene, paralog).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandlake.session import drop, fresh
 
+from .scan import kept, with_place
+
 
 def load_genome_hits(profile: DataFrame) -> DataFrame:
     """The edges of all pair profiles in both directions; gene_no is the number in the cds header."""
@@ -60,47 +61,54 @@ def paralog_set_size(paralogs: DataFrame) -> DataFrame:
     return paralogs.groupBy("gene").agg(F.countDistinct("paralog").alias("n_paralogs")).groupBy("n_paralogs").agg(F.count("*").alias("n_genes"))
 
 
-def _kept(df: DataFrame, path: str | None = None) -> DataFrame:
-    """`df`, written to the shared folder once."""
-    path = path or fresh(df.sparkSession, "seeds-open")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def homology_seeds(genes: DataFrame, paralogs: DataFrame) -> DataFrame:
     """The genes (gene, ord) that start a group: in order, those that no earlier seed lists as a paralog.
 
-    A gene that no open gene lists is a seed, unless a seed lists it. Every round decides at least the first open gene,
-    and carries open genes and the listings among them only, as tables in the shared folder; rounds are as many as the
-    longest chain of listings.
+    A gene is lost if any of its terms holds; a term names an earlier gene and holds if that is a seed (or, where `no` is
+    set, if it isn't). A gene of one term is that gene's equal or opposite: it takes part in no round of its own, all terms
+    that name it name what it depends on instead. So each round halves the way to go along chains, besides deciding every
+    gene whose terms are all decided; a gene that has both terms of one other is lost at once. Terms and decisions are
+    tables in the shared folder.
     """
     spark = genes.sparkSession
-    seeds_at, keep = fresh(spark, "seeds"), _kept
+    seeds_at = fresh(spark, "seeds")
+
+    def keep(df: DataFrame, path: str | None = None) -> DataFrame:
+        path = path or fresh(spark, "seeds-open")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
     place = genes.select("gene", "ord")
-    listed = paralogs.select("gene", "paralog").distinct().join(place, "gene").join(place.select(F.col("gene").alias("paralog"), F.col("ord").alias("paralog_ord")), "paralog").where("ord < paralog_ord").select("gene", "paralog")
-    listed = keep(listed)
-    of = lambda df: df.select(F.col("paralog").alias("gene")).distinct()
-    seeds = keep(place.join(of(listed), "gene", "left_anti"), f"{seeds_at}/round=0")
-    open_ = keep(place.join(of(listed), "gene", "left_semi"))
+    earlier = paralogs.select("gene", "paralog").distinct().join(place, "gene").join(place.select(F.col("gene").alias("paralog"), F.col("ord").alias("paralog_ord")), "paralog").where("ord < paralog_ord")
+    terms = keep(earlier.select(F.col("paralog").alias("gene"), F.col("gene").alias("on"), F.lit(False).alias("no")))
+    keep(place.join(terms, "gene", "left_anti"), f"{seeds_at}/round=0")
+    decided = keep(place.join(terms, "gene", "left_anti").select("gene", F.lit(True).alias("seed")))
     n = 0
-    while not open_.isEmpty():
+    while not terms.isEmpty():
         n += 1
-        lost = keep(of(listed.join(seeds, "gene", "left_semi")))
-        left = keep(listed.join(seeds, "gene", "left_anti").join(lost, "gene", "left_anti").join(lost.withColumnRenamed("gene", "paralog"), "paralog", "left_anti").select("gene", "paralog"))
-        rest = open_.join(lost, "gene", "left_anti")
-        seeds = keep(rest.join(of(left), "gene", "left_anti"), f"{seeds_at}/round={n}")
-        still = keep(rest.join(of(left), "gene", "left_semi"))
-        drop(listed, open_, lost)
-        listed, open_ = left, still
+        known = terms.join(decided.select(F.col("gene").alias("on"), "seed"), "on", "left").withColumn("holds", F.col("seed") != F.col("no"))
+        pairs = known.groupBy("gene", "on").agg(F.min("no").alias("least"), F.max("no").alias("no"), F.max("holds").alias("holds"))
+        pairs = keep(pairs.withColumn("holds", F.when(F.col("least") != F.col("no"), True).otherwise(F.col("holds"))))
+        state = pairs.groupBy("gene").agg(F.coalesce(F.max("holds"), F.lit(False)).alias("lost"), F.count_if(F.col("holds").isNull()).alias("open"), F.max(F.when(F.col("holds").isNull(), F.struct("on", "no"))).alias("one"))
+        state = keep(state)
+        now = keep(state.where("lost OR open = 0").select("gene", (~F.col("lost")).alias("seed")))
+        keep(place.join(now.where("seed"), "gene", "left_semi"), f"{seeds_at}/round={n}")
+        left = pairs.where("holds IS NULL").join(now, "gene", "left_anti").select("gene", "on", "no")
+        # seed(gene) is seed(one.on) if one.no, else its opposite
+        same = state.where("NOT lost AND open = 1").select(F.col("gene").alias("on"), F.col("one.on").alias("to"), F.col("one.no").alias("equal"))
+        turned = left.join(same, "on", "left").select("gene", F.coalesce("to", "on").alias("on"), F.when(F.col("to").isNull() | F.col("equal"), F.col("no")).otherwise(~F.col("no")).alias("no"))
+        after = keep(turned.distinct())
+        drop(terms, decided, pairs, state)
+        terms, decided = after, now
     return spark.read.parquet(seeds_at).select("gene", "ord")
 
 
 def homology_groups(genes: DataFrame, edges: DataFrame, paralogs: DataFrame) -> DataFrame:
     """(group_no, seed, member): each seed of the reference genes with itself, its partners, its paralogs and their partners."""
-    own = _kept(paralogs.select("gene", "paralog").distinct())
+    own = kept(paralogs.select("gene", "paralog").distinct(), "paralogs")
     seeds = homology_seeds(genes, own)
-    numbered = seeds.withColumn("group_no", F.row_number().over(W.orderBy("ord"))).select("group_no", F.col("gene").alias("seed"))  # one genome's seeds
-    partners = _kept(edges.select("gene", "partner").distinct())
+    numbered = with_place(seeds, [], ["ord"], "group_no").select(F.col("group_no").cast("int").alias("group_no"), F.col("gene").alias("seed"))
+    partners = kept(edges.select("gene", "partner").distinct(), "partners")
     of_seed = numbered.join(own, F.col("seed") == F.col("gene")).select("group_no", "seed", F.col("paralog").alias("member"))
     members = numbered.select("group_no", "seed", F.col("seed").alias("member")).unionByName(numbered.join(partners, F.col("seed") == F.col("gene")).select("group_no", "seed", F.col("partner").alias("member"))).unionByName(
         of_seed).unionByName(of_seed.join(partners, F.col("member") == F.col("gene")).select("group_no", "seed", F.col("partner").alias("member")))

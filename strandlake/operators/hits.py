@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strandlake.session import fresh
+from .scan import kept, with_place
 
 BEST = (F.desc, "bitscore"), (F.asc, "s_gene")
 
@@ -103,13 +103,6 @@ def classify_hits(best: DataFrame, strict: bool = True) -> DataFrame:
     return _pairs(best).withColumn("kind", F.when(F.col("back_gene") == F.col("q_gene"), "mutual").otherwise(one_way)).drop("back_gene")
 
 
-def _kept(df: DataFrame, label: str) -> DataFrame:
-    """`df`, written to the shared folder once, for use in several places."""
-    path = fresh(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def mutual_best_hits(best: DataFrame) -> DataFrame:
     return _pairs(best).where("back_gene = q_gene").drop("back_gene")
 
@@ -170,7 +163,7 @@ def merge_profile(best: DataFrame, genes: DataFrame, annotations: DataFrame, gen
     Rows of genome 1 (mutual, singular, loner) and singular rows of genome 2, by genome 1's contig and position; loners
     of genome 2 come last. annotations (genome, gene, annotation).
     """
-    tagged = _kept(classify_hits(hit_coverage(best, gene_length)), "profile-hits")
+    tagged = kept(classify_hits(hit_coverage(best, gene_length)), "profile-hits")
     hit = ["identity", "bitscore", "aln_len", "gap_opens", "q_start", "q_end", "s_start", "s_end", "q_coverage", "s_coverage"]
     forward = F.col("q_genome") < F.col("s_genome")
     both = tagged.where((F.col("kind") == "singular") | (F.col("kind") == "mutual") & forward).withColumn("row_type", F.concat(F.when(forward, "genome1_").otherwise("genome2_"), "kind"))
@@ -192,5 +185,5 @@ def merge_profile(best: DataFrame, genes: DataFrame, annotations: DataFrame, gen
     rows = rows.withColumn("g2_span", F.abs(F.when(first, F.col("s_end") - F.col("s_start")).otherwise(F.col("q_end") - F.col("q_start"))) + 1)
     rows = rows.withColumn("g1_length", F.col("g1_end") - F.col("g1_start") + 1).withColumn("g2_length", F.col("g2_end") - F.col("g2_start") + 1)
     last = (F.col("row_type") == "genome2_loner").cast("int")
-    order = W.partitionBy("genome1", "genome2").orderBy(last, F.coalesce("g1_contig", "g2_contig"), F.coalesce("g1_start", "g2_start"), "row_type", "gene2")
-    return rows.withColumn("ord", F.row_number().over(order))
+    order = [last, F.coalesce("g1_contig", "g2_contig"), F.coalesce("g1_start", "g2_start"), F.col("row_type"), F.col("gene2")]
+    return with_place(kept(rows, "profile-rows"), ["genome1", "genome2"], order, "ord")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import blocks, fields, lines, numbered, rejected, sound, split_tabs
+from .text import fields, lines, numbered, rejected, sections, sound, split_tabs
 
 NEEDED = ("contig", "strand", "left_end", "right_end")
 
@@ -48,7 +48,7 @@ def custom(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
 
 def genemark_lst(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """GeneMark .lst: a definition line names the contig of the rows below; ends may carry < or >."""
-    rows = blocks(spark, path, "FASTA definition line: ").select("file", F.regexp_extract("head", r"^(.*?)\s+length=\d+", 1).alias("name"), F.explode("body").alias("line"))
+    rows = sections(spark, path, "FASTA definition line: ").select("file", F.regexp_extract(F.coalesce("head", F.lit("")), r"^(.*?)\s+length=\d+", 1).alias("name"), "line")
     no, strand, left, right = fields(F.col("line"), r"^\s+(\d+)\s+([+-])\s+[<>]?(\d+)\s+[<>]?(\d+)\s+\d+\s+\d+", "int", "string", "long", "long")
     contig = F.when(F.col("name") == "", "unknown").otherwise(F.col("name"))
     return _calls(rows.select("file", "line", contig.alias("contig"), strand.alias("strand"), left.alias("left_end"), right.alias("right_end")), "genemark", rejects)
@@ -56,7 +56,7 @@ def genemark_lst(spark: SparkSession, path: str, rejects: bool = False) -> DataF
 
 def glimmer(spark: SparkSession, path: str, version: int = 3, rejects: bool = False) -> DataFrame:
     """Glimmer: `>contig` lines; version 2 leaves the stop codon out of the ends."""
-    rows = blocks(spark, path, ">").select("file", F.col("head").alias("contig"), F.explode("body").alias("line"))
+    rows = sections(spark, path, ">").select("file", F.col("head").alias("contig"), "line")
     pattern = r"^orf\d+\s+(\d+)\s+(\d+)\s+([+-])\d\s+[\d.]+" if version == 3 else r"^\s*\d+\s+(\d+)\s+(\d+)\s+\[([+-])\d\sL=\s*\d+\sr=.*\]"
     start, end, strand = fields(F.col("line"), pattern, "long", "long", "string")
     shift = F.when(strand == "+", 3).otherwise(-3) if version == 2 else F.lit(0)
@@ -65,7 +65,7 @@ def glimmer(spark: SparkSession, path: str, version: int = 3, rejects: bool = Fa
 
 def prodigal(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """Prodigal .sco: the sequence data line names the contig."""
-    rows = blocks(spark, path, "# Sequence Data:").select("file", F.regexp_extract("head", 'seqhdr="([^"]*)"', 1).alias("contig"), F.explode("body").alias("line"))
+    rows = sections(spark, path, "# Sequence Data:").select("file", F.regexp_extract("head", 'seqhdr="([^"]*)"', 1).alias("contig"), "line")
     left, right, strand = fields(F.col("line"), r"^>\d+_(\d+)_(\d+)_([+-])", "long", "long", "string")
     return _calls(rows.select("file", "line", "contig", strand.alias("strand"), left.alias("left_end"), right.alias("right_end")), "prodigal", rejects)
 
@@ -111,7 +111,7 @@ def ncbi_gene_headers(spark: SparkSession, path: str, rejects: bool = False) ->
 
 def cgc(spark: SparkSession, path: str, known: tuple[str, ...] = ("genemark", "glimmer", "phanotate", "prodigal", "rast", "custom", "gff3"), rejects: bool = False) -> DataFrame:
     """The normalized table; a line `# X gene calls` names the caller of the rows below, unknown callers are skipped."""
-    rows = blocks(spark, path, "# ").select("file", F.lower(F.regexp_extract("head", r"^(\S+) gene calls", 1)).alias("caller"), F.explode("body").alias("line")).where(F.col("caller").isin(*known))
+    rows = sections(spark, path, "# ").select("file", F.lower(F.regexp_extract("head", r"^(\S+) gene calls", 1)).alias("caller"), "line").where(F.col("caller").isin(*known))
     no, strand, left, right, length, contig = split_tabs(F.col("line"), "int", "string", "long", "long", "long", "string")
     parsed = rows.select("file", "line", "caller", no.alias("gene_no"), strand.alias("strand"), left.alias("left_end"), right.alias("right_end"), length.alias("length"), contig.alias("contig"))
     return rejected(parsed, *NEEDED, "gene_no") if rejects else sound(parsed, *NEEDED, "gene_no").drop("line")

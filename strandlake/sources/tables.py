@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandlake.functions.sequence import clean_sequence
 
-from .text import blocks, lines, rejected, sound, split_tabs
+from .text import blocks, carry_down, lines, placed_lines, rejected, sections, sound, split_tabs
 
 
 def fasta(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
@@ -50,11 +50,12 @@ def family_annotations(spark: SparkSession, path: str, rejects: bool = False) ->
 def family_tables(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """(family_id, n_reported, n_found, mismatch, accessions): tables that begin with `#family: has n proteins …`. Rejects
     are rows of fewer than four columns."""
+    begins = F.startswith("line", F.lit("#"))
+    rows = carry_down(placed_lines(spark, path), head=F.when(begins, F.struct("split", "at", F.substring("line", 2, 2**31 - 1).alias("text"))))
     if rejects:
-        return blocks(spark, path, "#").select("file", F.explode("body").alias("line")).where(F.size(F.split("line", "\t")) < 4)
-    rows = blocks(spark, path, "#").select(F.regexp_extract("head", r"^(\w+):", 1).alias("family_id"), F.regexp_extract("head", r"has (\d+)", 1).try_cast("long").alias("n_reported"), "body").where("family_id <> ''")
-    peptides = F.transform("body", lambda x: F.get(F.split(x, "\t"), F.lit(3)))
-    found = rows.select("family_id", "n_reported", F.array_sort(F.array_compact(peptides)).alias("a"))
+        return rows.where(~begins & (F.col("line") != "")).select("file", "line").where(F.size(F.split("line", "\t")) < 4)
+    named = rows.where("head IS NOT NULL").groupBy("file", "head").agg(F.array_sort(F.collect_list(F.when(~begins, F.get(F.split("line", "\t"), F.lit(3))))).alias("a"))
+    found = named.select(F.regexp_extract("head.text", r"^(\w+):", 1).alias("family_id"), F.regexp_extract("head.text", r"has (\d+)", 1).try_cast("long").alias("n_reported"), "a").where("family_id <> ''")
     return found.select("family_id", "n_reported", F.size("a").cast("long").alias("n_found"), (F.size("a") != F.col("n_reported")).alias("mismatch"), F.array_join("a", ",").alias("accessions"))
 
 
@@ -80,7 +81,7 @@ PROFILE = {"sort_pos": "long", "row_type": "string", "q_start": "long", "q_end":
 
 def profile_report(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """The 30 columns of pair reports with the molecule type, which a line `#GENE HITS` or `#PROTEIN HITS` sets."""
-    rows = blocks(spark, path, "#").select("file", F.when(F.startswith("head", F.lit("PROTEIN HITS")), "protein").when(F.startswith("head", F.lit("GENE HITS")), "gene").alias("mol_type"), F.explode("body").alias("line")).where(r"mol_type IS NOT NULL AND line RLIKE '^[0-9]'")
+    rows = sections(spark, path, "#").select("file", F.when(F.startswith("head", F.lit("PROTEIN HITS")), "protein").when(F.startswith("head", F.lit("GENE HITS")), "gene").alias("mol_type"), "line").where(r"mol_type IS NOT NULL AND line RLIKE '^[0-9]'")
     if rejects:
         return rows.where(F.size(F.split("line", "\t")) < len(PROFILE)).select("file", "line")
     return rows.where(F.size(F.split("line", "\t")) >= len(PROFILE)).select("mol_type", *[F.nullif(c, F.lit("")).alias(n) if kind == "string" else c.alias(n) for (n, kind), c in zip(PROFILE.items(), split_tabs(F.col("line"), *PROFILE.values()), strict=True)])
@@ -89,11 +90,19 @@ def profile_report(spark: SparkSession, path: str, rejects: bool = False) -> Dat
 def paralog_report(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """(genome, mol_type, gene, paralog, identity, coverage): stanzas `query:…` and `coverage:…` below section lines. Rejects
     are the query lines of stanzas without identity or coverage."""
-    rows = blocks(spark, path, "PARALOGS for genome ").select("file", F.regexp_extract("head", r"([^/]+?)(?:\.\w+)?$", 1).alias("genome"), F.array_join("body", "\n").alias("text")).where("genome <> ''")
-    sections = rows.select("file", "genome", F.explode(F.split("text", r"(?m)^(?=(?:Gene|Protein) Paralogs)")).alias("s")).select("file", "genome", F.lower(F.regexp_extract("s", r"^(Gene|Protein) Paralogs", 1)).alias("mol_type"), "s")
-    stanzas = sections.select("file", "genome", "mol_type", F.explode(F.split("s", r"(?m)^(?=query:)")).alias("x")).where("startswith(x, 'query:')")
-    pick = lambda p: F.regexp_extract("x", p, 1)
-    found = stanzas.select("file", F.substring_index("x", "\n", 1).alias("line"), "genome", "mol_type", pick(r"^query:([^\t]*)").alias("gene"), pick(r"\tsubject:([^\t\n]*)").alias("paralog"), pick(r"^[^\t]*\t[^\t]*\t[^\t]*\t([\d.]+)").try_cast("double").alias("identity"), pick(r"(?m)^coverage:(-?[\d.]+)").try_cast("double").alias("coverage"))
+    listing = F.when(F.startswith("line", F.lit("PARALOGS for genome ")), F.struct("split", "at", F.regexp_extract("line", r"([^/]+?)(?:\.\w+)?$", 1).alias("genome")))
+    kind = F.regexp_extract("line", r"^(Gene|Protein) Paralogs", 1)
+    section = F.when(kind != "", F.struct("split", "at", F.lower(kind).alias("mol_type")))
+    query = F.when(F.startswith("line", F.lit("query:")), F.struct("split", "at", "line"))
+    rows = carry_down(placed_lines(spark, path), listing=listing, section=section, query=query)
+    below = lambda a, b: F.struct(f"{a}.split", f"{a}.at") > F.struct(f"{b}.split", f"{b}.at")
+    rows = rows.where("query IS NOT NULL AND listing.genome <> ''").where(below("query", "listing"))
+    mol_type = F.when(F.col("section").isNotNull() & below("section", "listing"), F.col("section.mol_type")).otherwise("")
+    line, first = F.col("query.line"), lambda c: F.min_by(c, F.when(c.isNotNull(), F.struct("split", "at")))
+    cover = F.regexp_extract("line", r"^coverage:(-?[\d.]+)", 1)
+    stanzas = rows.groupBy("file", "query", F.col("listing.genome").alias("genome")).agg(F.min_by(mol_type, F.struct("split", "at")).alias("mol_type"), first(F.when(cover != "", cover)).try_cast("double").alias("coverage"))
+    pick = lambda p: F.regexp_extract(line, p, 1)
+    found = stanzas.select("file", line.alias("line"), "genome", "mol_type", pick(r"^query:([^\t]*)").alias("gene"), pick(r"\tsubject:([^\t\n]*)").alias("paralog"), pick(r"^[^\t]*\t[^\t]*\t[^\t]*\t([\d.]+)").try_cast("double").alias("identity"), "coverage")
     return rejected(found, "identity", "coverage") if rejects else sound(found, "identity", "coverage").drop("file", "line")
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line), without a carriage return at the end."""
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "\r$", "").alias("line"))
@@ -26,6 +25,36 @@ def blocks(spark: SparkSession, path: str, mark: str) -> DataFrame:
     return rows.select("file", parts[0].alias("head"), F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: x != "").alias("body"))
 
 
+def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, split, at, line): `split` is the first byte of the input split that the line stands in, `at` ascends with the
+    lines of a split. Files are cut by Spark's own splits, so a file of any size is read by many tasks."""
+    place = F.monotonically_increasing_id().alias("at")
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), place, F.regexp_replace("value", "\r$", "").alias("line"))
+
+
+def carry_down(rows: DataFrame, **heads: Column) -> DataFrame:
+    """`rows` of placed_lines with, for each of `heads`, its last value that isn't null in this line or above it in the file.
+
+    Each split gives its last values; a table of a row for each split of a file carries them to the splits below.
+    """
+    rows = rows.select("*", *[c.alias(f"_{n}") for n, c in heads.items()])
+    upto = W.partitionBy("file", "split").orderBy("at").rowsBetween(W.unboundedPreceding, 0)
+    ends = rows.groupBy("file", "split").agg(*[F.max_by(f"_{n}", F.when(F.col(f"_{n}").isNotNull(), F.col("at"))).alias(f"_{n}") for n in heads])
+    earlier = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    carry = ends.select("file", "split", *[F.last(f"_{n}", ignorenulls=True).over(earlier).alias(f"_above_{n}") for n in heads]).where(" OR ".join(f"_above_{n} IS NOT NULL" for n in heads))
+    local = rows.select(*[c for c in rows.columns if c not in {f"_{n}" for n in heads}], *[F.last(f"_{n}", ignorenulls=True).over(upto).alias(f"_here_{n}") for n in heads])
+    found = local.join(carry, ["file", "split"], "left")
+    return found.select(*[c for c in local.columns if not c.startswith("_here_")], *[F.coalesce(f"_here_{n}", f"_above_{n}").alias(n) for n in heads])
+
+
+def sections(spark: SparkSession, path: str, mark: str) -> DataFrame:
+    """(file, head, line): the lines below each line that begins with `mark`, with the rest of that line; null above the
+    first. Empty lines are left out. No section is ever one row."""
+    begins = F.startswith("line", F.lit(mark))
+    rows = carry_down(placed_lines(spark, path), head=F.when(begins, F.substring("line", len(mark) + 1, 2**31 - 1)))
+    return rows.where(~begins & (F.col("line") != "")).select("file", "head", "line")
+
+
 def fields(line: Column, pattern: str, *kinds: str) -> list[Column]:
     """The groups of the pattern as columns of the kinds; null where the pattern doesn't match or a number doesn't fit."""
     return [F.when(line.rlike(pattern), F.regexp_extract(line, pattern, i + 1)).otherwise(F.lit(None)).try_cast(kind) for i, kind in enumerate(kinds)]
