@@ -25,6 +25,9 @@ QUERIES = {
     "call_totals": lambda s, d: C.call_totals(X.gene_calls(s, d)),
     "same_save_start": lambda s, d: C.same_save_start(X.gene_calls(s, d)),
     "primary_calls": lambda s, d: C.primary_calls(X.gene_calls(s, d), "consensus"),
+    "primary_calls_superset": lambda s, d: C.primary_calls(X.gene_calls(s, d), "superset"),
+    "primary_calls_common_core": lambda s, d: C.primary_calls(X.gene_calls(s, d), "common_core"),
+    "primary_calls_of_one": lambda s, d: C.primary_calls(X.gene_calls(s, d), "prodigal"),
 }
 
 _N = "(SELECT count(DISTINCT caller) FROM gene_calls)"
@@ -67,4 +70,6 @@ SQL = {
     "same_save_start": _q("SELECT a.contig, a.strand, a.stop, a.start AS start1, b.start AS start2, a.caller AS caller1, b.caller AS caller2 FROM s a JOIN s b USING (contig, strand, stop) WHERE abs(a.stop - a.start) > abs(b.stop - b.start)",
                           _STOPS, "s AS (SELECT contig, strand, stop, left_end + right_end - stop AS start, caller FROM stops)"),
     "primary_calls": _q(f"SELECT contig, strand, left_end, right_end, callers FROM ({_CONSENSUS})", _STOPS, _KEYED_STOPS),
+    "primary_calls_of_one": _q("SELECT contig, strand, left_end, right_end, caller AS callers FROM gene_calls WHERE caller = 'prodigal'"),
 }
+SQL |= {f"primary_calls_{c}": f"SELECT contig, strand, left_end, right_end, callers FROM ({SQL[f'{c}_calls']})" for c in ("superset", "common_core")}

@@ -256,6 +256,27 @@ def _emit_group_fasta(s, d):
     return found.select(F.regexp_extract("file", r"group_no=(\d+)", 1).cast("int").alias("group_no"), F.col("header").alias("member"), "seq")
 
 
+def _packed(s, rows, label, key, order, file_bytes=1 << 20):
+    """The texts of all keys as packed files hold them, a row a key: its lines, and their digest."""
+    path = fresh(s, label)
+    W.write_packed(rows, path, [key], order, file_bytes)
+    whole = W.read_packed(s, path).groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "text"))), lambda x: x["text"]), "").alias("text"))
+    return whole.select(F.col(key).cast("string").alias("key"), (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("long").alias("n_lines"), F.sha2("text", 256).alias("digest"))
+
+
+def _packed_groups(s, d):
+    return _packed(s, W.group_fasta_lines(genomics.QUERIES["group_sequences"](s, d)), "packed-groups", "group_no", ["value"])
+
+
+def _packed_profiles(s, d):
+    rows = W.profile_rows(hits._profile(s, d).withColumn("mol_type", F.explode(F.array(F.lit("gene"), F.lit("protein")))), "gene", "protein")
+    return _packed(s, rows, "packed-profiles", "pair", list(W.PROFILE_ORDER))
+
+
+def _packed_paralogs(s, d):
+    return _packed(s, W.paralog_rows(H.paralogs(X.hits(s, d), X.genome_genes(s, d))), "packed-paralogs", "genome", list(W.PARALOG_ORDER))
+
+
 def _emit_reports(s, d):
     edges, genes, paralogs = genomics._edges(s, d), genomics._genes(s, d), genomics._paralogs(s, d)
     where = W.write_reports(fresh(s, "reports"), mutual=G.hit_lists(edges, "mutual"), singular=G.hit_lists(edges, "singular"), loners=G.genomic_loners(genes, edges), core=G.core_genome(edges, genes, "genome0"),
@@ -316,6 +337,9 @@ QUERIES = {
     "ingest_rejects": _rejects,
     "ingest_accession_taxa": _accession_taxa,
     "emit_group_fasta": _emit_group_fasta,
+    "emit_packed_groups": _packed_groups,
+    "emit_packed_profiles": _packed_profiles,
+    "emit_packed_paralogs": _packed_paralogs,
     "emit_genomics_reports": _emit_reports,
     "headers_only": lambda s, d: _written(s, W.fasta_lines(sequences._headers(s, d).withColumn("seq", F.lit("acgt")), F.regexp_replace("header", "^>", "")), "headers").where("startswith(line, '>')").withColumnRenamed("line", "header"),
     "concat_profiles": lambda s, d: _written(s, lines(s, _put(s, X.family_members(s, d).selectExpr("family_id", "concat('HMM ', accession) AS value"), "hmms", "family_id") + "/*").select("line"), "one").groupBy("line").agg(F.count("*").alias("n")),
@@ -325,6 +349,10 @@ _NO = "row_number() OVER (PARTITION BY contig ORDER BY left_end, right_end, stra
 _GLIMMER = X.sql(X.GENE_CALLS, select=f"SELECT contig, strand, left_end, right_end, length, {_NO} FROM gene_calls WHERE caller = 'glimmer'")
 _Q = (X.HITS, X.CANDIDATES)
 _TEXTS = "pt AS (SELECT 'contig' || (p_partkey % 20) AS contig, p_partkey AS gene, p_partkey * 90 + 1 AS start, p_partkey * 90 + 90 AS \"end\", CASE WHEN p_size % 2 = 0 THEN '+' ELSE '-' END AS strand, p_name, p_type FROM part)"
+_PROFILE_LINE = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in (
+        "ord", "row_type", "q_start", "q_end", "s_start", "s_end", "identity", "NULL", "CASE WHEN gene1 IS NULL THEN NULL WHEN row_type LIKE 'genome1%' THEN 'query' ELSE 'subject' END", *[f"g1_{c}" for c in ("header", "contig", "annotation", "start", "\"end\"", "strand")],
+        "CASE WHEN gene2 IS NULL THEN NULL WHEN row_type LIKE 'genome2%' THEN 'query' ELSE 'subject' END", *[f"g2_{c}" for c in ("header", "contig", "annotation", "start", "\"end\"", "strand")], "g1_coverage", "g2_coverage", "aln_len", "gap_opens", "g1_span", "g1_length", "g2_span", "g2_length")).replace('_"end"', "_end")
+_PACKED = "key, count(*) AS n_lines, sha256(string_agg(line || chr(10), '' ORDER BY {0})) AS digest"
 SQL = {name: _GLIMMER for name in QUERIES if name.startswith("ingest_calls_")} | {
     "ingest_fasta": X.sql(X.CONTIGS, select="SELECT contig || ' phage' AS header, seq FROM contigs"),
     "ingest_calls_custom_rejects": X.sql(X.GENE_CALLS, select="SELECT concat_ws(chr(9), contig, 'tool', 'CDS', 'x', right_end) AS line, count(*) AS n FROM gene_calls WHERE caller = 'glimmer' AND left_end % 7 = 0 GROUP BY 1"),
@@ -356,10 +384,13 @@ SQL = {name: _GLIMMER for name in QUERIES if name.startswith("ingest_calls_")} |
     "emit_group_annotations": genomics._walk("SELECT CAST(group_no AS INTEGER) AS group_no, member || chr(9) || CASE WHEN ord % 4 = 0 THEN 'protein ' || ord ELSE 'no annotation found' END AS line FROM grouped JOIN named ON named.gene = member"),
     "ingest_rejects": " UNION ALL ".join(f"SELECT '{name}' AS source, {bad} AS line FROM part WHERE p_partkey % 3 = 0" for name, (_, _, _, bad) in REJECTING.items()).replace("'\\t'", "chr(9)").replace("\\t", "' || chr(9) || '"),
     "ingest_accession_taxa": "SELECT 'ACC' || s_suppkey AS accession, 'ACC' || s_suppkey || '.1' AS version, CAST(s_nationkey AS BIGINT) AS taxid, CAST(s_suppkey + 7 AS VARCHAR) AS gi FROM supplier",
-    "emit_profile_report": X.sql(*hits.ALL, hits.PROFILE, select="SELECT genome1 || '-' || genome2 AS pair, '#' || upper(mol_type) || ' HITS' AS line FROM profile, (VALUES ('gene'), ('protein')) t(mol_type) GROUP BY ALL UNION ALL SELECT genome1 || '-' || genome2, concat_ws(chr(9), " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in (
-        "ord", "row_type", "q_start", "q_end", "s_start", "s_end", "identity", "NULL", "CASE WHEN gene1 IS NULL THEN NULL WHEN row_type LIKE 'genome1%' THEN 'query' ELSE 'subject' END", *[f"g1_{c}" for c in ("header", "contig", "annotation", "start", "\"end\"", "strand")],
-        "CASE WHEN gene2 IS NULL THEN NULL WHEN row_type LIKE 'genome2%' THEN 'query' ELSE 'subject' END", *[f"g2_{c}" for c in ("header", "contig", "annotation", "start", "\"end\"", "strand")], "g1_coverage", "g2_coverage", "aln_len", "gap_opens", "g1_span", "g1_length", "g2_span", "g2_length")).replace('_"end"', "_end") + ") FROM profile, (VALUES ('gene'), ('protein')) t(mol_type)"),
+    "emit_profile_report": X.sql(*hits.ALL, hits.PROFILE, select="SELECT genome1 || '-' || genome2 AS pair, '#' || upper(mol_type) || ' HITS' AS line FROM profile, (VALUES ('gene'), ('protein')) t(mol_type) GROUP BY ALL UNION ALL SELECT genome1 || '-' || genome2, concat_ws(chr(9), " + _PROFILE_LINE + ") FROM profile, (VALUES ('gene'), ('protein')) t(mol_type)"),
     "emit_paralogs": X.sql(X.HITS, X.GENOME_GENES, hits.PARALOGS, select="SELECT genome, concat_ws(chr(9), 'query:' || gene, 'subject:' || paralog, 'gene_paralog', identity) AS line FROM paralog UNION ALL SELECT genome, 'coverage:' || coverage FROM paralog UNION ALL SELECT DISTINCT genome, 'PARALOGS for genome /data/' || genome || '.fasta' FROM paralog UNION ALL SELECT DISTINCT genome, 'Gene Paralogs' FROM paralog"),
+    "emit_packed_profiles": X.sql(*hits.ALL, hits.PROFILE, "l AS (SELECT DISTINCT genome1 || '-' || genome2 AS key, m, -1 AS ord, '#' || upper(m) || ' HITS' AS line FROM profile, (VALUES ('gene'), ('protein')) t(m) UNION ALL SELECT genome1 || '-' || genome2, m, ord, concat_ws(chr(9), " + _PROFILE_LINE + ") FROM profile, (VALUES ('gene'), ('protein')) t(m))",
+                                  select=f"SELECT {_PACKED.format('m, ord')} FROM l GROUP BY key"),
+    "emit_packed_paralogs": X.sql(X.HITS, X.GENOME_GENES, hits.PARALOGS, "l AS (SELECT genome AS key, 1 AS place, concat_ws(chr(9), 'query:' || gene, 'subject:' || paralog, 'gene_paralog', identity) || chr(10) || 'coverage:' || coverage AS line FROM paralog UNION ALL SELECT DISTINCT genome, 0, 'PARALOGS for genome /data/' || genome || '.fasta' || chr(10) || 'Gene Paralogs' FROM paralog)",
+                                  select=f"SELECT {_PACKED.format('place, line').replace('count(*)', '2 * count(*)')} FROM l GROUP BY key"),
+    "emit_packed_groups": genomics._walk(f"SELECT {_PACKED.format('line').replace('count(*)', '2 * count(*)')} FROM (SELECT CAST(group_no AS VARCHAR) AS key, '>' || member || chr(10) || ['atg', 'gtg', 'att', 'ccc'][ord % 4 + 1] || 'acgtac' AS line FROM grouped JOIN named ON named.gene = member) GROUP BY key"),
     "emit_group_fasta": genomics._walk("SELECT CAST(group_no AS INTEGER) AS group_no, member, ['atg', 'gtg', 'att', 'ccc'][ord % 4 + 1] || 'acgtac' AS seq FROM grouped JOIN named ON named.gene = member"),
     "emit_genomics_reports": " UNION ALL ".join(f"SELECT '{report}' AS report, concat_ws(chr(9), {columns}) AS line FROM ({genomics.SQL[query]})" for report, query, columns in (
         ("mutual", "mutual_best_hit_lists", "gene, genome, n_partners, partners"), ("singular", "singular_best_hit_lists", "gene, genome, n_partners, partners"), ("loners", "genomic_loners", "gene, genome"), ("core", "core_genome", "gene, n_partners"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandlake import fixtures as X
+from strandlake.operators import chains as K
 from strandlake.operators import hits as H
 from strandlake.operators import profile as P
 
@@ -42,6 +43,8 @@ COLUMNS = ["genome1", "genome2", "ord", "row_type", "gene1", "gene2"]
 QUERIES = {
     "genome_pairs": lambda s, d: H.genome_pairs(X.genome_genes(s, d).groupBy("genome").agg(F.min("gene").alias("g")).select("genome", F.expr("cast(substring(genome, 7) as int)").alias("ord"))),
     "kmer_hits": lambda s, d: H.kmer_hits(X.contigs(s, d)),
+    "sequence_classes": lambda s, d: K.sequence_classes(X.contigs(s, d)),
+    "chained_hits": lambda s, d: K.chained_hits(X.contigs(s, d)),
     "sequence_best_hits": _sequence_best_hits,
     "filter_hits": lambda s, d: H.filter_hits(X.hits(s, d), 80),
     "top_hits": lambda s, d: H.top_hits(X.candidates(s, d)).select("q_genome", "q_gene", "s_genome", "s_gene", "rank", "bitscore"),
@@ -131,6 +134,23 @@ SQL = {
     "loner_matrix": X.sql(*ALL, PROFILE, select="SELECT g1_header AS header, g1_start AS start, g1_contig AS contig, " + ", ".join(f"max(CASE WHEN genome2 = 'genome{i}' THEN 'X' END) AS genome{i}" for i in (1, 2, 3)) + " FROM profile WHERE genome1 = 'genome0' AND row_type = 'genome1_loner' GROUP BY ALL"),
 }
 
+_CLASSES = "cls AS (SELECT contig, min(contig) OVER (PARTITION BY seq) AS class, length(seq) AS size FROM (SELECT DISTINCT contig, seq FROM contigs WHERE contig IS NOT NULL AND seq IS NOT NULL))"
+_NEAR = "coalesce({0} BETWEEN 1 AND 200, FALSE)"
+_ALONG = "OVER (PARTITION BY u, v ORDER BY x, y)"
+_STEPS = f"x - lag(x) {_ALONG} AS dx, y - lag(y) {_ALONG} AS dy"
+_ON = f"({_NEAR.format('dx')} AND {_NEAR.format('dy')})"
+SQL["sequence_classes"] = X.sql(X.CONTIGS, _CLASSES, select="SELECT * FROM cls")
+SQL["chained_hits"] = X.sql(
+    X.CONTIGS, _CLASSES, "u AS (SELECT DISTINCT contig, seq FROM contigs SEMI JOIN (SELECT contig FROM cls WHERE contig = class) USING (contig))",
+    "km AS (SELECT contig, i AS pos, n, substr(seq, i + 1, 16) AS kmer FROM (SELECT contig, seq, length(seq) - 15 AS n, unnest(range(length(seq) - 15)) AS i FROM u WHERE length(seq) >= 16))",
+    "mn AS (SELECT DISTINCT contig, m.pos AS pos, m.kmer AS kmer FROM (SELECT contig, pos, n, min({'h': md5(kmer), 'pos': pos, 'kmer': kmer}) OVER (PARTITION BY contig ORDER BY pos ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS m FROM km) WHERE pos = 0 OR pos <= n - 5)",
+    "o AS (SELECT *, row_number() OVER (PARTITION BY contig, kmer ORDER BY pos) AS no FROM mn)", "anchor AS (SELECT a.contig AS u, b.contig AS v, a.pos AS x, b.pos AS y FROM o a JOIN o b USING (kmer, no) WHERE a.contig < b.contig)",
+    f"f AS (SELECT *, {_ON} AS follows FROM (SELECT *, {_STEPS} FROM anchor))", f"l AS (SELECT u, v, x, y FROM (SELECT *, coalesce(lead(follows) {_ALONG}, FALSE) AS leads FROM f) WHERE follows OR leads)",
+    f"c AS (SELECT *, {_ON} AS ok FROM (SELECT *, {_STEPS} FROM l))", f"n AS (SELECT *, sum(CASE WHEN ok THEN 0 ELSE 1 END) {_ALONG} AS chain FROM c)",
+    "g AS (SELECT u, v, min(x) + 1 AS us, max(x) + 16 AS ue, min(y) + 1 AS vs, max(y) + 16 AS ve, count(*) AS n_anchors, count(*) FILTER (ok AND dx <> dy) AS gap_opens, coalesce(sum(abs(dx - dy)) FILTER (ok), 0) AS gap_letters, coalesce(sum(least(dx, dy, 16)) FILTER (ok), 0) + 16 AS matched FROM n GROUP BY u, v, chain HAVING count(*) >= 2)",
+    "b AS (SELECT u AS q, v AS s, us AS q_start, ue AS q_end, vs AS s_start, ve AS s_end, n_anchors, gap_opens, gap_letters, matched FROM g UNION ALL SELECT v, u, vs, ve, us, ue, n_anchors, gap_opens, gap_letters, matched FROM g)",
+    select="SELECT *, round(100.0 * matched / aln_len, 4) AS identity FROM (SELECT q, s, q_start, q_end, s_start, s_end, n_anchors, gap_opens, CAST(gap_letters AS BIGINT) AS gap_letters, CAST(matched AS BIGINT) AS matched, greatest(q_end - q_start, s_end - s_start) + 1 AS aln_len FROM b)")
+
 _SPAN = "CAST(round_even(100.0 * (CASE WHEN {1} >= {0} THEN {1} - {0} + 1 ELSE {1} - {0} - 1 END) / aln_len, 0) AS BIGINT)"
 SQL["sequence_best_hits"] = f"""SELECT *, {_SPAN.format('q_start', 'q_end')} AS q_coverage, {_SPAN.format('s_start', 's_end')} AS s_coverage FROM (
   SELECT 'genome' || (CAST(substr(q, 5) AS BIGINT) % 4) AS q_genome, 'genome' || (CAST(substr(s, 5) AS BIGINT) % 4) AS s_genome, q AS q_gene, s AS s_gene, identity, matched AS bitscore, q_start, q_end, s_start, s_end, aln_len FROM ({SQL['kmer_hits']}) WHERE identity >= 60)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandlake.operators.scan import kept
+
 
 def write_lines(rows: DataFrame, path: str, *partition_by: str, line_sep: str = "\n", per_file: int = 0) -> str:
     """Write the one string column of `rows`, in folders by the partition columns, at most `per_file` rows a file unless
@@ -84,13 +86,17 @@ def fasta_lines(rows: DataFrame, header: Column, upper: bool = False) -> DataFra
     return rows.select(header.alias("h"), seq.alias("s")).where("h <> '' AND s <> ''").select(F.concat(F.lit(">"), "h", F.lit("\n"), "s").alias("value"))
 
 
-def _sorted_files(rows: DataFrame, key: str, *order: str) -> DataFrame:
-    """(key, value) of rows (key, value, *order), each key's rows in order in one task: the lines of its file."""
+def sorted_files(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """(key, value) of rows (key, value, *order), each key's rows in order in one task: the lines of its file. Keys of many
+    rows are for write_packed."""
     return rows.repartition(key).sortWithinPartitions(key, *order).select(key, "value")
 
 
-def profile_lines(profile: DataFrame, *mol_types: str) -> DataFrame:
-    """(pair, value): the lines of the report of profiles, to be written by pair. With several molecule types, `profile`
+PROFILE_ORDER, PARALOG_ORDER = ("section", "ord"), ("place", "value")
+
+
+def profile_rows(profile: DataFrame, *mol_types: str) -> DataFrame:
+    """(pair, value, section, ord): the lines of the report of profiles, to be written by pair. With several molecule types, `profile`
     has them in mol_type; their sections stand in the order given."""
     role = lambda i: F.when(F.col(f"gene{i}").isNull(), F.lit(None)).when(F.col("row_type").startswith(f"genome{i}"), "query").otherwise("subject")
     g = lambda i: [f"g{i}_{c}" for c in ("header", "contig", "annotation", "start", "end", "strand")]
@@ -98,15 +104,25 @@ def profile_lines(profile: DataFrame, *mol_types: str) -> DataFrame:
     typed = profile if len(mol_types) > 1 else profile.withColumn("mol_type", F.lit(mol_types[0]))
     rows = typed.select(F.concat_ws("-", "genome1", "genome2").alias("pair"), F.array_position(F.array(*map(F.lit, mol_types)), F.col("mol_type")).alias("section"), F.col("ord").cast("long").alias("ord"), "mol_type", line.alias("value"))
     heads = rows.select("pair", "section", F.lit(-1).cast("long").alias("ord"), F.concat(F.lit("#"), F.upper("mol_type"), F.lit(" HITS")).alias("value")).distinct()
-    return _sorted_files(rows.drop("mol_type").unionByName(heads), "pair", "section", "ord")
+    return rows.drop("mol_type").unionByName(heads)
 
 
-def paralog_lines(paralogs: DataFrame, mol_type: str = "Gene") -> DataFrame:
-    """(genome, value): the lines of the paralog listing, to be written by genome; paralogs (genome, gene, paralog, identity,
+def profile_lines(profile: DataFrame, *mol_types: str) -> DataFrame:
+    """(pair, value) of profile_rows, a file a pair."""
+    return sorted_files(profile_rows(profile, *mol_types), "pair", *PROFILE_ORDER)
+
+
+def paralog_rows(paralogs: DataFrame, mol_type: str = "Gene") -> DataFrame:
+    """(genome, value, place): the lines of the paralog listing, to be written by genome; paralogs (genome, gene, paralog, identity,
     coverage)."""
     stanza = F.concat(F.concat_ws("\t", F.concat(F.lit("query:"), "gene"), F.concat(F.lit("subject:"), "paralog"), F.lit(f"{mol_type.lower()}_paralog"), F.col("identity").cast("string")), F.lit("\ncoverage:"), F.col("coverage").cast("string"))
     heads = paralogs.select("genome").distinct().select("genome", F.lit(0).alias("place"), F.concat(F.lit("PARALOGS for genome /data/"), "genome", F.lit(f".fasta\n{mol_type} Paralogs")).alias("value"))
-    return _sorted_files(paralogs.select("genome", F.lit(1).alias("place"), stanza.alias("value")).unionByName(heads), "genome", "place", "value")
+    return paralogs.select("genome", F.lit(1).alias("place"), stanza.alias("value")).unionByName(heads)
+
+
+def paralog_lines(paralogs: DataFrame, mol_type: str = "Gene") -> DataFrame:
+    """(genome, value) of paralog_rows, a file a genome."""
+    return sorted_files(paralog_rows(paralogs, mol_type), "genome", *PARALOG_ORDER)
 
 
 def group_annotation_lines(groups: DataFrame) -> DataFrame:
@@ -119,6 +135,36 @@ def group_fasta_lines(groups: DataFrame) -> DataFrame:
     return groups.select("group_no", F.concat(F.lit(">"), "member", F.lit("\n"), "seq").alias("value"))
 
 
+def write_packed(rows: DataFrame, path: str, keys: list[str], order: list[str], file_bytes: int = 64 << 20) -> DataFrame:
+    """Write the texts of many keys to few files and return their index (*keys, part, file, start, length).
+
+    rows (*keys, value, *order): a key's lines stand together, in the order given. Files are ranges of keys and order of
+    about `file_bytes` each, so their number follows the bytes and not the keys, and a key of many lines goes on in the
+    next file: its parts are numbered from 1. `start` and `length` count bytes, with the line feeds. The index is written
+    beside the files, in `path`/index.
+    """
+    table = kept(rows.withColumn("_bytes", F.octet_length("value").cast("long") + 1), "packed-rows")
+    total = table.agg(F.coalesce(F.sum("_bytes"), F.lit(0))).first()[0]
+    ranges = table.repartitionByRange(max(1, -(-total // file_bytes)), *keys, *order).sortWithinPartitions(*keys, *order)
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = kept(ranges.withColumn("file", F.spark_partition_id()).withColumn("_at", at), "packed-ranges")
+    placed.select("file", "_at", "value").repartition("file").sortWithinPartitions("file", "_at").select("file", "value").write.partitionBy("file").text(f"{path}/text")
+    spans = placed.withColumn("_end", F.sum("_bytes").over(W.partitionBy("file").orderBy("_at")))
+    index = spans.groupBy(*keys, "file").agg(F.min(F.col("_end") - F.col("_bytes")).alias("start"), F.sum("_bytes").alias("length"))
+    index = index.withColumn("part", F.row_number().over(W.partitionBy(*keys).orderBy("file")))
+    index.select(*keys, "part", "file", "start", "length").write.parquet(f"{path}/index")
+    return rows.sparkSession.read.parquet(f"{path}/index")
+
+
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    """(*keys, part, text) of what write_packed has written, cut out by the index."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/text")
+    files = files.select(F.regexp_extract("path", r"/file=(\d+)/", 1).cast("int").alias("file"), "content")
+    index = spark.read.parquet(f"{path}/index")
+    cut = F.expr("substring(content, cast(start as int) + 1, cast(length as int))").cast("string")
+    return index.join(files, "file").select(*[c for c in index.columns if c not in ("file", "start", "length")], cut.alias("text"))
+
+
 def write_reports(path: str, **tables: DataFrame) -> dict[str, str]:
     """Write each table as Parquet below the path; returns where each lies."""
     for name, df in tables.items():
