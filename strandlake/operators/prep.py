@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scan import kept, with_place
+
 
 def accession_of(header: Column) -> Column:
     """The first word of a header without `>`."""
@@ -35,6 +37,14 @@ def distinct_accessions(members: DataFrame) -> DataFrame:
     return members.groupBy("accession").agg(F.min("family_id").alias("first_family"))
 
 
+def accessions_in_order(members: DataFrame, order: str) -> DataFrame:
+    """(accession, first_family, place): each accession of members (family_id, accession, order) once, with the family of its
+    first row by `order`, then family; places follow the first rows."""
+    first = members.where("accession IS NOT NULL").groupBy("accession").agg(F.min(F.struct(F.col(order).alias("at"), "family_id")).alias("first"))
+    rows = kept(first.select("accession", F.col("first.family_id").alias("first_family"), F.col("first.at").alias("_at")), "accessions")
+    return with_place(rows, [], ["_at", "accession"], "place").drop("_at")
+
+
 def family_counts(members: DataFrame, reported: DataFrame) -> DataFrame:
     """(family_id, n_found, n_reported, mismatch); reported (family_id, n_reported)."""
     found = members.groupBy("family_id").agg(F.count("*").alias("n_found"))

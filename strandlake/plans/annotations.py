@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandlake import fixtures as X
 from strandlake.operators import annotate as A
+from strandlake.operators import headers as N
 from strandlake.operators import prep as R
 
 
@@ -71,6 +72,18 @@ def _counted(s, d):
     return A.count_annotations(rows)
 
 
+def _listed(s, d):
+    return X.read(s, d, "part").selectExpr("concat('VOG', lpad(p_partkey div 3, 9, '0')) AS family_id", "concat('ACC', p_partkey div 2) AS accession", "p_partkey * 7919 % 1000003 AS line_no")
+
+
+def _any_name(s, d):
+    """Headers with an old, a new or a versioned name; new names of even numbers lead nowhere."""
+    part = X.read(s, d, "part")
+    raw = part.selectExpr("concat('>sp|', CASE p_partkey % 3 WHEN 0 THEN concat('ACC', p_partkey, '.', p_partkey % 4) WHEN 1 THEN concat('OLD', p_partkey) ELSE concat('NEW', p_partkey, '.1') END, '| ', p_name) AS header", "p_type AS seq")
+    aliases = part.selectExpr("explode(array(struct(concat('OLD', p_partkey) AS a, concat('MID', p_partkey, '.3') AS b), struct(concat('MID', p_partkey) AS a, concat('ACC', p_partkey) AS b), struct(CASE WHEN p_partkey % 2 = 1 THEN concat('NEW', p_partkey) END AS a, concat('OLD', p_partkey + 1) AS b))) AS p").select("p.*")
+    return N.tag_by_any_name(raw, X.family_members(s, d), aliases)
+
+
 QUERIES = {
     "annotate_blast": lambda s, d: A.annotate_blast(_hits(s, d), 80),
     "annotate_hmm": lambda s, d: A.annotate_hmm(_targets(s, d), _domains(s, d)),
@@ -93,6 +106,9 @@ QUERIES = {
     "tag_families": lambda s, d: R.tag_families(_raw(s, d), X.family_members(s, d)),
     "tag_families_from_tables": lambda s, d: R.tag_families_from_tables(_raw(s, d).where("seq <> 'ECONOMY'"), X.family_members(s, d)),
     "distinct_accessions": lambda s, d: R.distinct_accessions(X.family_members(s, d)),
+    "accessions_in_order": lambda s, d: R.accessions_in_order(_listed(s, d), "line_no"),
+    "tag_by_any_name": _any_name,
+    "tagging_share": lambda s, d: N.tagging_share(_any_name(s, d)),
     "family_counts": lambda s, d: R.family_counts(X.family_members(s, d), _reported(s, d)),
     "check_tagging": lambda s, d: R.check_tagging(_raw(s, d), R.tag_families(_raw(s, d), X.family_members(s, d))),
     "header_pattern_profile": lambda s, d: R.header_pattern_profile(_raw(s, d), PATTERNS),
@@ -105,6 +121,9 @@ _DOMAINS = "dom AS (SELECT gene, split_part(header, '|', 1) AS target, identity
 _HMM = """SELECT gene, 'hmmscan' AS method, '{}' AS type, '{}' AS category, target AS name, {} AS description, '1' AS start, 'N' AS "end", target AS vog_ids, CAST(count(*) AS INTEGER) AS n_domains, string_agg('domainNo:' || number || '|score:' || score || '|c-E:1e-' || f || '|i-E:1e-' || t
  || '|hmmFrom:' || f || '|hmmTo:' || t || '|alignFrom:' || (f + 1) || '|alignTo:' || (t + 1) || '|envFrom:' || f || '|envTo:' || (t + 2) || '|acc:0.9|', '; ' ORDER BY number, score, '1e-' || f, '1e-' || t, f, t) AS evidence FROM dom {} GROUP BY gene, target"""
 _TAGGED = "tagged AS (SELECT '>' || tag || '|' || ltrim(header, '>') AS header, seq FROM raw JOIN (SELECT accession, string_agg(DISTINCT family_id, '|' ORDER BY family_id) AS tag FROM family_members GROUP BY accession) ON accession = regexp_extract(header, '^>*([^ ]+)', 1))"
+_ANY_NAME = """any_name AS (SELECT '>sp|' || CASE k % 3 WHEN 0 THEN 'ACC' || k || '.' || (k % 4) WHEN 1 THEN 'OLD' || k ELSE 'NEW' || k || '.1' END || '| ' || p_name AS header, seq, tag FROM (
+  SELECT p.p_partkey AS k, p.p_name, p.p_type AS seq, CASE p.p_partkey % 3 WHEN 2 THEN CASE WHEN p.p_partkey % 2 = 1 THEN o.p_partkey END ELSE p.p_partkey END AS stands FROM part p LEFT JOIN part o ON o.p_partkey = p.p_partkey + 1)
+  LEFT JOIN (SELECT accession, string_agg(DISTINCT family_id, '|' ORDER BY family_id) AS tag FROM family_members GROUP BY accession) ON accession = 'ACC' || stands)"""
 _DEDUPE = "list_filter(s, lambda x, i: list_position(s, x) = i)"
 SQL = {
     "annotate_blast": X.sql(X.ANNOTATION_HITS, select="SELECT gene, 'blast' AS source, 'blast' AS method, header AS name, start, \"end\", printf('identity=%.2f; alignlen=%d; evalue=%s', CAST(identity AS DOUBLE), aln_len, evalue) AS evidence, array_to_string(" + _DEDUPE + ", ',') AS vog_ids FROM (SELECT *, regexp_extract_all(header, 'VOG[0-9]+') AS s FROM annotation_hits WHERE identity >= 80)"),
@@ -131,6 +150,9 @@ SQL = {
     "count_annotations": "SELECT genome, mol_type, count(*) AS n FROM (SELECT 'genome' || (l_suppkey % 4) AS genome, ['gene', 'protein', 'trna'][l_partkey % 3 + 1] AS mol_type FROM lineitem) GROUP BY ROLLUP (genome, mol_type)",
     "tag_families": X.sql(X.FAMILIES, RAW, _TAGGED, select="SELECT * FROM tagged"),
     "tag_families_from_tables": X.sql(X.FAMILIES, RAW, _TAGGED, select="SELECT 'tagged' AS kind, header, seq FROM tagged WHERE seq <> 'ECONOMY' UNION ALL SELECT DISTINCT 'missing', accession, NULL FROM family_members WHERE accession NOT IN (SELECT regexp_extract(header, '^>*([^ ]+)', 1) FROM raw WHERE seq <> 'ECONOMY')"),
+    "accessions_in_order": "SELECT accession, first_family, row_number() OVER (ORDER BY first_at, accession) AS place FROM (SELECT 'ACC' || (p_partkey // 2) AS accession, arg_min('VOG' || lpad(CAST(p_partkey // 3 AS VARCHAR), 9, '0'), (p_partkey * 7919 % 1000003, 'VOG' || lpad(CAST(p_partkey // 3 AS VARCHAR), 9, '0'))) AS first_family, min(p_partkey * 7919 % 1000003) AS first_at FROM part GROUP BY 1)",
+    "tag_by_any_name": X.sql(X.FAMILIES, _ANY_NAME, select="SELECT header, seq, tag FROM any_name"),
+    "tagging_share": X.sql(X.FAMILIES, _ANY_NAME, select="SELECT count(*) AS n, count(tag) AS n_tagged, round(1 - count(tag) / count(*), 4) AS unmapped FROM any_name"),
     "distinct_accessions": X.sql(X.FAMILIES, select="SELECT accession, min(family_id) AS first_family FROM family_members GROUP BY accession"),
     "family_counts": X.sql(X.FAMILIES, select="SELECT family_id, coalesce(n_found, 0) AS n_found, coalesce(n_reported, 0) AS n_reported, coalesce(n_found, 0) <> coalesce(n_reported, 0) AS mismatch FROM (SELECT family_id, count(*) AS n_found FROM family_members GROUP BY family_id) FULL JOIN (SELECT 'VOG' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS family_id, CAST(p_size AS BIGINT) AS n_reported FROM part) USING (family_id)"),
     "check_tagging": X.sql(X.FAMILIES, RAW, _TAGGED, "h AS (SELECT header, count(*) AS n FROM raw GROUP BY header)", "g AS (SELECT header, count(*) AS n FROM tagged GROUP BY header)", "st AS (SELECT '>' || regexp_replace(header, '^>(VOG[0-9]+[|])+', '') AS header FROM tagged)",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandlake import fixtures as X
 from strandlake.functions import sequence as Q
+from strandlake.operators import headers as N
 
 
 def _calls(s, d):
@@ -31,6 +32,11 @@ def _variants(s, d):
     return rows.select("header", *[c.alias(f"h_{name}") for name, c in forms.items()])
 
 
+def _wanted(s, d):
+    """Names, numbers and short pieces to look for in the headers, and some that none holds."""
+    return X.read(s, d, "part").selectExpr("explode(array(p_name, concat('|', p_partkey, '|'), substring(p_type, 2, 3), concat(p_brand, '!'), '')) AS pattern")
+
+
 QUERIES = {
     "header_variants": _variants,
     "cgp_header": lambda s, d: _calls(s, d).select("contig", "ord", Q.cgp_header(F.col("ord"), F.col("strand"), F.col("left_end"), F.col("right_end")).alias("header")),
@@ -46,6 +52,7 @@ QUERIES = {
     "wrap_sequence": lambda s, d: Q.wrap_sequence(X.contigs(s, d), 60),
     "contig_lengths": lambda s, d: X.contigs(s, d).select("contig", F.length("seq").alias("length")),
     "find_by_header": lambda s, d: Q.find_by_header(_headers(s, d), "widget|ring"),
+    "find_by_headers": lambda s, d: N.find_by_headers(_headers(s, d), _wanted(s, d)),
     "select_by_id": lambda s, d: Q.select_by_id(X.genes(s, d).select("contig", "ord", "strand"), X.contigs(s, d).where("length(seq) % 2 = 0"), "contig"),
     "renumber": lambda s, d: Q.renumber(_calls(s, d).select("contig", "ord", "left_end"), _calls(s, d).where("ord % 3 = 1").select("contig", "ord")),
 }
@@ -68,6 +75,8 @@ SQL = {
     "wrap_sequence": X.sql(X.CONTIGS, select="SELECT contig, CAST(i AS INTEGER) AS line_no, substr(seq, i * 60 + 1, 60) AS line FROM (SELECT contig, seq, unnest(range(ceil(length(seq) / 60.0)::BIGINT)) AS i FROM contigs)"),
     "contig_lengths": X.sql(X.CONTIGS, select="SELECT contig, CAST(length(seq) AS INTEGER) AS length FROM contigs"),
     "find_by_header": X.sql(HEADERS, select="SELECT contig, arg_min(header, (ord, header)) AS header, min(ord) AS ord FROM heads WHERE regexp_matches(header, 'widget|ring') GROUP BY contig"),
+    "find_by_headers": X.sql(HEADERS, "wanted AS (SELECT DISTINCT unnest([p_name, '|' || p_partkey || '|', substr(p_type, 2, 3), p_brand || '!']) AS pattern FROM part)",
+                             select="SELECT pattern, contig, min(ord) AS ord, arg_min(header, (ord, header)) AS header FROM heads JOIN wanted ON contains(header, pattern) GROUP BY pattern, contig"),
     "select_by_id": X.sql(X.GENES, select="SELECT contig, ord, strand FROM genes WHERE contig IN (SELECT contig FROM contigs WHERE length(seq) % 2 = 0)"),
     "renumber": X.sql(X.GENES, select="SELECT contig, row_number() OVER (PARTITION BY contig ORDER BY ord) AS ord, left_end FROM genes WHERE ord % 3 <> 1"),
 }

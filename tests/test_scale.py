@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strandlake.operators import chains as C
 from strandlake.operators import genomics as G
+from strandlake.operators import headers as N
 from strandlake.operators import hits as H
 from strandlake.operators.scan import kept, look_back, with_place
 from strandlake.session import fresh
@@ -171,3 +172,28 @@ def test_top_hits_are_cut_before_the_shuffle(spark):
     plan = H.top_hits(df, 2)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("WindowGroupLimit", plan.index("Exchange")) > 0  # below the exchange: at most two rows a query and task are shuffled
     assert len(H.top_hits(df, 2).collect()) == 6
+
+
+def test_many_patterns_find_what_one_by_one_finds(spark):
+    rng = random.Random(8)
+    heads = [(rng.choice("ab"), rng.randrange(9), "".join(rng.choice("xyz|é ") for _ in range(rng.randrange(30)))) for _ in range(200)] + [("a", 1, None), ("a", 2, "")]
+    wanted = ["".join(rng.choice("xyz|é ") for _ in range(rng.choice([1, 2, 5, 6, 7, 9]))) for _ in range(150)] + ["", None, "nothing holds this"]
+    wanted += [h[2][3:15] for h in heads[:20] if h[2]] * 2
+    got = N.find_by_headers(spark.createDataFrame(heads, "contig string, ord int, header string"), spark.createDataFrame([(w,) for w in wanted], "pattern string")).collect()
+    want = {(w, c, *min((o, h) for d, o, h in heads if d == c and h and w in h)) for w in set(wanted) if w for c in "ab" if any(d == c and h and w in h for d, _, h in heads)}
+    assert {tuple(r[c] for c in ("pattern", "contig", "ord", "header")) for r in got} == want and len(got) == len(want) > 50
+
+
+def test_names_that_lead_to_one_another(spark):
+    pairs = [(f"n{i:03}", f"n{i + 1:03}") for i in range(100)] + [("z", "y"), ("y", "z"), ("q", "q"), (None, "q"), ("n050", "a")]
+    got = {r.name: r["class"] for r in N.name_classes(spark.createDataFrame(pairs, "a string, b string")).collect()}
+    assert all(got[f"n{i:03}"] == "a" for i in range(101)) and got["z"] == got["y"] == "y" and got["q"] == "q" and len(got) == 105
+    assert N.name_classes(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_tags_by_any_name(spark):
+    rows = [(">old1|x", "s"), (">ACC1.7 y", "s"), (">nobody", None), (">old1|x", "s"), (None, "t"), (">ACC2,ACC1", "u")]
+    seqs, members = spark.createDataFrame(rows, "header string, seq string"), spark.createDataFrame([("V2", "ACC1.2"), ("V1", "ACC1"), ("V3", "ACC2"), ("V4", None)], "family_id string, accession string")
+    tagged = N.tag_by_any_name(seqs, members, spark.createDataFrame([("old1", "mid.1"), ("mid", "ACC1")], "a string, b string"))
+    assert sorted((str(r.header), r.tag) for r in tagged.collect() if r.tag) == [(">ACC1.7 y", "V1|V2"), (">ACC2,ACC1", "V1|V2|V3"), (">old1|x", "V1|V2"), (">old1|x", "V1|V2")]
+    assert tuple(N.tagging_share(tagged).first()) == (6, 4, 0.3333)
