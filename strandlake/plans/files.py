@@ -30,7 +30,8 @@ def _put(s, rows: DataFrame, label: str, *partition_by: str) -> str:
 
 
 def _calls(s, d, caller: str = "glimmer"):
-    return X.gene_calls(s, d).where(f"caller = '{caller}'")
+    """Of one caller; a contig's calls stand together and in order, as callers write them."""
+    return X.gene_calls(s, d).where(f"caller = '{caller}'").repartition("contig").sortWithinPartitions("contig", "left_end", "right_end", "strand")
 
 
 def _gff(s, d, extra: str = "'.'", contig: str = "contig"):
@@ -40,7 +41,7 @@ def _gff(s, d, extra: str = "'.'", contig: str = "contig"):
 def _per_contig(s, d, head: str, line: str, caller: str = "glimmer") -> DataFrame:
     """One text a contig: its head line and a line a call."""
     rows = _calls(s, d, caller).withColumn("line", F.expr(line))
-    return rows.groupBy("contig").agg(F.concat_ws("\n", F.expr(head), F.array_join(F.collect_list("line"), "\n")).alias("value")).select("value")
+    return rows.groupBy("contig").agg(F.concat_ws("\n", F.expr(head), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("left_end", "right_end", "strand", "line"))), lambda x: x["line"]), "\n")).alias("value")).select("value")
 
 
 def _read_gff3(s, d):

@@ -5,22 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import fields, lines, numbered, rejected, sections, sound, split_tabs
+from .text import fields, lines, numbered, placed_lines, rejected, sections, sound, split_tabs
 
 NEEDED = ("contig", "strand", "left_end", "right_end")
 
 
 def _calls(rows: DataFrame, caller: str, rejects: bool = False) -> DataFrame:
-    """Order the ends, check, number."""
+    """Order the ends, check, number in the order of the file."""
     if rejects:
         return rejected(rows, *NEEDED)
     left, right = F.least("left_end", "right_end"), F.greatest("left_end", "right_end")
-    ordered = sound(rows, *NEEDED).select("file", "contig", "strand", left.alias("left_end"), right.alias("right_end"), (right - left + 1).alias("length"), F.lit(caller).alias("caller"))
+    ordered = sound(rows, *NEEDED).select("file", "split", "at", "contig", "strand", left.alias("left_end"), right.alias("right_end"), (right - left + 1).alias("length"), F.lit(caller).alias("caller"))
     return numbered(ordered)
 
 
 def _data(spark: SparkSession, path: str) -> DataFrame:
-    return lines(spark, path).where("line <> '' AND NOT startswith(line, '#')")
+    return placed_lines(spark, path).where("line <> '' AND NOT startswith(line, '#')")
 
 
 def _strand(c: Column) -> Column:
@@ -30,7 +30,7 @@ def _strand(c: Column) -> Column:
 def gff3(spark: SparkSession, path: str, caller: str = "gff3", feature: str | None = "cds", contig_word: bool = False, rejects: bool = False) -> DataFrame:
     """GFF rows of the feature (all, if None); contig_word cuts the contig at its first space."""
     contig, kind, left, right, strand = (split_tabs(F.col("line"), *["string"] * 2, "string", "long", "long", "string", "string")[i] for i in (0, 2, 3, 4, 6))
-    rows = _data(spark, path).select("file", "line", (F.substring_index(contig, " ", 1) if contig_word else contig).alias("contig"), kind.alias("kind"), left.alias("left_end"), right.alias("right_end"), _strand(strand).alias("strand"))
+    rows = _data(spark, path).select("file", "split", "at", "line", (F.substring_index(contig, " ", 1) if contig_word else contig).alias("contig"), kind.alias("kind"), left.alias("left_end"), right.alias("right_end"), _strand(strand).alias("strand"))
     if feature:
         rows = rows.where(F.col("kind").isNull() | (F.lower("kind") == feature))
     return _calls(rows, caller, rejects)
@@ -38,7 +38,7 @@ def gff3(spark: SparkSession, path: str, caller: str = "gff3", feature: str | No
 
 def rast(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     contig, left, right, strand = fields(F.col("line"), r"^([^\t]*)\t[^\t]*\tCDS\t(\d+)\t(\d+)\t\.\t([+-])\t\d\t", "string", "long", "long", "string")
-    return _calls(_data(spark, path).select("file", "line", contig.alias("contig"), left.alias("left_end"), right.alias("right_end"), strand.alias("strand")), "rast", rejects)
+    return _calls(_data(spark, path).select("file", "split", "at", "line", contig.alias("contig"), left.alias("left_end"), right.alias("right_end"), strand.alias("strand")), "rast", rejects)
 
 
 def custom(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
@@ -48,26 +48,26 @@ def custom(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
 
 def genemark_lst(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """GeneMark .lst: a definition line names the contig of the rows below; ends may carry < or >."""
-    rows = sections(spark, path, "FASTA definition line: ").select("file", F.regexp_extract(F.coalesce("head", F.lit("")), r"^(.*?)\s+length=\d+", 1).alias("name"), "line")
+    rows = sections(spark, path, "FASTA definition line: ").select("file", "split", "at", F.regexp_extract(F.coalesce("head", F.lit("")), r"^(.*?)\s+length=\d+", 1).alias("name"), "line")
     no, strand, left, right = fields(F.col("line"), r"^\s+(\d+)\s+([+-])\s+[<>]?(\d+)\s+[<>]?(\d+)\s+\d+\s+\d+", "int", "string", "long", "long")
     contig = F.when(F.col("name") == "", "unknown").otherwise(F.col("name"))
-    return _calls(rows.select("file", "line", contig.alias("contig"), strand.alias("strand"), left.alias("left_end"), right.alias("right_end")), "genemark", rejects)
+    return _calls(rows.select("file", "split", "at", "line", contig.alias("contig"), strand.alias("strand"), left.alias("left_end"), right.alias("right_end")), "genemark", rejects)
 
 
 def glimmer(spark: SparkSession, path: str, version: int = 3, rejects: bool = False) -> DataFrame:
     """Glimmer: `>contig` lines; version 2 leaves the stop codon out of the ends."""
-    rows = sections(spark, path, ">").select("file", F.col("head").alias("contig"), "line")
+    rows = sections(spark, path, ">").select("file", "split", "at", F.col("head").alias("contig"), "line")
     pattern = r"^orf\d+\s+(\d+)\s+(\d+)\s+([+-])\d\s+[\d.]+" if version == 3 else r"^\s*\d+\s+(\d+)\s+(\d+)\s+\[([+-])\d\sL=\s*\d+\sr=.*\]"
     start, end, strand = fields(F.col("line"), pattern, "long", "long", "string")
     shift = F.when(strand == "+", 3).otherwise(-3) if version == 2 else F.lit(0)
-    return _calls(rows.select("file", "line", "contig", strand.alias("strand"), start.alias("left_end"), (end + shift).alias("right_end")), "glimmer", rejects)
+    return _calls(rows.select("file", "split", "at", "line", "contig", strand.alias("strand"), start.alias("left_end"), (end + shift).alias("right_end")), "glimmer", rejects)
 
 
 def prodigal(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """Prodigal .sco: the sequence data line names the contig."""
-    rows = sections(spark, path, "# Sequence Data:").select("file", F.regexp_extract("head", 'seqhdr="([^"]*)"', 1).alias("contig"), "line")
+    rows = sections(spark, path, "# Sequence Data:").select("file", "split", "at", F.regexp_extract("head", 'seqhdr="([^"]*)"', 1).alias("contig"), "line")
     left, right, strand = fields(F.col("line"), r"^>\d+_(\d+)_(\d+)_([+-])", "long", "long", "string")
-    return _calls(rows.select("file", "line", "contig", strand.alias("strand"), left.alias("left_end"), right.alias("right_end")), "prodigal", rejects)
+    return _calls(rows.select("file", "split", "at", "line", "contig", strand.alias("strand"), left.alias("left_end"), right.alias("right_end")), "prodigal", rejects)
 
 
 def prodigal_gff(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
@@ -78,7 +78,7 @@ def phanotate(spark: SparkSession, path: str, rejects: bool = False) -> DataFram
     """left, right, strand, contig; ends may carry < or > and may be swapped."""
     a, b, strand, contig = split_tabs(F.col("line"), "string", "string", "string", "string")
     digits = lambda c: F.regexp_extract(c, r"(\d+)", 1).try_cast("long")
-    rows = _data(spark, path).where(r"line RLIKE '^[0-9<>]'").select("file", "line", contig.alias("contig"), _strand(strand).alias("strand"), digits(a).alias("left_end"), digits(b).alias("right_end"))
+    rows = _data(spark, path).where(r"line RLIKE '^[0-9<>]'").select("file", "split", "at", "line", contig.alias("contig"), _strand(strand).alias("strand"), digits(a).alias("left_end"), digits(b).alias("right_end"))
     return _calls(rows, "phanotate", rejects)
 
 

@@ -48,11 +48,11 @@ def carry_down(rows: DataFrame, **heads: Column) -> DataFrame:
 
 
 def sections(spark: SparkSession, path: str, mark: str) -> DataFrame:
-    """(file, head, line): the lines below each line that begins with `mark`, with the rest of that line; null above the
+    """(file, split, at, head, line): the lines below each line that begins with `mark`, with the rest of that line; null above the
     first. Empty lines are left out. No section is ever one row."""
     begins = F.startswith("line", F.lit(mark))
     rows = carry_down(placed_lines(spark, path), head=F.when(begins, F.substring("line", len(mark) + 1, 2**31 - 1)))
-    return rows.where(~begins & (F.col("line") != "")).select("file", "head", "line")
+    return rows.where(~begins & (F.col("line") != "")).select("file", "split", "at", "head", "line")
 
 
 def fields(line: Column, pattern: str, *kinds: str) -> list[Column]:
@@ -75,5 +75,12 @@ def rejected(rows: DataFrame, *needed: str) -> DataFrame:
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """gene_no: place within the file's contig by left end, right end and strand."""
-    return rows.withColumn("gene_no", F.row_number().over(W.partitionBy("file", "contig").orderBy("left_end", "right_end", "strand")))
+    """gene_no in place of (split, at): the place within the file's contig, in the order of the file.
+
+    Each split numbers its own rows; a row for each contig and split says how many stand in the splits above.
+    """
+    here = F.row_number().over(W.partitionBy("file", "split", "contig").orderBy("at"))
+    above = F.sum("n").over(W.partitionBy("file", "contig").orderBy("split").rowsBetween(W.unboundedPreceding, -1))
+    carry = rows.groupBy("file", "contig", "split").agg(F.count("*").alias("n")).select("file", "contig", "split", above.alias("_above")).where("_above IS NOT NULL")
+    found = rows.withColumn("_here", here).join(carry, ["file", "contig", "split"], "left")
+    return found.select(*[c for c in rows.columns if c not in ("split", "at")], (F.col("_here") + F.coalesce("_above", F.lit(0))).cast("int").alias("gene_no"))

@@ -197,3 +197,12 @@ def test_tags_by_any_name(spark):
     tagged = N.tag_by_any_name(seqs, members, spark.createDataFrame([("old1", "mid.1"), ("mid", "ACC1")], "a string, b string"))
     assert sorted((str(r.header), r.tag) for r in tagged.collect() if r.tag) == [(">ACC1.7 y", "V1|V2"), (">ACC2,ACC1", "V1|V2|V3"), (">old1|x", "V1|V2"), (">old1|x", "V1|V2")]
     assert tuple(N.tagging_share(tagged).first()) == (6, 4, 0.3333)
+
+
+def test_gene_numbers_follow_the_file(spark):
+    rng = random.Random(9)
+    calls = [(f"c{rng.randrange(3)}", rng.randrange(1, 5000)) for _ in range(300)]
+    gff = [f"{c}\ttool\tCDS\t{left}\t{left + 89}\t.\t+\t0\t." for c, left in calls]
+    whole, cut, n = in_small_splits(spark, gff, lambda p: sorted((r.contig, r.gene_no, r.left_end) for r in RC.gff3(spark, p).collect()))
+    want = sorted((c, i + 1, left) for k in {c for c, _ in calls} for i, (c, left) in enumerate([x for x in calls if x[0] == k]))
+    assert n > 20 and whole == cut == want
