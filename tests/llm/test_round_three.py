@@ -167,7 +167,7 @@ def test_toxicity_on_held_out_documents(spark):
 def test_toxicity_hears_hidden_words():
     reader = toxicity.Reader({"zorbag": 3.0}, frozenset(), frozenset(["you"]))
     value = lambda text: dict(zip(toxicity.NAMES, reader.vector(text), strict=True))
-    for text in ("z0rb@g", "z.o.r.b.a.g", "z o r b a g", "zzzorbaag", "x (z o r b a g) y"):
+    for text in ("z0rb@g", "z.o.r.b.a.g", "z o r b a g", "zzzorbaag", "is (z o r b a g) ok"):
         assert value(text)["hidden_hits"] == 1 and value(text)["top_weight"] == 3, text
     assert value("Zorbag")["hidden_hits"] == 0 and value("Zorbag")["log_hits"] > 0
     assert value("you are a zorbag")["near_person"] == 1 and value("you" + " x1 of the" * 40 + " zorbag")["near_person"] == 0
