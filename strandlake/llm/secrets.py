@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_right
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -37,7 +38,7 @@ KNOWN = re.compile(
     r"|Qm[1-9A-HJ-NP-Za-km-z]{44}|baf[ky][a-z2-7]{55}|[0-7][0-9A-HJKMNP-TV-Z]{25}"
     r"|[0-9+/_=-]+)")
 #: What stands before a run inside an address: only the run's pieces can be keys there, not its path as a whole.
-ADDRESS = re.compile(r"://\S*$|:$")
+ADDRESS = re.compile(r"://\S*")
 
 _vocabularies: dict = {}
 
@@ -64,11 +65,21 @@ def spans(text: str, encode, most_chars_per_token: float) -> list[tuple[int, int
         found += [(*m.span(), 1) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LEAST]
     found += [(*m.span(), 2) for m in HEX.finditer(text)]
     base = list(found)
+    addresses: list[tuple[int, int]] | None = None
+
+    def in_address(at: int) -> bool:
+        """Whether an address, of any length, or a colon stands right before this place."""
+        nonlocal addresses
+        if addresses is None:
+            addresses = [m.span() for m in ADDRESS.finditer(text)]
+        i = bisect_right(addresses, (at - 3, len(text))) - 1
+        return text[at - 1 : at] == ":" or (i >= 0 and at <= addresses[i][1])
+
     for m in RUN.finditer(text):
         run, (start, end) = m[0], m.span()
         if KNOWN.fullmatch(run) or any(a < end and start < b for a, b, _ in base):
             continue
-        address = (run.startswith("//") or "/" in run) and ADDRESS.search(text, max(0, start - 2_000), start)
+        address = (run.startswith("//") or "/" in run) and in_address(start)
         if not address and len(run) <= most_chars_per_token * len(encode(run)):
             found.append((start, end, 3))
             continue

@@ -89,6 +89,16 @@ SECRETS = ['api_key = "abcdef123"', "password: abc", "PassWord='hunter22' token=
            "internationalization-of-everything", "é apikey=aaaaaaa"]
 
 
+def test_addresses_of_any_length_end_at_white_space():
+    encode, key = secrets.vocabulary(tokenizer_file("byte_bpe_50k.tiktoken")).encode_ordinary, "aZ3kQ9xLm2Vt7Rb1Yp8Wc5"
+    path = "com/services/webhook/"
+    for many in (1, 4_000):  # in an address the pieces alone are judged, however far it began
+        text = "see https://" + "x.y?" * many + path + key
+        assert secrets.spans(text, encode, 2.0) == [(len(text) - len(key), len(text), 3)]
+    text = f"https://x.y\n{key}/{key}"
+    assert secrets.spans(text, encode, 2.0) == [(len(text) - 2 * len(key) - 1, len(text), 3)]  # no address here
+
+
 def test_secrets(spark):
     docs = frame(spark, SECRETS)
     got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.secrets] for r in secrets.find_secrets(docs.union(docs)).collect()}
