@@ -183,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_labelle
     return model
 
 
-def _pool(docs: DataFrame, known: DataFrame, sure: float, add: int) -> tuple[DataFrame, Surest]:
+def _pool(docs: DataFrame, known: DataFrame, sure: float, add: int, fan_in: int = 32) -> tuple[DataFrame, Surest]:
     """A table of the text features of all unlabelled documents, four bytes each, and the search of the surest in it."""
     spark = docs.sparkSession
 
@@ -196,7 +196,8 @@ def _pool(docs: DataFrame, known: DataFrame, sure: float, add: int) -> tuple[Dat
     open_ = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").join(maybe_broadcast(known.select("doc_id")), "doc_id", "left_anti")
     pool = table(_rows(open_, "doc_id").mapInPandas(features, "doc_id long, source string, lang string, n_chars double, a binary"), "quality-pool")
     schema = "view int, label int, p double, doc_id long, source string, lang string, n_chars double, a binary"
-    first = F.row_number().over(W.partitionBy("view", "label").orderBy(F.desc("p"), "doc_id", "a"))
+    first = F.row_number().over(W.partitionBy("view", "label", "slot").orderBy(F.desc("p"), "doc_id", "a"))
+    n_tasks = pool.select(F.spark_partition_id().alias("slot")).agg(F.max("slot")).first()[0]
 
     def views_of(rows: pd.DataFrame) -> list[np.ndarray]:
         text = np.frombuffer(b"".join(rows["a"]), "<f4").astype(float).reshape(len(rows), -1)
@@ -206,15 +207,24 @@ def _pool(docs: DataFrame, known: DataFrame, sure: float, add: int) -> tuple[Dat
         shared = spark.sparkContext.broadcast(models)
 
         def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best: dict[tuple[int, int], pd.DataFrame] = {}  # of all batches so far
             for batch in batches:
                 for i, (model, x) in enumerate(zip(shared.value, views_of(batch), strict=True) if len(batch) else ()):
                     good = sigmoid(model.logit(x))
                     for label, p in ((1, good), (0, 1 - good)):
-                        at = np.lexsort((batch["doc_id"].to_numpy(), -p))[:add]
-                        at = at[p[at] >= sure]
-                        yield batch.iloc[at].assign(view=i, label=label, p=p[at])[["view", "label", "p", "doc_id", "source", "lang", "n_chars", "a"]]
-
-        found = pool.mapInPandas(search, schema).withColumn("at", first).where(F.col("at") <= add).toPandas()  # 4 * add rows at most
+                        at = np.flatnonzero(p >= sure)
+                        at = at[np.lexsort((batch["doc_id"].to_numpy()[at], -p[at]))]
+                        more = batch.iloc[at].assign(view=i, label=label, p=p[at])[["view", "label", "p", "doc_id", "source", "lang", "n_chars", "a"]]
+                        both = pd.concat([best[i, label], more]) if (i, label) in best else more
+                        best[i, label] = both.sort_values(["p", "doc_id", "a"], ascending=[False, True, True], kind="stable").iloc[:add]
+            yield from best.values()
+
+        # the surest of each task, then of ever more tasks together: none ever ranks more than fan_in * add rows of a key
+        found, slots = pool.mapInPandas(search, schema).withColumn("slot", F.spark_partition_id()), (n_tasks or 0) + 1
+        while slots:
+            slots = -(-slots // fan_in) if slots > fan_in else 0
+            found = found.withColumn("slot", F.floor(F.col("slot") / fan_in) if slots else F.lit(0)).withColumn("at", first).where(F.col("at") <= add)
+        found = found.drop("slot").toPandas()  # 4 * add rows at most
         shared.unpersist()
         found = found.sort_values(["view", "label", "at"])
         parts = [found[found["view"] == i] for i in range(len(models))]

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -265,6 +266,29 @@ def test_decontamination_finds_substituted_passages(spark):
     assert all(d == i for d, i in got) and {i for i in items if share[i] >= 0.8} <= {i for i, _ in got}
 
 
+def test_decontamination_finds_substituted_short_items(spark):
+    """Items of 1 to 12 tokens with a fifth of the tokens replaced, at each place or pair of places; one more hides them."""
+    rng = random.Random(9)
+    texts, items, want = {}, {}, set()
+    for n in range(1, 13):
+        for more in (0, 1):
+            for out in rng.sample(places := list(itertools.combinations(range(n), n // 5 + more)), min(len(places), 25)):
+                i = len(texts)
+                items[i] = [f"i{i}k{k}" for k in range(n)]
+                copy = [f"x{i}k{k}" if k in out else w for k, w in enumerate(items[i])]
+                texts[i] = " ".join([f"o{rng.randrange(10**6)}" for _ in range(rng.randrange(20))] + copy + [f"o{rng.randrange(10**6)}" for _ in range(rng.randrange(20))])
+                want |= set() if more else {i}
+    docs, bench = (spark.createDataFrame(list(rows.items()), f"{key} long, text string") for key, rows in (("doc_id", texts), ("item_id", {i: " ".join(w) for i, w in items.items()})))
+    assert {(r.doc_id, r.item_id) for r in decontamination.find_overlaps(docs, bench).collect()} == {(i, i) for i in want}
+
+
+def test_decontamination_of_very_long_items(spark):
+    words = [f"w{k}" for k in range(20_000)]
+    docs = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    found = decontamination.find_overlaps(docs, spark.createDataFrame([(1, " ".join(["x", *words[1:9_000], "y", *words[9_001:]]))], "item_id long, text string")).collect()
+    assert [(r.doc_token, r.n_aligned, r.n_equal) for r in found] == [(0, 20_000, 19_998)]
+
+
 def plain_stages(docs, labels, items, model):
     """The rows that each stage keeps, from pandas and SQL: quality text by text, copies by all pairs, the rest in DuckDB."""
     from collections import Counter

@@ -238,3 +238,22 @@ def test_quality_held_out_and_edges(spark):
     assert set(quality.classify(docs.limit(20).withColumn("_quality", F.lit("own")), labels).toPandas()["_quality"]) == {"own"}
     some = quality.classify(docs.select("doc_id", "text").union(docs.select("doc_id", "text").limit(5)), labels.union(labels.select(labels.doc_id, labels.quality * 0, labels.toxic).limit(3)))
     assert some.count() == 1005 and some.where("quality_score IS NULL").count() == 0
+
+
+@pytest.mark.parametrize("fan_in", [2, 32])
+def test_surest_of_the_pool_equal_plain_ranking(spark, fan_in):
+    """Both views' surest unlabelled documents, ranked in tasks and levels, against one sort of all; ties and repeats."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.union(docs.limit(100)).repartition(7)
+    rows = docs.toPandas()
+    rows = rows[rows.text.notna() & rows.doc_id.notna() & ~rows.doc_id.isin(labels.where("quality IS NOT NULL").toPandas().doc_id)]
+    views = [quality.text_features([t.encode() for t in rows.text]).astype("<f4"), quality.page_features(rows.source, rows.lang, rows.n_chars)]
+    rng = np.random.default_rng(3)
+    models = [quality.Logistic(v.astype(float), (rng.random(len(rows)) < 0.5).astype(float)) for v in views]
+    pool, surest = quality._pool(docs, labels.select("doc_id").distinct(), 0.5, 40, fan_in)
+    assert pool.count() == len(rows)
+    for i, (model, (xs, label)) in enumerate(zip(models, surest(models), strict=True)):
+        good = quality.sigmoid(model.logit(views[i].astype(float)))
+        for want, p in ((1, good), (0, 1 - good)):
+            at = sorted(np.flatnonzero(p >= 0.5), key=lambda k: (-round(p[k], 9), rows.doc_id.iloc[k], views[0][k].tobytes()))[:40]
+            assert np.allclose(np.sort(model.logit(xs[i][label == want])), np.sort(model.logit(views[i].astype(float)[at])), atol=1e-6)
