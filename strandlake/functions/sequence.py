@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandlake.session import kept
+
 # IUPAC letters and their complements; the codons of NCBI table 11 in the order t, c, a, g.
 IUPAC, COMPLEMENT = "acgtrymkbdhvACGTRYMKBDHV", "tgcayrkmvhdbTGCAYRKMVHDB"
 CODON_BASES = "tcag"
@@ -117,8 +119,36 @@ def find_by_header(rows: DataFrame, pattern: str) -> DataFrame:
     return rows.where(F.col("header").rlike(pattern)).groupBy("contig").agg(F.min_by("header", F.struct("ord", "header")).alias("header"), F.min("ord").alias("ord"))
 
 
+#: Bits of one row of a bitmap table, and the most bits of a whole one, 32 MB.
+BITMAP_BITS, MOST_BITS = 1 << 15, 1 << 28
+
+
+def likely_wanted(rows: DataFrame, wanted: DataFrame, key: str, bits_an_id: int = 16) -> DataFrame:
+    """The rows whose key may be wanted: all that are, and some that aren't. No row is shuffled.
+
+    A Bloom filter of two bits for each of the ids `wanted`, a written table without repeats, is broadcast as a table of
+    bitmaps: 16 bits an id, MOST_BITS at most, beyond which more rows pass that aren't wanted (1.4 % below it).
+    """
+    n_ids = wanted.count()
+    n_bits = min(MOST_BITS, BITMAP_BITS << max(0, (n_ids * bits_an_id - 1) // BITMAP_BITS).bit_length())
+    place = lambda seed: F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(n_bits))
+    bits = wanted.select(F.explode(F.array(place(1), place(2))).alias("_bit"))
+    maps = bits.groupBy(F.floor(F.col("_bit") / BITMAP_BITS).alias("_map")).agg(F.bitmap_construct_agg(F.col("_bit") % BITMAP_BITS).alias("_bits"))
+    for seed in (1, 2):
+        at = (F.col("_bit") % BITMAP_BITS).cast("int")
+        byte = F.conv(F.hex(F.expr("substring(_bits, cast(_bit % 32768 as int) div 8 + 1, 1)")), 16, 10).cast("int")
+        own = rows.where(F.col(key).isNotNull()).withColumn("_bit", place(seed)).withColumn("_map", F.floor(F.col("_bit") / BITMAP_BITS))
+        rows = own.join(F.broadcast(maps), "_map").where(F.getbit(byte, at % 8) == 1).drop("_bit", "_bits", "_map")
+    return rows
+
+
 def select_by_id(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    return rows.join(wanted.select(key).distinct(), key, "left_semi")
+    """The rows whose key is one of `wanted`, repeated rows as often as they are there; null keys are in no result.
+
+    Rows of unwanted ids are left out by a broadcast Bloom filter first, so that of their sequences hardly any is shuffled.
+    """
+    ids = kept(wanted.where(F.col(key).isNotNull()).select(key).distinct(), "wanted-ids")
+    return likely_wanted(rows, ids, key).join(ids, key, "left_semi").select(*rows.columns)
 
 
 def renumber(rows: DataFrame, deleted: DataFrame) -> DataFrame:

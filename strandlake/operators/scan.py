@@ -6,14 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strandlake.session import fresh
-
-
-def kept(df: DataFrame, label: str) -> DataFrame:
-    """`df`, written to the shared folder once, for use in several places."""
-    path = fresh(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from strandlake.session import kept
 
 
 def with_place(rows: DataFrame, keys: list[str], order: list[Column | str], name: str) -> DataFrame:

@@ -6,6 +6,8 @@ import random
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandlake import session as S
+from strandlake.functions import sequence as Q
 from strandlake.operators import chains as C
 from strandlake.operators import genomics as G
 from strandlake.operators import headers as N
@@ -206,3 +208,17 @@ def test_gene_numbers_follow_the_file(spark):
     whole, cut, n = in_small_splits(spark, gff, lambda p: sorted((r.contig, r.gene_no, r.left_end) for r in RC.gff3(spark, p).collect()))
     want = sorted((c, i + 1, left) for k in {c for c, _ in calls} for i, (c, left) in enumerate([x for x in calls if x[0] == k]))
     assert n > 20 and whole == cut == want
+
+
+def test_selected_rows_are_those_of_wanted_ids(spark):
+    """Against a plain semi-join, with repeats, nulls and no wanted id; few unwanted rows pass the filter."""
+    rows = spark.range(40_000).selectExpr("CASE WHEN id % 1000 = 0 THEN NULL ELSE concat('id', id % 30000) END AS contig", "repeat('acgt', cast(id % 7 AS int)) AS seq", "id AS _other")
+    wanted = spark.range(0, 60_000, 11).selectExpr("CASE WHEN id = 0 THEN NULL ELSE concat('id', id) END AS contig", "id AS seq").union(spark.createDataFrame([("id5", 1), ("id5", 1)], "contig string, seq long"))
+    got = Q.select_by_id(rows, wanted, "contig")
+    want = rows.join(wanted.select("contig").distinct(), "contig", "left_semi")
+    assert got.columns == rows.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*rows.columns).collect()))
+    ids = S.kept(wanted.select("contig").where("contig IS NOT NULL").distinct(), "ids")
+    passed = Q.likely_wanted(rows, ids, "contig")
+    assert want.count() <= passed.count() <= want.count() + 0.03 * rows.count()
+    assert "Exchange hashpartitioning" not in "".join(line for line in passed._jdf.queryExecution().executedPlan().toString().splitlines() if "contig" in line)
+    assert Q.select_by_id(rows, wanted.limit(0), "contig").count() == 0 and Q.select_by_id(rows.limit(0), wanted, "contig").count() == 0
