@@ -2,7 +2,7 @@
 
 A byte-pair vocabulary spends few tokens on language and many on random strings. A run of key characters whose
 characters-per-token ratio under a public vocabulary is low is a secret, unless it is a known kind of digest or
-identifier. The ratio is taken of the whole run and of its pieces between = and /, so that a name or path beside a key
+identifier, a name made of words, dates and numbers, a biological sequence, or prose in base64. The ratio is taken of the whole run and of its pieces between = and /, so that a name or path beside a key
 doesn't hide it; inside an address only the pieces count.
 """
 
@@ -36,7 +36,15 @@ KNOWN = re.compile(
     r"|[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
     r"|sha(?:256-[A-Za-z0-9+/]{43}=|384-[A-Za-z0-9+/]{64}|512-[A-Za-z0-9+/]{86}==)"
     r"|Qm[1-9A-HJ-NP-Za-km-z]{44}|baf[ky][a-z2-7]{55}|[0-7][0-9A-HJKMNP-TV-Z]{25}"
+    r"|(?:ISBN|ISSN|EAN|DOI|ORCID)(?:-?1[03])?[-_=:]*[0-9][0-9_-]*[Xx]?"
+    r"|[ACGTUN]+|[acgtun]+|[ACDEFGHIKLMNPQRSTVWY]+"
     r"|[0-9+/_=-]+)")
+#: The parts of a name that say nothing of it: numbers, dates, times and versions.
+COUNTED = re.compile(r"(?:[vr]?[0-9]+|(?:19|20)[0-9]{6}T[0-9]{4,6}Z?|[0-9]{1,2}(?:st|nd|rd|th))", re.I)
+PARTS = re.compile(r"[^/_=+-]+")
+#: What may stand before a run of base64, and the prose that a run may hold; `user:key` is none.
+LEAD = re.compile(r"[A-Za-z][A-Za-z0-9_-]*=(?=[^=])")
+PROSE = re.compile(r"[^\W\d_]+(?:[,.;:!?'\")–—-]*\s+['\"(–—-]*[^\W_]+(?:['’-][^\W_]+)*)+[\s.!?'\")]*")
 #: What stands before a run inside an address: only the run's pieces can be keys there, not its path as a whole.
 ADDRESS = re.compile(r"://\S*")
 
@@ -55,6 +63,29 @@ def vocabulary(path: str):
     return _vocabularies[path]
 
 
+def _is_name(run: str, encode, most_chars_per_token: float) -> bool:
+    """Whether the run is dates, numbers and versions joined with words that pass the ratio by themselves."""
+    parts = PARTS.findall(run)
+    words = [p for p in parts if not COUNTED.fullmatch(p)]
+    return 0 < len(words) < len(parts) and all(w.isalpha() and len(w) > most_chars_per_token * len(encode(w)) for w in words)
+
+
+def _is_prose(run: str, encode, most_chars_per_token: float) -> bool:
+    """Whether the run, or what follows its `name=`, is base64 of words that pass the ratio."""
+    lead = LEAD.match(run)
+    code = (run[lead.end() :] if lead else run).rstrip("=").replace("-", "+").replace("_", "/")
+    try:
+        said = base64.b64decode(code + "=" * (-len(code) % 4), validate=True).decode()
+    except ValueError:
+        return False
+    return PROSE.fullmatch(said) is not None and len(said) > most_chars_per_token * len(encode(said))
+
+
+def _harmless(run: str, encode, most_chars_per_token: float) -> bool:
+    """Whether the ratio clears the run, or it is a name or prose."""
+    return len(run) > most_chars_per_token * len(encode(run)) or _is_name(run, encode, most_chars_per_token) or _is_prose(run, encode, most_chars_per_token)
+
+
 def spans(text: str, encode, most_chars_per_token: float) -> list[tuple[int, int, int]]:
     """(start, end, kind number), sorted; code points, end exclusive."""
     found = []
@@ -80,11 +111,11 @@ def spans(text: str, encode, most_chars_per_token: float) -> list[tuple[int, int
         if KNOWN.fullmatch(run) or any(a < end and start < b for a, b, _ in base):
             continue
         address = (run.startswith("//") or "/" in run) and in_address(start)
-        if not address and len(run) <= most_chars_per_token * len(encode(run)):
+        if not address and not _harmless(run, encode, most_chars_per_token):
             found.append((start, end, 3))
             continue
         for p in PIECE.finditer(run):
-            if p[0] != run and not KNOWN.fullmatch(p[0]) and len(p[0]) <= most_chars_per_token * len(encode(p[0])):
+            if p[0] != run and not KNOWN.fullmatch(p[0]) and not _harmless(p[0], encode, most_chars_per_token):
                 found.append((start + p.start(), start + p.end(), 3))
     return sorted(found, key=lambda x: (x[0], x[2]))
 

@@ -152,6 +152,42 @@ def test_known_digests_and_identifiers_are_no_secrets():
     assert secrets.spans("https://example.org/hook/aZ3kQ9xLm2Vt7Rb1Yp8Wc5", encode, 2.0) == [(25, 47, 3)]
 
 
+def ordinary_runs(n: int, seed: int = 5) -> list[str]:
+    """Long runs that are no secrets: dated names, numbers of books and journals, sequences, prose in base64."""
+    import random
+
+    rng = random.Random(seed)
+    words = "data backup final report customer export invoice summary weekly training model release draft archive metrics".split()
+    runs = []
+    for i in range(n):
+        a, b, c = rng.sample(words, 3)
+        day = f"20{rng.randrange(10, 30)}-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02}"
+        isbn = f"978-{rng.randrange(1, 10)}-{rng.randrange(10, 100)}-{rng.randrange(100_000, 1_000_000)}-{rng.choice('0123456789X')}"
+        prose = base64.b64encode(f"{a} {b}, the {c} of this {rng.choice(words)}.".encode()).decode()
+        kinds = [f"{a}_{day}_{b}-{c}_v{rng.randrange(1, 20)}", f"{a}-{b}_{day.replace('-', '')}T{rng.randrange(100_000, 235_959)}Z", f"ISBN-{isbn}", "".join(rng.choices("ACGT", k=60)), "".join(rng.choices("ACDEFGHIKLMNPQRSTVWY", k=40)), prose, f"body={prose}"]
+        runs.append(kinds[i % len(kinds)])
+    return runs
+
+
+def test_names_sequences_and_prose_are_no_secrets_and_keys_stay():
+    import random
+    import string
+
+    encode, rng = secrets.vocabulary(tokenizer_file("byte_bpe_50k.tiktoken")).encode_ordinary, random.Random(9)
+    flagged = [run for run in ordinary_runs(700) if secrets.spans(f"see {run} here", encode, 2.0)]
+    assert len(flagged) <= 7, flagged[:20]
+    keys = ["".join(rng.choices(string.ascii_letters + string.digits, k=rng.randrange(20, 41))) for _ in range(350)]
+    keys += [base64.b64encode(rng.randbytes(rng.randrange(15, 40))).decode() for _ in range(350)]
+    found = sum(bool(secrets.spans(f"see {k} here", encode, 2.0)) for k in keys)
+    assert found >= 0.98 * len(keys), found
+    assert found / (found + len(flagged)) >= 0.98
+    login = base64.b64encode(b"operator:correcthorsebattery").decode()
+    assert secrets.spans(f"Basic {login}", encode, 2.0) != []
+    assert secrets.spans("eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9", encode, 2.0) != []
+    for key in ("QWXZPLMK-TRVBNNQS-KJHGFDSW-2024", "release-2024-11-28-aZ3kQ9xLm2Vt7Rb1Yp8Wc5"):
+        assert secrets.spans(key, encode, 2.0) != [], key
+
+
 def test_secrets_of_long_texts_and_over_an_own_column(spark):
     docs = frame(spark, ["x " * 400_000 + "AKIA" + "A1B2" * 4, "a" * 1_000_000]).withColumn("secrets", F.lit(1))
     got = [[(s.kind, s.start) for s in r.secrets] for r in secrets.find_secrets(docs).orderBy("doc_id").collect()]
