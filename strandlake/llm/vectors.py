@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, table
+from .common import drop, maybe_broadcast, table
 from .graphs import components
 
 BLOCK = 2_048
@@ -161,8 +161,9 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
 
     dealt = classes.select("dim", "rep", "m", "v").mapInPandas(assign, "dim int, rep long, m long, v array<double>, shards array<long>")
     dealt = table(dealt.withColumn("shard", F.explode("shards")), "vec-dealt")
-    sizes = maybe_broadcast(table(dealt.groupBy("dim", "shard").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "vec-sizes"))
-    dealt = dealt.join(sizes, ["dim", "shard"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    sizes = table(dealt.groupBy("dim", "shard").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "vec-sizes")
+    sources = [dealt, sizes]
+    dealt = dealt.join(maybe_broadcast(sizes), ["dim", "shard"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
         ids = part["rep"].to_numpy()
@@ -174,6 +175,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     edges = dealt.groupBy("dim", "shard", "block").applyInPandas(build, "rep long, to long").where("rep <> to")
     graph = edges.groupBy("rep").agg(F.collect_set("to").alias("near"))
     placed = table(dealt.join(graph, "rep", "left"), "vec-graph")
+    drop(*sources)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     pairs = placed.withColumn("other", other).where("other >= block").select("*", F.col("block").alias("ib"), F.col("other").alias("qb"), F.lit(True).alias("indexed"), (F.col("block") == F.col("other")).alias("asks"))
     pairs = pairs.unionByName(placed.withColumn("other", other).where("other < block").select("*", F.col("other").alias("ib"), F.col("block").alias("qb"), F.lit(False).alias("indexed"), F.lit(True).alias("asks")))
@@ -214,6 +216,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
         return pd.DataFrame({"rep": ids, "n": ours, "root": root})
 
     found = table(pairs.groupBy("dim", "shard", "ib", "qb").applyInPandas(search, "rep long, n long, root long"), "vec-found")
+    drop(placed)
     joined = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")).where("a <> b"))
     counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
     result = classes.select("k1", "k2", "rep", "m").join(counts, "rep", "left").join(joined, F.col("rep") == F.col("node"), "left")
