@@ -22,22 +22,27 @@ def find_by_headers(rows: DataFrame, wanted: DataFrame, gram: int = 6) -> DataFr
 
     Each pattern is looked up by the rarest of its substrings of `gram` letters (of its own length, if it is shorter), so
     headers meet only patterns they may hold; then the whole pattern is compared. Null and empty patterns find nothing,
-    repeated ones count once.
+    repeated ones count once. Patterns may be as many as the headers, and planners take a table of substrings for smaller than it
+    is, so both sides of each join are shuffled.
     """
     patterns = kept(wanted.select("pattern").where("pattern <> ''").distinct(), "patterns")
     sizes = [r.n for r in patterns.select(F.least(F.length("pattern"), F.lit(gram)).alias("n")).distinct().collect()]  # at most `gram` numbers
+    headers = rows.where("header IS NOT NULL").select("contig", "ord", "header").repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "contig", "ord", "header")
     found = None
     for n in sorted(sizes):
         of = patterns.where(F.length("pattern") >= gram if n == gram else F.length("pattern") == n)
         parts = of.select("pattern", F.explode(_grams("pattern", n)).alias("gram"))
-        seen = rows.where("header IS NOT NULL").select("contig", "ord", "header", F.explode(_grams("header", n)).alias("gram")).join(parts.select("gram").distinct(), "gram", "left_semi")
+        grams = headers.select("contig", "ord", "header", F.explode(_grams("header", n)).alias("gram"))
+        seen = kept(grams.join(parts.select("gram").distinct().hint("merge"), "gram", "left_semi"), "seen-grams")
         counts = seen.groupBy("gram").agg(F.count("*").alias("n"))
-        complete = parts.join(counts, "gram", "left").groupBy("pattern").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.count_if(F.col("n").isNull()).alias("absent")).where("absent = 0")
-        held = seen.join(complete.select("pattern", "gram"), "gram").where(F.contains("header", "pattern")).select("pattern", "contig", "ord", "header")
-        found = held if found is None else found.unionByName(held)
+        complete = parts.join(counts.hint("merge"), "gram", "left").groupBy("pattern").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.count_if(F.col("n").isNull()).alias("absent")).where("absent = 0")
+        held = seen.join(complete.select("pattern", "gram").hint("merge"), "gram").where(F.contains("header", "pattern")).select("pattern", "contig", "ord", "header")
+        first = kept(held.groupBy("pattern", "contig").agg(F.min(F.struct("ord", "header")).alias("first")), "found-headers")
+        drop(seen)
+        found = first if found is None else found.unionByName(first)  # a pattern has one length
     if found is None:
         return rows.select(F.lit("").alias("pattern"), "contig", "ord", "header").limit(0)
-    return found.groupBy("pattern", "contig").agg(F.min(F.struct("ord", "header")).alias("first")).select("pattern", "contig", "first.ord", "first.header")
+    return found.select("pattern", "contig", "first.ord", "first.header")
 
 
 def header_ids(header: Column) -> Column:

@@ -186,6 +186,16 @@ def test_many_patterns_find_what_one_by_one_finds(spark):
     assert {tuple(r[c] for c in ("pattern", "contig", "ord", "header")) for r in got} == want and len(got) == len(want) > 50
 
 
+def test_search_for_many_patterns_broadcasts_none(spark, monkeypatch):
+    """Plans take the substrings of a small file for a small table; at 1.2 million patterns they didn't fit the driver."""
+    plans, keep = [], N.kept
+    monkeypatch.setattr(N, "kept", lambda df, label: plans.append(df) or keep(df, label))
+    heads = spark.range(200).selectExpr("'c' AS contig", "cast(id AS int) AS ord", "concat('>gi|', id, '|') AS header")
+    plans.append(N.find_by_headers(heads, spark.range(100).selectExpr("concat('gi|', id, '|') AS pattern")))
+    assert plans[-1].count() == 100
+    assert not any("Broadcast" in df._jdf.queryExecution().executedPlan().toString() for df in plans)
+
+
 def test_names_that_lead_to_one_another(spark):
     pairs = [(f"n{i:03}", f"n{i + 1:03}") for i in range(100)] + [("z", "y"), ("y", "z"), ("q", "q"), (None, "q"), ("n050", "a")]
     got = {r.name: r["class"] for r in N.name_classes(spark.createDataFrame(pairs, "a string, b string")).collect()}
