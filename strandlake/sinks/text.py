@@ -136,33 +136,76 @@ def group_fasta_lines(groups: DataFrame) -> DataFrame:
 
 
 def write_packed(rows: DataFrame, path: str, keys: list[str], order: list[str], file_bytes: int = 64 << 20) -> DataFrame:
-    """Write the texts of many keys to few files and return their index (*keys, part, file, start, length).
+    """Write the texts of many keys to few files and return their index (*keys, part, file, start, length, n_lines).
 
     rows (*keys, value, *order): a key's lines stand together, in the order given. Files are ranges of keys and order of
     about `file_bytes` each, so their number follows the bytes and not the keys, and a key of many lines goes on in the
     next file: its parts are numbered from 1. `start` and `length` count bytes, with the line feeds. The index is written
     beside the files, in `path`/index.
     """
-    table = kept(rows.withColumn("_bytes", F.octet_length("value").cast("long") + 1), "packed-rows")
+    n_lines = F.length("value") - F.length(F.replace("value", F.lit("\n"), F.lit(""))) + 1
+    table = kept(rows.withColumn("_bytes", F.octet_length("value").cast("long") + 1).withColumn("_lines", n_lines.cast("long")), "packed-rows")
     total = table.agg(F.coalesce(F.sum("_bytes"), F.lit(0))).first()[0]
     ranges = table.repartitionByRange(max(1, -(-total // file_bytes)), *keys, *order).sortWithinPartitions(*keys, *order)
     at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     placed = kept(ranges.withColumn("file", F.spark_partition_id()).withColumn("_at", at), "packed-ranges")
     placed.select("file", "_at", "value").repartition("file").sortWithinPartitions("file", "_at").select("file", "value").write.partitionBy("file").text(f"{path}/text")
     spans = placed.withColumn("_end", F.sum("_bytes").over(W.partitionBy("file").orderBy("_at")))
-    index = spans.groupBy(*keys, "file").agg(F.min(F.col("_end") - F.col("_bytes")).alias("start"), F.sum("_bytes").alias("length"))
+    index = spans.groupBy(*keys, "file").agg(F.min(F.col("_end") - F.col("_bytes")).alias("start"), F.sum("_bytes").alias("length"), F.sum("_lines").alias("n_lines"))
     index = index.withColumn("part", F.row_number().over(W.partitionBy(*keys).orderBy("file")))
-    index.select(*keys, "part", "file", "start", "length").write.parquet(f"{path}/index")
+    index.select(*keys, "part", "file", "start", "length", "n_lines").write.parquet(f"{path}/index")
     return rows.sparkSession.read.parquet(f"{path}/index")
 
 
-def read_packed(spark: SparkSession, path: str) -> DataFrame:
-    """(*keys, part, text) of what write_packed has written, cut out by the index."""
+def packed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(*keys, part, at, line) of what write_packed has written: the lines of the files with the keys that the index has for them;
+    `at` counts the lines of a file. A file is one row while it is cut, and each of its bytes is looked at once, however
+    many keys it holds."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/text")
-    files = files.select(F.regexp_extract("path", r"/file=(\d+)/", 1).cast("int").alias("file"), "content")
+    files = files.select(F.regexp_extract("path", r"/file=(\d+)/", 1).cast("int").alias("file"), F.split(F.col("content").cast("string"), "\n").alias("lines"))
     index = spark.read.parquet(f"{path}/index")
-    cut = F.expr("substring(content, cast(start as int) + 1, cast(length as int))").cast("string")
-    return index.join(files, "file").select(*[c for c in index.columns if c not in ("file", "start", "length")], cut.alias("text"))
+    names = [c for c in index.columns if c not in ("file", "start", "length", "n_lines")]
+    spans = index.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("start", "n_lines", F.struct(*names).alias("of")))).alias("spans"))
+    owners = F.flatten(F.transform("spans", lambda x: F.array_repeat(x["of"], x["n_lines"].cast("int"))))
+    whole = files.join(spans, "file").select(F.posexplode(F.arrays_zip(owners.alias("of"), F.slice("lines", F.lit(1), F.size("lines") - 1).alias("line"))).alias("at", "x"))
+    return whole.select("x.of.*", "at", "x.line")
+
+
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    """(*keys, part, text) of what write_packed has written."""
+    rows = packed_lines(spark, path)
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("at", "line"))), lambda x: x["line"])
+    return rows.groupBy(*[c for c in rows.columns if c not in ("at", "line")]).agg(F.concat(F.array_join(ordered, "\n"), F.lit("\n")).alias("text"))
+
+
+def text_digests(rows: DataFrame, key: str) -> DataFrame:
+    """(key, n_lines, digest) of rows (key, part, at, line): the number of a key's lines and the SHA-256 of all of them, each
+    with its line feed. The digest needs a key's bytes one after the other, so one task takes them, but as a stream: they are
+    sorted on disk and pass in batches, so that a key's text may be larger than memory."""
+    def stream(batches):
+        import hashlib
+        from itertools import groupby
+
+        import pyarrow as pa
+
+        now, digest, n = None, None, 0
+        for batch in batches:
+            done = []
+            for k, lines in groupby(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), key=lambda x: x[0]):
+                if digest is None or k != now:
+                    if digest is not None:
+                        done.append((now, n, digest.hexdigest()))
+                    now, digest, n = k, hashlib.sha256(), 0
+                texts = [line for _, line in lines]
+                n += len(texts)
+                digest.update(("\n".join(texts) + "\n").encode())
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in done], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.string()))], ["key", "n_lines", "digest"])
+        if digest is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([now], pa.string()), pa.array([n], pa.int64()), pa.array([digest.hexdigest()], pa.string())], ["key", "n_lines", "digest"])
+
+    dealt = rows.withColumn("key", F.col(key).cast("string")).repartition("key").sortWithinPartitions("key", "part", "at")
+    return dealt.select("key", "line").mapInArrow(stream, "key string, n_lines long, digest string")
 
 
 def write_reports(path: str, **tables: DataFrame) -> dict[str, str]:

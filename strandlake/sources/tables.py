@@ -19,6 +19,14 @@ def fasta(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     return rows.where("size(body) > 0").select("file", "head", F.array_join("body", "").alias("text")).select("file", F.col("head").alias("header"), clean_sequence(F.col("text")).alias("seq"))
 
 
+def fasta_texts(rows: DataFrame) -> DataFrame:
+    """rows (..., text) whose texts are FASTA: the other columns with header and seq, a row a record, as fasta() has them."""
+    others = [c for c in rows.columns if c != "text"]
+    cut = rows.select(*others, F.explode(F.split("text", "\n>")).alias("v")).withColumn("v", F.regexp_replace("v", "^>", ""))
+    body = F.filter(F.slice(F.split("v", "\n"), 2, F.size(F.split("v", "\n"))), lambda x: x != "")
+    return cut.where(F.size(body) > 0).select(*others, F.split("v", "\n")[0].alias("header"), clean_sequence(F.array_join(body, "")).alias("seq"))
+
+
 def trna(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """(contig, trna_no, start, end, strand, label, score): begin after end is `-` and swapped, equal ends are `x`."""
     contig, no, begin, end, kind, codon, _, _, score, note = split_tabs(F.col("line"), "string", "int", "long", "long", "string", "string", "long", "long", "double", "string")

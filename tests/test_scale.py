@@ -1,6 +1,7 @@
 """Splits, ranges, blocks, chains: what cuts large keys must not be seen in the result."""
 
 import glob
+import hashlib
 import random
 
 from pyspark.sql import Window as W
@@ -12,6 +13,7 @@ from strandlake.operators import chains as C
 from strandlake.operators import genomics as G
 from strandlake.operators import headers as N
 from strandlake.operators import hits as H
+from strandlake.plans.files import QUERIES as FILES
 from strandlake.operators.scan import kept, look_back, with_place
 from strandlake.session import fresh
 from strandlake.sinks import text as W_
@@ -169,6 +171,42 @@ def test_packed_files_are_few_and_hold_every_key(spark):
     assert {(r.key, r.part): r.text for r in W_.read_packed(spark, path).collect()}.keys() == {(r.key, r.part) for r in index}
 
 
+def test_packed_texts_are_cut_and_digested_as_streams(spark):
+    """A key of many parts among small ones, values of several lines, empty lines; before, a key's text was one row."""
+    rng = random.Random(11)
+    data = [(0 if i % 2 else i, i, rng.choice(["", ">a\nacgt", "é" * rng.randrange(30)])) for i in range(4_000)]
+    path = fresh(spark, "packed")
+    W_.write_packed(spark.createDataFrame(data, "key int, i int, value string"), path, ["key"], ["i"], 5_000)
+    want = {}
+    for k, _, v in sorted(data):
+        want[str(k)] = want.get(str(k), "") + v + "\n"
+    found = W_.text_digests(W_.packed_lines(spark, path), "key")
+    assert {r.key: (r.n_lines, r.digest) for r in found.collect()} == {k: (v.count("\n"), hashlib.sha256(v.encode()).hexdigest()) for k, v in want.items()} and found.count() == len(want)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(line" not in plan and "sha2" not in plan
+    texts = {}
+    for r in W_.read_packed(spark, path).orderBy("key", "part").collect():
+        texts[str(r.key)] = texts.get(str(r.key), "") + r.text
+    assert texts == want
+
+
+def test_groups_and_profiles_are_packed_not_foldered(spark):
+    """A folder a group or family made their number, and the time to list them, follow the keys."""
+    before = set(glob.glob(f"{S.scratch(spark).removeprefix('file:')}/*"))
+    for name in ("emit_group_fasta", "emit_group_annotations", "concat_profiles"):
+        assert FILES[name](spark, "/root/testdata/sf0.001").count() > 0
+    new = set(glob.glob(f"{S.scratch(spark).removeprefix('file:')}/*")) - before
+    assert not [f for top in new for f in glob.glob(f"{top}/group_no=*") + glob.glob(f"{top}/family_id=*")]
+
+
+def test_records_in_texts_are_those_of_files(spark):
+    texts = [">a b\nAC gt\n\n12*\n>none\n>c\nttt\n", "above\n>d\na\n", ">e\n", ""]
+    path = fresh(spark, "records")
+    spark.createDataFrame([(x,) for x in texts], "value string").write.option("maxRecordsPerFile", 1).text(path)
+    got = RT.fasta_texts(spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, text string")).collect()
+    assert sorted((r.header, r.seq) for r in got) == sorted((r.header, r.seq) for r in RT.fasta(spark, path).collect())
+
+
 def test_top_hits_are_cut_before_the_shuffle(spark):
     df = spark.createDataFrame([("g", i % 3, "h", i, float(i)) for i in range(50)], "q_genome string, q_gene int, s_genome string, s_gene int, bitscore double")
     plan = H.top_hits(df, 2)._jdf.queryExecution().executedPlan().toString()
