@@ -33,13 +33,17 @@ GENE_CALLS = """gene_calls AS (SELECT *, right_end - left_end + 1 AS length FROM
 
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search hits between genes of lines of the same order; symmetric in identity and bit score."""
-    one = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr("l_suppkey % 4").alias("g"), F.col("l_partkey").alias("gene"),
+    return _hits(spark, sf_dir, "(a.g <> b.g OR a.gene <> b.gene)")
+
+
+def _hits(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
+    """Pairs are dealt by the query's gene, as numbers, so that what groups or ranks them by query needn't shuffle them again."""
+    one = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"), F.expr("l_suppkey % 4").alias("g"), F.col("l_partkey").alias("gene"),
                                                  F.expr("cast(round(100 * l_discount) as bigint)").alias("d"), F.col("l_extendedprice").alias("p"))
-    a, b = one.alias("a"), one.alias("b")
-    joined = a.join(b, F.expr("a.l_orderkey = b.l_orderkey AND a.l_linenumber <> b.l_linenumber AND (a.g <> b.g OR a.gene <> b.gene)"))
-    found = joined.groupBy(F.expr("concat('genome', a.g)").alias("q_genome"), F.expr("concat('genome', b.g)").alias("s_genome"), F.col("a.gene").alias("q_gene"), F.col("b.gene").alias("s_gene")).agg(
-        F.max(F.expr("greatest(100 - 15 * abs(a.d - b.d), 0)")).alias("identity"), F.max(F.expr("cast(floor(a.p + b.p) as bigint)")).alias("bitscore"))
-    return with_alignment(found)
+    joined = one.alias("a").join(one.alias("b"), F.expr(f"a.o = b.o AND a.n <> b.n AND {which}"))
+    pairs = joined.selectExpr("a.g AS q", "b.g AS s", "a.gene AS q_gene", "b.gene AS s_gene", "greatest(100 - 15 * abs(a.d - b.d), 0) AS identity", "cast(floor(a.p + b.p) as bigint) AS bitscore")
+    found = pairs.repartition("q_gene").groupBy("q", "s", "q_gene", "s_gene").agg(F.max("identity").alias("identity"), F.max("bitscore").alias("bitscore"))
+    return with_alignment(found.selectExpr("concat('genome', q) AS q_genome", "concat('genome', s) AS s_genome", "q_gene", "s_gene", "identity", "bitscore"))
 
 
 def with_alignment(found: DataFrame) -> DataFrame:
@@ -62,7 +66,7 @@ CANDIDATES = "candidates AS (SELECT * FROM hits WHERE q_genome <> s_genome AND i
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hits(spark, sf_dir).where("q_genome <> s_genome AND identity >= 60")
+    return _hits(spark, sf_dir, "a.g <> b.g").where("identity >= 60")
 
 
 def genome_genes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import lines, rejected, sound, split_tabs
+from .text import cut_once, lines, pieces, rejected, sound
 
 BLAST = {"query": "string", "subject": "string", "identity": "double", "aln_len": "int", "mismatches": "int", "gap_opens": "int", "q_start": "long", "q_end": "long", "s_start": "long", "s_end": "long", "evalue": "double", "bitscore": "double"}
 XML = ("`Iteration_query-def` string, Iteration_hits struct<Hit: array<struct<Hit_num: int, Hit_def: string, Hit_accession: string, Hit_len: int, "
@@ -15,7 +15,7 @@ XML = ("`Iteration_query-def` string, Iteration_hits struct<Hit: array<struct<Hi
 def blast_tab(spark: SparkSession, path: str, identity: float = 0, rejects: bool = False) -> DataFrame:
     """Tabular hits whose identity, rounded down, is at least the cutoff."""
     rows = lines(spark, path).where("line <> '' AND NOT startswith(line, '#')")
-    rows = rows.select("file", "line", *[c.alias(n) for n, c in zip(BLAST, split_tabs(F.col("line"), *BLAST.values()), strict=True)])
+    rows = cut_once(rows, F.split("line", "\t"), "file", "line").select("file", "line", *[c.alias(n) for n, c in zip(BLAST, pieces(*BLAST.values()), strict=True)])
     return rejected(rows, *BLAST) if rejects else sound(rows, *BLAST).drop("file", "line").where(F.floor("identity") >= identity)
 
 
@@ -41,9 +41,8 @@ def blast_xml(spark: SparkSession, path: str, rejects: bool = False) -> DataFram
 def _columns(spark: SparkSession, path: str, names: dict[str, str], rejects: bool) -> DataFrame:
     """White-space separated columns, the last one being the rest of the line."""
     n = len(names)
-    part = F.split(F.trim("line"), r"\s+", n)
     rows = lines(spark, path).where("line <> '' AND NOT startswith(line, '#')")
-    rows = rows.select("file", "line", *[F.get(part, F.lit(i)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(names.items())])
+    rows = cut_once(rows, F.split(F.trim("line"), r"\s+", n), "file", "line").select("file", "line", *[c.alias(name) for name, c in zip(names, pieces(*names.values()), strict=True)])
     needed = list(names)[:-1]
     return rejected(rows, *needed) if rejects else sound(rows, *needed).drop("file", "line")
 

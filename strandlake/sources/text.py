@@ -55,6 +55,16 @@ def sections(spark: SparkSession, path: str, mark: str) -> DataFrame:
     return rows.where(~begins & (F.col("line") != "")).select("file", "split", "at", "head", "line")
 
 
+def cut_once(rows: DataFrame, line: Column, *kept: str) -> DataFrame:
+    """The columns kept and `parts`, an array that is made once a row; a plain column would be made again in each filter on a
+    piece of it."""
+    return rows.select(*kept, F.explode(F.array(line)).alias("parts"))
+
+
+def pieces(*kinds: str) -> list[Column]:
+    return [F.get("parts", F.lit(i)).try_cast(kind) for i, kind in enumerate(kinds)]
+
+
 def fields(line: Column, pattern: str, *kinds: str) -> list[Column]:
     """The groups of the pattern as columns of the kinds; null where the pattern doesn't match or a number doesn't fit."""
     return [F.when(line.rlike(pattern), F.regexp_extract(line, pattern, i + 1)).otherwise(F.lit(None)).try_cast(kind) for i, kind in enumerate(kinds)]

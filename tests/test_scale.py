@@ -7,6 +7,7 @@ import random
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandlake import fixtures as X
 from strandlake import session as S
 from strandlake.functions import sequence as Q
 from strandlake.operators import chains as C
@@ -18,6 +19,7 @@ from strandlake.operators.scan import kept, look_back, with_place
 from strandlake.session import fresh
 from strandlake.sinks import text as W_
 from strandlake.sources import calls as RC
+from strandlake.sources import search as RS
 from strandlake.sources import tables as RT
 from strandlake.sources.text import placed_lines, sections
 
@@ -207,6 +209,45 @@ def test_records_in_texts_are_those_of_files(spark):
     assert sorted((r.header, r.seq) for r in got) == sorted((r.header, r.seq) for r in RT.fasta(spark, path).collect())
 
 
+def test_lines_of_search_tables_are_split_once(spark):
+    """Before, each column's check split the line again."""
+    path = fresh(spark, "search")
+    spark.createDataFrame([("t - 90 q - 90 1e-5 5 0.1 1 2 1e-3 1e-4 4 0.2 1 9 1 9 1 9 0.9 tail fiber",), ("q\ts\t99\t90\t0\t0\t1\t90\t1\t90\t1e-3\t50",), ("no row",)], "value string").coalesce(1).write.text(path)
+    for read, n in ((RS.blast_tab, 1), (RS.hmm_domtbl, 1), (lambda s, p: RS.blast_list(s, p, "q"), 1)):
+        found = read(spark, path)
+        assert found.count() == n and found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert RS.blast_tab(spark, path, rejects=True).count() == RS.hmm_domtbl(spark, path, rejects=True).count() == 2
+
+
+def test_hits_are_shuffled_once_for_best_ones(spark):
+    plan = H.best_hits(X.candidates(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(q_gene#") == 1 and "hashpartitioning(q_genome" not in plan
+
+
+def test_numbered_rows_are_not_shuffled_again(spark):
+    """Without broadcasts by size, rows still meet the small tables of range starts and block ends where they are."""
+    table = kept(spark.range(2_000).selectExpr("id % 3 AS k", "id AS o", "nullif(id % 5, 0) AS v"), "t")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        placed = with_place(table, ["k"], ["o"], "place")
+        seen = look_back(placed, ["k"], "place", {"prev": F.col("o")}, {"last": F.col("v")}, 100)
+        assert not any("SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString() for df in (placed, seen))
+        order = W.partitionBy("k").orderBy("o")
+        want = table.select("*", F.lag("o").over(order).alias("prev"), F.last("v", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1)).alias("last"))
+        assert rows(seen.drop("place")) == rows(want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_edges_of_repeated_turned_and_own_rows(spark):
+    data = [("g0", "c", "cds1/", "g1", "c", "cds2/", "genome1_mutual"), ("g0", "c", "cds1/", "g1", "c", "cds2/", "genome2_mutual"), ("g1", "c", "cds2/", "g0", "c", "cds1/", "genome1_mutual"), ("g0", "c", "cds1/", "g0", "c", "cds1/", "genome1_singular"), ("g0", "c", "x", "g1", None, None, "genome1_loner")]
+    found = G.load_genome_hits(spark.createDataFrame(data, "genome1 string, g1_contig string, g1_header string, genome2 string, g2_contig string, g2_header string, row_type string"))
+    assert found.columns == ["gene", "genome", "gene_no", "partner", "partner_genome", "kind"]
+    assert sorted(map(tuple, found.collect())) == [("g0:c:cds1/", "g0", 1, "g0:c:cds1/", "g0", "singular"), ("g0:c:cds1/", "g0", 1, "g1:c:cds2/", "g1", "mutual"), ("g1:c:cds2/", "g1", 2, "g0:c:cds1/", "g0", "mutual")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Union") == 0  # before, both ways were shuffled
+
+
 def test_top_hits_are_cut_before_the_shuffle(spark):
     df = spark.createDataFrame([("g", i % 3, "h", i, float(i)) for i in range(50)], "q_genome string, q_gene int, s_genome string, s_gene int, bitscore double")
     plan = H.top_hits(df, 2)._jdf.queryExecution().executedPlan().toString()
