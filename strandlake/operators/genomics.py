@@ -17,13 +17,12 @@ from .scan import kept, with_place
 def load_genome_hits(profile: DataFrame) -> DataFrame:
     """The edges of all pair profiles in both directions; gene_no is the number in the cds header."""
     name = lambda i: F.concat_ws(":", f"genome{i}", f"g{i}_contig", f"g{i}_header")
-    rows = profile.where(~F.col("row_type").endswith("loner")).withColumn("kind", F.substring_index("row_type", "_", -1)).withColumn("id1", name(1)).withColumn("id2", name(2))
-
-    def side(a: int, b: int) -> DataFrame:
-        number = F.regexp_extract(f"g{a}_header", r"^cds(\d+)/", 1).cast("int")
-        return rows.select(F.col(f"id{a}").alias("gene"), F.col(f"genome{a}").alias("genome"), number.alias("gene_no"), F.col(f"id{b}").alias("partner"), F.col(f"genome{b}").alias("partner_genome"), "kind")
-
-    return side(1, 2).unionByName(side(2, 1)).distinct()
+    number = lambda i: F.regexp_extract(f"g{i}_header", r"^cds(\d+)/", 1).cast("int")
+    side = lambda i: F.struct(name(i).alias("gene"), F.col(f"genome{i}").alias("genome"), number(i).alias("gene_no"))
+    # an edge and its way back are one row while repeated ones are looked for
+    once = profile.where(~F.col("row_type").endswith("loner")).select(F.least(side(1), side(2)).alias("a"), F.greatest(side(1), side(2)).alias("b"), F.substring_index("row_type", "_", -1).alias("kind")).distinct()
+    turned = once.select("kind", F.explode(F.array_distinct(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y"))))).alias("e"))
+    return turned.select("e.x.gene", "e.x.genome", "e.x.gene_no", F.col("e.y.gene").alias("partner"), F.col("e.y.genome").alias("partner_genome"), "kind")
 
 
 def hit_lists(edges: DataFrame, kind: str) -> DataFrame:
@@ -132,6 +131,7 @@ def genome_data_checks(genes: DataFrame, edges: DataFrame) -> DataFrame:
     genes (gene, genome, ...); `header` is checked within a genome and `n_listed`, how often a genome was given, over
     genomes if the columns exist.
     """
+    edges = kept(edges.select("gene", "partner", "kind"), "edges")
     others = genes.agg((F.countDistinct("genome") - 1).alias("n_others"))
     twice = genes.groupBy("gene").agg(F.count("*").alias("n")).where("n > 1").select(F.lit("duplicate id").alias("check"), F.col("gene").alias("subject"), "n")
     long = edges.where("kind = 'mutual'").groupBy("gene").agg(F.countDistinct("partner").alias("n")).join(F.broadcast(others), F.col("n") > F.col("n_others")).select(F.lit("long mutual list").alias("check"), F.col("gene").alias("subject"), "n")

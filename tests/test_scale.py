@@ -224,6 +224,22 @@ def test_hits_are_shuffled_once_for_best_ones(spark):
     assert plan.count("hashpartitioning(q_gene#") == 1 and "hashpartitioning(q_genome" not in plan
 
 
+def test_kmers_are_shuffled_with_numbers(spark):
+    """Before, each k-mer and each pair of places went with digests of 64 letters."""
+    rng = random.Random(12)
+    base = sequence(rng, 80)
+    seqs = spark.createDataFrame([("a", base), ("b", base[:60] + sequence(rng, 20)), ("c", base)], "contig string, seq string")
+    found = H.kmer_hits(seqs)
+    assert {(r.q, r.s) for r in found.collect()} == {(x, y) for x in "abc" for y in "abc" if x != y}
+    assert "no#" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_best_hits_are_ranked_once(spark):
+    """Before, the hits were ranked for both sides of the join."""
+    found = H.mutual_best_hits(H.best_hits(X.candidates(spark, "/root/testdata/sf0.001")))
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString() and found.count() > 0
+
+
 def test_numbered_rows_are_not_shuffled_again(spark):
     """Without broadcasts by size, rows still meet the small tables of range starts and block ends where they are."""
     table = kept(spark.range(2_000).selectExpr("id % 3 AS k", "id AS o", "nullif(id % 5, 0) AS v"), "t")
