@@ -27,7 +27,7 @@ def load_genome_hits(profile: DataFrame) -> DataFrame:
 
 def hit_lists(edges: DataFrame, kind: str) -> DataFrame:
     """(gene, genome, n_partners, partners): the partners of one kind over all genomes, sorted, joined by commas."""
-    return edges.where(F.col("kind") == kind).groupBy("gene", "genome").agg(F.countDistinct("partner").alias("n_partners"), F.array_join(F.sort_array(F.collect_set("partner")), ",").alias("partners"))
+    return edges.where(F.col("kind") == kind).groupBy("gene", "genome").agg(F.sort_array(F.collect_set("partner")).alias("all")).select("gene", "genome", F.size("all").cast("long").alias("n_partners"), F.array_join("all", ",").alias("partners"))
 
 
 def correspondences(edges: DataFrame, reference: str) -> DataFrame:
@@ -52,7 +52,7 @@ def genomic_loners(genes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def genomic_paralogs(paralogs: DataFrame) -> DataFrame:
     """(gene, n_paralogs, paralogs): distinct paralog ids, sorted, joined by commas."""
-    return paralogs.groupBy("gene").agg(F.countDistinct("paralog").alias("n_paralogs"), F.array_join(F.sort_array(F.collect_set("paralog")), ",").alias("paralogs"))
+    return paralogs.groupBy("gene").agg(F.sort_array(F.collect_set("paralog")).alias("all")).select("gene", F.size("all").cast("long").alias("n_paralogs"), F.array_join("all", ",").alias("paralogs"))
 
 
 def paralog_set_size(paralogs: DataFrame) -> DataFrame:
@@ -107,11 +107,9 @@ def homology_groups(genes: DataFrame, edges: DataFrame, paralogs: DataFrame) ->
     own = kept(paralogs.select("gene", "paralog").distinct(), "paralogs")
     seeds = homology_seeds(genes, own)
     numbered = with_place(seeds, [], ["ord"], "group_no").select(F.col("group_no").cast("int").alias("group_no"), F.col("gene").alias("seed"))
-    partners = kept(edges.select("gene", "partner").distinct(), "partners")
     of_seed = numbered.join(own, F.col("seed") == F.col("gene")).select("group_no", "seed", F.col("paralog").alias("member"))
-    members = numbered.select("group_no", "seed", F.col("seed").alias("member")).unionByName(numbered.join(partners, F.col("seed") == F.col("gene")).select("group_no", "seed", F.col("partner").alias("member"))).unionByName(
-        of_seed).unionByName(of_seed.join(partners, F.col("member") == F.col("gene")).select("group_no", "seed", F.col("partner").alias("member")))
-    return members.distinct()
+    inner = kept(numbered.select("group_no", "seed", F.col("seed").alias("member")).unionByName(of_seed), "group-genes")
+    return inner.unionByName(inner.join(edges.select("gene", "partner"), F.col("member") == F.col("gene")).select("group_no", "seed", F.col("partner").alias("member"))).distinct()
 
 
 def group_sequences(groups: DataFrame, sequences: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from strandlake import fixtures as X
 from strandlake.operators import genomics as G
 from strandlake.operators import hits as H
 
-from .hits import ALL, PARALOGS, PROFILE, _profile, _seq
+from .hits import ALL, PARALOGS, PROFILE, _best, _seq
 
 NAME = "concat(genome, ':', contig, ':cds', gene, '/', strand, '/', start, '/', `end`, '/')"
 
@@ -17,13 +17,16 @@ def _genes(s, d):
     return X.genome_genes(s, d).selectExpr("genome", "gene AS ord", f"{NAME} AS gene")
 
 
-def _edges(s, d):
-    return G.load_genome_hits(_profile(s, d))
+def _edges(s, d, genome=None):
+    """Of all genes, or of those of one genome, given by number."""
+    edges = G.load_genome_hits(H.profile_rows(_best(s, d, genome), X.genome_genes(s, d)))
+    return edges if genome is None else edges.where(F.col("genome") == f"genome{genome}")
 
 
-def _paralogs(s, d):
-    names = X.genome_genes(s, d).selectExpr("genome", "gene", f"{NAME} AS id")
-    found = H.paralogs(X.hits(s, d), X.genome_genes(s, d))
+def _paralogs(s, d, genome=None):
+    genes = X.genome_genes(s, d) if genome is None else X.genome_genes(s, d).where(F.col("genome") == f"genome{genome}")
+    names = genes.selectExpr("genome", "gene", f"{NAME} AS id")
+    found = H.paralogs(X.own_hits(s, d, genome), genes)
     return found.join(names, ["genome", "gene"]).join(names.select("genome", F.col("gene").alias("paralog"), F.col("id").alias("other")), ["genome", "paralog"]).select(F.col("id").alias("gene"), F.col("other").alias("paralog"))
 
 
@@ -34,15 +37,15 @@ def _checked(s, d):
 
 
 def _groups(s, d):
-    return G.homology_groups(_genes(s, d).where("genome = 'genome0'"), _edges(s, d), _paralogs(s, d))
+    return G.homology_groups(_genes(s, d).where("genome = 'genome0'"), _edges(s, d, 0), _paralogs(s, d, 0))
 
 
 QUERIES = {
     "load_genome_hits": _edges,
     "mutual_best_hit_lists": lambda s, d: G.hit_lists(_edges(s, d), "mutual"),
     "singular_best_hit_lists": lambda s, d: G.hit_lists(_edges(s, d), "singular"),
-    "correspondences": lambda s, d: G.correspondences(_edges(s, d), "genome0"),
-    "core_genome": lambda s, d: G.core_genome(_edges(s, d), _genes(s, d), "genome0"),
+    "correspondences": lambda s, d: G.correspondences(_edges(s, d, 0), "genome0"),
+    "core_genome": lambda s, d: G.core_genome(_edges(s, d, 0), _genes(s, d), "genome0"),
     "genomic_loners": lambda s, d: G.genomic_loners(_genes(s, d), _edges(s, d)),
     "genomic_paralogs": lambda s, d: G.genomic_paralogs(_paralogs(s, d)),
     "paralog_set_size": lambda s, d: G.paralog_set_size(_paralogs(s, d)),

@@ -10,8 +10,8 @@ from strandlake.operators import hits as H
 from strandlake.operators import profile as P
 
 
-def _best(s, d):
-    return H.best_hits(X.candidates(s, d))
+def _best(s, d, genome=None):
+    return H.best_hits(X.candidates(s, d, genome))
 
 
 def _annotations(s, d):
@@ -27,8 +27,10 @@ def _seq(gene: str) -> str:
     return f"concat(element_at(array('atg', 'gtg', 'att', 'ccc'), {gene} % 4 + 1), 'acgtac')"
 
 
-def _alerted(s, d):
-    return P.profile_alerts(_profile(s, d).withColumn("g1_seq", F.expr(_seq("cast(gene1 as int)"))).withColumn("g2_seq", F.expr(_seq("cast(gene2 as int)"))))
+def _alerted(s, d, genome=None):
+    """Of the profiles of all pairs, or of those of one genome, given by number."""
+    profile = _profile(s, d) if genome is None else H.merge_profile(_best(s, d, genome), X.genome_genes(s, d), _annotations(s, d), of=f"genome{genome}")
+    return P.profile_alerts(profile.withColumn("g1_seq", F.expr(_seq("cast(gene1 as int)"))).withColumn("g2_seq", F.expr(_seq("cast(gene2 as int)"))))
 
 
 def _sequence_best_hits(s, d):
@@ -53,14 +55,14 @@ QUERIES = {
     "mutual_best_hits": lambda s, d: H.mutual_best_hits(_best(s, d)).select("q_genome", "q_gene", "s_genome", "s_gene", "bitscore"),
     "singular_best_hits": lambda s, d: H.singular_best_hits(_best(s, d)).select("q_genome", "q_gene", "s_genome", "s_gene", "bitscore"),
     "loners": lambda s, d: H.loners(X.genome_genes(s, d), _best(s, d)),
-    "paralogs": lambda s, d: H.paralogs(X.hits(s, d), X.genome_genes(s, d)),
+    "paralogs": lambda s, d: H.paralogs(X.own_hits(s, d), X.genome_genes(s, d)),
     "homology_stats": lambda s, d: H.homology_stats(X.genome_genes(s, d), _best(s, d)),
-    "set_stats": lambda s, d: H.set_stats(X.genome_genes(s, d), _annotations(s, d), H.paralogs(X.hits(s, d), X.genome_genes(s, d))),
+    "set_stats": lambda s, d: H.set_stats(X.genome_genes(s, d), _annotations(s, d), H.paralogs(X.own_hits(s, d), X.genome_genes(s, d))),
     "merge_profile": _profile,
     "profile_alerts": lambda s, d: _alerted(s, d).select(*COLUMNS, "alerts"),
     "query_profiles": lambda s, d: P.query_profiles(_alerted(s, d), "1", ("mutual", "singular"), ("a", "b", "i")).select(*COLUMNS, "alerts"),
     "count_differences": lambda s, d: P.count_differences(P.query_profiles(_alerted(s, d), codes=("c", "d", "i", "j"))),
-    "homolog_table": lambda s, d: P.homolog_table(_alerted(s, d), "genome0"),
+    "homolog_table": lambda s, d: P.homolog_table(_alerted(s, d, 0), "genome0"),
     "loner_matrix": lambda s, d: P.loner_matrix(_profile(s, d), "genome0", ["genome1", "genome2", "genome3"]),
 }
 
