@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from strandlake.operators.scan import kept
 
 
-def write_lines(rows: DataFrame, path: str, *partition_by: str, line_sep: str = "\n", per_file: int = 0) -> str:
+def write_lines(rows: DataFrame, path: str, *partition_by: str, line_sep: str = "\n", per_file: int = 0, compression: str = "none") -> str:
     """Write the one string column of `rows`, in folders by the partition columns, at most `per_file` rows a file unless
-    that is 0; returns the path."""
-    writer = rows.write.option("lineSep", line_sep).option("maxRecordsPerFile", per_file)
+    that is 0; returns the path. Compressed files aren't cut into splits when read."""
+    writer = rows.write.option("lineSep", line_sep).option("maxRecordsPerFile", per_file).option("compression", compression)
     (writer.partitionBy(*partition_by) if partition_by else writer).text(path)
     return path
 
