@@ -208,6 +208,48 @@ def text_digests(rows: DataFrame, key: str) -> DataFrame:
     return dealt.select("key", "line").mapInArrow(stream, "key string, n_lines long, digest string")
 
 
+def packed_digests(spark: SparkSession, path: str, piece: int = 1 << 16) -> DataFrame:
+    """(key, n_lines, digest) of what write_packed has written by one key: the number of a key's lines and the SHA-256 of its
+    whole text. Files are in order, so that only pieces of at most `piece` bytes are dealt by key and sorted, not lines; one
+    task takes a key's pieces as a stream."""
+    def stream(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        def put(found):
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.string()))], ["key", "n_lines", "digest"])
+
+        now, digest, n = None, None, 0
+        for batch in batches:
+            done = []
+            for key, n_lines, content in zip(*(batch.column(i) for i in range(3)), strict=True):
+                key = key.as_py()
+                if digest is None or key != now:
+                    if digest is not None:
+                        done.append((now, n, digest.hexdigest()))
+                    now, digest, n = key, hashlib.sha256(), 0
+                n += n_lines.as_py()
+                digest.update(content.as_buffer())
+            if done:
+                yield put(done)
+        if digest is not None:
+            yield put([(now, n, digest.hexdigest())])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/text")
+    files = files.select(F.regexp_extract("path", r"/file=(\d+)/", 1).cast("int").alias("file"), "content")
+    index = spark.read.parquet(f"{path}/index")
+    key = next(c for c in index.columns if c not in ("part", "file", "start", "length", "n_lines"))
+    spans = index.groupBy("file").agg(F.collect_list(F.struct(F.col(key).cast("string").alias("key"), "part", "n_lines", F.col("start").cast("int").alias("start"), F.col("length").cast("int").alias("length"))).alias("spans"))
+
+    def cut(x):
+        return F.transform(F.sequence(F.lit(0), x["length"] - 1, F.lit(piece)), lambda i: F.struct(
+            x["key"].alias("key"), x["part"].alias("part"), i.alias("at"), F.when(i == 0, x["n_lines"]).otherwise(0).alias("n_lines"), F.substring("content", x["start"] + i + 1, F.least(x["length"] - i, F.lit(piece))).alias("content")))
+
+    pieces = files.join(spans, "file").select(F.explode(F.flatten(F.transform("spans", cut))).alias("p")).select("p.*")
+    return pieces.repartition("key").sortWithinPartitions("key", "part", "at").select("key", "n_lines", "content").mapInArrow(stream, "key string, n_lines long, digest string")
+
+
 def write_reports(path: str, **tables: DataFrame) -> dict[str, str]:
     """Write each table as Parquet below the path; returns where each lies."""
     for name, df in tables.items():

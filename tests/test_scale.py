@@ -2,6 +2,7 @@
 
 import glob
 import hashlib
+import os
 import random
 
 from pyspark.sql import Window as W
@@ -15,6 +16,7 @@ from strandlake.operators import genomics as G
 from strandlake.operators import headers as N
 from strandlake.operators import hits as H
 from strandlake.plans.files import QUERIES as FILES
+from strandlake.plans.genomics import QUERIES as GENOMICS
 from strandlake.operators.scan import kept, look_back, with_place
 from strandlake.session import fresh
 from strandlake.sinks import text as W_
@@ -327,3 +329,53 @@ def test_selected_rows_are_those_of_wanted_ids(spark):
     assert want.count() <= passed.count() <= want.count() + 0.03 * rows.count()
     assert "Exchange hashpartitioning" not in "".join(line for line in passed._jdf.queryExecution().executedPlan().toString().splitlines() if "contig" in line)
     assert Q.select_by_id(rows, wanted.limit(0), "contig").count() == 0 and Q.select_by_id(rows.limit(0), wanted, "contig").count() == 0
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def written(spark, label):
+    return set(glob.glob(f"{S.scratch(spark).removeprefix('file:')}/{label}-*"))
+
+
+def test_xml_of_hits_is_written_compressed(spark):
+    before = written(spark, "xml")
+    n = FILES["ingest_blast_xml"](spark, SMALL).count()
+    (path,) = written(spark, "xml") - before
+    assert n > 1000 and sum(os.path.getsize(f) for f in glob.glob(f"{path}/part-*")) < 200 * n
+
+
+def test_profile_rows_are_those_of_the_profile_and_edges_sort_nothing(spark):
+    best, genes = H.best_hits(X.candidates(spark, SMALL)), X.genome_genes(spark, SMALL)
+    notes = genes.where("gene % 4 = 0").selectExpr("genome", "gene", "concat('protein ', gene) AS annotation")
+    assert rows(H.profile_rows(best, genes, notes)) == rows(H.merge_profile(best, genes, notes).drop("ord"))
+    before = written(spark, "ranges")
+    assert GENOMICS["load_genome_hits"](spark, SMALL).count() > 1000
+    assert written(spark, "ranges") == before
+
+
+def test_hits_of_one_genome_are_those_among_all(spark):
+    all_of, some = X.candidates(spark, SMALL), X.candidates(spark, SMALL, 0)
+    assert rows(some) == rows(all_of.where("q_genome = 'genome0' OR s_genome = 'genome0'")) != []
+    assert rows(X.own_hits(spark, SMALL, 1)) == rows(X.hits(spark, SMALL).where("q_genome = 'genome1' AND s_genome = 'genome1'")) != []
+    assert rows(G.load_genome_hits(H.profile_rows(H.best_hits(some), X.genome_genes(spark, SMALL))).where("genome = 'genome0'")) == rows(GENOMICS["load_genome_hits"](spark, SMALL).where("genome = 'genome0'"))
+
+
+def test_lists_are_collected_once(spark):
+    edges = spark.createDataFrame([("a", "x", "b", "mutual"), ("a", "x", "b", "mutual"), ("a", "x", "c", "mutual"), ("a", "x", None, "mutual")], "gene string, genome string, partner string, kind string")
+    found = G.hit_lists(edges, "mutual")
+    assert [tuple(r) for r in found.collect()] == [("a", "x", 2, "b,c")]
+    assert "distinct" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_digests_of_packed_pieces(spark):
+    rng = random.Random(5)
+    data = [(f"key {k}", i, "".join(rng.choice("abé\n") for _ in range(rng.randrange(60)))) for k in range(40) for i in range(300 if k < 3 else 4)]
+    path = fresh(spark, "pieces")
+    W_.write_packed(spark.createDataFrame(data, "key string, i int, value string"), path, ["key"], ["i"], 3_000)
+    want = {}
+    for key, _, text in data:
+        want[key] = want.get(key, b"") + (text + "\n").encode()
+    for piece in (1, 100, 1 << 16):
+        found = W_.packed_digests(spark, path, piece).collect()
+        assert {r.key: (r.n_lines, r.digest) for r in found} == {k: (t.count(b"\n"), hashlib.sha256(t).hexdigest()) for k, t in want.items()} and len(found) == 40
