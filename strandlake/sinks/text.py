@@ -242,11 +242,13 @@ def packed_digests(spark: SparkSession, path: str, piece: int = 1 << 16) -> Data
     key = next(c for c in index.columns if c not in ("part", "file", "start", "length", "n_lines"))
     spans = index.groupBy("file").agg(F.collect_list(F.struct(F.col(key).cast("string").alias("key"), "part", "n_lines", F.col("start").cast("int").alias("start"), F.col("length").cast("int").alias("length"))).alias("spans"))
 
-    def cut(x):
+    def cut(x, content):
         return F.transform(F.sequence(F.lit(0), x["length"] - 1, F.lit(piece)), lambda i: F.struct(
-            x["key"].alias("key"), x["part"].alias("part"), i.alias("at"), F.when(i == 0, x["n_lines"]).otherwise(0).alias("n_lines"), F.substring("content", x["start"] + i + 1, F.least(x["length"] - i, F.lit(piece))).alias("content")))
+            x["key"].alias("key"), x["part"].alias("part"), i.alias("at"), F.when(i == 0, x["n_lines"]).otherwise(0).alias("n_lines"), F.substring(content, x["start"] + i + 1, F.least(x["length"] - i, F.lit(piece))).alias("content")))
 
-    pieces = files.join(spans, "file").select(F.explode(F.flatten(F.transform("spans", cut))).alias("p")).select("p.*")
+    # the content as a variable of its own: as a column it would be copied whole for each piece
+    all_of = F.transform(F.array("content"), lambda content: F.flatten(F.transform("spans", lambda x: cut(x, content))))
+    pieces = files.join(spans, "file").select(F.explode(F.flatten(all_of)).alias("p")).select("p.*")
     return pieces.repartition("key").sortWithinPartitions("key", "part", "at").select("key", "n_lines", "content").mapInArrow(stream, "key string, n_lines long, digest string")
 
 
