@@ -27,9 +27,9 @@ def _seq(gene: str) -> str:
     return f"concat(element_at(array('atg', 'gtg', 'att', 'ccc'), {gene} % 4 + 1), 'acgtac')"
 
 
-def _alerted(s, d, genome=None):
-    """Of the profiles of all pairs, or of those of one genome, given by number."""
-    profile = _profile(s, d) if genome is None else H.merge_profile(_best(s, d, genome), X.genome_genes(s, d), _annotations(s, d), of=f"genome{genome}")
+def _alerted(s, d, genome=None, annotations=None):
+    """Of the profiles of all pairs, or of those of one genome, given by number; alerts don't ask for annotations."""
+    profile = H.merge_profile(_best(s, d, genome), X.genome_genes(s, d), annotations, of=None if genome is None else f"genome{genome}")
     return P.profile_alerts(profile.withColumn("g1_seq", F.expr(_seq("cast(gene1 as int)"))).withColumn("g2_seq", F.expr(_seq("cast(gene2 as int)"))))
 
 
@@ -62,7 +62,7 @@ QUERIES = {
     "profile_alerts": lambda s, d: _alerted(s, d).select(*COLUMNS, "alerts"),
     "query_profiles": lambda s, d: P.query_profiles(_alerted(s, d), "1", ("mutual", "singular"), ("a", "b", "i")).select(*COLUMNS, "alerts"),
     "count_differences": lambda s, d: P.count_differences(P.query_profiles(_alerted(s, d), codes=("c", "d", "i", "j"))),
-    "homolog_table": lambda s, d: P.homolog_table(_alerted(s, d, 0), "genome0"),
+    "homolog_table": lambda s, d: P.homolog_table(_alerted(s, d, 0, _annotations(s, d)), "genome0"),
     "loner_matrix": lambda s, d: P.loner_matrix(_profile(s, d), "genome0", ["genome1", "genome2", "genome3"]),
 }
 

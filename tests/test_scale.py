@@ -15,6 +15,7 @@ from strandlake.operators import chains as C
 from strandlake.operators import genomics as G
 from strandlake.operators import headers as N
 from strandlake.operators import hits as H
+from strandlake.plans import hits as HITS_PLAN
 from strandlake.plans.files import QUERIES as FILES
 from strandlake.plans.genomics import QUERIES as GENOMICS
 from strandlake.operators.scan import kept, look_back, with_place
@@ -379,3 +380,8 @@ def test_digests_of_packed_pieces(spark):
     for piece in (1, 100, 1 << 16):
         found = W_.packed_digests(spark, path, piece).collect()
         assert {r.key: (r.n_lines, r.digest) for r in found} == {k: (t.count(b"\n"), hashlib.sha256(t).hexdigest()) for k, t in want.items()} and len(found) == 40
+
+
+def test_alerts_ask_for_no_annotations(spark, monkeypatch):
+    monkeypatch.setattr(HITS_PLAN, "_annotations", lambda s, d: 1 / 0)
+    assert HITS_PLAN.QUERIES["profile_alerts"](spark, SMALL).count() > 1000
