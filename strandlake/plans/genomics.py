@@ -8,36 +8,48 @@ from strandlake import fixtures as X
 from strandlake.operators import genomics as G
 from strandlake.operators import hits as H
 
-from .hits import ALL, PARALOGS, PROFILE, _best, _seq
+from .hits import ALL, PARALOGS, PROFILE, _best, _kept_genes, _seq
 
 NAME = "concat(genome, ':', contig, ':cds', gene, '/', strand, '/', start, '/', `end`, '/')"
 
 
+def _named(genes):
+    return genes.selectExpr("genome", "gene AS ord", f"{NAME} AS gene")
+
+
 def _genes(s, d):
-    return X.genome_genes(s, d).selectExpr("genome", "gene AS ord", f"{NAME} AS gene")
+    return _named(X.genome_genes(s, d))
 
 
-def _edges(s, d, genome=None):
-    """Of all genes, or of those of one genome, given by number."""
-    edges = G.load_genome_hits(H.profile_rows(_best(s, d, genome), X.genome_genes(s, d)))
+def _edges(s, d, genome=None, genes=None):
+    """Of all genes, or of those of one genome, given by number; `genes` if they are kept already."""
+    genes = _kept_genes(s, d) if genes is None else genes
+    edges = G.load_genome_hits(H.profile_rows(_best(s, d, genome), genes, loners=False))
     return edges if genome is None else edges.where(F.col("genome") == f"genome{genome}")
 
 
-def _paralogs(s, d, genome=None):
-    genes = X.genome_genes(s, d) if genome is None else X.genome_genes(s, d).where(F.col("genome") == f"genome{genome}")
+def _paralogs(s, d, genome=None, genes=None):
+    genes = _kept_genes(s, d) if genes is None else genes
+    genes = genes if genome is None else genes.where(F.col("genome") == f"genome{genome}")
     names = genes.selectExpr("genome", "gene", f"{NAME} AS id")
     found = H.paralogs(X.own_hits(s, d, genome), genes)
     return found.join(names, ["genome", "gene"]).join(names.select("genome", F.col("gene").alias("paralog"), F.col("id").alias("other")), ["genome", "paralog"]).select(F.col("id").alias("gene"), F.col("other").alias("paralog"))
 
 
-def _checked(s, d):
+def _checked(genes):
     """The genes with headers of which some occur twice in a genome, and a genome that is listed twice."""
     header = "concat('cds', CASE WHEN ord < 1000 THEN ord ELSE ord - 1000 END)"
-    return _genes(s, d).selectExpr("*", f"{header} AS header", "CASE WHEN genome = 'genome3' THEN array(1, 2) ELSE array(1) END AS listings").withColumn("n_listed", F.size("listings")).drop("listings")
+    return _named(genes).selectExpr("*", f"{header} AS header", "CASE WHEN genome = 'genome3' THEN array(1, 2) ELSE array(1) END AS listings").withColumn("n_listed", F.size("listings")).drop("listings")
+
+
+def _groups(s, d, genes=None):
+    genes = _kept_genes(s, d) if genes is None else genes
+    return G.homology_groups(_named(genes).where("genome = 'genome0'"), _edges(s, d, 0, genes), _paralogs(s, d, 0, genes))
 
 
-def _groups(s, d):
-    return G.homology_groups(_genes(s, d).where("genome = 'genome0'"), _edges(s, d, 0), _paralogs(s, d, 0))
+def _with_genes(of):
+    """A query of the kept genes, which its parts share."""
+    return lambda s, d: of(s, d, _kept_genes(s, d))
 
 
 QUERIES = {
@@ -45,14 +57,14 @@ QUERIES = {
     "mutual_best_hit_lists": lambda s, d: G.hit_lists(_edges(s, d), "mutual"),
     "singular_best_hit_lists": lambda s, d: G.hit_lists(_edges(s, d), "singular"),
     "correspondences": lambda s, d: G.correspondences(_edges(s, d, 0), "genome0"),
-    "core_genome": lambda s, d: G.core_genome(_edges(s, d, 0), _genes(s, d), "genome0"),
-    "genomic_loners": lambda s, d: G.genomic_loners(_genes(s, d), _edges(s, d)),
+    "core_genome": _with_genes(lambda s, d, genes: G.core_genome(_edges(s, d, 0, genes), _named(genes), "genome0")),
+    "genomic_loners": _with_genes(lambda s, d, genes: G.genomic_loners(_named(genes), _edges(s, d, genes=genes))),
     "genomic_paralogs": lambda s, d: G.genomic_paralogs(_paralogs(s, d)),
     "paralog_set_size": lambda s, d: G.paralog_set_size(_paralogs(s, d)),
     "homology_groups": _groups,
-    "group_sequences": lambda s, d: G.group_sequences(_groups(s, d), X.genome_genes(s, d).selectExpr(f"{NAME} AS gene", f"{_seq('cast(gene as int)')} AS seq")),
-    "group_annotations": lambda s, d: G.group_annotations(_groups(s, d), _genes(s, d).where("ord % 4 = 0").selectExpr("gene", "concat('protein ', ord) AS annotation")),
-    "genome_data_checks": lambda s, d: G.genome_data_checks(_checked(s, d), _edges(s, d)),
+    "group_sequences": _with_genes(lambda s, d, genes: G.group_sequences(_groups(s, d, genes), genes.selectExpr(f"{NAME} AS gene", f"{_seq('cast(gene as int)')} AS seq"))),
+    "group_annotations": _with_genes(lambda s, d, genes: G.group_annotations(_groups(s, d, genes), _named(genes).where("ord % 4 = 0").selectExpr("gene", "concat('protein ', ord) AS annotation"))),
+    "genome_data_checks": _with_genes(lambda s, d, genes: G.genome_data_checks(_checked(genes), _edges(s, d, genes=genes))),
 }
 
 EDGES = """named AS (SELECT genome, gene AS ord, genome || ':' || contig || ':cds' || gene || '/' || strand || '/' || start || '/' || "end" || '/' AS gene FROM genome_genes),

@@ -385,3 +385,20 @@ def test_digests_of_packed_pieces(spark):
 def test_alerts_ask_for_no_annotations(spark, monkeypatch):
     monkeypatch.setattr(HITS_PLAN, "_annotations", lambda s, d: 1 / 0)
     assert HITS_PLAN.QUERIES["profile_alerts"](spark, SMALL).count() > 1000
+
+
+def test_edges_make_no_loners_and_read_genes_once(spark):
+    """Before, the hits were classified once more for loners that edges then left out, and each side grouped the lines for its genes."""
+    plan = GENOMICS["load_genome_hits"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "l_partkey" not in plan
+    best, genes = H.best_hits(X.candidates(spark, SMALL)), X.genome_genes(spark, SMALL)
+    assert rows(H.profile_rows(best, genes, loners=False)) == rows(H.profile_rows(best, genes).where("row_type NOT LIKE '%loner'")) != []
+
+
+def test_best_hits_are_ranked_as_numbers(spark):
+    """Before, hits were sorted with names and alignments."""
+    found = HITS_PLAN.QUERIES["best_hits"](spark, SMALL)
+    want = H.best_hits(X.candidates(spark, SMALL))
+    assert found.columns == want.columns and rows(found) == rows(want) != []
+    ranked = found._jdf.queryExecution().optimizedPlan().toString().split("Window ", 1)[1]
+    assert "aln_len" not in ranked and "concat(genome" not in ranked
