@@ -67,7 +67,7 @@ def homology_seeds(genes: DataFrame, paralogs: DataFrame) -> DataFrame:
     set, if it isn't). A gene of one term is that gene's equal or opposite: it takes part in no round of its own, all terms
     that name it name what it depends on instead. So each round halves the way to go along chains, besides deciding every
     gene whose terms are all decided; a gene that has both terms of one other is lost at once. Terms and decisions are
-    tables in the shared folder.
+    tables in the shared folder; a round writes three, and the seeds are read from the rounds' states.
     """
     spark = genes.sparkSession
     seeds_at = fresh(spark, "seeds")
@@ -79,27 +79,26 @@ def homology_seeds(genes: DataFrame, paralogs: DataFrame) -> DataFrame:
 
     place = genes.select("gene", "ord")
     earlier = paralogs.select("gene", "paralog").distinct().join(place, "gene").join(place.select(F.col("gene").alias("paralog"), F.col("ord").alias("paralog_ord")), "paralog").where("ord < paralog_ord")
-    terms = keep(earlier.select(F.col("paralog").alias("gene"), F.col("gene").alias("on"), F.lit(False).alias("no")))
-    keep(place.join(terms, "gene", "left_anti"), f"{seeds_at}/round=0")
-    decided = keep(place.join(terms, "gene", "left_anti").select("gene", F.lit(True).alias("seed")))
-    n = 0
+    terms = keep(earlier.select(F.col("paralog").alias("gene"), F.col("paralog_ord").alias("ord"), F.col("gene").alias("on"), F.lit(False).alias("no")))
+    free = place.join(terms, "gene", "left_anti").select("gene", "ord", F.lit(False).alias("lost"), F.lit(0).cast("long").alias("open"))
+    state = keep(free.withColumn("one", F.when(F.lit(False), F.struct(F.col("gene").alias("on"), F.lit(False).alias("no")))), f"{seeds_at}/round=0")
+    decided, n = state.select("gene", (~F.col("lost")).alias("seed")), 0
     while not terms.isEmpty():
         n += 1
         known = terms.join(decided.select(F.col("gene").alias("on"), "seed"), "on", "left").withColumn("holds", F.col("seed") != F.col("no"))
-        pairs = known.groupBy("gene", "on").agg(F.min("no").alias("least"), F.max("no").alias("no"), F.max("holds").alias("holds"))
+        pairs = known.groupBy("gene", "ord", "on").agg(F.min("no").alias("least"), F.max("no").alias("no"), F.max("holds").alias("holds"))
         pairs = keep(pairs.withColumn("holds", F.when(F.col("least") != F.col("no"), True).otherwise(F.col("holds"))))
-        state = pairs.groupBy("gene").agg(F.coalesce(F.max("holds"), F.lit(False)).alias("lost"), F.count_if(F.col("holds").isNull()).alias("open"), F.max(F.when(F.col("holds").isNull(), F.struct("on", "no"))).alias("one"))
-        state = keep(state)
-        now = keep(state.where("lost OR open = 0").select("gene", (~F.col("lost")).alias("seed")))
-        keep(place.join(now.where("seed"), "gene", "left_semi"), f"{seeds_at}/round={n}")
-        left = pairs.where("holds IS NULL").join(now, "gene", "left_anti").select("gene", "on", "no")
+        state = pairs.groupBy("gene", "ord").agg(F.coalesce(F.max("holds"), F.lit(False)).alias("lost"), F.count_if(F.col("holds").isNull()).alias("open"), F.max(F.when(F.col("holds").isNull(), F.struct("on", "no"))).alias("one"))
+        state = keep(state, f"{seeds_at}/round={n}")
+        now = state.where("lost OR open = 0").select("gene", (~F.col("lost")).alias("seed"))
+        left = pairs.where("holds IS NULL").join(now, "gene", "left_anti").select("gene", "ord", "on", "no")
         # seed(gene) is seed(one.on) if one.no, else its opposite
         same = state.where("NOT lost AND open = 1").select(F.col("gene").alias("on"), F.col("one.on").alias("to"), F.col("one.no").alias("equal"))
-        turned = left.join(same, "on", "left").select("gene", F.coalesce("to", "on").alias("on"), F.when(F.col("to").isNull() | F.col("equal"), F.col("no")).otherwise(~F.col("no")).alias("no"))
+        turned = left.join(same, "on", "left").select("gene", "ord", F.coalesce("to", "on").alias("on"), F.when(F.col("to").isNull() | F.col("equal"), F.col("no")).otherwise(~F.col("no")).alias("no"))
         after = keep(turned.distinct())
-        drop(terms, decided, pairs, state)
+        drop(terms, pairs)
         terms, decided = after, now
-    return spark.read.parquet(seeds_at).select("gene", "ord")
+    return spark.read.schema(state.schema).parquet(seeds_at).where("NOT lost AND open = 0").select("gene", "ord")
 
 
 def homology_groups(genes: DataFrame, edges: DataFrame, paralogs: DataFrame) -> DataFrame:

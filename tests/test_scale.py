@@ -402,3 +402,12 @@ def test_best_hits_are_ranked_as_numbers(spark):
     assert found.columns == want.columns and rows(found) == rows(want) != []
     ranked = found._jdf.queryExecution().optimizedPlan().toString().split("Window ", 1)[1]
     assert "aln_len" not in ranked and "concat(genome" not in ranked
+
+
+def test_rounds_of_seeds_write_three_tables(spark):
+    before = written(spark, "seeds")
+    genes = spark.createDataFrame([(str(i), i) for i in range(9)], "gene string, ord int")
+    found = G.homology_seeds(genes, spark.createDataFrame([(str(i), str(i + 1)) for i in range(8)], "gene string, paralog string"))
+    assert [r.ord for r in found.orderBy("ord").collect()] == [0, 2, 4, 6, 8]
+    made = written(spark, "seeds") - before
+    assert len([p for p in made if "seeds-open" in p]) == 1  # what is left is the last, empty table of terms
