@@ -92,6 +92,12 @@ def sorted_files(rows: DataFrame, key: str, *order: str) -> DataFrame:
     return rows.repartition(key).sortWithinPartitions(key, *order).select(key, "value")
 
 
+def ranged_files(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """sorted_files for keys of many rows: a key's rows are dealt to many tasks as ranges of its order. Written in folders by key, the
+    files of a folder stand in the order of their names, which begin with the task's number and end with the file's."""
+    return rows.repartitionByRange(key, *order).sortWithinPartitions(key, *order).select(key, "value")
+
+
 PROFILE_ORDER, PARALOG_ORDER = ("section", "ord"), ("place", "value")
 
 
@@ -108,8 +114,8 @@ def profile_rows(profile: DataFrame, *mol_types: str) -> DataFrame:
 
 
 def profile_lines(profile: DataFrame, *mol_types: str) -> DataFrame:
-    """(pair, value) of profile_rows, a file a pair."""
-    return sorted_files(profile_rows(profile, *mol_types), "pair", *PROFILE_ORDER)
+    """(pair, value) of profile_rows, some files a pair (ranged_files)."""
+    return ranged_files(profile_rows(profile, *mol_types), "pair", *PROFILE_ORDER)
 
 
 def paralog_rows(paralogs: DataFrame, mol_type: str = "Gene") -> DataFrame:

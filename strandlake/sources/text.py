@@ -25,11 +25,13 @@ def blocks(spark: SparkSession, path: str, mark: str) -> DataFrame:
     return rows.select("file", parts[0].alias("head"), F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: x != "").alias("body"))
 
 
-def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+def placed_lines(spark: SparkSession, path: str, joined: bool = False) -> DataFrame:
     """(file, split, at, line): `split` is the first byte of the input split that the line stands in, `at` ascends with the
-    lines of a split. Files are cut by Spark's own splits, so a file of any size is read by many tasks."""
-    place = F.monotonically_increasing_id().alias("at")
-    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), place, F.regexp_replace("value", "\r$", "").alias("line"))
+    lines of a split. Files are cut by Spark's own splits, so a file of any size is read by many tasks. If `joined`, the files of a
+    folder are one text, in the order of their names: `file` is the folder, `split` begins with the file's name."""
+    name, start, place = F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("at")
+    of = [F.regexp_replace(name, "/[^/]*$", "").alias("file"), F.struct(F.regexp_extract(name, "[^/]*$", 0).alias("name"), start.alias("start")).alias("split")] if joined else [name.alias("file"), start.alias("split")]
+    return spark.read.text(path).select(*of, place, F.regexp_replace("value", "\r$", "").alias("line"))
 
 
 def carry_down(rows: DataFrame, **heads: Column) -> DataFrame:
@@ -47,11 +49,11 @@ def carry_down(rows: DataFrame, **heads: Column) -> DataFrame:
     return found.select(*[c for c in local.columns if not c.startswith("_here_")], *[F.coalesce(f"_here_{n}", f"_above_{n}").alias(n) for n in heads])
 
 
-def sections(spark: SparkSession, path: str, mark: str) -> DataFrame:
+def sections(spark: SparkSession, path: str, mark: str, joined: bool = False) -> DataFrame:
     """(file, split, at, head, line): the lines below each line that begins with `mark`, with the rest of that line; null above the
     first. Empty lines are left out. No section is ever one row."""
     begins = F.startswith("line", F.lit(mark))
-    rows = carry_down(placed_lines(spark, path), head=F.when(begins, F.substring("line", len(mark) + 1, 2**31 - 1)))
+    rows = carry_down(placed_lines(spark, path, joined), head=F.when(begins, F.substring("line", len(mark) + 1, 2**31 - 1)))
     return rows.where(~begins & (F.col("line") != "")).select("file", "split", "at", "head", "line")
 
 

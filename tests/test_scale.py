@@ -411,3 +411,18 @@ def test_rounds_of_seeds_write_three_tables(spark):
     assert [r.ord for r in found.orderBy("ord").collect()] == [0, 2, 4, 6, 8]
     made = written(spark, "seeds") - before
     assert len([p for p in made if "seeds-open" in p]) == 1  # what is left is the last, empty table of terms
+
+
+def test_reports_of_large_pairs_are_several_files_in_order(spark):
+    """Before, one task sorted and wrote a pair's whole report."""
+    rng = random.Random(13)
+    data = [(p, m, i, "é" * rng.randrange(9)) for p in ("a-b", "a-c") for m in (1, 2) for i in range(-1, 800 if p == "a-b" else 3)]
+    rng.shuffle(data)
+    table = kept(spark.createDataFrame(data, "pair string, section int, ord long, text string").withColumn("value", F.when(F.col("ord") < 0, F.concat(F.lit("#"), F.element_at(F.array(F.lit("GENE HITS"), F.lit("PROTEIN HITS")), F.col("section")))).otherwise(F.concat_ws("\t", "ord", *[F.lit("x")] * 28, "text"))), "t")
+    path = W_.write_lines(W_.ranged_files(table, "pair", *W_.PROFILE_ORDER), fresh(spark, "ranged"), "pair", per_file=150)
+    for pair in ("a-b", "a-c"):
+        files = sorted(glob.glob(f"{path}/pair={pair}/part-*"))
+        text = [x for f in files for x in open(f, encoding="utf-8").read().splitlines()]
+        assert text == [r.value for r in table.where(F.col("pair") == pair).orderBy(*W_.PROFILE_ORDER).collect()] and (pair == "a-c" or len(files) > 5)
+    found = RT.profile_report(spark, f"{path}/*", joined=True).select("mol_type", "sort_pos").collect()
+    assert sorted(map(tuple, found)) == sorted(("gene" if m == 1 else "protein", i) for _, m, i, _ in data if i >= 0)
