@@ -18,7 +18,8 @@ from strandlake.operators import hits as H
 from strandlake.plans import hits as HITS_PLAN
 from strandlake.plans.files import QUERIES as FILES
 from strandlake.plans.genomics import QUERIES as GENOMICS
-from strandlake.operators.scan import kept, look_back, with_place
+from strandlake.operators import profile as P
+from strandlake.operators.scan import kept, look_back, placed_back, with_place
 from strandlake.session import fresh
 from strandlake.sinks import text as W_
 from strandlake.sources import calls as RC
@@ -426,3 +427,43 @@ def test_reports_of_large_pairs_are_several_files_in_order(spark):
         assert text == [r.value for r in table.where(F.col("pair") == pair).orderBy(*W_.PROFILE_ORDER).collect()] and (pair == "a-c" or len(files) > 5)
     found = RT.profile_report(spark, f"{path}/*", joined=True).select("mol_type", "sort_pos").collect()
     assert sorted(map(tuple, found)) == sorted(("gene" if m == 1 else "protein", i) for _, m, i, _ in data if i >= 0)
+
+
+def test_rows_are_placed_and_look_back_by_one_sort(spark):
+    rng = random.Random(20)
+    data = [(k, rng.choice([None, "a", "b"]), rng.choice([None, *range(40)]), i, rng.choice([None, 1, 2, 3])) for i, k in enumerate("xxxxxxxy" * 60)]
+    table = kept(spark.createDataFrame(data, "k string, c string, o int, i int, v int"), "t")
+    order, lag, last = [F.col(c) for c in ("c", "o", "i")], {"prev": F.col("v"), "prev_w": F.col("w")}, {"seen": F.col("w")}
+    derive = lambda df: df.withColumn("w", F.col("v") * 10)
+    want = rows(look_back(derive(with_place(table, ["k"], order, "place")), ["k"], "place", lag, last).select("k", "i", "place", "prev", "prev_w", "seen", "w"))
+    for bins in ([F.col("c"), F.floor(F.col("o") / 3)], [F.col("c")], [F.lit(0)]):
+        assert rows(placed_back(table, ["k"], bins, order, "place", lag, last, derive).select("k", "i", "place", "prev", "prev_w", "seen", "w")) == want
+    assert placed_back(table.limit(0), ["k"], bins, order, "place", lag, last, derive).count() == 0
+
+
+def test_alerts_write_profiles_once(spark):
+    """Before, rows were written before and after they were sorted into ranges, and sorted once more to look back."""
+    before = written(spark, "ranges"), written(spark, "profile-rows")
+    assert HITS_PLAN.QUERIES["count_differences"](spark, SMALL).count() == 6 and HITS_PLAN.QUERIES["query_profiles"](spark, SMALL).count() > 100
+    assert (written(spark, "ranges"), written(spark, "profile-rows")) == before
+    profile = HITS_PLAN._completed(HITS_PLAN._profile(spark, SMALL).select("genome1", "genome2", "ord", "row_type", "gene1", "gene2", "bitscore", "g1_start", "g1_end", "g2_start", "g2_end", "g1_coverage", "g2_coverage"))
+    want = P.query_profiles(P.profile_alerts(profile, 70), codes=("b", "c", "m")).select(*HITS_PLAN.COLUMNS, "alerts")
+    assert rows(HITS_PLAN._alerted(spark, SMALL, codes=("b", "c", "m")).select(*HITS_PLAN.COLUMNS, "alerts")) == rows(want) != []
+
+
+def test_profiles_of_unknown_and_repeated_genes(spark):
+    """Hits of genes that no table has, genes that stand twice, genomes without hits."""
+    best = spark.createDataFrame([("g0", "g1", 1, 5, 90), ("g1", "g0", 5, 1, 90), ("g0", "g1", 2, 5, 80), ("g1", "g0", 6, 2, 70), ("g0", "g1", 3, 7, 60), ("g1", "g0", 9, 1, 50), ("g0", "g3", 4, 1, 40), ("g2", "g0", 8, 1, 30)], "q_genome string, s_genome string, q_gene int, s_gene int, bitscore long")
+    best = X.with_alignment(best.withColumn("identity", F.lit(90)))
+    genes = spark.createDataFrame([("g0", i, "c", i * 90, i * 90 + 89, "+") for i in (1, 2, 2, 3, 4)] + [("g1", i, "c", i * 90, i * 90 + 89, "-") for i in (5, 6, 7)], "genome string, gene int, contig string, start int, end int, strand string")
+    found = H.profile_rows(best, genes)
+    tagged, names = H.classify_hits(best), ("genome1", "genome2", "row_type", "gene1", "gene2")
+    used = tagged.where("kind = 'singular' OR kind = 'mutual' AND q_genome < s_genome")
+    forward = F.col("q_genome") < F.col("s_genome")
+    pick = lambda a, b: F.when(forward, F.col(a)).otherwise(F.col(b))
+    want = [tuple(r) for r in used.select(pick("q_genome", "s_genome"), pick("s_genome", "q_genome"), F.concat(F.when(forward, "genome1_").otherwise("genome2_"), "kind"), pick("q_gene", "s_gene"), pick("s_gene", "q_gene")).collect()]
+    for r in H.loners(genes, best).collect():
+        want.append((r.genome, r.other, "genome1_loner", r.gene, None) if r.genome < r.other else (r.other, r.genome, "genome2_loner", None, r.gene))
+    twice = [w for w in want if w[0] == "g0" and w[3] == 2]
+    assert sorted(map(str, want + twice)) == sorted(str(tuple(r)) for r in found.select(*names).collect())
+    assert {(r.gene1, r.g1_header, r.g2_header) for r in found.where("gene2 = 9").collect()} == {(1, "cds1/+/90/179/", None)}
