@@ -90,8 +90,9 @@ def scored_candidates(spark: SparkSession, sf_dir: str, genome: int | None = Non
 
 
 def own_hits(spark: SparkSession, sf_dir: str, genome: int | None = None) -> DataFrame:
-    """The hits within genomes, or within one."""
-    return _hits(spark, sf_dir, "a.g = b.g AND a.gene <> b.gene" + ("" if genome is None else f" AND a.g = {genome}"))
+    """The hits within genomes, or within one. Both names come of one number, else comparing them joins the lines by names."""
+    found = _scored(spark, sf_dir, "a.g = b.g AND a.gene <> b.gene" + ("" if genome is None else f" AND a.g = {genome}"))
+    return completed(found.withColumn("s_genome", F.col("q_genome")))
 
 
 def genome_genes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,47 @@ def load_genome_hits(profile: DataFrame) -> DataFrame:
     return turned.select("e.x.gene", "e.x.genome", "e.x.gene_no", F.col("e.y.gene").alias("partner"), F.col("e.y.genome").alias("partner_genome"), "kind")
 
 
+def gene_lists(profile: DataFrame, genes: DataFrame) -> DataFrame:
+    """(gene, genome, mutual, singular): each gene of `genes` (gene, genome) and of the hit rows of profiles with its distinct partners of
+    either kind, (partner, partner_genome), sorted. What lists, loners, core and correspondences ask for, by one grouping of the edges."""
+    name = lambda i: F.concat_ws(":", f"genome{i}", f"g{i}_contig", f"g{i}_header")
+    end = lambda i, j: F.struct(name(i).alias("gene"), F.col(f"genome{i}").alias("genome"), name(j).alias("partner"), F.col(f"genome{j}").alias("partner_genome"))
+    both = profile.where(~F.col("row_type").endswith("loner")).select(F.substring_index("row_type", "_", -1).alias("kind"), F.explode(F.array(end(1, 2), end(2, 1))).alias("e")).select("kind", "e.*")
+    listed = both.unionByName(genes.select("gene", "genome"), allowMissingColumns=True)
+    found = listed.groupBy(F.xxhash64("gene").alias("_sum"), "gene", "genome").agg(F.collect_list(F.when(F.col("kind").isNotNull(), F.struct("kind", "partner", "partner_genome"))).alias("all"))  # names begin alike, so that a sort tells them apart late
+    of = lambda kind: F.array_sort(F.array_distinct(F.transform(F.filter("all", lambda p: p["kind"] == kind), lambda p: F.struct(p["partner"].alias("partner"), p["partner_genome"].alias("partner_genome"))))).alias(kind)
+    return found.select("gene", "genome", of("mutual"), of("singular"))
+
+
+def listed(lists: DataFrame, kind: str) -> DataFrame:
+    """hit_lists of gene_lists."""
+    names = F.array_distinct(F.transform(kind, lambda p: p["partner"]))
+    return lists.where(F.size(kind) > 0).select("gene", "genome", F.size(names).cast("long").alias("n_partners"), F.array_join(names, ",").alias("partners"))
+
+
+def listed_edges(lists: DataFrame) -> DataFrame:
+    """(gene, partner), distinct, of gene_lists."""
+    return lists.select("gene", F.explode(F.array_union(F.transform("mutual", lambda p: p["partner"]), F.transform("singular", lambda p: p["partner"]))).alias("partner"))
+
+
+def listed_loners(lists: DataFrame) -> DataFrame:
+    """genomic_loners of gene_lists whose genes are those of the table."""
+    return lists.where((F.size("mutual") == 0) & (F.size("singular") == 0)).select("gene", "genome")
+
+
+def listed_core(lists: DataFrame, genes: DataFrame, reference: str) -> DataFrame:
+    """core_genome of gene_lists."""
+    others = genes.where(F.col("genome") != reference).agg(F.countDistinct("genome").alias("n_others"))
+    counts = lists.where((F.col("genome") == reference) & (F.size("mutual") > 0)).select("gene", F.size(F.array_distinct(F.transform("mutual", lambda p: p["partner_genome"]))).cast("long").alias("n_partners"))
+    return counts.join(F.broadcast(others), F.col("n_partners") == F.col("n_others")).drop("n_others")
+
+
+def listed_correspondences(lists: DataFrame, reference: str) -> DataFrame:
+    """correspondences of gene_lists."""
+    names = F.array_union(F.transform("mutual", lambda p: p["partner"]), F.transform("singular", lambda p: p["partner"]))
+    return lists.where((F.col("genome") == reference) & (F.size(names) > 0)).select("gene", F.array_join(names, ",").alias("partners"))
+
+
 def hit_lists(edges: DataFrame, kind: str) -> DataFrame:
     """(gene, genome, n_partners, partners): the partners of one kind over all genomes, sorted, joined by commas."""
     return edges.where(F.col("kind") == kind).groupBy("gene", "genome").agg(F.sort_array(F.collect_set("partner")).alias("all")).select("gene", "genome", F.size("all").cast("long").alias("n_partners"), F.array_join("all", ",").alias("partners"))

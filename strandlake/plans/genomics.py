@@ -8,7 +8,7 @@ from strandlake import fixtures as X
 from strandlake.operators import genomics as G
 from strandlake.operators import hits as H
 
-from .hits import ALL, PARALOGS, PROFILE, _best, _kept_genes, _seq
+from .hits import ALL, PARALOGS, PROFILE, _kept_genes, _seq
 
 NAME = "concat(genome, ':', contig, ':cds', gene, '/', strand, '/', start, '/', `end`, '/')"
 
@@ -21,10 +21,15 @@ def _genes(s, d):
     return _named(X.genome_genes(s, d))
 
 
+def _hit_rows(best, genes):
+    """Rows of profiles that have hits; their alignments aren't used, so that they are made last."""
+    return H.described(X.with_alignment(H.located_hits(best, genes, loners=False)))
+
+
 def _edges(s, d, genome=None, genes=None):
     """Of all genes, or of those of one genome, given by number; `genes` if they are kept already."""
     genes = _kept_genes(s, d) if genes is None else genes
-    edges = G.load_genome_hits(H.profile_rows(_best(s, d, genome), genes, loners=False))
+    edges = G.load_genome_hits(_hit_rows(X.named(H.best_hits(X.scored_candidates(s, d, genome))), genes))
     return edges if genome is None else edges.where(F.col("genome") == f"genome{genome}")
 
 

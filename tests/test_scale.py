@@ -467,3 +467,21 @@ def test_profiles_of_unknown_and_repeated_genes(spark):
     twice = [w for w in want if w[0] == "g0" and w[3] == 2]
     assert sorted(map(str, want + twice)) == sorted(str(tuple(r)) for r in found.select(*names).collect())
     assert {(r.gene1, r.g1_header, r.g2_header) for r in found.where("gene2 = 9").collect()} == {(1, "cds1/+/90/179/", None)}
+
+
+def test_gene_lists_give_what_edges_give(spark):
+    """Before, the reports shuffled the edges once for each list, and own hits were joined by the names of genomes."""
+    profile = H.profile_rows(H.best_hits(X.candidates(spark, SMALL)), X.genome_genes(spark, SMALL))
+    genes = profile.select(F.explode(F.array(*[F.struct(F.concat_ws(":", f"genome{i}", f"g{i}_contig", f"g{i}_header").alias("gene"), F.col(f"genome{i}").alias("genome"), F.col(f"gene{i}").alias("no")) for i in "12"])).alias("e")).select("e.*").where("no IS NOT NULL").drop("no").distinct()
+    genes = kept(genes.unionByName(spark.createDataFrame([("genome9:x", "genome9")], "gene string, genome string")), "t")
+    lists, edges = G.gene_lists(profile.unionByName(profile), genes), G.load_genome_hits(profile)
+    for kind in ("mutual", "singular"):
+        assert rows(G.listed(lists, kind)) == rows(G.hit_lists(edges, kind)) != []
+    assert rows(G.listed_edges(lists)) == rows(edges.select("gene", "partner").distinct()) and rows(G.listed_loners(lists)) == rows(G.genomic_loners(genes, edges)) != []
+    some = genes.where("genome <> 'genome9'")
+    assert rows(G.listed_core(lists, some, "genome1")) == rows(G.core_genome(edges, some, "genome1")) and rows(G.listed_correspondences(lists, "genome0")) == rows(G.correspondences(edges, "genome0")) != []
+    plan = H.paralogs(X.own_hits(spark, SMALL), X.genome_genes(spark, SMALL))._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Join Inner" in line and "(concat(genome" in line for line in plan.split("\n"))
+    before = written(spark, "edges")
+    FILES["emit_genomics_reports"](spark, SMALL)
+    assert written(spark, "edges") == before
