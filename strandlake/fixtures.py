@@ -50,6 +50,18 @@ def _scored(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
     return found.selectExpr("q AS q_genome", "s AS s_genome", "q_gene", "s_gene", "identity", "bitscore")
 
 
+def both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """hits() where nothing ranks or groups them: two lines are a pair once, so that half as many are dealt and grouped, and each is turned at the end."""
+    line = "struct(l_suppkey % 4 AS g, l_partkey AS gene)"
+    one = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"), F.expr(line).alias("at"), F.expr("cast(round(100 * l_discount) as bigint)").alias("d"), F.col("l_extendedprice").alias("p"))
+    joined = one.alias("a").join(one.alias("b"), F.expr("a.o = b.o AND a.n < b.n AND (a.at.g <> b.at.g OR a.at.gene <> b.at.gene)"))
+    pairs = joined.selectExpr("least(a.at, b.at) AS x", "greatest(a.at, b.at) AS y", "greatest(100 - 15 * abs(a.d - b.d), 0) AS identity", "cast(floor(a.p + b.p) as bigint) AS bitscore")
+    pairs = pairs.selectExpr("x.g AS q_genome", "y.g AS s_genome", "x.gene AS q_gene", "y.gene AS s_gene", "identity", "bitscore").repartition("q_gene")
+    found = pairs.groupBy("q_genome", "s_genome", "q_gene", "s_gene").agg(F.max("identity").alias("identity"), F.max("bitscore").alias("bitscore"))
+    turns = "inline(array(struct(q_genome, s_genome, q_gene, s_gene), struct(s_genome AS q_genome, q_genome AS s_genome, s_gene AS q_gene, q_gene AS s_gene)))"
+    return completed(found.selectExpr(turns, "identity", "bitscore"))
+
+
 def completed(scored: DataFrame) -> DataFrame:
     """Names of the genomes and the other columns of hits that have numbers and scores."""
     return with_alignment(named(scored))
