@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,10 +44,26 @@ def fresh(spark: SparkSession, label: str) -> str:
     return f"{scratch(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """What writes in this context have shuffled is deleted once they end, not when the JVM happens to collect garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def kept(df: DataFrame, label: str) -> DataFrame:
     """`df`, written to the shared folder once, for use in several places."""
     path = fresh(df.sparkSession, label)
-    df.write.parquet(path)
+    with freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

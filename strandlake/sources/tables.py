@@ -90,7 +90,7 @@ PROFILE = {"sort_pos": "long", "row_type": "string", "q_start": "long", "q_end":
 def profile_report(spark: SparkSession, path: str, rejects: bool = False, joined: bool = False) -> DataFrame:
     """The 30 columns of pair reports with the molecule type, which a line `#GENE HITS` or `#PROTEIN HITS` sets. If `joined`, the
     files of a folder are one report, in the order of their names."""
-    rows = sections(spark, path, "#", joined).select("file", F.when(F.startswith("head", F.lit("PROTEIN HITS")), "protein").when(F.startswith("head", F.lit("GENE HITS")), "gene").alias("mol_type"), "line").where(r"mol_type IS NOT NULL AND line RLIKE '^[0-9]'")
+    rows = sections(spark, path, "#", joined, few=16).select("file", F.when(F.startswith("head", F.lit("PROTEIN HITS")), "protein").when(F.startswith("head", F.lit("GENE HITS")), "gene").alias("mol_type"), "line").where(r"mol_type IS NOT NULL AND line RLIKE '^[0-9]'")
     if rejects:
         return rows.where(F.size(F.split("line", "\t")) < len(PROFILE)).select("file", "line")
     return rows.where(F.size(F.split("line", "\t")) >= len(PROFILE)).select("mol_type", *[F.nullif(c, F.lit("")).alias(n) if kind == "string" else c.alias(n) for (n, kind), c in zip(PROFILE.items(), split_tabs(F.col("line"), *PROFILE.values()), strict=True)])

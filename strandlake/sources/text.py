@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandlake.session import kept
+
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line), without a carriage return at the end."""
@@ -34,12 +36,21 @@ def placed_lines(spark: SparkSession, path: str, joined: bool = False) -> DataFr
     return spark.read.text(path).select(*of, place, F.regexp_replace("value", "\r$", "").alias("line"))
 
 
-def carry_down(rows: DataFrame, **heads: Column) -> DataFrame:
+def carry_down(rows: DataFrame, few: int = 0, **heads: Column) -> DataFrame:
     """`rows` of placed_lines with, for each of `heads`, its last value that isn't null in this line or above it in the file.
 
-    Each split gives its last values; a table of a row for each split of a file carries them to the splits below.
+    Each split gives its last values; a table of a row for each split of a file carries them to the splits below. If no file has more than `few`
+    lines with any of heads, these are looked up for each line instead, so that lines aren't shuffled.
     """
     rows = rows.select("*", *[c.alias(f"_{n}") for n, c in heads.items()])
+    if few:
+        marks = kept(rows.where(" OR ".join(f"_{n} IS NOT NULL" for n in heads)).select("file", F.struct("split", "at", *[f"_{n}" for n in heads]).alias("mark")), "marks")
+        most, n_files = marks.groupBy("file").count().agg(F.coalesce(F.max("count"), F.lit(0)), F.count("*")).first()
+        if most <= few and most * n_files <= 500_000:
+            above = marks.groupBy("file").agg(F.sort_array(F.collect_list("mark")).alias("_marks"))
+            below = lambda n: F.filter("_marks", lambda m: (F.struct(m["split"], m["at"]) <= F.struct("split", "at")) & m[f"_{n}"].isNotNull())
+            found = rows.join(F.broadcast(above), "file", "left")
+            return found.select(*[c for c in rows.columns if c not in {f"_{n}" for n in heads}], *[F.try_element_at(below(n), F.lit(-1))[f"_{n}"].alias(n) for n in heads])
     upto = W.partitionBy("file", "split").orderBy("at").rowsBetween(W.unboundedPreceding, 0)
     ends = rows.groupBy("file", "split").agg(*[F.max_by(f"_{n}", F.when(F.col(f"_{n}").isNotNull(), F.col("at"))).alias(f"_{n}") for n in heads])
     earlier = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
@@ -49,11 +60,11 @@ def carry_down(rows: DataFrame, **heads: Column) -> DataFrame:
     return found.select(*[c for c in local.columns if not c.startswith("_here_")], *[F.coalesce(f"_here_{n}", f"_above_{n}").alias(n) for n in heads])
 
 
-def sections(spark: SparkSession, path: str, mark: str, joined: bool = False) -> DataFrame:
+def sections(spark: SparkSession, path: str, mark: str, joined: bool = False, few: int = 0) -> DataFrame:
     """(file, split, at, head, line): the lines below each line that begins with `mark`, with the rest of that line; null above the
     first. Empty lines are left out. No section is ever one row."""
     begins = F.startswith("line", F.lit(mark))
-    rows = carry_down(placed_lines(spark, path, joined), head=F.when(begins, F.substring("line", len(mark) + 1, 2**31 - 1)))
+    rows = carry_down(placed_lines(spark, path, joined), few, head=F.when(begins, F.substring("line", len(mark) + 1, 2**31 - 1)))
     return rows.where(~begins & (F.col("line") != "")).select("file", "split", "at", "head", "line")
 
 
