@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strandlake.operators.scan import kept
+from strandlake.session import drop, freed, kept
 
 
 def write_lines(rows: DataFrame, path: str, *partition_by: str, line_sep: str = "\n", per_file: int = 0, compression: str = "none") -> str:
     """Write the one string column of `rows`, in folders by the partition columns, at most `per_file` rows a file unless
     that is 0; returns the path. Compressed files aren't cut into splits when read."""
     writer = rows.write.option("lineSep", line_sep).option("maxRecordsPerFile", per_file).option("compression", compression)
-    (writer.partitionBy(*partition_by) if partition_by else writer).text(path)
+    with freed(rows.sparkSession):
+        (writer.partitionBy(*partition_by) if partition_by else writer).text(path)
     return path
 
 
@@ -155,11 +156,15 @@ def write_packed(rows: DataFrame, path: str, keys: list[str], order: list[str],
     ranges = table.repartitionByRange(max(1, -(-total // file_bytes)), *keys, *order).sortWithinPartitions(*keys, *order)
     at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     placed = kept(ranges.withColumn("file", F.spark_partition_id()).withColumn("_at", at), "packed-ranges")
-    placed.select("file", "_at", "value").repartition("file").sortWithinPartitions("file", "_at").select("file", "value").write.partitionBy("file").text(f"{path}/text")
+    drop(table)
+    with freed(rows.sparkSession):
+        placed.select("file", "_at", "value").repartition("file").sortWithinPartitions("file", "_at").select("file", "value").write.partitionBy("file").text(f"{path}/text")
     spans = placed.withColumn("_end", F.sum("_bytes").over(W.partitionBy("file").orderBy("_at")))
     index = spans.groupBy(*keys, "file").agg(F.min(F.col("_end") - F.col("_bytes")).alias("start"), F.sum("_bytes").alias("length"), F.sum("_lines").alias("n_lines"))
     index = index.withColumn("part", F.row_number().over(W.partitionBy(*keys).orderBy("file")))
-    index.select(*keys, "part", "file", "start", "length", "n_lines").write.parquet(f"{path}/index")
+    with freed(rows.sparkSession):
+        index.select(*keys, "part", "file", "start", "length", "n_lines").write.parquet(f"{path}/index")
+    drop(placed)
     return rows.sparkSession.read.parquet(f"{path}/index")
 
 
